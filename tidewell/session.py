@@ -39,15 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "table", partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back.
 
-    This cuts lineage in a way that outlives lost executors, and lets several consumers read one result.
+    This cuts lineage in a way that outlives lost executors, and lets several consumers read one result. options are
+    those of the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists").option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    df.write.mode("errorifexists").options(**{"compression": "zstd"} | options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
