@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import materialize
+
 MIN_SITES = 10
 MAX_SHARE = 0.5
 LOG_K = 12
@@ -33,7 +35,8 @@ def boilerplate_lines(docs: DataFrame, text: str = "text", site: str = "source",
         seen = seen.where(F.col("lo") != F.col("hi"))
     est = seen.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("est"))
     slack = max(1.0, margin * min_sites)
-    est = est.where(F.col("est") > min_sites - slack)
+    # a table of its own, so that the joins below read plain exchanges, which Spark can split where a line is hot
+    est = materialize(est.where(F.col("est") > min_sites - slack), "line-sites")
     sure = est.where(F.col("est") >= min_sites + slack).select("h1", "h2")
     near = est.where(F.col("est") < min_sites + slack).select("h1", "h2")
     exact = keyed.join(near, ["h1", "h2"], "left_semi").distinct().groupBy("h1", "h2").count().where(F.col("count") >= min_sites).select("h1", "h2")
@@ -52,7 +55,8 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     base = docs.drop("n_lines", "n_removed_lines")
     texts = base.select(F.xxhash64(text).alias("t1"), F.hash(F.col(text), F.length(text)).alias("t2"), F.col(text).alias("t")).where(F.col("t").isNotNull())
     lines = texts.select("t1", "t2", F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
-    hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), *_key(F.col("line"))).join(boilerplate_lines(docs, text, site, min_sites), ["h1", "h2"], "left_semi")
+    boiler = materialize(boilerplate_lines(docs, text, site, min_sites), "boilerplate")
+    hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
     gone = hit.groupBy("t1", "t2", "pos").agg(F.max("n").alias("n")).groupBy("t1", "t2").agg(F.collect_set("pos").alias("__gone"), F.sum("n").alias("__gone_chars"))
     marked = base.withColumns({"__t1": F.xxhash64(text), "__t2": F.hash(F.col(text), F.length(text))})
     both = marked.join(gone.withColumnsRenamed({"t1": "__t1", "t2": "__t2"}), ["__t1", "__t2"], "left")
