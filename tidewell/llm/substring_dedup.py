@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 from tidewell.llm import words
 
 WINDOW = 13
-MINI = 4
+MINI = 3
 HOT_SHARE = 0.002
 HOT_SAMPLE_ROWS = 4000
 NULL_ID = np.iinfo(np.int64).max
-PIECE_WORDS = 4_000_000
 _U = np.uint64
 
 
@@ -62,11 +61,13 @@ def _hot_minimizers(docs: DataFrame, window: int) -> np.ndarray:
                 total = np.zeros(1, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(value[keep].view(np.int64), total)), pa.array(np.append(n[keep], n.sum()))], names=["m", "n"])
 
-    sample = docs.select("t").limit(HOT_SAMPLE_ROWS)
+    rows = docs.count()
+    sample = docs.select("t").sample(min(1.0, HOT_SAMPLE_ROWS / max(rows, 1)), seed=1)
     counts = sample.mapInArrow(count, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("m") == 0, F.col("n")))
-    rows = counts.crossJoin(F.broadcast(counts.agg(total.alias("total")))).where((F.col("m") != 0) & (F.col("n") > HOT_SHARE * F.col("total"))).select("m").collect()
-    return np.sort(np.array([r["m"] for r in rows], np.int64).view(_U))
+    of = counts.agg(total).first()[0] or 0
+    found = counts.where((F.col("m") != 0) & (F.col("n") > HOT_SHARE * of)).select("m").collect()
+    return np.sort(np.array([r["m"] for r in found], np.int64).view(_U))
 
 
 PIECES = "shard int, doc binary, key binary, word binary, n binary, text binary, size long, runs binary"
@@ -78,7 +79,7 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for piece in words.slices(batch, "t", 4 * words.SLICE_BYTES):
                 w = words.split(piece.column("t"), "white")
@@ -90,13 +91,13 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
                     continue
                 # the smallest document of each window hash in this slice; the others are decided
                 owner = ids[w.doc[at]]
-                order = np.lexsort((owner, h))
-                new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+                order = np.argsort(h)
+                hs = h[order]
+                cut = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
                 least_id = np.empty(len(at), np.int64)
-                least_id[order] = owner[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-                seen = np.empty(len(at), bool)  # the same window again in the same document ships once and is told apart below
-                seen[order] = ~new
+                least_id[order] = np.repeat(np.minimum.reduceat(owner[order], cut), np.diff(np.append(cut, len(at))))
                 gone = owner > least_id
+                del order, hs, least_id
                 out = []
                 if gone.any():
                     a, n = _runs(at[gone], w.doc[at[gone]])
@@ -180,20 +181,22 @@ def _locate(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     at = np.arange(len(piece)) + np.repeat(base - (np.cumsum(n) - n), n)
     h = words.windows(w.h, window)[at]
     owner = doc[piece]
-    order = np.lexsort((owner, h))
+    order = np.argsort(h)
     hs, ow = h[order], owner[order]
-    new = np.concatenate([[True], hs[1:] != hs[:-1]])
-    cut = np.flatnonzero(new)
-    ends = np.append(cut[1:], len(hs)) - 1
-    twice = ow[cut] != ow[ends]
-    patterns, least = order[cut[twice]], ow[cut[twice]]  # a place of each confirmed window, and its smallest document
+    cut = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+    times = np.diff(np.append(cut, len(hs)))
+    low, high = np.minimum.reduceat(ow, cut), np.maximum.reduceat(ow, cut)
+    twice = low != high
+    patterns, least = order[cut[twice]], low[twice]  # a place of each confirmed window, and its smallest document
     if not len(patterns):
         return
-    del hs, ow, new, order
-    # word numbers for the automaton; only pieces with a confirmed window are run through it
+    # only pieces with a confirmed window are run through the automaton
     busy = np.zeros(len(n), bool)
-    busy[piece[np.isin(h, h[patterns])]] = True
-    _, number = np.unique(w.h, return_inverse=True)
+    busy[piece[order[np.repeat(twice, times)]]] = True
+    del hs, ow, order, times, h, owner
+    number = np.zeros(len(w.h), np.int64)
+    used = np.repeat(busy, span)
+    number[used] = np.unique(w.h[used], return_inverse=True)[1]
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for k, a in enumerate(at[patterns].tolist()):
         automaton.add_word(tuple(number[a : a + window].tolist()), k)
@@ -279,10 +282,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     A word is removed if a window over it also starts in a document of a smaller id. Null and empty texts have no words.
     A null id is larger than all others. Rows of one id and text are one document and get equal results; texts that share
-    an id don't remove from each other. An empty table gives no rows; other columns are not read.
+    an id don't remove from each other (24 bits of their hashes tell them apart). An empty table gives no rows; other columns are not read.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    base = base.select("d", F.coalesce("d", F.lit(int(NULL_ID))).alias("id"), F.xxhash64("t").alias("key"), "t")
+    base = base.select("d", F.coalesce("d", F.lit(int(NULL_ID))).alias("id"), F.xxhash64("t").bitwiseAND(F.lit((1 << 24) - 1)).alias("key"), "t")
     marks = removed_runs(base.select("id", "key", "t"), window)
     both = base.join(marks, ["id", "key"], "left").select("d", "id", "key", "t", "runs")
     return both.mapInArrow(_kept(window, digest), "d long, n_words long, n_removed long, kept string").withColumnRenamed("d", doc_id)

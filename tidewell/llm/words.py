@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 SLICE_DOCS = 4096
+HASH_BYTES = 1 << 18
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
@@ -32,7 +33,7 @@ _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd number and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 64)
+        size = max(n, HASH_BYTES * 2)
         for i, base in enumerate((int(_STEP), pow(int(_STEP), -1, 1 << 64))):
             full = np.full(size, base, _U)
             full[0] = 1
@@ -105,10 +106,17 @@ def split(texts: pa.Array, kind: str) -> Words:
     last = cuts[cuts > 0] - 1
     closes[last] = inside[last]
     end = np.flatnonzero(closes) + 1
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(value[data] * up[:n], out=sums[1:])
-    h = mix((sums[end] - sums[start]) * down[start])
+    h = np.empty(len(start), _U)
+    i = 0
+    while i < len(start):  # block by block, as this needs many bytes for each byte of text
+        j = max(i + 1, int(np.searchsorted(start, start[i] + HASH_BYTES)))
+        lo, hi = start[i], end[j - 1]
+        up, down = powers(int(hi - lo) + 1)
+        sums = np.zeros(int(hi - lo) + 1, _U)
+        np.cumsum(value[data[lo:hi]] * up[:-1], out=sums[1:])
+        h[i:j] = (sums[end[i:j] - lo] - sums[start[i:j] - lo]) * down[start[i:j] - lo]
+        i = j
+    h = mix(h)
     counts = np.searchsorted(start, offsets[1:]) - np.searchsorted(start, offsets[:-1])
     return Words(data, offsets, np.repeat(np.arange(len(counts), dtype=np.int32), counts), start, end, h, counts)
 
