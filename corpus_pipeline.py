@@ -5,24 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import line_dedup
+from tidewell.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from tidewell.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic by a model of the labels of those at hand."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs.select(*COLUMNS), model, name="__score").where(F.col("__score") < 0.5).select(*COLUMNS)
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that recur on many sites."""
     out = line_dedup.remove_boilerplate(docs)
-    return out.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
+    n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    return out.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (5-word shingles, similarity 0.8 or more)."""
+    return near_dedup.dedup(docs.select(*COLUMNS))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no 10-word window of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens packed into sequences, with their ids."""
+    return packing.pack(docs)
 
 
-STAGES = [("lines", lines)]
+STAGES = [("toxicity", civil), ("line dedup", lines), ("near dedup", distinct), ("decontamination", clean), ("packing", packed)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
