@@ -7,9 +7,9 @@ independent hashes. A set is finished as soon as all its places hold values belo
 short texts is after a few rounds (early stopping that changes nothing).
 
 Bands of the signatures name buckets. Candidates are verified on the full sets: first each class of equal sets against
-the least class of any of its buckets, then against the least class of each bucket, then, where a bucket still holds
-several components, the members outside its largest component against all others, in growing rounds. Pairs within one
-component need no test, so a group of near copies costs about its size, not its square, and yet no link is lost.
+the least class of any of its buckets, then against the least class of each bucket. Where a bucket still holds several
+components, its members outside the largest one are compared with all others, block by block with matrix products. Pairs
+within one component need no test, so a group of near copies costs little more than its size, and yet no link is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import words
@@ -30,6 +30,7 @@ PERCENT = 80
 BANDS = 40
 BAND_ROWS = 5
 CHUNK = 100_000
+BLOCK_BYTES = 256 << 10
 _U = np.uint64
 _HIGH = _U(48)
 
@@ -121,6 +122,76 @@ def _same(shingle: int, percent: int):
     return run
 
 
+def _linked_blocks(shingle: int, percent: int):
+    """Links between the members of two blocks (xs, ys: arrays of k, c, t) in different components, one for each member
+    of the first and component of the second."""
+
+    def sets(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        found, at = [], 0
+        for piece in words.slices(pa.RecordBatch.from_arrays([pa.array([r["t"] for r in rows], pa.string())], names=["t"]), "t"):
+            doc, h = words.shingles(words.split(piece.column("t"), "white_lower"), shingle)
+            found.append((doc + at, h))
+            at += piece.num_rows
+        return np.concatenate([d for d, _ in found]), np.concatenate([h for _, h in found])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for i in range(batch.num_rows):
+                xs, ys = batch.column("xs")[i].as_py(), batch.column("ys")[i].as_py()
+                (dx, hx), (dy, hy) = sets(xs), sets(ys)
+                nx, ny = np.bincount(dx, minlength=len(xs)), np.bincount(dy, minlength=len(ys))
+                both = np.intersect1d(hx, hy)
+                sides = []
+                for d, h, n in ((dx, hx, len(xs)), (dy, hy, len(ys))):
+                    column = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
+                    there = both[column] == h if len(both) else np.zeros(len(h), bool)
+                    side = np.zeros((n, len(both)), np.float32)
+                    side[d[there], column[there]] = 1
+                    sides.append(side)
+                shared = np.rint(sides[0] @ sides[1].T).astype(np.int64)
+                cx, cy = np.array([x["c"] for x in xs]), np.array([y["c"] for y in ys])
+                link = (100 * shared >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
+                for x in np.flatnonzero(link.any(axis=1)):
+                    hit = np.flatnonzero(link[x])
+                    for y in hit[np.unique(cy[hit], return_index=True)[1]]:
+                        a.append(xs[x]["k"])
+                        b.append(ys[y]["k"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _block_links(at: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links that join components, out of the buckets that hold several. at: members h, k, lo, c.
+
+    In such a bucket the members outside its largest component are compared with all others. Members are put in blocks of
+    bounded size, those that hang together by such buckets side by side; each pair of blocks that meet in a bucket is one row, whose sets are
+    compared by a matrix product, so pairs of documents never become rows.
+    """
+    at = materialize(at, "placed")
+    sizes = at.groupBy("h", "c").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("h").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1").select("h", F.col("x.c").alias("main"))
+    open_ = materialize(at.join(main, "h"), "open")
+    family = components(open_.select("k", F.col("lo").alias("b")), "k", "b").select(F.col("node").alias("k"), F.col("component").alias("f"))
+    home = open_.groupBy("k").agg(F.min("h").alias("g"), F.first("c").alias("c"), F.max(F.col("c") != F.col("main")).alias("stray"))
+    home = home.join(texts.select("k", (F.length("t") + 64).alias("bytes")), "k").join(family, "k")
+    of_g = home.groupBy("f", "g").agg(F.sum("bytes").alias("g_bytes"))
+    of_f = of_g.groupBy("f").agg(F.sum("g_bytes").alias("f_bytes"))
+    home = home.join(of_g, ["f", "g"]).join(of_f, "f")
+    parts = [F.pmod(F.col(x), F.ceil(F.col(n) / BLOCK_BYTES)) for x, n in (("g", "f_bytes"), ("k", "g_bytes"))]
+    home = home.select("k", "c", "stray", F.xxhash64("f", *parts).alias("block"))
+    home = materialize(home, "blocks")
+    meet = open_.join(home.select("k", "block"), "k")
+    left = meet.where("c <> main").select("h", F.col("block").alias("x")).distinct()
+    pairs = left.join(meet.select("h", F.col("block").alias("y")).distinct(), "h").select("x", "y").distinct()
+    full = home.join(texts, "k")
+    member = F.collect_list(F.struct("k", "c", "t"))
+    pairs = pairs.join(full.where("stray").groupBy(F.col("block").alias("x")).agg(member.alias("xs")), "x")
+    pairs = pairs.join(full.groupBy(F.col("block").alias("y")).agg(member.alias("ys")), "y")
+    return materialize(pairs.select("xs", "ys").mapInArrow(_linked_blocks(shingle, percent), "a long, b long"), "links")
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """For each row of docs: doc_id, key (its text's hash), n_shingles, component_id, kept, first.
 
@@ -148,11 +219,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         return sides.mapInArrow(_same(shingle, percent), "a long, b long")
 
     nothing = members.select(F.col("k").alias("a"), F.col("k").alias("b")).limit(0)
-    tested, linked, comp = nothing, nothing, members.select(F.col("k").alias("node"), F.col("k").alias("component")).limit(0)
+    tested, comp = nothing, members.select(F.col("k").alias("node"), F.col("k").alias("component")).limit(0)
 
     def test(pairs: DataFrame, name: str) -> int:
         """Verifies the pairs not tested yet, and brings the components up to date; how many pairs they were."""
-        nonlocal tested, linked, comp
+        nonlocal tested, comp
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not nothing:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -161,8 +232,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         if n:
             tested = pairs if tested is nothing else tested.unionByName(pairs)
             found = materialize(verify(pairs), "links")
-            linked = found if linked is nothing else linked.unionByName(found)
-            comp = components(linked)
+            comp = components(found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         return n
 
     def placed() -> DataFrame:
@@ -174,21 +244,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     at = placed()
     centre = at.where("k = lo").select("h", F.col("c").alias("lo_c"))
     test(at.where("k <> lo").join(centre, "h").where("c <> lo_c").select(F.col("k").alias("a"), F.col("lo").alias("b")).distinct(), "pairs")
-    pivots = 4
-    while True:
-        at = materialize(placed().select("h", "k", "c"), "placed")
-        sizes = at.groupBy("h", "c").agg(F.count("*").alias("m"))
-        main = sizes.groupBy("h").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1").select("h", F.col("x.c").alias("main"))
-        strays = at.join(main, "h").where("c <> main").select("h", F.col("k").alias("p"), F.col("c").alias("pc"))
-        strays = materialize(strays.withColumn("place", F.row_number().over(Window.partitionBy("h").orderBy("p"))), "strays")
-        most = strays.agg(F.max("place")).first()[0]
-        if not most:
-            break
-        pairs = strays.where(F.col("place") <= pivots).join(at, "h").where("c <> pc").select(F.col("p").alias("a"), F.col("k").alias("b")).distinct()
-        n = test(pairs, "pairs")
-        if pivots >= most and not n:
-            break
-        pivots *= 4
+    links = _block_links(placed(), texts, shingle, percent)
+    comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     c = comp.select(F.col("node").alias("k"), F.col("component").alias("c"))
     rows = signed.select("d", "r", "n", "k", F.xxhash64("t").alias("key")).join(c, "k", "left").withColumn("c", F.coalesce("c", "k"))
     lone = rows.where("k is null").select(F.col("d").alias(doc_id), "key", F.col("n").alias("n_shingles"), F.col("d").alias("component_id"), F.lit(True).alias("kept"), F.lit(True).alias("first"))
