@@ -15,6 +15,7 @@ import bisect
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from tidewell.llm import words
 TIERS = (256, 512, 1024, 2048)
 EOT = 1
 BLOCK_TOKENS = 4_000_000
-#: Words whose ids a task remembers, and documents of one text.
-WORD_CACHE = 400_000
+#: Words whose ids a worker remembers, at most twice as many for a while.
+WORD_CACHE = 500_000
 STEP_TOKENS = 1 << 18
 
 _UNSURE = re.compile(r"\s \s|\s\Z")
@@ -55,6 +56,8 @@ class Encoder:
         n = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
         self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # of words that open a text
+        self.before: dict[str, bytes] = {}  # the last full cache; what is used again moves on to the next
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -85,13 +88,26 @@ class Encoder:
         for s in split:
             if s:
                 wanted.update(s[1:])
-        missing = list(wanted.difference(self.known))
+        missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > WORD_CACHE:
-            self.known = {}
-            missing = list(wanted)
-        self.learn(missing)
+            self.before, self.known = self.known, {}
+            missing = wanted
+        again = missing & self.before.keys()
+        self.known.update((c, self.before[c]) for c in again)
+        self.learn(list(missing - again))
         get = self.known.__getitem__
-        return [b"".join([self.whole(s[0]), *map(get, s[1:])]) if s else self.whole(t) for t, s in zip(texts, split, strict=True)]
+        if len(self.first) > WORD_CACHE:
+            self.first = {}
+        for s in split:
+            if s and s[0] not in self.first:
+                self.first[s[0]] = self.whole(s[0])
+        return [b"".join([self.first[s[0]], *map(get, s[1:])]) if s else self.whole(t) for t, s in zip(texts, split, strict=True)]
+
+
+@cache
+def _encoder(vocabulary: str) -> Encoder:
+    """One for all tasks of a worker, so that words are encoded once."""
+    return Encoder(vocabulary)
 
 
 def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, int, int, int, int, int]]:
@@ -159,7 +175,7 @@ def _pack(vocabulary: str, tiers: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         eot = np.array([EOT], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 33
         ids: list = []
