@@ -62,6 +62,12 @@ def parse_label_line(c: Column) -> Column:
     return F.when((F.size(t) >= 5) & cls.isNotNull(), fields)
 
 
+def is_label_line(c: Column) -> Column:
+    """Whether parse_label_line can read the line."""
+    t = F.split(F.trim(c), r"\s+")
+    return (F.size(t) >= 5) & F.get(t, 0).try_cast("int").isNotNull()
+
+
 def clamp_label_line(c: Column) -> Column:
     """The line with the last four tokens above 1 set to 1.0."""
     t = F.split(F.trim(c), r"\s+")
