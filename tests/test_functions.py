@@ -102,3 +102,8 @@ def test_log_line(spark):
     p = one(spark, runs.parse_log_line(F.lit("2025-06-25 05:21:24,544 - INFO [run.py:61] - hello - there")))
     assert (p["level"], p["module"], p["message"]) == ("INFO", "run.py:61", "hello - there")
     assert one(spark, runs.parse_log_line(F.lit("2025-06-25 05:21:24,544 - INFO - x"))) is None
+
+
+def test_packed_paths(spark):
+    assert tuple(one(spark, N.packed_paths("val", F.lit("v.x/frame_1.txt")))) == ("val/v.x/frame_1.txt", "val/v.x/frame_1.jpg")
+    assert one(spark, runs.is_healthy(F.lit("12 BGSub: 3"))) and not one(spark, runs.is_healthy(F.lit("restart")))

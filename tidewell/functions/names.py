@@ -37,17 +37,17 @@ def parse_frame_idx(c: Column) -> Column:
 
 
 def parse_manifest_relpath(c: Column) -> Column:
-    """struct(video_stem, frame_idx, error) of ``<stem>/frame_N.txt``."""
+    """struct(video_stem, frame_idx, error) of ``<stem>/.../frame_N.txt``."""
     p = F.split(F.trim(c), "/")
-    frame = parse_frame_idx(F.get(p, 1))
-    bad = (F.size(p) != 2) | (F.get(p, 0) == "") | frame.isNull()
+    frame = parse_frame_idx(F.element_at(p, -1))
+    bad = F.coalesce((F.size(p) < 2) | (F.get(p, 0) == "") | frame.isNull(), F.lit(True))
     return F.struct(F.when(~bad, F.get(p, 0)).alias("video_stem"), F.when(~bad, frame).alias("frame_idx"), F.when(bad, F.lit("bad manifest line")).alias("error"))
 
 
 def packed_paths(split: str, relpath: Column, ext: str = "jpg") -> Column:
-    """struct(label, image): paths of a packed data set."""
-    label = F.concat(F.lit(f"labels/{split}/"), relpath)
-    return F.struct(label.alias("label"), F.concat(F.lit(f"images/{split}/"), F.regexp_replace(relpath, r"\.txt$", f".{ext}")).alias("image"))
+    """struct(label, image): paths under the split's folder of a packed data set."""
+    label = F.concat(F.lit(f"{split}/"), F.trim(relpath))
+    return F.struct(label.alias("label"), F.regexp_replace(label, r"\.[^./]*$", f".{ext}").alias("image"))
 
 
 def site_of_relpath(c: Column, policy: str = "positional") -> Column:
@@ -71,8 +71,8 @@ def video_key(org: Column, site: Column, device: Column, stem: Column, ext: str
     return F.when(missing, F.lit("")).otherwise(F.concat_ws("/", org, site, device, F.lit("motion_vids"), F.concat(stem, F.lit("." + ext))))
 
 
-def task_key(stem: Column, prefix: str = "labels") -> Column:
-    return F.concat(F.lit(prefix.strip("/") + "/"), stem, F.lit(".json"))
+def task_key(org: Column, site: Column, device: Column, stem: Column) -> Column:
+    return F.concat_ws("/", org, site, device, F.lit("labelstudio_tasks"), F.concat(stem, F.lit(".json")))
 
 
 def sanitize(c: Column) -> Column:

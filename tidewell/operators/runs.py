@@ -8,8 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Messages that a healthy device logs.
-HEALTHY = ("Motion detected", "Starting recording", "Stopping recording", "Saved clip", "FPS:", "Heartbeat")
+# Parts of the messages that a device logs while it works.
+HEALTHY = ("Retrieval time", "BGSub:", "Size of shared frames", "Time elapsed:", "Cont save:", "Writing continuous video to")
 
 
 def parse_log_line(line: Column) -> Column:

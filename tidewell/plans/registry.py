@@ -225,10 +225,10 @@ def parse_stems(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""
 WITH p AS (SELECT s_suppkey, stem, string_split(regexp_extract(stem, '^(.+?)_(\d{8})_(\d{6})_(.+)$', 1), '-') AS q FROM @stems s)
-SELECT s_suppkey, concat(q[1], '/', q[2], '/', array_to_string(q[3:], '-'), '/motion_vids/', stem, '.mp4') AS video_key, concat('labels/', stem, '.json') AS task_key FROM p""")
+SELECT s_suppkey, concat(q[1], '/', q[2], '/', array_to_string(q[3:], '-'), '/motion_vids/', stem, '.mp4') AS video_key, concat(q[1], '/', q[2], '/', array_to_string(q[3:], '-'), '/labelstudio_tasks/', stem, '.json') AS task_key FROM p""")
 def storage_keys(spark: SparkSession, d: str) -> DataFrame:
     p = N.parse_stem(F.col("stem"))
-    return view(spark, d, "stems").select("s_suppkey", N.video_key(p["org"], p["site"], p["device"], F.col("stem")).alias("video_key"), N.task_key(F.col("stem")).alias("task_key"))
+    return view(spark, d, "stems").select("s_suppkey", N.video_key(p["org"], p["site"], p["device"], F.col("stem")).alias("video_key"), N.task_key(p["org"], p["site"], p["device"], F.col("stem")).alias("task_key"))
 
 
 @query("""
