@@ -166,3 +166,31 @@ def test_tasks(spark):
     labels = spark.createDataFrame([("v", 1, "x"), ("w", 1, "x")], "stem string, frame int, label_text string")
     plan = tasks.pack_plan(r, meta, labels, "stem", "frame")
     assert rows(plan, "stem", "frame", "error") == [("v", 1, "label missing"), ("v", 2, "label missing"), ("w", 1, "metadata missing")]
+
+
+def test_mark_and_ids(spark):
+    o = spark.createDataFrame([(0, 0, "interested_objects"), (0, 1, "noises"), (1, 0, "noises")], "frame int, pos int, kind string")
+    e = spark.createDataFrame([(0, 0, "delete", 0), (0, 0, "noise", 1), (1, 0, "delete", 2)], "frame int, pos int, action string, edit_pos int")
+    assert rows(sampling.mark_boxes(o, e, "frame", "pos"), "frame", "pos", "kind") == [(0, 0, "noises"), (0, 1, "noises")]
+    r = spark.createDataFrame([("c", 1, 0), ("c", 1, 1), ("c", 4, 0), ("c", 4, 1)], "clip string, track int, run int")
+    assert rows(tracks.unique_instance_ids(r, "clip", "track", "run"), "track", "run", "instance_id") == [(1, 0, 1), (1, 1, 5), (4, 0, 4), (4, 1, 6)]
+
+
+def test_keyframe_labels(spark):
+    seq = "array<struct<frame: double, x: double, y: double, width: double, height: double, enabled: boolean>>"
+    t = spark.createDataFrame([(1, "v", [([(2.0, 10.0, 20.0, 40.0, 20.0, True)], ["a"]), ([(2.0, 1.0, 1.0, 1.0, 1.0, True)], ["odd"])]), (2, "w", None)], f"id long, video string, box array<struct<sequence: {seq}, labels: array<string>>>")
+    assert rows(tracks.keyframe_labels(t, {"a": 7}, 100, 100), "video", "frame", "class_id", "xc", "yc") == [("v", 2, 7, pytest.approx(0.3), pytest.approx(0.3))]
+
+
+def test_reviewed_counts(spark):
+    t = spark.createDataFrame([("a", {"counts_l_x": "3"}, [([1],)]), ("b", {"counts_r_x": "2"}, [([],)]), ("c", {}, None)], "k string, data map<string,string>, annotations array<struct<result: array<int>>>")
+    assert rows(counts.reviewed_counts(t, "k", "data", ["x"]), "k", "direction", "n") == [("a", "l", 3), ("a", "r", 0)]
+
+
+def test_stratified_sequences(spark):
+    c = spark.createDataFrame([(f"s{i}", "x", 10) for i in range(40)] + [(f"s{i}", "y", 1) for i in range(6)], "seq string, label string, n int")
+    got = dict(rows(balance.stratified_sequences(c, "seq", "label", "n"), "seq", "split"))
+    assert len(got) == 40
+    for name in ("train", "val", "test"):
+        own = [s for s, x in got.items() if x == name]
+        assert any(int(s[1:]) < 6 for s in own) and (name == "train" or len(own) == 6)

@@ -131,3 +131,40 @@ def split_by_counts(counts: DataFrame, clip: str, cls: str, n: str, val: float =
 
     table = per.select(F.col(clip).cast("string").alias("clip"), F.col(cls).cast("string").alias("c"), "n", "tie")
     return table.withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "clip string, split string").withColumnRenamed("clip", clip)
+
+
+def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, val: float = 0.15, test: float = 0.15, seed: int = 0) -> DataFrame:
+    """(sequence, split): sequences in hash order fill test and val up to their share of every label's total, once each set
+    has a sequence of every label; the rest is train. One row per sequence and label is all the step sees."""
+    per = counts.groupBy(sequence, label).agg(F.sum(n).alias("n")).where("n > 0")
+    table = per.select(F.col(sequence).cast("string").alias("s"), F.col(label).cast("string").alias("l"), "n", hash_order(seed, F.col(sequence)).alias("tie"))
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        totals = pdf.groupby("l")["n"].sum().to_dict()
+        order = pdf[["s", "tie"]].drop_duplicates().sort_values(["tie", "s"])["s"].tolist()
+        own = {s: dict(zip(g["l"], g["n"], strict=True)) for s, g in pdf.groupby("s")}
+        split, have = {}, {"test": {}, "val": {}}
+
+        def put(s: str, name: str) -> None:
+            split[s] = name
+            for k, v in own[s].items():
+                have[name][k] = have[name].get(k, 0) + v
+
+        for k in sorted(totals, key=lambda x: (totals[x], x)):  # every label in every set, rare ones first
+            holders = [s for s in order if k in own[s]]
+            for name in ("test", "val"):
+                free = [s for s in holders if s not in split]
+                if k not in have[name] and len(free) > 1:
+                    put(free[0], name)
+        for s in order:
+            if s in split:
+                continue
+            fits = (name for name, share in (("test", test), ("val", val)) if all(have[name].get(k, 0) + v <= share * totals[k] for k, v in own[s].items()))
+            name = next(fits, None)
+            if name:
+                put(s, name)
+            else:
+                split[s] = "train"
+        return pd.DataFrame(sorted(split.items()), columns=["s", "split"])
+
+    return table.withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "s string, split string").withColumnRenamed("s", sequence)

@@ -101,3 +101,16 @@ def sum_distributions(df: DataFrame, column: str) -> DataFrame:
 def tracks_per_class(tracks: DataFrame, cls: str, track: Sequence[str], classes: DataFrame) -> DataFrame:
     n = tracks.groupBy(cls).agg(F.countDistinct(*track).alias("n"))
     return classes.select(cls).join(n, cls, "left").select(cls, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def reviewed_counts(tasks: DataFrame, key: str, data: str, species: Sequence[str], annotations: str = "annotations") -> DataFrame:
+    """(key, direction, species, n) from the fields counts_l_<species> and counts_r_<species> of a task's data, 0 where one is
+    missing. Tasks without annotations, or with an empty first result, are left out."""
+    first = F.get(annotations, 0)["result"]
+    used = tasks.where(F.coalesce(F.size(first) > 0, F.lit(False)))
+    cells = [F.struct(F.lit(d).alias("direction"), F.lit(s).alias("species"), F.coalesce(F.try_element_at(data, F.lit(f"counts_{d}_{s}")).try_cast("long"), F.lit(0)).alias("n")) for s in species for d in ("l", "r")]
+    return used.select(key, F.explode(F.array(*cells)).alias("c")).select(key, "c.*")
+
+
+def seq_species_counts(boxes: DataFrame, sequence: str, label: str) -> DataFrame:
+    return boxes.groupBy(sequence, label).agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import hash_order
+from tidewell.session import materialize
 
 
 def sample_per_group(rows: DataFrame, group: Sequence[str], key: Sequence[str], k: int, seed: int = 0) -> DataFrame:
@@ -63,14 +64,13 @@ def random_split(rows: DataFrame, key: str, shares: Sequence[tuple[str, float]]
     """rows with ``split``: keys in hash order are cut at whole numbers of the cumulative shares."""
     keys = rows.select(key).distinct()
     total = keys.count()
-    place = keys.withColumn("__r", F.row_number().over(Window.orderBy(hash_order(seed, F.col(key)), key)))
-    out, at, split = F.lit(None).cast("string"), 0.0, None
+    place = with_rank(keys.withColumn("__h", hash_order(seed, F.col(key))), ["__h", key], "__r")
+    at, split = 0.0, None
     for name, share in shares:
         at += share
         to = int(round(total * at, 6))
         split = F.when(F.col("__r") <= to, name) if split is None else split.when(F.col("__r") <= to, name)
-    out = split.otherwise(shares[-1][0])
-    return rows.join(place.select(key, out.alias("split")), key)
+    return rows.join(place.select(key, split.otherwise(shares[-1][0]).alias("split")), key)
 
 
 def site_manifests(manifest: DataFrame, split: str, site: str, sites: dict[str, Sequence]) -> DataFrame:
@@ -87,21 +87,37 @@ def eval_manifest(manifest: DataFrame, split: str, site: str, path: str, sites:
     return rows.select(site, F.concat(F.lit(root.rstrip("/") + "/"), F.col(path)).alias("path"))
 
 
+def mark_boxes(objects: DataFrame, edits: DataFrame, frame: str, position: str) -> DataFrame:
+    """objects after edits (frame, position, action): ``noise`` and ``object`` change a box's kind, ``delete`` removes it.
+
+    Of several edits of one box the last by ``edit_pos`` holds.
+    """
+    rank = F.row_number().over(Window.partitionBy(frame, position).orderBy(F.desc("edit_pos")))
+    last = edits.withColumn("__r", rank).where("__r = 1").select(frame, position, "action")
+    kind = F.when(F.col("action") == "noise", "noises").when(F.col("action") == "object", "interested_objects").otherwise(F.col("kind"))
+    return objects.join(last, [frame, position], "left").where("coalesce(action, '') <> 'delete'").withColumn("kind", kind).drop("action")
+
+
 def empties_per_sequence(items: Column, sequences: Column) -> Column:
     """How many empty frames to draw from each sequence: a nineteenth of the items, shared out, and one."""
     return (F.floor(F.floor(items / 19) / sequences) + 1).cast("long")
 
 
-def shard(rows: DataFrame, order: Sequence[str], size: int, prefix: str = "shard") -> DataFrame:
-    """rows with shard names ``prefix-%06d`` of ``size`` members in order.
+def with_rank(rows: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """rows with their place (from 1) in a total order.
 
-    Places are running counts: per partition of the order's range first, then the partitions before are added, so no task
-    sees all rows.
+    Rows are dealt by ranges of the order and counted within each, then the counts of the ranges before are added, so no
+    task sees all rows. The dealt rows are written once, as ranges are drawn from a sample and may differ when drawn again.
     """
-    part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    part = materialize(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
     counts = part.groupBy("__part").count()
     before = F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    placed = part.withColumn("__r", within).join(counts.select("__part", before.alias("__before")), "__part")
-    number = F.floor((F.col("__before") + F.col("__r") - 1) / size)
-    return placed.withColumn("shard", F.format_string(prefix + "-%06d", number)).drop("__part", "__r", "__before")
+    placed = part.withColumn("__within", within).join(counts.select("__part", before.alias("__before")), "__part")
+    return placed.withColumn(name, F.col("__before") + F.col("__within")).drop("__part", "__within", "__before")
+
+
+def shard(rows: DataFrame, order: Sequence[str], size: int, prefix: str = "shard") -> DataFrame:
+    """rows with shard names ``prefix-%06d`` of ``size`` members in order."""
+    ranked = with_rank(rows, order, "__n")
+    return ranked.withColumn("shard", F.format_string(prefix + "-%06d", F.floor((F.col("__n") - 1) / size))).drop("__n")

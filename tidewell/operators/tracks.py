@@ -181,3 +181,27 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float = 0.5
     return out.select("cls", "n_truth", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.coalesce(F.col("s") / F.col("n_truth"), F.lit(0.0)).alias("ap"))
 
 
+
+
+def unique_instance_ids(runs: DataFrame, clip: str, track: str, run: str, out: str = "instance_id") -> DataFrame:
+    """Runs of tracks with an id that is unique within the clip: the first run keeps its track's id, later ones follow the
+    clip's largest track id in the order of track and run."""
+    again = F.col(run) > 0
+    w = Window.partitionBy(clip)
+    later = F.row_number().over(w.orderBy(F.when(again, F.lit(0)).otherwise(F.lit(1)), track, run))
+    return runs.withColumn(out, F.when(again, F.max(track).over(w) + later).otherwise(F.col(track)))
+
+
+def keyframe_labels(tasks: DataFrame, classes: dict[str, int], width: int, height: int) -> DataFrame:
+    """(id, video, frame, class_id, xc, yc, w, h, conf) of flat tasks' keyframes, not interpolated; unknown labels are left out."""
+    from tidewell.functions.boxes import with_class_id
+
+    boxes = tasks.select("id", "video", F.explode("box").alias("b")).select("id", "video", F.get("b.labels", 0).alias("label"), F.explode("b.sequence").alias("k"))
+    known = with_class_id(boxes, classes)
+    over = lambda c, size: (F.col(f"k.{c}") / size)
+    centre = [(over("x", width) + over("width", width) / 2).alias("xc"), (over("y", height) + over("height", height) / 2).alias("yc"), over("width", width).alias("w"), over("height", height).alias("h")]
+    return known.select("id", "video", F.col("k.frame").cast("int").alias("frame"), "class_id", *centre, F.lit(1.0).alias("conf"))
+
+
+def frames_per_label(boxes: DataFrame, label: str, frame_key: Sequence[str]) -> DataFrame:
+    return boxes.groupBy(label).agg(F.countDistinct(*frame_key).alias("n_frames"))
