@@ -175,7 +175,9 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float = 0.5
     n = t.groupBy("cls").agg(F.count("*").alias("n_truth"))
     w = Window.partitionBy("cls").orderBy(F.desc("conf"), "image", "pos").rowsBetween(Window.unboundedPreceding, 0)
     curve = hits.withColumns({"tp": F.sum(F.col("hit").cast("long")).over(w), "k": F.count("*").over(w)}).withColumn("precision", F.col("tp") / F.col("k"))
-    best = F.max("precision").over(Window.partitionBy("cls").orderBy(F.desc("conf"), "image", "pos").rowsBetween(0, Window.unboundedFollowing))
+    # the best precision from each place on, counted from the end, as Spark makes running frames in one pass
+    back = Window.partitionBy("cls").orderBy(F.asc("conf"), F.desc("image"), F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
+    best = F.max("precision").over(back)
     area = curve.withColumn("best", best).groupBy("cls").agg(F.count("*").alias("n_pred"), F.sum(F.when(F.col("hit"), F.col("best"))).alias("s"))
     out = n.join(area, "cls", "left")
     return out.select("cls", "n_truth", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.coalesce(F.col("s") / F.col("n_truth"), F.lit(0.0)).alias("ap"))
