@@ -19,7 +19,7 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that recur on many sites."""
-    out = line_dedup.remove_boilerplate(docs)
+    out = line_dedup.remove_boilerplate(docs, proven=True)
     n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return out.withColumn("n_chars", n_chars).select(*COLUMNS)
 

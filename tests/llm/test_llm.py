@@ -271,6 +271,19 @@ def test_lines(spark, odd):
     assert line_dedup.remove_boilerplate(odd).count() == len(ODD) and line_dedup.remove_boilerplate(df.limit(0)).count() == 0
 
 
+def test_lines_of_mostly_boilerplate(spark):
+    # 12 pages with a site line; two pages of little else; one document copied to 12 sites, and near copies of it on 12
+    data = [(i, f"own words of page {i}\nsite line\nmore of its own {i}", f"s{i}") for i in range(12)]
+    data += [(50, "site line\nown\nsite line", "s1"), (51, "site line", "s2"), (52, "site line", "s3")]
+    data += [(100 + i, "a copied document\nand its end\nsite line", f"s{i}") for i in range(12)]
+    data += [(200 + i, f"a near copy\nof many lines\n{i}", f"s{i}") for i in range(12)]
+    df = spark.createDataFrame([(*r, "en", len(r[1])) for r in data], "doc_id long, text string, source string, lang string, n_chars long").repartition(4)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.lines(spark, df, "").collect()}
+    assert got[3][0] == "own words of page 3\nmore of its own 3"
+    assert got[50] == ("own", 3) and got[51] == got[52] == ("", 0)
+    assert got[105][0] == "a copied document\nand its end" and got[205][0] == "a near copy\nof many lines\n5"
+
+
 def test_substrings(spark, odd, sf):
     assert rows(substring_dedup.dedup(odd, digest=True)) == sorted(substring_dedup.brute_force(ODD), key=repr)
     assert substring_dedup.dedup(odd.limit(0)).count() == 0

@@ -43,21 +43,39 @@ def boilerplate_lines(docs: DataFrame, text: str = "text", site: str = "source",
     return sure.unionByName(exact)
 
 
-def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE) -> DataFrame:
+def _proven(lines: DataFrame, boiler: DataFrame, min_sites: int, max_share: float) -> DataFrame:
+    """Positions to remove from each text (t1, t2) and their characters, which are 0 where no share is to be heeded."""
+    hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), "size", *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
+    once = hit.groupBy("t1", "t2", "pos").agg(*[F.max(c).alias(c) for c in ("n", "size", "h1", "h2")])
+    found = once.groupBy("t1", "t2").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("at"), F.sum("n").alias("n"), F.max("size").alias("size"))
+    found = materialize(found, "boilerplate-positions")
+    light = F.col("n") <= max_share * F.col("size")
+    spread = found.where(light).select(F.explode(F.array_distinct(F.transform("at", lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))).alias("k"))
+    known = spread.groupBy("k.h1", "k.h2").count().where(F.col("count") >= min_sites).select("h1", "h2")
+    heavy = found.where(~light).select("t1", "t2", F.explode("at").alias("x")).select("t1", "t2", "x.*").join(known, ["h1", "h2"], "left_semi")
+    some = found.where(light).select("t1", "t2", F.transform("at", lambda x: x["pos"]).alias("__gone"))
+    return some.unionByName(heavy.groupBy("t1", "t2").agg(F.collect_set("pos").alias("__gone"))).withColumn("__gone_chars", F.lit(0).cast("long"))
+
+
+def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, proven: bool = False) -> DataFrame:
     """docs with ``text`` less its boilerplate lines, and ``n_lines``, ``n_removed_lines``.
 
     All rows and other columns stay (columns named n_lines or n_removed_lines are replaced). A text of which
     boilerplate would take more than max_share of the characters is a copy of a whole document rather than a page with
-    boilerplate on it: it stays as it is, for document-level deduplication to judge. A null text stays null with 0
+    boilerplate on it: it stays as it is, for document-level deduplication to judge. proven: such a text is not taken for a
+    copy as a whole; it loses those boilerplate lines that are also on min_sites distinct texts of which boilerplate takes
+    at most max_share, and keeps the rest, which recur in copies only. A null text stays null with 0
     lines; an empty text has one empty line. Repeated rows are treated alike, for a text's lines depend on the text
     alone; every row adds its site. An empty table gives no rows.
     """
     base = docs.drop("n_lines", "n_removed_lines")
     texts = base.select(F.xxhash64(text).alias("t1"), F.hash(F.col(text), F.length(text)).alias("t2"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    lines = texts.select("t1", "t2", F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
+    lines = texts.select("t1", "t2", F.length("t").alias("size"), F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
     boiler = materialize(boilerplate_lines(docs, text, site, min_sites), "boilerplate")
     hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
     gone = hit.groupBy("t1", "t2", "pos").agg(F.max("n").alias("n")).groupBy("t1", "t2").agg(F.collect_set("pos").alias("__gone"), F.sum("n").alias("__gone_chars"))
+    if proven:
+        gone = _proven(lines, boiler, min_sites, max_share)
     marked = base.withColumns({"__t1": F.xxhash64(text), "__t2": F.hash(F.col(text), F.length(text))})
     both = marked.join(gone.withColumnsRenamed({"t1": "__t1", "t2": "__t2"}), ["__t1", "__t2"], "left")
     take = F.col(text).isNotNull() & F.col("__gone").isNotNull() & (F.col("__gone_chars") <= max_share * F.length(text))
