@@ -261,6 +261,17 @@ def test_license(spark, odd):
         assert len(license_scan.align(a, a)) == len(a)
 
 
+def test_license_twice(spark):
+    mit, gpl = license_scan.TEMPLATES["MIT-text"], license_scan.TEMPLATES["GPL-3.0-header"]
+    prose = "the use of this and the copies of the software"
+    texts = ["All rights reserved. All rights reserved.", f"{prose} {mit} {mit} {prose}", f"{prose} {gpl} {prose} {gpl} {prose}", "All rights reserved. " * 7]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(m["license"], m["start"], m["end"], m["coverage"]) for m in r["licenses"]] for r in license_scan.scan(docs).collect()}
+    assert got[0] == [("proprietary", 0, 3, 1.0), ("proprietary", 3, 6, 1.0)] and len(got[3]) == 7
+    for d, name in ((1, "MIT-text"), (2, "GPL-3.0-header")):
+        assert [(m[0], m[3]) for m in got[d]] == [(name, 1.0)] * 2 and got[d][0][2] <= got[d][1][1]
+
+
 def test_lines(spark, odd):
     data = [(i, f"own {i}\nshared line\nmore of it {i}", f"s{i}") for i in range(12)] + [(50, "shared line", "s1"), (51, None, "s2"), (52, "", None), (53, "twice\nshared line\nshared line\nplenty of other words here", "s3")]
     df = spark.createDataFrame([(*r, 9) for r in data], "doc_id long, text string, source string, n_lines int").repartition(4)

@@ -3,7 +3,8 @@
 A text's words are looked up in the vocabulary of all templates; only stretches that are dense in the words of a template
 are aligned with it. Alignment anchors on words that occur once in the stretch and once in the template, keeps the longest
 increasing subsequence of the anchors, and goes on the same way in the gaps between them, where other words have become
-unique; a gap without such words is aligned by longest common subsequence if it is short. The share of the template's words
+unique; a gap without such words is aligned by longest common subsequence. A stretch with the words of a template twice is
+cut after its first statement, and what is left on both sides of a match is searched again. The share of the template's words
 that found a partner is its coverage.
 """
 
@@ -23,7 +24,6 @@ from tidewell.llm import words
 MIN_COVERAGE = 0.8
 STRETCH = 1.5
 SLACK = 8
-SHORT_GAP = 48
 
 # License statements, as they are commonly given.
 TEMPLATES = {
@@ -85,24 +85,31 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _common(a: list, b: list) -> list[tuple[int, int]]:
-    """A longest common subsequence of two short lists, as index pairs."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+def _ends(a: list, b: list) -> list[int]:
+    """For each n up to len(a), the longest common subsequence of a[:n] and b."""
+    row, out = [0] * (len(b) + 1), [0]
+    for x in a:
+        corner = 0
+        for j, y in enumerate(b, 1):
+            up = row[j]
+            row[j] = corner + 1 if x == y else max(up, row[j - 1])
+            corner = up
+        out.append(row[-1])
     return out
 
 
+def _common(a: list, b: list) -> list[tuple[int, int]]:
+    """A longest common subsequence of two lists, as index pairs; halves a, in linear memory."""
+    if not a or not b:
+        return []
+    if len(a) == 1:
+        return [(0, b.index(a[0]))] if a[0] in b else []
+    half = len(a) // 2
+    left, right = _ends(b, a[:half]), _ends(b[::-1], a[half:][::-1])
+    cut = max(range(len(b) + 1), key=lambda j: left[j] + right[len(b) - j])
+    return _common(a[:half], b[:cut]) + [(half + i, cut + j) for i, j in _common(a[half:], b[cut:])]
+
+
 def align(a: list, b: list) -> list[tuple[int, int]]:
     """Pairs (i, j), increasing in both, of equal items a[i] == b[j]."""
     found: list[tuple[int, int]] = []
@@ -121,8 +128,7 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
         at = {b[j]: j for j in range(j0, j1) if nb[b[j]] == 1}
         anchors = _increasing([(i, at[a[i]]) for i in range(i0, i1) if na[a[i]] == 1 and a[i] in at])
         if not anchors:
-            if min(i1 - i0, j1 - j0) and (i1 - i0) * (j1 - j0) <= SHORT_GAP * SHORT_GAP:
-                found += [(i0 + i, j0 + j) for i, j in _common(a[i0:i1], b[j0:j1])]
+            found += [(i0 + i, j0 + j) for i, j in _common(a[i0:i1], b[j0:j1])]
             continue
         found += anchors
         for (i, j), (k, m) in zip([(i0 - 1, j0 - 1), *anchors], [*anchors, (i1, j1)], strict=True):
@@ -152,6 +158,34 @@ def _stretches(at: np.ndarray, term: np.ndarray, distinct: int, length: int, sha
     return out
 
 
+def _first_end(a: list, b: list, least: float) -> int:
+    """Where the first statement of b in a ends: after so many common words, as long as most further words add one."""
+    ends = _ends(a, b)
+    first = next((n for n, x in enumerate(ends) if x >= least), len(a))
+    return max(range(first, len(a) + 1), key=lambda n: (2 * ends[n] - n, -n))
+
+
+def matches(a: list, b: list, share: float) -> list[list[tuple[int, int]]]:
+    """Alignments of b with parts of a that don't overlap, each with at least this share of b."""
+    out, todo, need = [], [(0, len(a))], Counter(b)
+    while todo:
+        lo, hi = todo.pop()
+        has = Counter(a[lo:hi])
+        if sum(min(n, has[x]) for x, n in need.items()) < share * len(b):
+            continue
+        i, j = lo, hi
+        if sum(min(2 * n, has[x]) for x, n in need.items()) >= 2 * share * len(b):
+            j = lo + _first_end(a[lo:hi], b, share * len(b))
+            i = j - _first_end(a[lo:j][::-1], b[::-1], share * len(b))
+        pairs = [(i + x, y) for x, y in align(a[i:j], b)]
+        if len(pairs) < share * len(b) and (i, j) != (lo, hi):
+            pairs = [(i + x, y) for x, y in _common(a[i:j], b)]
+        if len(pairs) >= share * len(b):
+            out.append(pairs)
+            todo += [(lo, pairs[0][0]), (pairs[-1][0] + 1, hi)]
+    return out
+
+
 MATCHES = "array<struct<license: string, start: bigint, end: bigint, coverage: double>>"
 
 
@@ -179,8 +213,7 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None =
                 continue
             at = at_all[np.isin(term[at_all], ids)]
             for lo, hi in _stretches(at, term[at], len(need), len(ids), min_coverage):
-                pairs = align(term[lo:hi].tolist(), ids.tolist())
-                if len(pairs) >= min_coverage * len(ids):
+                for pairs in matches(term[lo:hi].tolist(), ids.tolist(), min_coverage):
                     found.append((-len(pairs), k, lo + pairs[0][0], lo + pairs[-1][0] + 1, len(pairs) / len(ids)))
         kept: list[dict] = []
         for _, k, lo, hi, share in sorted(found):
