@@ -205,6 +205,13 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ['div class="content-sidebar-wrap"', 'div class="page has-sidebar"', 'div class="layout no-comments"', 'section id="social-policy"', 'div class="post related-topic"', 'div class="sidebar"', "form"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_html_wrappers(wrap, inner):
+    page = f"<{wrap}><nav>no</nav><div class=ad>no</div>{inner.format('<h1>T</h1><p>own</p>')}</{wrap.split()[0]}><div class=comments><article class=comment><p>no</p></article></div>"
+    assert [t for _, t in html_text.parse(page)[1]] == ["T", "own"]
+
+
 def test_jpeg():
     r = random.Random(0)
     data = [bytes(64), r.randbytes(64), r.randbytes(6400), b"some text. " * 640, bytes(64 * 50), bytes([104]) * 640, bytes(r.choice([103, 104, 105, 104]) for _ in range(64 * 77))]

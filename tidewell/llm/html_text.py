@@ -1,7 +1,7 @@
 """Main text of web pages, less the templates of their sites.
 
 Each page is parsed once. Elements that are never part of an article (menus, forms, scripts, reader comments and the like)
-are left out by tag, or by the words of their class, id and role. Every other container element is known by a hash of its
+are left out by tag, or by their class, id and role, unless they wrap an article, main or h1 with paragraphs. Every other container element is known by a hash of its
 subtree. Spark counts for each host on how many different pages a subtree occurs; subtrees that recur on many are the
 site's template and are deleted. Only pages with such containers in their main part take part in that join.
 """
@@ -43,12 +43,31 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>|<[!?][^>]*+(?:>|\Z)|<[a-zA-Z/][^<>]*+\Z",
     re.S,
 )
+#: Elements that may wrap a page's main text, whatever their names.
+WRAPPERS = frozenset("div section form table center fieldset span".split())
+_MAIN = re.compile(r"<(?:article|main|h1)\b", re.I)
+_PARAGRAPH = re.compile(r"<p\b", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
 
 
 def _names(attributes: str) -> set[str]:
-    return {t for m in _NAMES.finditer(attributes) for t in re.split(r"[\s_\-:]+", (m[1] or m[2] or m[3] or "").lower())}
+    return {t for m in _NAMES.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()}
+
+
+def _wraps(page: str, tag: str, at: int) -> bool:
+    """Whether the element opened before ``at`` holds an article, main or h1, and a paragraph after it, outside comments."""
+    depth, end = 1, len(page)
+    for m in re.compile(rf"<(/?){tag}\b", re.I).finditer(page, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            end = m.start()
+            break
+    for m in _MAIN.finditer(page, at, end):
+        shut = page.find(">", m.end(), end)
+        if shut >= 0 and not _names(page[m.end() : shut]) & {"comment", "comments"} and _PARAGRAPH.search(page, shut, end):
+            return True
+    return False
 
 
 def parse(page: str) -> tuple[int, list[tuple[list[int], str]], list[int]]:
@@ -131,10 +150,14 @@ def parse(page: str) -> tuple[int, list[tuple[list[int], str]], list[int]]:
         if tag in VOID:
             continue
         left = tag in NEVER or (tag == "header" and not articles)
+        if tag == "form" and not out and _wraps(page, tag, at):
+            left = False
         kind = 0
         if not left and attributes:
             names = _names(attributes)
             left = bool(names & NEVER_NAMED) and tag not in ("html", "body", "article", "main") or (not articles and bool(names & HEADERS_NAMED) and tag not in ("html", "body"))
+            if left and not out and tag in WRAPPERS and _wraps(page, tag, at):
+                left = False
             if tag == "article" and names & {"comment", "comments"}:
                 left = True
             if "main" in names and "role" in attributes.lower():
