@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidewell.session import materialize
 
 MIN_SITES = 10
-MAX_SHARE = 0.5
 LOG_K = 12
 MARGIN = 0.15
 
@@ -43,52 +42,55 @@ def boilerplate_lines(docs: DataFrame, text: str = "text", site: str = "source",
     return sure.unionByName(exact)
 
 
-def _proven(lines: DataFrame, boiler: DataFrame, min_sites: int, max_share: float) -> DataFrame:
-    """Positions to remove from each text (t1, t2) and their characters, which are 0 where no share is to be heeded."""
-    hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), "size", *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
-    once = hit.groupBy("t1", "t2", "pos").agg(*[F.max(c).alias(c) for c in ("n", "size", "h1", "h2")])
+def _positions(lines: DataFrame, boiler: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Boilerplate lines of each distinct text: (t1, t2, pos) and more columns, once each."""
+    hit = lines.select("t1", "t2", "pos", *more, *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
+    return hit.groupBy("t1", "t2", "pos").agg(*[F.max(c).alias(c) for c in (*more, "h1", "h2")])
+
+
+def _proven(lines: DataFrame, boiler: DataFrame, min_sites: int, copy_share: float) -> DataFrame:
+    """(t1, t2, gone): positions to remove from each text, for texts that may be copies of whole documents.
+
+    Texts of which boilerplate takes at most copy_share prove its lines; the others lose only lines proven on min_sites
+    of those.
+    """
+    once = _positions(lines.select("*", F.length("line").alias("n")), boiler, ("n", "size"))
     found = once.groupBy("t1", "t2").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("at"), F.sum("n").alias("n"), F.max("size").alias("size"))
     found = materialize(found, "boilerplate-positions")
-    light = F.col("n") <= max_share * F.col("size")
+    light = F.col("n") <= copy_share * F.col("size")
     spread = found.where(light).select(F.explode(F.array_distinct(F.transform("at", lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))).alias("k"))
     known = spread.groupBy("k.h1", "k.h2").count().where(F.col("count") >= min_sites).select("h1", "h2")
     heavy = found.where(~light).select("t1", "t2", F.explode("at").alias("x")).select("t1", "t2", "x.*").join(known, ["h1", "h2"], "left_semi")
-    some = found.where(light).select("t1", "t2", F.transform("at", lambda x: x["pos"]).alias("__gone"))
-    return some.unionByName(heavy.groupBy("t1", "t2").agg(F.collect_set("pos").alias("__gone"))).withColumn("__gone_chars", F.lit(0).cast("long"))
+    some = found.where(light).select("t1", "t2", F.transform("at", lambda x: x["pos"]).alias("gone"))
+    return some.unionByName(heavy.groupBy("t1", "t2").agg(F.collect_list("pos").alias("gone")))
 
 
-def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, proven: bool = False) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, copy_share: float | None = None) -> DataFrame:
     """docs with ``text`` less its boilerplate lines, and ``n_lines``, ``n_removed_lines``.
 
-    All rows and other columns stay (columns named n_lines or n_removed_lines are replaced). A text of which
-    boilerplate would take more than max_share of the characters is a copy of a whole document rather than a page with
-    boilerplate on it: it stays as it is, for document-level deduplication to judge. proven: such a text is not taken for a
-    copy as a whole; it loses those boilerplate lines that are also on min_sites distinct texts of which boilerplate takes
-    at most max_share, and keeps the rest, which recur in copies only. A null text stays null with 0
-    lines; an empty text has one empty line. Repeated rows are treated alike, for a text's lines depend on the text
-    alone; every row adds its site. An empty table gives no rows.
+    All rows and other columns stay (columns named n_lines or n_removed_lines are replaced; other names can't clash). A
+    text of boilerplate alone becomes empty. copy_share (off by default): a text of which boilerplate takes more than this
+    share of the characters may be a copy of a whole document; it loses only those of its boilerplate lines that are also
+    on min_sites distinct texts below that share, and is left to document-level deduplication otherwise. A null text stays
+    null with 0 lines; an empty text has one empty line. Repeated rows are treated alike, for a text's lines depend on the
+    text alone; every row adds its site. An empty table gives no rows.
     """
     base = docs.drop("n_lines", "n_removed_lines")
-    texts = base.select(F.xxhash64(text).alias("t1"), F.hash(F.col(text), F.length(text)).alias("t2"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+    body = F.col(text)
+    packed = base.select(F.struct(*[F.col(c) for c in base.columns]).alias("row"), body.alias("t"), F.xxhash64(body).alias("t1"), F.hash(body, F.length(body)).alias("t2"))
+    texts = packed.select("t1", "t2", "t").where(F.col("t").isNotNull())
     lines = texts.select("t1", "t2", F.length("t").alias("size"), F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
     boiler = materialize(boilerplate_lines(docs, text, site, min_sites), "boilerplate")
-    hit = lines.select("t1", "t2", "pos", F.length("line").alias("n"), *_key(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi")
-    gone = hit.groupBy("t1", "t2", "pos").agg(F.max("n").alias("n")).groupBy("t1", "t2").agg(F.collect_set("pos").alias("__gone"), F.sum("n").alias("__gone_chars"))
-    if proven:
-        gone = _proven(lines, boiler, min_sites, max_share)
-    marked = base.withColumns({"__t1": F.xxhash64(text), "__t2": F.hash(F.col(text), F.length(text))})
-    both = marked.join(gone.withColumnsRenamed({"t1": "__t1", "t2": "__t2"}), ["__t1", "__t2"], "left")
-    take = F.col(text).isNotNull() & F.col("__gone").isNotNull() & (F.col("__gone_chars") <= max_share * F.length(text))
-    split = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(split, lambda line, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    both = both.withColumns(
-        {
-            "n_lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(split)).cast("long"),
-            "n_removed_lines": F.when(take, F.size("__gone")).otherwise(F.lit(0)).cast("long"),
-            text: F.when(take, kept).otherwise(F.col(text)),
-        }
-    )
-    return both.select(*[c for c in base.columns], "n_lines", "n_removed_lines")
+    if copy_share is None:
+        gone = _positions(lines, boiler).groupBy("t1", "t2").agg(F.collect_list("pos").alias("gone"))
+    else:
+        gone = _proven(lines, boiler, min_sites, copy_share)
+    both = packed.drop("t").join(gone, ["t1", "t2"], "left").select("row", "gone", F.split(F.col("row")[text], "\n", -1).alias("parts"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone"), lambda i: F.get("parts", i))
+    whole = F.col("row")[text]
+    columns = [(F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(kept, "\n")) if c == text else F.col("row")[c]).alias(c) for c in base.columns]
+    counts = [F.when(whole.isNull(), F.lit(0)).otherwise(F.size("parts")), F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))]
+    return both.select(*columns, *[c.cast("long").alias(n) for c, n in zip(counts, ("n_lines", "n_removed_lines"), strict=True)])
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -107,15 +109,10 @@ lines AS (
 ), marked AS (
   SELECT l.r, l.pos, l.line, b.line IS NOT NULL AS hit FROM lines l LEFT JOIN boiler b ON l.line = b.line
 ), per AS (
-  SELECT r, count(*) AS n, count(*) FILTER (hit) AS k, coalesce(sum(length(line)) FILTER (hit), 0) AS chars,
-         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS kept FROM marked GROUP BY r
+  SELECT r, count(*) AS n, count(*) FILTER (hit) AS k, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS kept FROM marked GROUP BY r
 ), done AS (
-  SELECT d.doc_id, coalesce(per.n, 0) AS n_lines,
-         per.k > 0 AND per.chars <= {MAX_SHARE} * length(d.text) AS take, per.k, per.kept, coalesce(d.text, '') AS text
+  SELECT d.doc_id, coalesce(per.n, 0) AS n_lines, coalesce(per.k, 0) AS n_removed_lines, coalesce(per.kept, '') AS kept
   FROM d LEFT JOIN per ON d.r = per.r
 )
-SELECT doc_id, n_lines, CASE WHEN take THEN k ELSE 0 END AS n_removed_lines,
-       length(CASE WHEN take THEN coalesce(kept, '') ELSE text END) AS kept_chars,
-       sha256(CASE WHEN take THEN coalesce(kept, '') ELSE text END) AS kept_sha256
-FROM done
+SELECT doc_id, n_lines, n_removed_lines, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM done
 """
