@@ -3,7 +3,8 @@
 Documents are routed to context tiers: the smallest tier that holds them whole; what exceeds the longest tier is first cut
 into full windows of it. Each tier packs its documents best fit, longest first. Gaps of the longer windows are filled from
 shorter tiers, whole documents first, then cut ones, so that windows end full; a full window of a shorter tier is a
-power of two long and needs no padding. Full windows are dealt to step groups of equal tokens, tier by tier.
+power of two long and needs no padding. The windows of a block are dealt to step groups, longest first to the least filled
+one, so that every group holds all tiers and the groups' tokens differ by one window at most.
 
 All of this is local to a block of documents of bounded size within a task: lengths are known where the text is tokenized,
 so nothing is shuffled, and only the last window of a block can be short.
@@ -12,6 +13,7 @@ so nothing is shuffled, and only the last window of a block can be short.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -171,6 +173,21 @@ def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple
     return pieces
 
 
+def deal(filled: dict[int, int], tier_of: dict[int, int], step_tokens: int = STEP_TOKENS) -> dict[int, int]:
+    """Step group of each sequence: as many groups as the tokens fill, each sequence to the least filled one.
+
+    filled: tokens of each sequence. Longer tiers go first, so every tier is spread over all groups, and the groups' totals
+    differ by one sequence of the longest tier at most.
+    """
+    groups = [(0, g) for g in range(max(1, -(-sum(filled.values()) // step_tokens)))]
+    out = {}
+    for s in sorted(filled, key=lambda s: (-tier_of[s], -filled[s], s)):
+        have, g = groups[0]
+        heapq.heapreplace(groups, (have + filled[s], g))
+        out[s] = g
+    return out
+
+
 def _pack(vocabulary: str, tiers: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -186,17 +203,10 @@ def _pack(vocabulary: str, tiers: tuple[int, ...]):
             nonlocal ids, tokens, size, base
             pieces = pack_block([len(t) // 4 for t in tokens], tiers)
             crc = [zlib.crc32(memoryview(tokens[d])[4 * a : 4 * (a + n)]) for d, a, n, *_ in pieces]
-            # deal the sequences of each tier in turn to steps of equal tokens
-            filled: dict[int, int] = {}
-            step, room = {}, {}
+            filled, tier_of = {}, {}
             for _, _, n, s, _, tier in pieces:
-                filled[s] = filled.get(s, 0) + n
-            per = STEP_TOKENS // len(tiers)
-            tier_of = {s: tier for _, _, _, s, _, tier in pieces}
-            for s in sorted(filled):
-                tier = tier_of[s]
-                room[tier] = room.get(tier, 0) + filled[s]
-                step[s] = (room[tier] - 1) // per
+                filled[s], tier_of[s] = filled.get(s, 0) + n, tier
+            step = deal(filled, tier_of)
             cols = list(zip(*pieces, strict=True)) if pieces else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
@@ -234,8 +244,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     """Packs docs into sequences; a row for each piece of a document.
 
     Columns: doc_id, start and length (in the document's ids, to which id 1 is appended), ids_crc32, doc_tokens,
-    sequence_id, offset, tier, step_group (sequences of one tier whose tokens make a quarter of a step), and, with ids,
-    the piece's ids as little-endian unsigned 32-bit numbers. Null and empty texts are documents of the closing id alone.
+    sequence_id, offset, tier, step_group (sequences of about STEP_TOKENS tokens together), and, with ids, the piece's ids as little-endian unsigned 32-bit numbers. Null and empty texts are documents of the closing id alone.
     Repeated rows are packed each; null ids stay null; other columns are not read; an empty table gives no rows.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
