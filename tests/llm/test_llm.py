@@ -71,6 +71,47 @@ def test_packing_units():
         assert short <= 1
 
 
+def test_step_groups():
+    r = random.Random(6)
+    lengths = [min(20_000, int(r.lognormvariate(5.5, 1.3)) + 1) for _ in range(9000)]
+    filled, tier_of = {}, {}
+    for _, _, n, s, _, tier in packing.pack_block(lengths):
+        filled[s], tier_of[s] = filled.get(s, 0) + n, tier
+    step = packing.deal(filled, tier_of)
+    totals, tiers = {}, {}
+    for s, g in step.items():
+        totals[g] = totals.get(g, 0) + filled[s]
+        tiers.setdefault(g, set()).add(tier_of[s])
+    assert len(totals) == -(-sum(lengths) // packing.STEP_TOKENS) > 5 and max(totals.values()) - min(totals.values()) <= packing.TIERS[-1]
+    assert all(x == set(packing.TIERS) for x in tiers.values())
+    assert packing.deal({}, {}) == {}
+
+
+def test_packing_query(spark, sf):
+    """Each id of each document lies in one piece; sequences are gapless and padded little."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.default_vocabulary())
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    ids = {d: np.array([*x.ids, 1], "<u4") for d, x in zip(docs, t.encode_batch([x or "" for x in docs.values()], add_special_tokens=False), strict=True)}
+    cover, seqs = {}, {}
+    for r in packing.op1_packing(spark, sf).collect():
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["doc_tokens"] == len(ids[r["doc_id"]]) and zlib.crc32(part.tobytes()) == r["ids_crc32"] and len(part) == r["length"]
+        cover.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert cover.keys() == docs.keys()
+    for d, x in cover.items():
+        assert [a for a, _ in sorted(x)] == np.cumsum([0, *(n for _, n in sorted(x))])[:-1].tolist() and sum(n for _, n in x) == len(ids[d])
+    sizes = []
+    for x in seqs.values():
+        x.sort()
+        assert [a for a, _ in x] == np.cumsum([0, *(n for _, n in x)])[:-1].tolist()
+        sizes.append(sum(n for _, n in x))
+    padded = sum(n if n & (n - 1) == 0 else 2048 for n in sizes)
+    assert max(sizes) <= 2048 and padded <= 1.02 * sum(sizes)
+
+
 def test_packing(spark, odd):
     got = packing.pack(odd.drop("k")).collect()
     assert sum(r["length"] for r in got if r["doc_id"] == 5) == 1
@@ -88,11 +129,25 @@ def test_decontamination(spark, odd, sf):
     assert decontaminate.contamination(odd.limit(0), items).count() == 0
     assert decontaminate.contamination(odd, items.limit(0)).where("n_hit > 0").count() == 0
     assert {r["doc_id"] for r in decontaminate.clean(odd, items).collect()} == {5, 6, 8, 9}  # only A-Z are lower-cased
+    assert decontaminate.clean(odd.withColumn("bad", F.lit(3)), items).where("bad = 3").count() == 4
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     want = decontaminate.brute_force([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in bench.collect()])
     assert rows(decontaminate.op2_decontaminate(spark, sf)) == sorted(want, key=repr)
 
 
+def test_decontamination_in_chunks(spark, monkeypatch):
+    """Many windows of common words against one segment of the same words, with few candidates at once."""
+    r = random.Random(8)
+    docs = [(d, " ".join(r.choice("ab") for _ in range(300))) for d in range(5)]
+    items = [(str(i), " ".join(r.choice("ab") for _ in range(14))) for i in range(40)]
+    seg = decontaminate.Segment(decontaminate.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).first().asDict())
+    table, size, _ = decontaminate._item_windows([t for _, t in items], 10)
+    whole = decontaminate.phrase_matches(seg, table, size)
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 1000)
+    parts = decontaminate.phrase_matches(seg, table, size)
+    assert len(whole[0]) and sorted(zip(*map(list, whole), strict=True)) == sorted(zip(*map(list, parts), strict=True))
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "the red fox saw the blue dog"), (2, "blue fox the red dog")], "doc_id long, text string")
     index = decontaminate.build_index(docs)
@@ -143,6 +198,8 @@ def test_near(spark, odd, sf):
     assert got[5]["component_id"] == 5 and got[5]["n_shingles"] == got[8]["n_shingles"] == 0 and got[7]["n_shingles"] == 1
     assert sorted(r["doc_id"] for r in near_dedup.dedup(odd).collect()) == [2, 5, 6, 7, 8, 9, 10]
     assert near_dedup.near_groups(odd.limit(0)).count() == 0
+    clash = near_dedup.dedup(odd.withColumns({"near_t": F.lit(4), "__t": F.lit(5)}))
+    assert clash.columns == [*odd.columns, "near_t", "__t"] and clash.where("near_t = 4 and __t = 5").count() == 7
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert rows(near_dedup.op5_near_dedup(spark, sf)) == sorted(near_dedup.brute_force(docs), key=repr)
 
@@ -245,6 +302,9 @@ def test_media_column(spark, odd):
         assert (got[d]["n_bytes"], got[d]["payload_bytes"], got[d]["payload_sha256"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest())
         assert got[d]["tail_crc32"] == zlib.crc32(padded[-64:])
     assert got[2]["feature"] == got[None]["feature"] and got[2]["media_sha256"] == got[None]["media_sha256"]
+    part = media.select("doc_id", "n_bytes", F.when(F.col("doc_id") == 6, F.lit(b"no image")).when(F.col("doc_id") == 7, F.substring("media", 1, 300)).when(~F.col("doc_id").eqNullSafe(5), F.col("media")).alias("media"))
+    for r in progressive_jpeg.digests(part).collect():
+        assert (r == got[r["doc_id"]]) == (r["doc_id"] not in (5, 6, 7)) and (r["media_bytes"] is None) == (r["doc_id"] == 5)
     t = progressive_jpeg.tensor_column(media.where("doc_id = 7").unionByName(media.where("doc_id = 6").withColumn("media", F.lit(b"no image"))))
     shapes = {r["doc_id"]: r["rgb"] for r in t.collect()}
     assert shapes[6] is None and len(shapes[7]["samples"]) == shapes[7]["height"] * shapes[7]["width"] * 3
@@ -284,8 +344,13 @@ def test_lines(spark, odd):
     df = spark.createDataFrame([(*r, 9) for r in data], "doc_id long, text string, source string, n_lines int").repartition(4)
     got = {r["doc_id"]: r for r in line_dedup.remove_boilerplate(df).collect()}
     assert got[3]["text"] == "own 3\nmore of it 3" and (got[3]["n_lines"], got[3]["n_removed_lines"]) == (3, 1)
-    assert got[50]["text"] == "shared line" and got[51]["text"] is None and got[52]["text"] == ""
+    assert got[50]["text"] == "" and got[50]["n_removed_lines"] == 1 and got[51]["text"] is None and got[52]["text"] == ""
     assert got[53]["text"] == "twice\nplenty of other words here" and got[53]["n_removed_lines"] == 2
+    clash = df.withColumns({"t1": F.lit(1), "row": F.lit(2), "gone": F.lit(3), "parts": F.lit(4)})
+    assert rows(line_dedup.remove_boilerplate(clash).select("doc_id", "text", "t1", "row", "gone", "parts")) == rows(line_dedup.remove_boilerplate(df).select("doc_id", "text", F.lit(1), F.lit(2), F.lit(3), F.lit(4)))
+    long = "\n".join(f"line {i}" if i % 2 else "shared line" for i in range(60_000))
+    one = line_dedup.remove_boilerplate(df.unionByName(spark.createDataFrame([(99, long, "s9", 9)], df.schema))).where("doc_id = 99").first()
+    assert one["n_removed_lines"] == 30_000 and one["text"] == "\n".join(f"line {i}" for i in range(1, 60_000, 2))
     assert line_dedup.remove_boilerplate(odd).count() == len(ODD) and line_dedup.remove_boilerplate(df.limit(0)).count() == 0
 
 

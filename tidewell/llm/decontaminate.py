@@ -26,6 +26,8 @@ WINDOW = 10
 BLOCK_WORDS = 1_000_000
 #: Documents lie this far apart in a segment's positions, so that no phrase or slop reaches across.
 GAP = 64
+#: Positions of rarest words that are tried at once.
+CANDIDATES = 4_000_000
 SEGMENT_BYTES = 4 << 20
 FILE_SEGMENTS = 8
 
@@ -122,9 +124,19 @@ def phrase_matches(seg: Segment, phrases: np.ndarray, size: np.ndarray, slop: in
     order = np.argsort(n, axis=1, kind="stable")  # rarest first; what is no word comes last
     keys = seg.keys(np.unique(term[inside]))
     rows = np.arange(len(alive))
-    which, at = seg.starts(term[rows, order[:, 0]])
+    # phrases in chunks whose rarest words have so many positions together; one word has at most those of the segment
+    chunk = np.cumsum(n[rows, order[:, 0]]) // CANDIDATES
+    found = []
+    for c in np.split(rows, np.flatnonzero(np.diff(chunk)) + 1):
+        which, start = _chunk_matches(seg, term[c], inside[c], order[c], keys, slop)
+        found.append((alive[c[which]], start))
+    return np.concatenate([w for w, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _chunk_matches(seg: Segment, term: np.ndarray, inside: np.ndarray, order: np.ndarray, keys: np.ndarray, slop: int | None) -> tuple[np.ndarray, np.ndarray]:
+    which, at = seg.starts(term[np.arange(len(term)), order[:, 0]])
     start = at - order[which, 0] if slop is None else at
-    for r in range(1, phrases.shape[1]):
+    for r in range(1, term.shape[1]):
         if not len(which):
             break
         offset = order[which, r]
@@ -135,7 +147,7 @@ def phrase_matches(seg: Segment, phrases: np.ndarray, size: np.ndarray, slop: in
         found = keys[i] == wanted if slop is None else (keys[i] >= wanted) & (keys[i] <= base + start + slop)
         keep = found | ~counts
         which, start = which[keep], start[keep]
-    return alive[which], start
+    return which, start
 
 
 def search(index: DataFrame, phrases: list[list[str]], slop: int | None = None) -> DataFrame:
@@ -239,8 +251,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of docs that hold no window of the benchmark, all columns kept. Rows of a null doc_id are judged together."""
-    bad = contamination(docs, benchmark, doc_id, text, window=window).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col(doc_id).cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    own = words.unused(docs, "bad")
+    bad = contamination(docs, benchmark, doc_id, text, window=window).where("contaminated").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, F.col(doc_id).cast("long").eqNullSafe(F.col(own)), "left_anti")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -258,10 +258,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of docs for each group of near-duplicates, all columns kept. Rows without words all stay, once for each
     (doc_id, text)."""
-    keep = near_groups(docs, doc_id, text, **options).where("first").select(F.col(doc_id).alias("__d"), F.col("key").alias("__k")).distinct()
-    marked = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__k"))
-    return marked.join(keep, same, "left_semi").dropDuplicates([doc_id, "__t"]).drop("__t")
+    d, k, t = (words.unused(docs, x) for x in ("near_d", "near_k", "near_t"))
+    keep = near_groups(docs, doc_id, text, **options).where("first").select(F.col(doc_id).alias(d), F.col("key").alias(k)).distinct()
+    marked = docs.withColumn(t, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(d)) & (F.col(t) == F.col(k))
+    return marked.join(keep, same, "left_semi").dropDuplicates([doc_id, t]).drop(t)
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:

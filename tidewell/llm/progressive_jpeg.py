@@ -26,6 +26,8 @@ from tidewell.llm import words
 BATCH_BYTES = 2 << 20
 BATCH_DOCS = 1024
 RESTART = 8
+#: What decoding raises on bytes that are no such stream.
+BROKEN = (ValueError, IndexError, KeyError, TypeError, struct.error)
 CENTRE = 104  # bytes are stored as their distance from a letter's code, so that most coefficients are small
 
 
@@ -669,7 +671,7 @@ def tensor_column(df: DataFrame, media: str = "media", tensor: str = "rgb") -> D
     def one(stream: bytes | None) -> dict | None:
         try:
             x = rgb(*decode([stream])[0])
-        except (ValueError, IndexError, KeyError, TypeError, struct.error):
+        except BROKEN:
             return None
         return {"height": x.shape[0], "width": x.shape[1], "samples": x.tobytes()}
 
@@ -690,29 +692,45 @@ def _feature(channels: list[np.ndarray]) -> str:
 
 
 def digests(df: DataFrame, media: str = "media", doc_id: str = "doc_id", size: str = "n_bytes") -> DataFrame:
-    """What is read back from a media column: digests of the payload and of the stream, and a feature of the RGB tensor."""
+    """What is read back from a media column: digests of the payload and of the stream, and a feature of the RGB tensor.
+
+    A null, or what is no stream of media_column, gives nulls in all columns but the id, n_bytes and, for a stream, its
+    size and digest. Repeated rows give equal rows; other columns are not read; an empty table gives no rows.
+    """
+
+    def read(streams: list[bytes]) -> list[tuple | None]:
+        """Image and component of each stream; one that is broken is None, found by halving its batch."""
+        try:
+            return decode(streams)
+        except BROKEN:
+            half = len(streams) // 2
+            return read(streams[:half]) + read(streams[half:]) if half else [None]
+
+    def digest(streams: list[bytes | None]) -> list[tuple]:
+        good = [i for i, s in enumerate(streams) if s is not None]
+        out: list[tuple] = [(None,) * 6] * len(streams)
+        found = dict(zip(good, read([streams[i] for i in good]), strict=True)) if good else {}
+        whole = {i: f for i, f in found.items() if f is not None}
+        features = dict(zip(whole, (_feature(planes(im, x)) for (im, _), x in zip(whole.values(), samples(list(whole.values())), strict=True)), strict=True)) if whole else {}
+        for i in good:
+            raw = streams[i]
+            out[i] = (None, None, None, len(raw), hashlib.sha256(raw).hexdigest(), None)
+            if i in whole:
+                back = payload(*whole[i])
+                out[i] = (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), *out[i][3:5], features[i])
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, sizes = 0, np.array([len(m) for m in batch.column("m").to_pylist()])
+            at, sizes = 0, np.array([len(m or b"") for m in batch.column("m").to_pylist()])
             while at < batch.num_rows:
                 to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES)))
                 some = batch.slice(at, min(to - at, BATCH_DOCS))
                 at += some.num_rows
-                streams = some.column("m").to_pylist()
-                found = decode(streams)
-                back = [payload(im, c) for im, c in found]
+                columns = zip(*digest(some.column("m").to_pylist()), strict=True)
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column("d"),
-                        some.column("n"),
-                        pa.array([len(b) for b in back], pa.int64()),
-                        pa.array([hashlib.sha256(b).hexdigest() for b in back]),
-                        pa.array([zlib.crc32(b[-64:]) for b in back], pa.int64()),
-                        pa.array([len(s) for s in streams], pa.int64()),
-                        pa.array([hashlib.sha256(s).hexdigest() for s in streams]),
-                        pa.array([_feature(planes(im, x)) for (im, _), x in zip(found, samples(found), strict=True)]),
-                    ],
+                    [some.column("d"), some.column("n"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                     names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
                 )
 

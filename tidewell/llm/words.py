@@ -9,6 +9,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 SLICE_DOCS = 4096
@@ -132,6 +133,14 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * down[:n] + _U(size))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with as many underscores as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES, max_docs: int = SLICE_DOCS) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most max_bytes of text; a longer text is a piece of its own."""
     if not batch.num_rows:
