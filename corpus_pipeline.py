@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidewell.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from tidewell.session import materialize
 
+#: A text of which boilerplate takes more than this share may be a copy of a whole document, which near dedup is to judge.
+COPY_SHARE = 0.5
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -19,7 +21,7 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that recur on many sites."""
-    out = line_dedup.remove_boilerplate(docs, proven=True)
+    out = line_dedup.remove_boilerplate(docs, copy_share=COPY_SHARE)
     n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return out.withColumn("n_chars", n_chars).select(*COLUMNS)
 
