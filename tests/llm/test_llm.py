@@ -192,6 +192,28 @@ def test_toxicity(spark, odd, sf, sf_small):
     assert toxicity.score(odd, none).where("score > 0.01").count() == 0
 
 
+def test_label_model_recovers_rates(spark):
+    """Planted rates, classes and a correlated pair come back from votes alone."""
+    r = np.random.default_rng(11)
+    n, lexicon, patterns = 20_000, 15, 3
+    kind = r.choice(3, n, p=[0.88, 0.08, 0.04])
+    rates = np.full((3, lexicon + patterns), 0.01)
+    rates[1, :9], rates[2, 9:15] = r.uniform(0.25, 0.8, 9), r.uniform(0.3, 0.7, 6)
+    rates[:, lexicon:] = [0.05, 0.1, 0.2]
+    fired = r.random((n, lexicon + patterns)) < rates[kind]
+    same = r.random(n) < 0.7
+    fired[same, 8] = fired[same, 7]  # a pair that copies each other
+    bits, times = np.unique(np.packbits(fired, axis=1), axis=0, return_counts=True)
+    votes = spark.createDataFrame([(bytearray(b.tobytes()), int(t)) for b, t in zip(bits, times, strict=True)], "bits binary, n long").repartition(3)
+    m = toxicity.fit_label_model(votes, lexicon, lexicon + patterns, 0.3)
+    assert m.group[7] == m.group[8] and len(set(m.group)) == lexicon + patterns - 1
+    assert abs(m.prior[0] - 0.88) < 0.02 and sorted(np.abs(np.sort(m.prior[1:]) - [0.04, 0.08]) < 0.02) == [True, True]
+    toxic = kind > 0
+    for i in set(range(lexicon + patterns)) - {7, 8}:
+        assert abs(m.a[m.group[i]] - fired[toxic, i].mean()) < 0.05 and abs(m.b[m.group[i]] - fired[~toxic, i].mean()) < 0.05
+    assert np.mean((m.posterior(fired) > 0.5) == toxic) > 0.97
+
+
 def test_near(spark, odd, sf):
     got = {r["doc_id"]: r for r in near_dedup.near_groups(odd, shingle=2).collect()}
     assert got[3]["component_id"] == got[2]["component_id"] == got[None]["component_id"] == 2

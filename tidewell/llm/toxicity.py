@@ -1,15 +1,17 @@
 """Toxicity by weak supervision.
 
 Voters are mined from labelled rows: lexicon voters fire on a word or a word's beginning, pattern voters on the shape of a
-text. How often each voter and each pair of voters fires is counted over all documents. A generative label model is
-fitted to these counts: it estimates how often a voter fires in toxic and in other texts, and which voters fire together
-more than the hidden label explains; those form groups that count as one vote. Its posteriors label the sample, and a
-linear classifier over more features is trained on them, which scores every document.
+text. Which voters fire together is counted over all documents. A generative label model is fitted to these votes alone,
+without labels: a text is of one of several hidden classes, ordinary or one of a few kinds of toxic (voters of one kind are
+those that agree more than chance; words of different languages hardly ever meet), each with its rates of firing, which
+expectation maximization estimates in passes over the votes. Voters that fire together more than the hidden class explains
+are correlated; they are united to one vote, and the rates are estimated again. The model's posteriors label the sample,
+and a linear classifier over more features is trained on them, which scores every document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,14 +25,17 @@ from tidewell.session import materialize
 
 #: The classifier and the lexicon are fitted on at most so many labelled rows, by order of a hash of their ids.
 SAMPLE_ROWS = 20_000
-VOTERS = 256
+#: The features are at most so many, those of most toxic rows; so many of them, the first, are lexicon voters.
 FEATURES = 512
+VOTERS = 256
 #: A feature fires in at least so many toxic rows of the sample, and so many times as often in toxic as in other rows.
 MIN_SUPPORT = 3
 SUPPORT_SHARE = 0.004
 ODDS = 19
 PREFIXES = (4, 5)
-TIE = 4.0
+#: Voters with more than this agreement are the same voter; with more than the next, of one kind; with this excess over
+#: the model, correlated. A kind has at least so many voters, as fewer tell nothing about their rates.
+SAME, KIND, CORRELATED, KIND_VOTERS = 0.8, 0.1, 0.15, 3
 FOLDS = 5
 PATTERNS = ("capitals", "shouts", "digits", "long_word", "repeats", "short")
 _U = np.uint64
@@ -130,79 +135,155 @@ def _mine(sample: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.array([r["key"] for r in rows], np.int64).view(_U), np.array([r["t"] for r in rows], float), np.array([r["n"] for r in rows], float), toxic, clean
 
 
-def _votes(docs: DataFrame, table: Table, voters: int) -> tuple[np.ndarray, int]:
-    """How often each pair of voters (and on the diagonal each voter) fires over all documents, and their number."""
+def _votes(docs: DataFrame, table: Table, voters: int) -> DataFrame:
+    """(bits, n): the sets of voters that fire, and on how many of all documents."""
     size = voters + len(PATTERNS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n = np.zeros((size, size), np.int64), 0
         for batch in batches:
             for piece in words.slices(batch, "t"):
                 w = words.split(piece.column("t"), "alnum_lower")
-                fired = np.zeros((piece.num_rows, size), np.float32)
-                fired[table.fired(w)] = 1
+                fired = np.zeros((piece.num_rows, size), bool)
+                fired[table.fired(w)] = True
                 fired[:, voters:] = _patterns(w)
-                sums += (fired.T @ fired).astype(np.int64)
-                n += piece.num_rows
-        i, j = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(i, -1)), pa.array(np.append(j, -1)), pa.array(np.append(sums[i, j], n))], names=["i", "j", "n"])
+                bits, n = np.unique(np.packbits(fired, axis=1), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(n)], names=["bits", "n"])
+
+    return materialize(docs.select("t").mapInArrow(count, "bits binary, n long").groupBy("bits").agg(F.sum("n").alias("n")), "votes")
+
+
+def _unite(fired: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Whether any voter of each group fires."""
+    order = np.argsort(group, kind="stable")
+    return np.logical_or.reduceat(fired[:, order], np.searchsorted(group[order], np.arange(group.max() + 1)), axis=1)
+
 
-    rows = docs.select("t").mapInArrow(count, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
-    together, n = np.zeros((size, size)), 0
-    for r in rows:
-        if r["i"] < 0:
-            n = r["n"]
-        else:
-            together[r["i"], r["j"]] = r["n"]
-    return together, n
+def _sums(votes: DataFrame, width: int, shape: tuple[int, int], f: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all votes of f(which voters fired, how often), an array of the given (bounded) shape."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 20_000):
+                some = batch.slice(at, 20_000)
+                bits = np.frombuffer(b"".join(some.column("bits").to_pylist()), np.uint8).reshape(some.num_rows, -1)
+                total += f(np.unpackbits(bits, axis=1, count=width).astype(bool), np.array(some.column("n"), float))
+        i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "v"])
+
+    out = np.zeros(shape)
+    for r in votes.mapInArrow(run, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+        out[r["i"], r["j"]] = round(r["v"], 6)  # so that the order of summing doesn't show
+    return out
+
+
+def _components(link: np.ndarray) -> np.ndarray:
+    """The least node that each node hangs together with."""
+    least = np.arange(len(link))
+    while True:
+        new = np.array([min([least[i], *least[link[i]]]) for i in range(len(link))], int)
+        if (new == least).all():
+            return least
+        least = new
 
 
 @dataclass
 class LabelModel:
-    """Rates at which voters fire in toxic (a) and other (b) texts, the share of toxic texts, and groups of correlated voters."""
+    """What the votes tell about their hidden class.
+
+    group: for each voter its number among the united ones; lexicon: how many of those are of lexicon voters, which come
+    first; prior: shares of the classes, the first of them ordinary texts; rates: how often each united voter fires in each
+    class; correlation: how much more often than the classes explain two united voters fire together.
+    """
 
-    a: np.ndarray
-    b: np.ndarray
-    prior: float
     group: np.ndarray
+    lexicon: int
+    prior: np.ndarray
+    rates: np.ndarray
     correlation: np.ndarray
 
+    @property
+    def a(self) -> np.ndarray:
+        """How often each united voter fires in toxic texts."""
+        return self.prior[1:] @ self.rates[1:] / self.prior[1:].sum()
+
+    @property
+    def b(self) -> np.ndarray:
+        """How often each united voter fires in other texts."""
+        return self.rates[0]
+
+    def classes(self, fired: np.ndarray) -> np.ndarray:
+        """Probability of each class given the united votes."""
+        on, off = np.log(self.rates), np.log(1 - self.rates)
+        p = fired.astype(float) @ (on - off).T + off.sum(axis=1) + np.log(self.prior)
+        p = np.exp(p - p.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
+
     def posterior(self, fired: np.ndarray) -> np.ndarray:
-        yes, no = np.log(self.a / self.b), np.log((1 - self.a) / (1 - self.b))
-        total = np.full(len(fired), np.log(self.prior / (1 - self.prior)))
-        for g in np.unique(self.group):
-            own = self.group == g
-            votes = np.where(fired[:, own], yes[own], no[own])
-            strongest = votes[np.arange(len(votes)), np.abs(votes).argmax(axis=1)]
-            total += np.where(fired[:, own].any(axis=1), np.where(fired[:, own], votes, -np.inf).max(axis=1), strongest)
-        return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
+        """Probability of a toxic class given which voters fired."""
+        return self.classes(_unite(fired, self.group))[:, 1:].sum(axis=1)
+
+
+def _agreement(together: np.ndarray, n: float, expected: np.ndarray | None = None) -> np.ndarray:
+    """Excess of how often two voters fire together over what is expected (by chance), as a correlation of rare events."""
+    rate = together / max(n, 1)
+    single = np.diag(rate)
+    excess = (rate - (np.outer(single, single) if expected is None else expected)) / (np.sqrt(np.outer(single, single)) + 1e-9)
+    np.fill_diagonal(excess, 0)
+    return excess
 
 
-def fit_label_model(together: np.ndarray, n: int, a: np.ndarray, b: np.ndarray, prior: float, rounds: int = 20, correlated: float = 0.15) -> LabelModel:
-    """Fits rates and correlations to how often pairs of voters fire, starting at a and b.
+def _kinds(agreement: np.ndarray, lexicon: int) -> list[np.ndarray]:
+    """Lexicon voters that hang together by agreement; all of them where none do."""
+    of = _components(agreement[:lexicon, :lexicon] > KIND)
+    kinds = [np.flatnonzero(of == k) for k in np.unique(of)]
+    return [k for k in kinds if len(k) >= KIND_VOTERS] or [np.arange(lexicon)]
 
-    Under the model a pair fires at prior * a_i * a_j + (1 - prior) * b_i * b_j. Pairs that fire clearly more often are
-    correlated beyond the label: they are left out of the fit, and grouped.
+
+def _regroup(group: np.ndarray, link: np.ndarray, lexicon: int) -> tuple[np.ndarray, int]:
+    """Groups after linked ones are united, lexicon and pattern voters apart; and how many are of lexicon voters."""
+    link = link.copy()
+    link[:lexicon, lexicon:] = link[lexicon:, :lexicon] = False
+    least = _components(link)
+    names = np.unique(least)
+    return np.searchsorted(names, least)[group], int((names < lexicon).sum())
+
+
+def fit_label_model(votes: DataFrame, lexicon: int, width: int, prior: float, rounds: int = 30) -> LabelModel:
+    """Fits classes, rates and correlations to votes (bits, n) of ``width`` voters, the first ``lexicon`` of them of words.
+
+    No label is seen. prior is the share of toxic texts to start from; every kind starts with a rate of 0.3 for its voters,
+    which only says that they fire more often in toxic texts than elsewhere.
     """
-    rate = together / max(n, 1)
-    single = np.diag(rate).copy()
-    tie = TIE * len(a)  # ties rates to where they start: voters of other subjects hardly ever meet, whatever the label
-    a0, b0 = a.copy(), b.copy()
-    scale = np.sqrt(np.outer(single, single)) + 1e-9
-    for _ in range(rounds):
-        excess = (rate - prior * np.outer(a, a) - (1 - prior) * np.outer(b, b)) / scale
-        use = (np.abs(excess) < correlated) & ~np.eye(len(a), dtype=bool)
-        for i in range(len(a)):
-            x = np.stack([np.append(prior * a[use[i]], prior), np.append((1 - prior) * b[use[i]], 1 - prior)], axis=1)
-            y = np.append(rate[i, use[i]], single[i])
-            own = tie * np.array([prior, 1 - prior]) ** 2
-            a[i], b[i] = np.linalg.solve(x.T @ x + np.diag(own), x.T @ y + own * np.array([a0[i], b0[i]]))
-        a, b = np.clip(a, 1e-4, 1 - 1e-4), np.clip(b, 1e-5, 1 - 1e-5)
-    excess = (rate - prior * np.outer(a, a) - (1 - prior) * np.outer(b, b)) / scale
-    group = np.arange(len(a))
-    for i, j in zip(*np.nonzero(np.triu(excess > correlated, 1)), strict=True):
-        group[group == group[j]] = group[i]
-    return LabelModel(a, b, prior, group, excess)
+    group, count = np.arange(width), lexicon
+    together = _sums(votes, width, (width, width), lambda x, n: (x * n[:, None]).T @ x)
+    total = _sums(votes, width, (1, 1), lambda x, n: np.array([[n.sum()]]))[0, 0]
+    group, count = _regroup(group, _agreement(together, total) > SAME, count)
+    for last in (False, True):
+        size = int(group.max()) + 1
+        together = _sums(votes, width, (size, size), lambda x, n, g=group: (u := _unite(x, g)).T.astype(float) @ (u * n[:, None]))
+        single = np.diag(together) / max(total, 1)
+        kinds = _kinds(_agreement(together, total), count)
+        rates = np.tile(single, (len(kinds) + 1, 1))
+        rates[0, :count] *= 0.2
+        for k, own in enumerate(kinds, 1):
+            rates[k, own] = 0.3
+        model = LabelModel(group, count, np.array([1 - prior, *[prior / len(kinds)] * len(kinds)]), np.clip(rates, 1e-6, 1 - 1e-6), np.zeros((size, size)))
+        for _ in range(rounds):
+            shape = (len(kinds) + 1, size + 1)
+            got = _sums(votes, width, shape, lambda x, n, m=model: (m.classes(u := _unite(x, m.group)) * n[:, None]).T @ np.append(u, np.ones((len(u), 1)), axis=1))
+            of = got[:, -1]
+            rates = np.clip((got[:, :-1] + single) / (of[:, None] + 1), 1e-6, 1 - 1e-6)
+            moved = np.abs(rates - model.rates).max()
+            model.rates, model.prior = rates, (of + 0.01) / (of + 0.01).sum()
+            if moved < 2e-3:
+                break
+        model.correlation = _agreement(together, total, (model.rates.T * model.prior) @ model.rates)
+        if not last:
+            group, count = _regroup(group, model.correlation > CORRELATED, count)
+            if group.max() + 1 == size:
+                break
+    return model
 
 
 def fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> np.ndarray:
@@ -230,15 +311,15 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model of labels.toxic, learned from labelled rows outside the held-out fold and from the votes of all docs.
 
-    labels has doc_id and toxic; of repeated labels the greatest counts, nulls don't. Without toxic labels the model
-    scores every text at 0.
+    labels has doc_id and toxic; of repeated labels the greatest counts, nulls don't. Labels only choose the voters and the
+    share of toxic texts to start from. Without toxic labels, or a feature of theirs, the model scores every text at 0.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     sample = _sample(base, labels.select(F.col(doc_id).cast("long").alias("doc_id"), "toxic"), sample_rows)
     keys, t, n, toxic, clean = _mine(sample, FEATURES)
     width = len(keys) + len(PATTERNS)
     table = Table(keys)
-    if not toxic:
+    if not toxic or not len(keys):
         return Model(table, np.append(np.zeros(width), -30.0), None)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,19 +329,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 fired = np.zeros((piece.num_rows, width), bool)
                 fired[table.fired(w)] = True
                 fired[:, len(keys) :] = _patterns(w)
-                yield pa.RecordBatch.from_arrays([piece.column("r"), piece.column("y"), pa.array([np.packbits(x).tobytes() for x in fired], pa.binary())], names=["r", "y", "x"])
+                yield pa.RecordBatch.from_arrays([piece.column("r"), pa.array([np.packbits(x).tobytes() for x in fired], pa.binary())], names=["r", "x"])
 
-    rows = sorted(map(tuple, sample.mapInArrow(features, "r long, y int, x binary").collect()))
-    x = np.stack([np.unpackbits(np.frombuffer(r[2], np.uint8), count=width) for r in rows]).astype(bool)
-    y = np.array([r[1] for r in rows])
+    rows = sorted(map(tuple, sample.mapInArrow(features, "r long, x binary").collect()))
+    x = np.stack([np.unpackbits(np.frombuffer(r[1], np.uint8), count=width) for r in rows]).astype(bool)
     voters = min(VOTERS, len(keys))
     own = np.concatenate([np.arange(voters), np.arange(len(keys), width)])  # lexicon voters, then patterns
-    together, number = _votes(base, Table(keys[:voters]), voters)
-    fired = x[:, own]
-    a = (fired[y == 1].sum(axis=0) + 0.5) / (toxic + 1)
-    b = (fired[y == 0].sum(axis=0) + 0.05) / (clean + 1)
-    model = fit_label_model(together, number, a, b, toxic / (toxic + clean))
-    weights = fit_linear(x.astype(np.float32), model.posterior(fired))
+    model = fit_label_model(_votes(base, Table(keys[:voters]), voters), voters, voters + len(PATTERNS), toxic / (toxic + clean))
+    weights = fit_linear(x.astype(np.float32), model.posterior(x[:, own]))
     return Model(table, weights, model)
 
 
