@@ -280,7 +280,7 @@ def test_html(spark):
     pages += [(100 + i, f"http://t.net/{i}", f"<div>same <i>box</i></div><div><p>own {i}</p></div>", f"own {i}") for i in range(12)]
     pages += [(200 + i, "http://t.net/c", "<div><p>a copied page</p></div>", "a copied page") for i in range(12)]
     df = spark.createDataFrame([(*p[:3], "h") for p in pages], "page_id long, url string, html string, host string").repartition(3)
-    assert rows(html_text.extract(df)) == sorted(((p[0], p[1], p[3]) for p in pages), key=repr)
+    assert rows(html_text.extract(df).drop(*html_text.RULES)) == sorted(((p[0], p[1], p[3]) for p in pages), key=repr)
     assert html_text.extract(df.limit(0)).count() == 0
 
 
@@ -288,7 +288,59 @@ def test_html(spark):
 @pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "{}"])
 def test_html_wrappers(wrap, inner):
     page = f"<{wrap}><nav>no</nav><div class=ad>no</div>{inner.format('<h1>T</h1><p>own</p>')}</{wrap.split()[0]}><div class=comments><article class=comment><p>no</p></article></div>"
-    assert [t for _, t in html_text.parse(page)[1]] == ["T", "own"]
+    assert html_text.choose(*html_text.parse(page))[0] == ["T", "own"]
+
+
+def test_html_templates(spark):
+    """Templates of neutral names go by counts, also where their text changes from page to page; articles of one shape stay."""
+    r = random.Random(9)
+    word = lambda n: " ".join(r.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(r.randrange(1000)) for _ in range(n))
+    menu = lambda: "<div class=x1><span>" + "".join(f"<a href=/{w}>{w}</a> " for w in word(5).split()) + "</span></div>"
+    notices = [word(6) for _ in range(8)]
+    pages, want = [], {}
+    for i in range(40):
+        own = [word(30) for _ in range(r.randint(2, 6))]
+        host = "http://big.net" if i < 38 else "http://small.net"
+        fixed, notice = "<div class=x2>same on all <b>pages</b></div>", notices[i % 8]
+        pages.append((i, f"{host}/{i}", menu() + fixed + f"<div class=x3>{notice}</div><div class=x4>" + "".join(f"<p>{t}</p>" for t in own) + "</div><p>last <span class=ad>no</span>words</p>", 1))
+        want[i] = "\n\n".join([*own, "last words"])
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, host int").repartition(4)
+    got = {r["page_id"]: r for r in html_text.extract(df).collect()}
+    for i in range(38):
+        assert got[i]["text"] == want[i] and (got[i]["n_template"], got[i]["n_listed"]) == (3, 0)
+    for i in (38, 39):
+        assert got[i]["n_template"] == 0 and got[i]["text"].endswith(want[i]) and "same on all pages" in got[i]["text"]
+
+
+def test_html_query(spark, sf):
+    """The query equals counts made page by page; on pages of the test tables templates are found and articles whole."""
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
+    got = {r["page_id"]: r for r in html_text.op6_html_text(spark, sf).collect()}
+    parsed = [(u.split("/")[2].lower(), *html_text.parse(h)) for _, u, h in pages]
+    seen = {}
+    for host, blocks, boxes in parsed:
+        main = "\n".join(html_text.choose(blocks, boxes)[0])
+        for b in boxes:
+            seen.setdefault((host, b.exact), (b, set()))[1].add(main)
+    shapes = {}
+    for (host, _), (b, mains) in seen.items():
+        if b.small:
+            s = shapes.setdefault((host, b.shape), [set(), 0, 0, 0])
+            s[0] |= mains
+            s[1], s[2], s[3] = s[1] + len(mains), s[2] + len(mains) * (len(mains) > 1), s[3] + len(mains) * b.links
+    exact = {k for k, (_, mains) in seen.items() if len(mains) >= html_text.MIN_PAGES}
+    told = {k for k, (m, n, again, menus) in shapes.items() if len(m) >= html_text.MIN_PAGES and (again >= html_text.RECURRING * n or menus >= 0.5 * n)}
+    for (page_id, _, _), (host, blocks, boxes) in zip(pages, parsed, strict=True):
+        texts, _ = html_text.choose(blocks, boxes, frozenset(e for h, e in exact if h == host), frozenset(s for h, s in told if h == host))
+        assert got[page_id]["text"] == "\n\n".join(texts) and got[page_id]["n_chars"] == len(got[page_id]["text"])
+    assert told and all(r["text"] for r in got.values())
+
+
+def test_html_long(spark):
+    long = "<article>" + "<div>" * 3000 + "<p>deep" + "</div>" * 3000 + "".join(f"<p>para {i}" for i in range(20_000)) + "</article>"
+    df = spark.createDataFrame([(1, "http://a.b/1", long)], "page_id long, url string, html string")
+    text = html_text.extract(df).first()["text"]
+    assert text.startswith("deep\n\npara 0\n\n") and text.endswith("para 19999")
 
 
 def test_jpeg():

@@ -1,9 +1,18 @@
 """Main text of web pages, less the templates of their sites.
 
-Each page is parsed once. Elements that are never part of an article (menus, forms, scripts, reader comments and the like)
-are left out by tag, or by their class, id and role, unless they wrap an article, main or h1 with paragraphs. Every other container element is known by a hash of its
-subtree. Spark counts for each host on how many different pages a subtree occurs; subtrees that recur on many are the
-site's template and are deleted. Only pages with such containers in their main part take part in that join.
+Every container element of a page is known by two hashes: of its whole subtree as it is written, and of its shape (tags,
+classes and how they nest; repeated neighbours count once, text is left out). Spark counts for each host on how many pages
+of different main text a subtree occurs, and of how many occurrences of a shape the exact subtree comes back on other
+pages. Templates are
+
+* subtrees that occur on MIN_PAGES pages or more of a host, and
+* shapes on MIN_PAGES pages or more which are mostly links (menus differ from page to page, but not in shape), or of which
+  a good share of the occurrences (RECURRING) come back on other pages (notices and adverts that rotate).
+
+Containers of a template are deleted. What counts can't tell (hosts of few pages) is left to rules: an element that is never
+part of an article goes by its tag or whole class name, unless it wraps an article, main or h1 with paragraphs; and where a
+page has an article (or main) element, text outside it is left out. Pages are parsed twice: once for their hashes, of which
+only numbers are stored and counted, and once to take the text without the templates found.
 """
 
 from __future__ import annotations
@@ -11,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -21,6 +31,10 @@ from tidewell.session import materialize
 
 #: A subtree is template from so many pages of different main text of one host on.
 MIN_PAGES = 10
+#: A shape is template if so large a share of its occurrences comes back on other pages.
+RECURRING = 0.3
+#: A container is a menu if so large a share of its text is in links.
+LINKS = 0.5
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,45 +84,89 @@ def _wraps(page: str, tag: str, at: int) -> bool:
     return False
 
 
-def parse(page: str) -> tuple[int, list[tuple[list[int], str]], list[int]]:
-    """Hash of the main text; its blocks in order, each with the hashes of the containers around it; all containers' hashes."""
-    stack: list[list] = []  # tag, left out, container number or -1
-    blocks: list[tuple[str, bool, tuple[int, ...]]] = []
-    hashes: list[int] = []
-    starts: list[int] = []
-    open_containers: list[int] = []
+@dataclass
+class Box:
+    """A container element: its hashes, whether it is mostly links, and whether its shape may tell (it holds no main text)."""
+
+    exact: int = 0
+    shape: int = 0
+    links: bool = False
+    small: bool = False
+    chars: int = 0
+    wraps: bool = False
+
+
+@dataclass
+class Block:
+    """A block of text, the numbers of the boxes around it, and what the rules say of it."""
+
+    text: str
+    boxes: tuple[int, ...]
+    listed: bool
+    article: bool
+    main: bool
+
+
+def _signed(raw: str) -> int:
+    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+
+
+def parse(page: str) -> tuple[list[Block], list[Box]]:
+    """The blocks of a page in order, and its containers."""
+    stack: list[list] = []  # tag, left out, box or -1, kind, start, characters and link characters before, shapes of children, names
+    blocks: list[Block] = []
+    boxes: list[Box] = []
+    around: list[int] = []
     text: list[str] = []
-    out = 0  # open elements that are left out
-    articles = mains = 0
-    seen_article = seen_main = False
+    out = articles = mains = anchors = 0  # open elements that are left out, are articles, mains, links
+    hidden = 0  # open ones that are left out within a line of text
+    chars = linked = 0
 
     def flush() -> None:
         if text:
             s = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if s:
-                blocks.append((s, articles > 0, mains > 0, tuple(open_containers)))
+                blocks.append(Block(s, tuple(around), out > 0, articles > 0, mains > 0))
+
+    def put(raw: str) -> None:
+        nonlocal chars, linked
+        if raw:
+            if not hidden:
+                text.append(raw)
+            chars += len(raw)
+            linked += len(raw) if anchors else 0
 
     def close(to: int, end: int) -> None:
-        nonlocal out, articles, mains
+        nonlocal out, articles, mains, anchors, hidden
         while len(stack) > to:
-            tag, left, number, kind = stack.pop()
+            tag, left, number, kind, start, c, k, shapes, names = stack.pop()
             out -= left
+            hidden -= left and tag not in BLOCKS
             articles -= kind == 1
             mains -= kind == 2
+            anchors -= tag == "a"
+            shape = f"{tag}.{names}({','.join(shapes)})"
+            if len(shape) > 200:
+                shape = f"{tag}.{names}(#{_signed(shape)})"
+            if stack and (not stack[-1][7] or stack[-1][7][-1] != shape):
+                stack[-1][7].append(shape)
             if number >= 0:
-                open_containers.pop()
-                hashes[number] = xxhash.xxh3_64_intdigest(_SPACE.sub(" ", page[starts[number] : end])) - (1 << 63)
+                around.pop()
+                box = boxes[number]
+                box.exact, box.shape, box.chars = _signed(_SPACE.sub(" ", page[start:end])), _signed(shape), chars - c
+                box.links = linked - k >= LINKS * max(1, box.chars)
+                if box.wraps:
+                    for i in around:
+                        boxes[i].wraps = True
 
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
-            if not out:
-                text.append(page[at:])
+            put(page[at:])
             break
-        if not out and m.start() > at:
-            text.append(page[at : m.start()])
+        put(page[at : m.start()])
         at = m.end()
         tag = m[2] or m[5]
         if not tag:
@@ -127,8 +185,7 @@ def parse(page: str) -> tuple[int, list[tuple[list[int], str]], list[int]]:
             continue
         attributes = m[3] or m[6] or ""
         if tag == "br":
-            if not out:
-                text.append(" ")
+            text.append(" ")
             continue
         if tag in RAW:
             if not attributes.endswith("/"):
@@ -149,88 +206,129 @@ def parse(page: str) -> tuple[int, list[tuple[list[int], str]], list[int]]:
                         break
         if tag in VOID:
             continue
-        left = tag in NEVER or (tag == "header" and not articles)
-        if tag == "form" and not out and _wraps(page, tag, at):
-            left = False
-        kind = 0
-        if not left and attributes:
-            names = _names(attributes)
-            left = bool(names & NEVER_NAMED) and tag not in ("html", "body", "article", "main") or (not articles and bool(names & HEADERS_NAMED) and tag not in ("html", "body"))
-            if left and not out and tag in WRAPPERS and _wraps(page, tag, at):
-                left = False
-            if tag == "article" and names & {"comment", "comments"}:
-                left = True
-            if "main" in names and "role" in attributes.lower():
-                kind = 2
+        names = _names(attributes) if attributes else set()
+        left, kind, wraps = _ruled(page, tag, names, attributes, at, articles, out)
         if tag == "article" and not left:
-            kind, seen_article = 1, seen_article or not out
-        elif tag == "main" or kind == 2:
-            kind, seen_main = 2, True
+            kind = 1
         number = -1
-        if tag in CONTAINERS and not left and not out:
-            number = len(hashes)
-            hashes.append(0)
-            starts.append(m.start())
-            open_containers.append(number)
-        stack.append([tag, int(left), number, kind])
+        if tag in CONTAINERS:
+            number = len(boxes)
+            boxes.append(Box(wraps=tag in ("article", "main")))
+            around.append(number)
+        if wraps or kind or tag in ("h1", "article", "main"):
+            for i in around:
+                boxes[i].wraps = True
+        stack.append([tag, int(left), number, kind, m.start(), chars, linked, [], ".".join(sorted(names)) if number >= 0 else ""])
         out += left
+        hidden += left and not block
         articles += kind == 1
         mains += kind == 2
+        anchors += tag == "a"
     flush()
     close(0, n)
-    chosen = [b for b in blocks if b[1]] if seen_article else [b for b in blocks if b[2]] if seen_main else blocks
-    main = xxhash.xxh3_64_intdigest("\n".join(b[0] for b in chosen)) - (1 << 63)
-    return main, [([hashes[i] for i in b[3]], b[0]) for b in chosen], hashes
+    for box in boxes:
+        box.small = not box.wraps and 2 * box.chars <= chars
+    return blocks, boxes
+
+
+def _ruled(page: str, tag: str, names: set[str], attributes: str, at: int, articles: int, out: int) -> tuple[bool, int, bool]:
+    """Whether an element is left out by the rules; 2 for a main element; whether it was found to wrap the main text."""
+    left, kind, wraps = tag in NEVER or (tag == "header" and not articles), 0, False
+    if tag == "form" and not out and _wraps(page, tag, at):
+        left, wraps = False, True
+    if not left and names:
+        left = bool(names & NEVER_NAMED) and tag not in ("html", "body", "article", "main") or (not articles and bool(names & HEADERS_NAMED) and tag not in ("html", "body"))
+        if left and not out and tag in WRAPPERS and _wraps(page, tag, at):
+            left, wraps = False, True
+        if tag == "article" and names & {"comment", "comments"}:
+            left = True
+        if "main" in names and "role" in attributes.lower():
+            kind = 2
+    if tag == "main":
+        kind = 2
+    return left, kind, wraps
+
+
+def choose(blocks: list[Block], boxes: list[Box], exact: frozenset[int] = frozenset(), shapes: frozenset[int] = frozenset()) -> tuple[list[str], tuple[int, int, int]]:
+    """The texts of a page without its templates, and how many other blocks were left out as template, by the lists of tags
+    and names, and as outside of the article or main element."""
+    gone = {i for i, x in enumerate(boxes) if x.exact in exact or (x.small and x.shape in shapes)}
+    kept = [b for b in blocks if gone.isdisjoint(b.boxes)] if gone else blocks
+    free = [b for b in kept if not b.listed]
+    inside = [b for b in free if b.article] if any(b.article for b in free) else [b for b in free if b.main] if any(b.main for b in free) else free
+    return [b.text for b in inside], (len(blocks) - len(kept), len(kept) - len(free), len(free) - len(inside))
 
 
-PARSED = "main long, parts array<struct<hashes: array<bigint>, text: string>>, containers array<bigint>"
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, x, main, e, s, links): the containers of each page, s null where the shape can't tell."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            host, x, main, e, s, links = [], [], [], [], [], []
+            for h, key, t in zip(*(some.column(c).to_pylist() for c in ("host", "x", "h")), strict=True):
+                blocks, boxes = parse(t)
+                text = _signed("\n".join(choose(blocks, boxes)[0]))
+                for box in {b.exact: b for b in boxes}.values():
+                    host.append(h)
+                    x.append(key)
+                    main.append(text)
+                    e.append(box.exact)
+                    s.append(box.shape if box.small else None)
+                    links.append(box.links)
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), *(pa.array(v, pa.int64()) for v in (x, main, e, s)), pa.array(links, pa.bool_())], names=["host", "x", "main", "e", "s", "links"])
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """pages (p, u, x, h) with the columns of PARSED, without h."""
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            text, ruled = [], []
+            for t, exact, shapes in zip(*(some.column(c).to_pylist() for c in ("h", "es", "ss")), strict=True):
+                texts, by = choose(*parse(t), frozenset(exact or ()), frozenset(shapes or ()))
+                text.append("\n\n".join(texts))
+                ruled.append(by)
+            by = zip(*ruled, strict=True)
+            yield pa.RecordBatch.from_arrays([some.column("p"), some.column("u"), pa.array(text, pa.string()), *(pa.array(v, pa.int64()) for v in by)], names=["p", "u", "text", *RULES])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = pa.struct([("hashes", pa.list_(pa.int64())), ("text", pa.string())])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                found = [parse(t) for t in some.column("h").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(some.column(c) for c in ("p", "u", "x", "host")),
-                        pa.array([f[0] for f in found], pa.int64()),
-                        pa.array([[{"hashes": h, "text": t} for h, t in f[1]] for f in found], pa.list_(part)),
-                        pa.array([sorted(set(f[2])) for f in found], pa.list_(pa.int64())),
-                    ],
-                    names=["p", "u", "x", "host", "main", "parts", "containers"],
-                )
 
-    return pages.mapInArrow(run, "p long, u string, x long, host string, " + PARSED)
+#: Numbers of blocks left out as template, by the lists, and as outside of the article or main element.
+RULES = ("n_template", "n_listed", "n_outside")
+
+
+def templates(boxes: DataFrame, min_pages: int = MIN_PAGES, recurring: float = RECURRING) -> tuple[DataFrame, DataFrame]:
+    """Keys (host, e) of exact subtrees and (host, s) of shapes that are template. boxes: host, main, e, s, links.
+
+    Pages of equal main text count once, so copies of a page make no template.
+    """
+    once = boxes.select("host", "main", "e", "s", "links").distinct()
+    subtrees = materialize(once.groupBy("host", "e", "s").agg(F.count("*").alias("n"), F.max("links").alias("links")).where((F.col("n") > 1) | F.col("s").isNotNull()), "subtrees")
+    exact = subtrees.where(F.col("n") >= min_pages).select("host", "e").distinct()
+    pages = once.where("s is not null").select("host", "s", "main").distinct().groupBy("host", "s").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    share = subtrees.where("s is not null").groupBy("host", "s").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("again"), F.sum(F.when(F.col("links"), F.col("n")).otherwise(0)).alias("menus"))
+    told = (F.col("again") >= recurring * F.col("all")) | (F.col("menus") >= 0.5 * F.col("all"))
+    return exact, share.where(told).join(pages, ["host", "s"], "left_semi").select("host", "s")
 
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """For each row of pages: page_id, url and text.
+def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES, recurring: float = RECURRING) -> DataFrame:
+    """For each row of pages: page_id, url, text, and n_template, n_listed, n_outside: the blocks each rule left out.
 
     text: the blocks of the page's articles, else of its main element, else of all of it, in page order, joined by two
-    newlines; within a block character references are decoded and white space is one space. A null or empty page, or one
-    without such text, has the empty text. Pages of a null url, or one without a host, count as one host. Pages of equal
-    main text count once for templates, so copies of a page are no template. Repeated rows are treated alike and all
-    stay; other columns are not read; an empty table gives no rows.
+    newlines; within a block character references are decoded and white space is one space. Only whole containers are
+    template; paragraphs and headings outside of those never go for recurring. A null or empty page, or one without such
+    text, has the empty text. Pages of a null url, or one without a host, count as one host. Repeated rows are treated
+    alike and all stay; other columns are not read; an empty table gives no rows.
     """
     host = F.regexp_extract(F.lower(F.coalesce(F.col(url), F.lit(""))), r"^[a-z][a-z0-9+.\-]*://([^/?#]*)", 1)
     body = F.coalesce(F.col(page), F.lit(""))
-    base = pages.select(F.col(page_id).cast("long").alias("p"), F.col(url).alias("u"), F.xxhash64(body, F.coalesce(F.col(url), F.lit(""))).alias("x"), host.alias("host"), body.alias("h"))
-    parsed = materialize(_parsed(base), "parsed")  # each page is parsed once for all uses below
-    counted = parsed.select("host", "main", F.explode("containers").alias("hash")).distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    templates = materialize(counted.select("host", "hash"), "templates")
-    free = F.forall("parts", lambda q: F.size(q["hashes"]) == 0)
-    done = parsed.where(free).select("p", "u", F.transform("parts", lambda q: q["text"]).alias("texts"))
-    bound = parsed.where(~free)
-    used = bound.select("x", "host", F.explode(F.array_distinct(F.flatten(F.transform("parts", lambda q: q["hashes"])))).alias("hash")).distinct()
-    gone = used.join(templates, ["host", "hash"]).groupBy("x").agg(F.collect_set("hash").alias("gone"))
-    rest = bound.join(gone, "x", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
-    rest = rest.select("p", "u", F.transform(F.filter("parts", lambda q: ~F.arrays_overlap(q["hashes"], F.col("gone"))), lambda q: q["text"]).alias("texts"))
-    return done.unionByName(rest).select(F.col("p").alias(page_id), F.col("u").alias(url), F.array_join("texts", "\n\n").alias("text"))
+    base = pages.select(F.col(page_id).cast("long").alias("p"), F.col(url).alias("u"), F.xxhash64(body, host).alias("x"), host.alias("host"), body.alias("h"))
+    boxes = materialize(base.select("host", "x", "h").mapInArrow(_hashed, "host string, x long, main long, e long, s long, links boolean").distinct(), "boxes")
+    exact, shapes = templates(boxes, min_pages, recurring)
+    none = F.lit(None).cast("long")
+    gone = boxes.join(exact, ["host", "e"], "left_semi").select("x", "e", none.alias("s")).unionByName(boxes.join(shapes, ["host", "s"], "left_semi").select("x", none.alias("e"), "s"))
+    gone = materialize(gone.groupBy("x").agg(F.collect_set("e").alias("es"), F.collect_set("s").alias("ss")), "templates")
+    schema = "p long, u string, text string, " + ", ".join(f"{r} long" for r in RULES)
+    out = base.select("p", "u", "x", "h").join(gone, "x", "left").select("p", "u", "h", "es", "ss").mapInArrow(_texts, schema)
+    return out.withColumnsRenamed({"p": page_id, "u": url})
 
 
 def op6_html_text(spark, sf_dir: str) -> DataFrame:
