@@ -452,6 +452,30 @@ def test_substrings(spark, odd, sf):
     assert rows(substring_dedup.dedup(df, window=5, digest=True)) == sorted(substring_dedup.brute_force(few, 5), key=repr)
 
 
+def test_substrings_without_ids(spark):
+    """Many different texts of null id, and of one id, are told apart."""
+    r = random.Random(12)
+    data = [(None if i % 2 else 7, f"{i} " + " ".join(r.choice("abc") + str(r.randrange(40)) for _ in range(20))) for i in range(20_000)]
+    data += [(3, " ".join(t.split()[2:18])) for _, t in data[::40]]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    got = rows(substring_dedup.dedup(df, digest=True))
+    assert got == sorted(substring_dedup.brute_force(data), key=repr) and sum(x[2] > 0 for x in got) >= 500
+
+
+@pytest.mark.parametrize("window", [1, 2, 4, 6, 10, 13])
+def test_substring_windows(spark, window, monkeypatch):
+    """Every window length, with minimizers taken for hot and slices of a few documents."""
+    r = random.Random(window)
+    data = [(r.randrange(60), " ".join(r.choice("ab") for _ in range(r.randint(0, 60)))) for _ in range(80)]
+    data = list(dict(data).items())
+    run = substring_dedup._hot_minimizers
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", 1e-9)
+    monkeypatch.setattr(words, "SLICE_BYTES", 64)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert len(run(df.select(F.col("text").alias("t")), len(data), window)) > 0
+    assert rows(substring_dedup.dedup(df, window=window, digest=True)) == sorted(substring_dedup.brute_force(data, window), key=repr)
+
+
 def test_native_equals_sql(spark, sf):
     import duckdb
 

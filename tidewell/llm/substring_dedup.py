@@ -4,12 +4,16 @@ A window is ``window`` consecutive words. Equal windows share their minimizer, t
 so neighbouring windows travel together to the shard of their minimizer as one short piece of text. In a shard, windows
 found in two documents or more are confirmed; an automaton is compiled of them and run over the shard's pieces to locate
 every occurrence, and each pattern's occurrences outside its smallest document are marked. The marks go back to the
-documents, and each word under a marked window is removed.
+documents, and each word under a marked window is removed. The automaton's symbols are runs of a few words, a window being
+some SYMBOLS of them that overlap or touch, so it has a fraction of the states that single words would take.
+
+There are as many shards as the texts' bytes ask for, so a shard fits a task at any size of the input.
 
 Hot passages: a slice of documents decides by itself the windows that also start in a smaller document of the slice, and
-ships only the first occurrence, so a passage comes at most once a slice however often it occurs. Windows around a
-hot passage would still share its minimizer; minimizers that are hot in a sample are dealt by window instead. The sample
-only decides where windows go, never what is found.
+ships only the first occurrence. Windows around a hot passage would still share its minimizer; minimizers that are hot in
+a sample are dealt by window instead, and a task remembers the smallest document of each such window over all its slices,
+so a hot passage comes to its shard about once a task, however often it occurs. The sample only decides where windows go,
+never what is found.
 """
 
 from __future__ import annotations
@@ -28,6 +32,10 @@ WINDOW = 13
 MINI = 3
 HOT_SHARE = 0.002
 HOT_SAMPLE_ROWS = 4000
+#: Bytes of text for each shard.
+SHARD_BYTES = 6 << 20
+SYMBOLS = 4
+CHUNK_WORDS = 500_000
 NULL_ID = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -49,7 +57,7 @@ def _windows(w: words.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return at, h[at], least[at]
 
 
-def _hot_minimizers(docs: DataFrame, window: int) -> np.ndarray:
+def _hot_minimizers(docs: DataFrame, rows: int, window: int) -> np.ndarray:
     """Minimizers of over HOT_SHARE of a bounded sample's windows: at most 1 / HOT_SHARE of them."""
 
     def count(batches):
@@ -61,7 +69,6 @@ def _hot_minimizers(docs: DataFrame, window: int) -> np.ndarray:
                 total = np.zeros(1, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(value[keep].view(np.int64), total)), pa.array(np.append(n[keep], n.sum()))], names=["m", "n"])
 
-    rows = docs.count()
     sample = docs.select("t").sample(min(1.0, HOT_SAMPLE_ROWS / max(rows, 1)), seed=1)
     counts = sample.mapInArrow(count, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("m") == 0, F.col("n")))
@@ -80,6 +87,7 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
+        seen, seen_id = np.zeros(0, _U), np.zeros(0, np.int64)  # hot windows of earlier slices and their smallest documents
         for batch in batches:
             for piece in words.slices(batch, "t", 4 * words.SLICE_BYTES):
                 w = words.split(piece.column("t"), "white")
@@ -97,6 +105,15 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
                 least_id = np.empty(len(at), np.int64)
                 least_id[order] = np.repeat(np.minimum.reduceat(owner[order], cut), np.diff(np.append(cut, len(at))))
                 gone = owner > least_id
+                split = np.isin(least, hot) if len(hot) else np.zeros(len(at), bool)
+                if split.any():
+                    if len(seen):
+                        i = np.minimum(np.searchsorted(seen, h[split]), len(seen) - 1)
+                        gone[split] |= (seen[i] == h[split]) & (owner[split] > seen_id[i])
+                    both, both_id = np.concatenate([seen, h[split]]), np.concatenate([seen_id, least_id[split]])
+                    by = np.lexsort((both_id, both))
+                    new = np.concatenate([[True], both[by][1:] != both[by][:-1]])
+                    seen, seen_id = both[by][new], both_id[by][new]
                 del order, hs, least_id
                 out = []
                 if gone.any():
@@ -104,9 +121,8 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
                     d = w.doc[a]
                     out.append((-1, ids[d], keys[d], a - first[d], n, b"", 0))
                 keep = ~gone
-                at, h, least = at[keep], h[keep], least[keep]
+                at, h, least, split = at[keep], h[keep], least[keep], split[keep]
                 route = words.mix(least)
-                split = np.isin(least, hot) if len(hot) else np.zeros(len(at), bool)
                 route[split] = h[split]
                 shard = (route % _U(shards)).astype(np.int64)
                 # runs of neighbouring windows that go the same way
@@ -194,21 +210,40 @@ def _locate(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     busy = np.zeros(len(n), bool)
     busy[piece[order[np.repeat(twice, times)]]] = True
     del hs, ow, order, times, h, owner
-    number = np.zeros(len(w.h), np.int64)
-    used = np.repeat(busy, span)
-    number[used] = np.unique(w.h[used], return_inverse=True)[1]
+    parts = min(SYMBOLS, window)
+    stride = max(1, (window - 1) // SYMBOLS)
+    gram = window - stride * (parts - 1)  # words of a symbol, at least stride
+    grams = words.windows(w.h, gram)
+    used = np.repeat(busy, span)[: len(grams)]
+    symbol = np.zeros(len(grams), np.int64)  # 0 parts sequences
+    symbol[used] = np.unique(grams[used], return_inverse=True)[1] + 1
+    del grams, used
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for k, a in enumerate(at[patterns].tolist()):
-        automaton.add_word(tuple(number[a : a + window].tolist()), k)
+    for k, key_of in enumerate(symbol[at[patterns][:, None] + stride * np.arange(parts)].tolist()):
+        automaton.add_word(tuple(key_of), k)
     automaton.make_automaton()
-    found_piece, found_at, found_k = [], [], []
-    for p in np.flatnonzero(busy).tolist():
-        b = int(base[p])
-        for end, k in automaton.iter(tuple(number[b : b + int(span[p])].tolist())):
-            found_piece.append(p)
-            found_at.append(end - window + 1)
-            found_k.append(k)
-    fp, fa, fk = np.array(found_piece, np.int64), np.array(found_at, np.int64), np.array(found_k, np.int64)
+    fp, fa, fk = [], [], []
+    some = np.flatnonzero(busy)
+    for ps in np.split(some, np.flatnonzero(np.diff(np.cumsum(span[some]) // CHUNK_WORDS)) + 1):
+        # each piece as one sequence of symbols for each phase of the stride
+        size = span[ps] - gram + 1
+        of = np.repeat(np.arange(len(ps)), size)
+        offset = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        lengths = (size[:, None] - np.arange(stride) + stride - 1) // stride + 1
+        starts = (np.cumsum(lengths.ravel()) - lengths.ravel()).reshape(lengths.shape)
+        place = starts[of, offset % stride] + offset // stride
+        sequence, word_at = np.zeros(int(lengths.sum()), np.int64), np.zeros(int(lengths.sum()), np.int64)
+        word_at[place] = base[ps][of] + offset
+        sequence[place] = symbol[word_at[place]]
+        found = np.array(list(automaton.iter(tuple(sequence.tolist()))), np.int64).reshape(-1, 2)
+        first = word_at[found[:, 0]] - stride * (parts - 1)
+        p = np.searchsorted(base, first, side="right") - 1
+        fp.append(p)
+        fa.append(first - base[p])
+        fk.append(found[:, 1])
+    fp, fa, fk = np.concatenate(fp), np.concatenate(fa), np.concatenate(fk)
+    by = np.lexsort((fa, fp))
+    fp, fa, fk = fp[by], fa[by], fk[by]
     removed = doc[fp] > least[fk]
     fp, fa = fp[removed], fa[removed]
     if len(fp):
@@ -220,9 +255,9 @@ def _locate(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
 
 def removed_runs(docs: DataFrame, window: int = WINDOW, shards: int | None = None) -> DataFrame:
     """(id, key, runs) of the documents that lose words; docs has id, key and t."""
-    spark = docs.sparkSession
-    shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shipped = _ship(docs, window, shards, _hot_minimizers(docs, window))
+    size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("bytes")).first()
+    shards = shards or size["bytes"] // SHARD_BYTES + 1
+    shipped = _ship(docs, window, shards, _hot_minimizers(docs, size["rows"], window))
 
     # rows decided in their slice are spread over all tasks, beside the shards
     dealt = shipped.withColumn("deal", F.when(F.col("shard") >= 0, F.col("shard")).otherwise(-1 - F.pmod(F.hash("doc"), F.lit(shards))))
@@ -282,10 +317,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     A word is removed if a window over it also starts in a document of a smaller id. Null and empty texts have no words.
     A null id is larger than all others. Rows of one id and text are one document and get equal results; texts that share
-    an id don't remove from each other (24 bits of their hashes tell them apart). An empty table gives no rows; other columns are not read.
+    an id don't remove from each other (64 bits of hash tell them apart). An empty table gives no rows; other columns are not read.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    base = base.select("d", F.coalesce("d", F.lit(int(NULL_ID))).alias("id"), F.xxhash64("t").bitwiseAND(F.lit((1 << 24) - 1)).alias("key"), "t")
+    base = base.select("d", F.coalesce("d", F.lit(int(NULL_ID))).alias("id"), F.xxhash64("t").alias("key"), "t")
     marks = removed_runs(base.select("id", "key", "t"), window)
     both = base.join(marks, ["id", "key"], "left").select("d", "id", "key", "t", "runs")
     return both.mapInArrow(_kept(window, digest), "d long, n_words long, n_removed long, kept string").withColumnRenamed("d", doc_id)
