@@ -45,6 +45,60 @@ def test_tables(spark, tmp_path):
     assert readers.read_class_map(spark, str(tmp_path / "list.yaml")) == {"Coho": 0, "Chum": 1}
 
 
+def test_headers_differ(spark, tmp_path):
+    """Every reader of CSV files goes by the header of each file, not by position."""
+    write = lambda name, text: ((tmp_path / name).parent.mkdir(parents=True, exist_ok=True), (tmp_path / name).write_text(text))
+    write("counts/a b.csv", "\ufefffilename,l_coho,r_coho\na,2,3\n")
+    write("counts/b.csv", "filename,l_sockeye,r_coho\nb,7,9\n")
+    write("counts/c.csv", "filename, r_coho, l_coho\nc,5,4\n")
+    got = {(r["filename"], r["direction"], r["species"]): r["n"] for r in readers.read_counts(spark, str(tmp_path / "counts")).collect()}
+    assert got == {("a", "l", "coho"): 2, ("a", "r", "coho"): 3, ("b", "l", "sockeye"): 7, ("b", "r", "coho"): 9, ("c", "r", "coho"): 5, ("c", "l", "coho"): 4}
+    write("tune/t1/results.csv", "epoch,  fitness, metrics/mAP50(B)\n1, 0.3, 0.5\n")
+    write("tune/t2/results.csv", "epoch,metrics/mAP50(B),fitness\n1,0.6,0.2\n")
+    got = {r["trial"]: (r["fitness"], r["metrics/mAP50(B)"]) for r in readers.read_trials(spark, str(tmp_path / "tune")).collect()}
+    assert got == {"t1": (0.3, 0.5), "t2": (0.2, 0.6)}
+    write("net/x/m.csv", "ts,bits,jitter\n60,1.5,2\n")
+    write("net/y/m.csv", "time,jitter,bits\n120,3,4.5\nodd,1,1\n")
+    got = sorted((r["ts"] is None, r["bits"], r["jitter"]) for r in readers.read_measurements(spark, str(tmp_path / "net"), "m.csv", ["bits", "jitter"]).collect())
+    assert got == [(False, 1.5, 2.0), (False, 4.5, 3.0), (True, 1.0, 1.0)]
+    write("rev/a.csv", "clip,site,x__total__annotated,y__total__annotated\nk,s1,2,3\nl,s2,1,\n")
+    write("rev/b.csv", "y__total__annotated,clip,site\n4,m,s1\n")
+    assert sorted(tuple(r) for r in readers.read_reviewed_counts(spark, str(tmp_path / "rev"), "clip").collect()) == [("k", 5), ("l", 1), ("m", 4)]
+    assert sorted(r["clip"] for r in readers.read_reviewed_counts(spark, str(tmp_path / "rev"), "clip", "site", ["s1"]).collect()) == ["k", "m"]
+    write("lat/aws_us/a.csv", "t,x,ms\n60,1,7\n")
+    assert [tuple(r)[1:] for r in readers.read_latency(spark, str(tmp_path / "lat")).collect()] == [("aws", "us", 7.0)]
+
+
+def test_strict_tasks(spark, tmp_path):
+    for name, text in (("a.json", '[{"id": 1}]'), ("b.json", '{"id": 2}'), ("c.json", "[broken"), ("d.json", "7")):
+        (tmp_path / name).write_text(text)
+    errors = {r["file_path"][-6:]: r["error"] for r in readers.read_tasks(spark, str(tmp_path), strict=True).collect()}
+    assert errors == {"a.json": None, "b.json": "no list of tasks", "c.json": "not readable", "d.json": "no list of tasks"}
+    assert sorted(r["id"] for r in readers.read_tasks(spark, str(tmp_path)).where("error is null").collect()) == [1, 2]
+
+
+def test_cvat(spark, tmp_path):
+    box = '<box label="Coho" xtl="1" ytl="2" xbr="3.5" ybr="4"><attribute name="__instance_id">9</attribute></box>'
+    (tmp_path / "output.xml").write_text(f'<annotations><version>1.1</version><image id="0" name="f0">{box}</image><image id="1" name="f1"></image></annotations>')
+    got = sorted(tuple(r)[1:] for r in readers.read_cvat_xml(spark, str(tmp_path)).collect())
+    assert got == [(0, "f0", 0, "Coho", 9, 1.0, 2.0, 3.5, 4.0), (1, "f1", None, None, None, None, None, None, None)]
+
+
+def test_log_order(spark, tmp_path):
+    d = tmp_path / "hdd" / "o" / "s" / "d"
+    d.mkdir(parents=True)
+    lines = [f"2025-06-25 05:21:24,544 - INFO [run.py:61] - m{i}" for i in range(4000)]
+    (d / "logs_20250625.log").write_text("\n".join(lines) + "\r\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        logs = readers.read_logs(spark, str(tmp_path))
+        assert logs.rdd.getNumPartitions() > 5
+        got = [(r["message"], str(r["file_date"])) for r in logs.orderBy("line_no").collect()]
+        assert got == [(f"m{i}", "2025-06-25") for i in range(4000)] and logs.select("line_no").distinct().count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_logs(spark, tmp_path):
     d = tmp_path / "hdd" / "org" / "site" / "dev" / "logs"
     d.mkdir(parents=True)
@@ -57,5 +111,33 @@ def test_json_sources(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps({"items": [{"id": f"c{i // 2}/f{i}", "annotations": [{"label_id": 1, "bbox": [0, 0, 2, 4], "attributes": {"track_id": 5} if i else {}}]} for i in range(4)]}))
     r = readers.read_datumaro(spark, str(tmp_path / "d.json")).orderBy("item_pos").collect()
     assert [(x["item_pos"], x["clip"], x["track_id"], x["cx"], x["y2"]) for x in r] == [(1, 1, 5, 1.0, 4.0), (2, 2, 5, 1.0, 4.0), (3, 2, 5, 1.0, 4.0)]
+    for name in ("one", "two"):
+        (tmp_path / "many").mkdir(exist_ok=True)
+        (tmp_path / "many" / f"{name}.json").write_text(json.dumps({"items": [{"id": f"{name}/f{i}", "annotations": [{"label_id": 1, "bbox": [0, 0, 2, 4], "attributes": {"track_id": 5}}]} for i in range(2)]}))
+    got = sorted((x["file"][-8:], x["item_pos"], x["clip"]) for x in readers.read_datumaro(spark, str(tmp_path / "many")).collect())
+    assert got == [("one.json", 0, 1), ("one.json", 1, 1), ("two.json", 0, 1), ("two.json", 1, 1)]
     (tmp_path / "o.json").write_text(json.dumps({"metadata": [{"name": "f0", "bounding_boxes": {"interested_objects": [{"x": 1, "y": 2, "w": 3, "h": 4}], "noises": []}}]}))
     assert [tuple(x) for x in readers.read_objects(spark, str(tmp_path / "o.json")).collect()] == [(0, "f0", "interested_objects", 0, 1, 2, 3, 4)]
+
+
+def test_shared_dir_on_a_cluster():
+    import pytest
+
+    from tidewell import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster())

@@ -152,3 +152,19 @@ def shift_name_ts(c: Column, frame: Column, fps: Column) -> Column:
 def event_clip_name(stem: Column, event_id: Column, part: Column) -> Column:
     """Name of a part of an event: the first eight digits of its id, three of the part's number."""
     return F.format_string("%s_E%s_p%03d", stem, F.substring(event_id, 1, 8), part)
+
+
+def file_date(path: Column) -> Column:
+    """The day in a file's name, its first eight digits; null where there are none or they are no day."""
+    return F.try_to_timestamp(F.nullif(F.regexp_extract(F.substring_index(path, "/", -1), r"(\d{8})", 1), F.lit("")), F.lit("yyyyMMdd")).cast("date")
+
+
+def split_metric(name: Column) -> Column:
+    """struct(side, species) of ``counts_l_<species>`` and ``counts_r_<species>``; null for any other name."""
+    side, species = F.regexp_extract(name, r"counts_(l|r)_(.*)", 1), F.regexp_extract(name, r"counts_(l|r)_(.*)", 2)
+    return F.when(side != "", F.struct(F.when(side == "l", "Left").otherwise("Right").alias("side"), species.alias("species")))
+
+
+def signed_value(name: Column, n: Column) -> Column:
+    """n, negative for counts to the left."""
+    return F.when(split_metric(name)["side"] == "Left", -n).otherwise(n)

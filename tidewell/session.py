@@ -30,10 +30,13 @@ def get_spark(app: str = "tidewell", master: str | None = None, shuffle_partitio
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's spark.checkpoint.dir.
 
-    Only where that is unset (single-machine tests) a new local folder is taken, once a session.
+    Only where that is unset and all work is on one machine (tests) a new local folder is taken, once a session. On a
+    cluster such a folder would be another one on every machine, so there an unset folder is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-tidewell-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

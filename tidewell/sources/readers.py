@@ -3,8 +3,9 @@ and number fields that may come as text are read as text and cast."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,17 +24,43 @@ def _path() -> F.Column:
     return F.col("_metadata.file_path")
 
 
-def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, item_pos, id, data, annotations, error): tasks of files that hold a list of tasks, or one.
+def read_headed(spark: SparkSession, path: str | Sequence[str], glob: str | None = None, each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows of CSV files of differing headers, each file read by its own, all columns as text, and file_path.
 
-    A file that can't be read gives one row with an error.
+    Files of equal headers are read together, so there is a read for each header there is; what ``each`` makes of one such
+    read is put together by name. Columns are in the order they are first seen, by file; a byte order mark and spaces
+    around names are dropped; a column that a file lacks is null. glob: names of files wanted in all folders below path.
+    """
+    options = {"recursiveFileLookup": True, "pathGlobFilter": glob} if glob else {}
+    lines = spark.read.options(**options).text(path if isinstance(path, str) else list(path)).where("_metadata.file_block_start = 0")
+    first = lines.select(_path().alias("file"), F.monotonically_increasing_id().alias("i"), "value").groupBy("file").agg(F.min_by("value", "i").alias("head"))
+    by_header: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # as many rows as the file listing, which the driver holds anyway
+        by_header.setdefault(r["head"].lstrip("\ufeff"), []).append(unquote(r["file"]))
+    if not by_header:
+        raise ValueError(f"no file with a header: {path}")
+    parts = []
+    for files in by_header.values():
+        raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(files).withColumn("file_path", _path())
+        named = raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
+        parts.append(each(named) if each else named)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_tasks(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """(file_path, item_pos, id, data, annotations, error): tasks of files that hold a list of tasks, or (unless strict) one.
+
+    A file that can't be read, or isn't such a list, gives one row with an error.
     """
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True).withColumn("file_path", _path())
-    body = F.trim("value")
-    listed = F.when(body.startswith("["), body).when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]")))
+    body = F.trim(F.regexp_replace("value", "^\ufeff", ""))
+    listed = F.when(body.startswith("["), body)
+    if not strict:
+        listed = listed.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]")))
     items = F.from_json(listed, f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in _fields(TASK))}>>", {"mode": "PERMISSIVE"})
-    read = text.select("file_path", F.posexplode_outer(items).alias("item_pos", "t"))
-    return read.select("file_path", "item_pos", "t.*", F.when(F.col("t").isNull(), F.lit("no list of tasks")).alias("error"))
+    read = text.select("file_path", body.alias("body"), F.posexplode_outer(items).alias("item_pos", "t"))
+    error = F.when(F.col("t").isNull(), F.when(F.col("body").startswith("["), "not readable").otherwise("no list of tasks"))
+    return read.select("file_path", "item_pos", "t.*", error.alias("error"))
 
 
 def _fields(schema: str) -> list[str]:
@@ -47,28 +74,27 @@ def _fields(schema: str) -> list[str]:
     return [*out, schema[at:].strip()]
 
 
-def keyframes(tasks: DataFrame) -> DataFrame:
-    """(file_path, item_pos, video_stem, track_pos, kf_pos, label, frame, x, y, w, h, enabled) of each task's latest annotation."""
+def keyframes(tasks: DataFrame, from_name: str | None = None, to_name: str | None = None) -> DataFrame:
+    """(file_path, item_pos, video_stem, track_pos, kf_pos, label, frame, x, y, w, h, enabled) of each task's latest annotation.
+
+    from_name, to_name: only results of that control and that object.
+    """
     latest = F.element_at(F.array_sort(F.transform("annotations", lambda a, i: F.struct(a["updated_at"].alias("u"), (-i).alias("i"), a["result"].alias("r")))), -1)["r"]
     video = N.path_stem(F.coalesce(F.col("data")["metadata_file_filename"], F.col("data")["video"], F.lit("unknown.mp4")))
     rows = tasks.where("annotations is not null and size(annotations) > 0").select("file_path", "item_pos", video.alias("video_stem"), F.posexplode(latest).alias("track_pos", "r"))
+    for name, wanted in (("from_name", from_name), ("to_name", to_name)):
+        rows = rows.where(F.col("r")[name] == wanted) if wanted is not None else rows
     rows = rows.where(F.col("r.type") == "videorectangle").select("file_path", "item_pos", "video_stem", "track_pos", F.get("r.value.labels", 0).alias("label"), F.posexplode("r.value.sequence").alias("kf_pos", "k"))
     return rows.select("file_path", "item_pos", "video_stem", "track_pos", "kf_pos", "label", F.col("k.frame").cast("int").alias("frame"), F.col("k.x").alias("x"), F.col("k.y").alias("y"), F.col("k.width").alias("w"), F.col("k.height").alias("h"), F.col("k.enabled").alias("enabled"))
 
 
-def read_csv_union(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows of CSV files with differing headers, all columns as text, in the order columns are first seen."""
-    parts = [spark.read.option("header", True).csv(p) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 CONDITION_IDS = ("Project", "Site", "Camera", "Filename", "Date", "Time", "Notes:", "Image Link:")  # fixed values: columns that are no conditions
 
 
 def read_conditions(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(video_stem, task_id, conditions): rows whose fixed fields and time can be read; the other columns as a map."""
-    rows = read_csv_union(spark, paths)
-    dynamic = [c for c in rows.columns if c.strip() not in CONDITION_IDS]
+    rows = read_headed(spark, paths)
+    dynamic = [c for c in rows.columns if c not in (*CONDITION_IDS, "file_path")]
     value = lambda c: F.when(~F.upper(F.trim(F.col(f"`{c}`"))).isin("", "NA"), F.trim(F.col(f"`{c}`")))
     conditions = F.map_filter(F.create_map(*[x for c in dynamic for x in (F.lit(c.strip()), value(c))]) if dynamic else F.create_map().cast("map<string,string>"), lambda k, v: v.isNotNull())
     stem = N.construct_stem(*[value(c) for c in ("Project", "Site", "Camera", "Date", "Time")])
@@ -76,7 +102,7 @@ def read_conditions(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_video_metadata(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("header", True).csv(path).where(F.trim("video_stem") != "")
+    rows = read_headed(spark, path).drop("file_path").where(F.trim("video_stem") != "")
     return rows.withColumns({c: F.col(c).try_cast(t) for c, t in (("fps", "double"), ("nb_frames", "long"), ("duration", "double"), ("width", "int"), ("height", "int")) if c in rows.columns})
 
 
@@ -111,46 +137,64 @@ def read_class_map(spark: SparkSession, path: str) -> dict[str, int]:
 
 
 def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
-    """(org, site, device, file, line_no, ts, level, module, message) of log lines that can be read."""
+    """(org, site, device, file, file_date, line_no, ts, level, module, message) of log lines that can be read.
+
+    Lines are read by themselves, so a log of any size is split over tasks; line_no grows with the line's place in its file.
+    """
     from tidewell.operators.runs import parse_log_line
 
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True).withColumn("file", _path())
-    rows = files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).withColumn("p", parse_log_line(F.col("line"))).where("p is not null")
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    # a split starts at as many bytes as there can be lines before it, and only a file's last split shares its task
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = lines.select(_path().alias("file"), (F.col("_metadata.file_block_start") + within).alias("line_no"), parse_log_line(F.col("value")).alias("p")).where("p is not null")
     who = [F.regexp_extract("file", r"/hdd/([^/]+)/([^/]+)/([^/]+)/", i).alias(n) for i, n in ((1, "org"), (2, "site"), (3, "device"))]
-    return rows.select(*who, "file", "line_no", "p.*")
+    return rows.select(*who, "file", N.file_date(F.col("file")).alias("file_date"), "line_no", "p.*")
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(filename, direction, species, n) of wide tables l_<species>, r_<species>."""
+    """(filename, direction, species, n) of wide tables l_<species>, r_<species>; a species that a file lacks has no row."""
     from tidewell.operators.counts import counts_long
 
-    wide = spark.read.option("header", True).csv(path)
-    return counts_long(wide.withColumns({c: F.col(c).try_cast("long") for c in wide.columns if c[:2] in ("l_", "r_")}), "filename")
+    def long(wide: DataFrame) -> DataFrame:
+        return counts_long(wide.withColumns({c: F.col(c).try_cast("long") for c in wide.columns if c[:2] in ("l_", "r_")}), "filename")
 
+    return read_headed(spark, path, each=long)
 
-def read_reviewed_counts(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """(key, n): row totals of the columns that end with __total__annotated."""
-    wide = spark.read.option("header", True).csv(path)
-    cells = [c for c in wide.columns if c.endswith("__total__annotated")]
-    return wide.select(key, reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`").try_cast("long"), F.lit(0)) for c in cells], F.lit(0).cast("long")).alias("n"))
+
+def read_reviewed_counts(spark: SparkSession, path: str, key: str, site: str | None = None, sites: Sequence[str] = ()) -> DataFrame:
+    """(key, n): row totals of the columns that end with __total__annotated; with a site column, only rows of the sites."""
+
+    def total(wide: DataFrame) -> DataFrame:
+        cells = [c for c in wide.columns if c.endswith("__total__annotated")]
+        rows = wide.where(F.col(f"`{site}`").isin(list(sites))) if site else wide
+        return rows.select(key, reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`").try_cast("long"), F.lit(0)) for c in cells], F.lit(0).cast("long")).alias("n"))
+
+    return read_headed(spark, path, each=total)
 
 
 def read_measurements(spark: SparkSession, root: str, glob: str, columns: Sequence[str]) -> DataFrame:
     """(ts, file, columns as doubles) of CSV files whose first column is epoch seconds."""
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(root)
-    return raw.select(F.timestamp_seconds(F.col(f"`{raw.columns[0]}`").try_cast("double")).alias("ts"), _path().alias("file"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in columns])
+
+    def pick(raw: DataFrame) -> DataFrame:
+        number = [(F.col(f"`{c}`").try_cast("double") if c in raw.columns else F.lit(None).cast("double")).alias(c) for c in columns]
+        return raw.select(F.timestamp_seconds(F.col(f"`{raw.columns[0]}`").try_cast("double")).alias("ts"), F.col("file_path").alias("file"), *number)
+
+    return read_headed(spark, root, glob, each=pick)
 
 
 def read_weather(spark: SparkSession, path: str, time_column: str, rain_column: str, zone: str) -> DataFrame:
-    raw = spark.read.option("header", True).csv(path)
+    raw = read_headed(spark, path)
     return raw.select(F.to_utc_timestamp(F.col(f"`{time_column}`").try_cast("timestamp"), zone).alias("ts"), F.col(f"`{rain_column}`").try_cast("double").alias("precip_mm"))
 
 
 def read_latency(spark: SparkSession, path: str) -> DataFrame:
     """(ts, provider, region, latency): the third column of files in ``provider_region`` folders."""
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
-    folder = F.element_at(F.split(_path(), "/"), -2)
-    return raw.select(F.timestamp_seconds(F.col(f"`{raw.columns[0]}`").try_cast("double")).alias("ts"), F.substring_index(folder, "_", 1).alias("provider"), F.expr("substring_index(element_at(split(_metadata.file_path, '/'), -2), '_', -1)").alias("region"), F.col(f"`{raw.columns[2]}`").try_cast("double").alias("latency"))
+    folder = F.element_at(F.split("file_path", "/"), -2)
+
+    def pick(raw: DataFrame) -> DataFrame:
+        return raw.select(F.timestamp_seconds(F.col(f"`{raw.columns[0]}`").try_cast("double")).alias("ts"), F.substring_index(folder, "_", 1).alias("provider"), F.substring_index(folder, "_", -1).alias("region"), F.col(f"`{raw.columns[2]}`").try_cast("double").alias("latency"))
+
+    return read_headed(spark, path, "*.csv", each=pick)
 
 
 def read_mot(spark: SparkSession, path: str) -> DataFrame:
@@ -165,19 +209,19 @@ def read_jde(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_datumaro(spark: SparkSession, path: str) -> DataFrame:
-    """(item_pos, item, clip, label_id, track_id, x1, y1, x2, y2, cx, cy, w, h); boxes without a track are left out.
+    """(file, item_pos, item, clip, label_id, track_id, x1, y1, x2, y2, cx, cy, w, h); boxes without a track are left out.
 
-    Items of one parent path are a clip; a path that comes again later is another clip.
+    Neighbouring items of one parent path are a clip of the file; a path that comes again later is another clip.
     """
     from pyspark.sql import Window
 
     schema = "items array<struct<id: string, annotations: array<struct<label_id: int, bbox: array<double>, attributes: struct<track_id: string>>>>>"
-    items = spark.read.schema(schema).option("multiLine", True).json(path).select(F.posexplode("items").alias("item_pos", "i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
-    w = Window.orderBy("item_pos")
+    items = spark.read.schema(schema).option("multiLine", True).json(path).select(_path().alias("file"), F.posexplode("items").alias("item_pos", "i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
+    w = Window.partitionBy("file").orderBy("item_pos")
     items = items.withColumn("new", F.coalesce((F.col("parent") != F.lag("parent").over(w)).cast("int"), F.lit(1))).withColumn("clip", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = items.select("item_pos", F.col("i.id").alias("item"), "clip", F.explode("i.annotations").alias("a"))
+    rows = items.select("file", "item_pos", F.col("i.id").alias("item"), "clip", F.explode("i.annotations").alias("a"))
     x, y, w_, h = (F.get("a.bbox", i) for i in range(4))
-    out = rows.select("item_pos", "item", "clip", F.col("a.label_id").alias("label_id"), F.col("a.attributes.track_id").try_cast("long").alias("track_id"), x.alias("x1"), y.alias("y1"), (x + w_).alias("x2"), (y + h).alias("y2"), (x + w_ / 2).alias("cx"), (y + h / 2).alias("cy"), w_.alias("w"), h.alias("h"))
+    out = rows.select("file", "item_pos", "item", "clip", F.col("a.label_id").alias("label_id"), F.col("a.attributes.track_id").try_cast("long").alias("track_id"), x.alias("x1"), y.alias("y1"), (x + w_).alias("x2"), (y + h).alias("y2"), (x + w_ / 2).alias("cx"), (y + h / 2).alias("cy"), w_.alias("w"), h.alias("h"))
     return out.where("track_id is not null")
 
 
@@ -188,8 +232,8 @@ def read_tasks_min(spark: SparkSession, path: str) -> DataFrame:
 
 def read_trials(spark: SparkSession, root: str) -> DataFrame:
     """Epoch rows of ``<trial>/results.csv``, numbers as doubles."""
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv").option("ignoreLeadingWhiteSpace", True).csv(root)
-    return raw.select(F.element_at(F.split(_path(), "/"), -2).alias("trial"), *[F.col(f"`{c}`").try_cast("double").alias(c.strip()) for c in raw.columns])
+    raw = read_headed(spark, root, "results.csv")
+    return raw.select(F.element_at(F.split("file_path", "/"), -2).alias("trial"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in raw.columns if c != "file_path"])
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
@@ -197,8 +241,19 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", _path())
 
 
-def read_cvat_xml(spark: SparkSession, path: str, row_tag: str = "track") -> DataFrame:
-    return spark.read.format("xml").option("rowTag", row_tag).load(path)
+CVAT_ATTRIBUTE = "array<struct<_name: string, _VALUE: string>>"
+CVAT_IMAGE = f"_id long, _name string, box array<struct<_label: string, _xtl: double, _ytl: double, _xbr: double, _ybr: double, attribute: {CVAT_ATTRIBUTE}>>"
+
+
+def read_cvat_xml(spark: SparkSession, path: str) -> DataFrame:
+    """(file, image_id, image, box_pos, label, track_id, x1, y1, x2, y2) of the boxes of each image.
+
+    track_id is the attribute __instance_id, or track_id. An image without boxes has one row without.
+    """
+    images = spark.read.format("xml").schema(CVAT_IMAGE).option("rowTag", "image").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(path)
+    rows = images.select(_path().alias("file"), F.col("_id").alias("image_id"), F.col("_name").alias("image"), F.posexplode_outer("box").alias("box_pos", "b"))
+    own = F.get(F.filter("b.attribute", lambda a: a["_name"].isin("__instance_id", "track_id")), 0)["_VALUE"]
+    return rows.select("file", "image_id", "image", "box_pos", F.col("b._label").alias("label"), own.try_cast("long").alias("track_id"), *[F.col(f"b.{c}").alias(n) for c, n in (("_xtl", "x1"), ("_ytl", "y1"), ("_xbr", "x2"), ("_ybr", "y2"))])
 
 
 def read_listing(spark: SparkSession, path: str, extensions: Sequence[str] = N.VIDEO_EXTENSIONS) -> DataFrame:
@@ -208,7 +263,7 @@ def read_listing(spark: SparkSession, path: str, extensions: Sequence[str] = N.V
 
 
 def read_video_inventory(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("header", True).csv(path)
+    rows = read_headed(spark, path)
     return rows.select(F.regexp_replace(F.concat_ws("/", "`File Path`", "`File Name`"), r"[\\/]+", "/").alias("path"))
 
 
