@@ -278,13 +278,26 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), *(pa.array(v, pa.int64()) for v in (x, main, e, s)), pa.array(links, pa.bool_())], names=["host", "x", "main", "e", "s", "links"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages packed for their way to their templates."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        z = [pack((h or "").encode()) for h in batch.column("h").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("p", "u", "x")), pa.array(z, pa.binary())], names=["p", "u", "x", "z"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             some = batch.slice(at, 256)
             text, ruled = [], []
-            for t, exact, shapes in zip(*(some.column(c).to_pylist() for c in ("h", "es", "ss")), strict=True):
-                texts, by = choose(*parse(t), frozenset(exact or ()), frozenset(shapes or ()))
+            for z, exact, shapes in zip(*(some.column(c).to_pylist() for c in ("z", "es", "ss")), strict=True):
+                texts, by = choose(*parse(unpack(z).decode()), frozenset(exact or ()), frozenset(shapes or ()))
                 text.append("\n\n".join(texts))
                 ruled.append(by)
             by = zip(*ruled, strict=True)
@@ -327,7 +340,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     gone = boxes.join(exact, ["host", "e"], "left_semi").select("x", "e", none.alias("s")).unionByName(boxes.join(shapes, ["host", "s"], "left_semi").select("x", none.alias("e"), "s"))
     gone = materialize(gone.groupBy("x").agg(F.collect_set("e").alias("es"), F.collect_set("s").alias("ss")), "templates")
     schema = "p long, u string, text string, " + ", ".join(f"{r} long" for r in RULES)
-    out = base.select("p", "u", "x", "h").join(gone, "x", "left").select("p", "u", "h", "es", "ss").mapInArrow(_texts, schema)
+    packed = base.select("p", "u", "x", "h").mapInArrow(_packed, "p long, u string, x long, z binary")
+    # the templates found grow with the pages, so they are never broadcast
+    out = packed.join(gone.hint("merge"), "x", "left").select("p", "u", "z", "es", "ss").mapInArrow(_texts, schema)
     return out.withColumnsRenamed({"p": page_id, "u": url})
 
 
