@@ -90,5 +90,5 @@ def norm_value(c: Column) -> Column:
 
 
 def hash_order(seed: int, *keys: Column) -> Column:
-    """A deterministic pseudo-random order of rows, the same however they are partitioned."""
-    return F.xxhash64(F.lit(seed), *keys)
+    """A deterministic pseudo-random order of rows, the same however they are partitioned: the MD5 of seed and keys."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import hash_order
+from tidewell.operators.ordered import with_running
 from tidewell.operators.stats import condition_targets
 
 FEATURES = ("class", "tod", "density", "area", "ar")
@@ -105,32 +106,24 @@ def split_groups(groups: DataFrame, hist: DataFrame, group: str, frames: str, ra
 
 def split_by_counts(counts: DataFrame, clip: str, cls: str, n: str, val: float = 0.1, test: float = 0.1, seed: int = 0) -> DataFrame:
     """(clip, split): classes from the rarest on; of each, clips in hash order go to test until a share of the class's total
-    is reached, then to val, then to train; clips of a class are out of the pool for the next ones."""
-    per = counts.groupBy(clip, cls).agg(F.sum(n).alias("n")).where("n > 0").withColumn("tie", hash_order(seed, F.col(clip)))
+    is reached, then to val, then to train; clips of a class are out of the pool for the next ones.
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        split: dict = {}
-        totals = pdf.groupby("c")["n"].sum().reset_index().sort_values(["n", "c"])
-        for c in totals["c"]:
-            own = pdf[pdf["c"] == c].sort_values(["tie", "clip"])
-            own = own[~own["clip"].isin(split)]
-            if not len(own):
-                continue
-            rows = list(zip(own["clip"], own["n"], strict=True))
-            if len(rows) <= 3:
-                names = ["test", "val", "train"] if len(rows) == 3 else ["test", "train"]
-                split |= {k: s for (k, _), s in zip(rows, names, strict=False)}
-                continue
-            total, at = own["n"].sum(), 0
-            for name, share in (("test", test), ("val", val)):
-                got = 0
-                while at < len(rows) and got < np.ceil(share * total):
-                    split[rows[at][0]], got, at = name, got + rows[at][1], at + 1
-            split |= {k: "train" for k, _ in rows[at:]}
-        return pd.DataFrame(sorted(split.items()), columns=["clip", "split"])
-
-    table = per.select(F.col(clip).cast("string").alias("clip"), F.col(cls).cast("string").alias("c"), "n", "tie")
-    return table.withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "clip string, split string").withColumnRenamed("clip", clip)
+    So a clip is dealt with its rarest class. Of three clips of a class or fewer the first is test and the last train. The
+    class totals are the only thing small enough to be one task's work; clips are placed by distributed running sums.
+    """
+    per = counts.groupBy(clip, cls).agg(F.sum(n).cast("long").alias("n")).where("n > 0")
+    order = per.groupBy(cls).agg(F.sum("n").alias("__all")).withColumn("__o", F.row_number().over(Window.orderBy("__all", F.col(cls).cast("string"))))
+    own = per.join(order.select(cls, "__o"), cls).groupBy(clip).agg(F.min_by(F.struct(F.col("__o").alias("o"), "n"), "__o").alias("x")).select(clip, F.col("x.o").alias("__o"), F.col("x.n").alias("n"))
+    placed = with_running(own.withColumn("__tie", hash_order(seed, F.col(clip))), ["__o"], ["__tie", clip], {"__sum": F.col("n")}, "__r")
+    # what a set holds is what it takes until its share is reached
+    pool = placed.groupBy("__o").agg(F.count("*").alias("__clips"), F.sum("n").alias("__total"))
+    placed = placed.join(pool, "__o").withColumn("__before", F.col("__sum") - F.col("n"))
+    in_test = F.col("__before") < F.ceil(F.lit(test) * F.col("__total"))
+    tested = placed.where(in_test).groupBy("__o").agg(F.max("__sum").alias("__tested"))
+    placed = placed.join(tested, "__o", "left")
+    in_val = F.col("__before") - F.coalesce("__tested", F.lit(0)) < F.ceil(F.lit(val) * F.col("__total"))
+    few = F.when(F.col("__r") == 1, "test").when((F.col("__r") == 2) & (F.col("__clips") == 3), "val").otherwise("train")
+    return placed.select(clip, F.when(F.col("__clips") <= 3, few).when(in_test, "test").when(in_val, "val").otherwise("train").alias("split"))
 
 
 def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, val: float = 0.15, test: float = 0.15, seed: int = 0) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import with_rank
+
 
 def sum_groups(counts: DataFrame, by: str = "species") -> DataFrame:
     """(by, n): totals by species or by direction."""
@@ -78,7 +80,7 @@ def rank_trials(epochs: DataFrame, trial: str, epoch: str, metrics: Sequence[str
     """(trial, epoch, score, rank): the last epoch of each trial, scored by its first non-null metric; trials without come last."""
     last = F.row_number().over(Window.partitionBy(trial).orderBy(F.desc(epoch)))
     rows = epochs.withColumn("__r", last).where("__r = 1").select(trial, epoch, F.coalesce(*metrics).alias("score"))
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("score"), trial)))
+    return with_rank(rows, [F.desc_nulls_last("score"), F.col(trial)], "rank")
 
 
 def ap50_by_site(metrics: DataFrame, site: str, cls: str, value: str) -> DataFrame:

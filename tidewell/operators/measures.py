@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import with_running
+
 
 def mask_first(df: DataFrame, key: str, ts: str, value: str, n: int = 1, gap_seconds: int = 300) -> DataFrame:
     """df with the first n values of each burst set to null; a gap of gap_seconds or more opens a burst."""
@@ -23,18 +25,35 @@ def resample_mean(df: DataFrame, ts: str, value: str, width: str, by: Sequence[s
     return df.where(F.col(value).isNotNull()).groupBy(*by, F.window(ts, width).alias("w")).agg(F.avg(value).alias("mean")).select(*by, F.col("w.start").alias("start"), "mean")
 
 
-def box_summary(df: DataFrame, by: Sequence[str | Column], value: str, exact: bool = True) -> DataFrame:
-    """(by, n, q1, median, q3, low, high): quartiles, and the outermost values within 1.5 times their distance."""
-    quantiles = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
-    q = (F.percentile if exact else F.percentile_approx)(value, quantiles)
-    s = df.groupBy(*by).agg(F.count(value).alias("n"), q.alias("q"))
-    names = [c for c in s.columns if c not in ("n", "q")]
-    s = s.select(*names, "n", *[F.get("q", i).alias(k) for i, k in enumerate(("q1", "median", "q3"))])
+def box_summary(df: DataFrame, by: Sequence[str], value: str, exact: bool = True) -> DataFrame:
+    """(by, n, q1, median, q3, low, high): quartiles, and the outermost values within 1.5 times their distance.
+
+    exact: quartiles lie between the values at their places, which are found by distributed ranks; otherwise they are
+    approximate, in one aggregation.
+    """
+    names, quarters = [*by], ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+    rows = df.select(*by, F.col(value).cast("double").alias("__v"), F.monotonically_increasing_id().alias("__i")).where("__v is not null")
+    if exact:
+        ranked = with_running(rows, names, ["__v", "__i"], {}, "__r")
+        sizes = ranked.groupBy(*names).agg(F.max("__r").alias("n")).select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(names)], "n")
+        same = F.lit(True)
+        for i, c in enumerate(names):
+            same = same & F.col(c).eqNullSafe(F.col(f"__k_{i}"))
+        both = ranked.join(F.broadcast(sizes), same) if not names else ranked.join(sizes, same)
+        cells = []
+        for q, name in quarters:
+            at = F.lit(q) * (F.col("n") - 1)
+            low = F.max(F.when(F.col("__r") == F.floor(at) + 1, F.col("__v")))
+            high = F.max(F.when(F.col("__r") == F.ceil(at) + 1, F.col("__v")))
+            cells.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+        s = both.groupBy(*names).agg(F.max("n").alias("n"), *cells)
+    else:
+        q = F.percentile_approx("__v", F.array(*[F.lit(q) for q, _ in quarters]))
+        s = rows.groupBy(*names).agg(F.count("*").alias("n"), q.alias("q")).select(*names, "n", *[F.get("q", i).alias(k) for i, (_, k) in enumerate(quarters)])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when((F.col("__v") >= F.col("q1") - reach) & (F.col("__v") <= F.col("q3") + reach), F.col("__v"))
-    rows = df.select(*by, F.col(value).alias("__v")).join(s, names)
-    ends = rows.groupBy(*names).agg(F.min(inside).alias("low"), F.max(inside).alias("high"))
-    return s.join(ends, names)
+    ends = rows.join(s, names).groupBy(*names).agg(F.min(inside).alias("low"), F.max(inside).alias("high")) if names else rows.join(s).agg(F.min(inside).alias("low"), F.max(inside).alias("high"))
+    return s.join(ends, names) if names else s.join(ends)
 
 
 def throughput_summary(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -57,3 +76,8 @@ def mask_outliers(df: DataFrame, columns: Sequence[str], low: float | None = Non
     """Values outside [low, high) become null; rows left without any go."""
     keep = lambda c: (F.lit(True) if low is None else F.col(c) >= low) & (F.lit(True) if high is None else F.col(c) < high)
     return df.withColumns({c: F.when(keep(c), F.col(c)) for c in columns}).dropna(how="all", subset=list(columns))
+
+
+def average_jitter(df: DataFrame, direction: str, jitter: str) -> DataFrame:
+    """(direction, jitter): the mean jitter of each direction, measurements without one left out."""
+    return df.where(F.col(jitter).isNotNull()).groupBy(direction).agg(F.avg(jitter).alias("jitter"))

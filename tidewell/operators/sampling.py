@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import hash_order
-from tidewell.session import materialize
+from tidewell.operators.ordered import least_by_hash, with_rank
 
 
 def sample_per_group(rows: DataFrame, group: Sequence[str], key: Sequence[str], k: int, seed: int = 0) -> DataFrame:
@@ -19,8 +19,8 @@ def sample_per_group(rows: DataFrame, group: Sequence[str], key: Sequence[str],
 
 
 def random_subset(rows: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """n rows by hash order, a top-n without a full sort."""
-    return rows.orderBy(hash_order(seed, *[F.col(c) for c in key]), *key).limit(n)
+    """The first n rows by hash order, without a sort of all rows."""
+    return least_by_hash(rows, [], key, n, seed)
 
 
 def sample_negatives(candidates: DataFrame, stem: str, frame: str, n_positive: int, ratio: float, k: int, seed: int = 0) -> DataFrame:
@@ -56,12 +56,19 @@ def stratified_subset(rows: DataFrame, group: str, key: Sequence[str], fraction:
     """A subset in which the groups keep their shares. The sizes table has a row per group."""
     total = rows.count()
     sizes = proportional_sizes(rows.groupBy(group).agg(F.count("*").alias("n")), group, "n", target_count(total, fraction, n))
-    place = F.row_number().over(Window.partitionBy(group).orderBy(hash_order(seed, *[F.col(c) for c in key]), *key))
-    return rows.withColumn("__r", place).join(sizes.select(group, "take"), group).where(F.col("__r") <= F.col("take")).drop("__r", "take")
+    return least_by_hash(rows, [group], key, sizes.select(group, "take"), seed, total)
+
+
+def task_prefix(name: Column, tail: int = 10) -> Column:
+    """A file name less its last characters (frame number and extension): the task it belongs to."""
+    return F.when(F.length(name) > tail, F.left(name, F.length(name) - tail)).otherwise(F.lit(""))
 
 
 def random_split(rows: DataFrame, key: str, shares: Sequence[tuple[str, float]] = (("train", 0.7), ("val", 0.15), ("test", 0.15)), seed: int = 0) -> DataFrame:
-    """rows with ``split``: keys in hash order are cut at whole numbers of the cumulative shares."""
+    """rows with ``split``: keys in hash order are cut at whole numbers of the cumulative shares.
+
+    A key that rows share (a task's prefix, say) goes to one split with all its rows.
+    """
     keys = rows.select(key).distinct()
     total = keys.count()
     place = with_rank(keys.withColumn("__h", hash_order(seed, F.col(key))), ["__h", key], "__r")
@@ -103,21 +110,19 @@ def empties_per_sequence(items: Column, sequences: Column) -> Column:
     return (F.floor(F.floor(items / 19) / sequences) + 1).cast("long")
 
 
-def with_rank(rows: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
-    """rows with their place (from 1) in a total order.
-
-    Rows are dealt by ranges of the order and counted within each, then the counts of the ranges before are added, so no
-    task sees all rows. The dealt rows are written once, as ranges are drawn from a sample and may differ when drawn again.
-    """
-    part = materialize(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
-    counts = part.groupBy("__part").count()
-    before = F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    placed = part.withColumn("__within", within).join(counts.select("__part", before.alias("__before")), "__part")
-    return placed.withColumn(name, F.col("__before") + F.col("__within")).drop("__part", "__within", "__before")
-
-
 def shard(rows: DataFrame, order: Sequence[str], size: int, prefix: str = "shard") -> DataFrame:
     """rows with shard names ``prefix-%06d`` of ``size`` members in order."""
     ranked = with_rank(rows, order, "__n")
     return ranked.withColumn("shard", F.format_string(prefix + "-%06d", F.floor((F.col("__n") - 1) / size))).drop("__n")
+
+
+def sample_empty(items: DataFrame, boxes: DataFrame, key: str, sequence: str, count: int | DataFrame, seed: int = 0) -> DataFrame:
+    """Of each sequence ``count`` of the items without boxes, by hash order; count may be a table (sequence, take)."""
+    empty = items.join(boxes.select(key).distinct(), key, "left_anti")
+    takes = count if isinstance(count, DataFrame) else empty.select(sequence).distinct().withColumn("take", F.lit(count))
+    return least_by_hash(empty, [sequence], [key], takes, seed)
+
+
+def manifest_counts(manifest: DataFrame, split: str) -> DataFrame:
+    """(split, n_frames)"""
+    return manifest.groupBy(split).agg(F.count("*").alias("n_frames"))

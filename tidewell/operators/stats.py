@@ -48,13 +48,16 @@ def group_stats(boxes: DataFrame, group: str, stem: str, frame: str) -> DataFram
     return boxes.groupBy(group).agg(F.countDistinct(stem).alias("n_videos"), F.countDistinct(stem, frame).alias("n_frames"), F.count("*").alias("n_boxes"))
 
 
-def group_hist(boxes: DataFrame, group: str, stem: str, frame: str, cls: str, w: str, h: str) -> DataFrame:
-    """(group, feature, key, cnt): boxes by class, area and aspect; frames by their number of boxes."""
+def group_hist(boxes: DataFrame, group: str, stem: str, frame: str, cls: str, w: str, h: str, time: str | None = None) -> DataFrame:
+    """(group, feature, key, cnt): boxes by class, area and aspect; frames by their number of boxes and, with a column of the
+    video's time (HHMMSS), by time of day."""
     per_box = {"class": F.col(cls).cast("string"), "area": B.area_bin(F.col(w) * F.col(h)), "ar": B.ar_bin(F.col(w), F.col(h))}
     stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), v.alias("key")) for k, v in per_box.items()]))
     of_boxes = boxes.select(group, stacked.alias("x")).groupBy(group, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
-    frames = boxes.groupBy(group, stem, frame).agg(F.count("*").alias("n"))
-    of_frames = frames.select(group, F.lit("density").alias("feature"), B.density_bin(F.col("n")).alias("key")).groupBy(group, "feature", "key").agg(F.count("*").alias("cnt"))
+    frames = boxes.groupBy(group, stem, frame).agg(F.count("*").alias("n"), *([F.first(time).alias("t")] if time else []))
+    per_frame = {"density": B.density_bin(F.col("n"))} | ({"tod": B.time_bucket(F.col("t"))} if time else {})
+    stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), v.alias("key")) for k, v in per_frame.items()]))
+    of_frames = frames.select(group, stacked.alias("x")).groupBy(group, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
     return of_boxes.unionByName(of_frames)
 
 
@@ -99,10 +102,26 @@ def class_pivot(counts: DataFrame, row: str, column: str, n: str, values: Sequen
     return counts.groupBy(row).pivot(column, list(values)).agg(F.sum(n)).na.fill(0)
 
 
+def crop_boxes(boxes: DataFrame, xc: str, yc: str, w: str, h: str, y0: float = 0.0, y1: float = 0.5, min_visible: float = 0.05) -> DataFrame:
+    """boxes with their part in the band y0..y1, in its coordinates: columns crop_xc, crop_yc, crop_w, crop_h, all null for a
+    box of which too little is visible. Corners are columns of their own, so that each is computed once."""
+    unit = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
+    half_w, half_h = F.col(w) / 2, F.col(h) / 2
+    corners = boxes.withColumns({"__x1": unit(F.col(xc) - half_w), "__x2": unit(F.col(xc) + half_w), "__t": unit(F.col(yc) - half_h), "__b": unit(F.col(yc) + half_h)})
+    band = corners.withColumns({"__c1": F.greatest(F.col("__t"), F.lit(y0)), "__c2": F.least(F.col("__b"), F.lit(y1)), "__area": F.greatest(F.col("__x2") - F.col("__x1"), F.lit(0.0)) * F.greatest(F.col("__b") - F.col("__t"), F.lit(0.0))})
+    seen = F.try_divide((F.col("__x2") - F.col("__x1")) * (F.col("__c2") - F.col("__c1")), F.col("__area"))
+    keep = (F.col("__area") > 0) & (F.col("__c2") > F.col("__c1")) & (seen >= min_visible) & (F.col("__x2") > F.col("__x1"))
+    n1, n2 = ((F.col(c) - y0) / (y1 - y0) for c in ("__c1", "__c2"))
+    out = {"crop_xc": (F.col("__x1") + F.col("__x2")) / 2, "crop_yc": (n1 + n2) / 2, "crop_w": F.col("__x2") - F.col("__x1"), "crop_h": n2 - n1}
+    kept = band.withColumn("__keep", F.coalesce(keep, F.lit(False)))
+    return kept.withColumns({k: F.when(F.col("__keep"), unit(v)) for k, v in out.items()}).select(*boxes.columns, *out)
+
+
 def crop_summary(boxes: DataFrame, xc: str, yc: str, w: str, h: str, by: Sequence[str], y0: float = 0.0, y1: float = 0.5) -> DataFrame:
     """(by, boxes_before, boxes_after, dropped)"""
-    kept = B.crop_box(F.col(xc), F.col(yc), F.col(w), F.col(h), y0, y1).isNotNull()
-    return boxes.groupBy(*by).agg(F.count("*").alias("boxes_before"), F.count_if(kept).alias("boxes_after"), F.count_if(~kept).alias("dropped"))
+    kept = F.col("crop_w").isNotNull()
+    cropped = crop_boxes(boxes, xc, yc, w, h, y0, y1)
+    return cropped.groupBy(*by).agg(F.count("*").alias("boxes_before"), F.count_if(kept).alias("boxes_after"), F.count_if(~kept).alias("dropped"))
 
 
 def echogram(samples: DataFrame, frame: str, row: str, value: str) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import best_from_here, with_running
+
 
 def interpolate_tracks(keyframes: DataFrame, keys: Sequence[str], frame: str = "frame", position: str = "kf_pos", values: Sequence[str] = ("x", "y", "w", "h"), enabled: str = "enabled", stride: int = 1, offset: int = 0) -> DataFrame:
     """Boxes for every frame of keyframed tracks: keys, frame, values, keyframe.
@@ -145,11 +148,18 @@ def transcribe_track_ids(mot: DataFrame, labels: DataFrame, frame: str = "frame_
     return labels.join(mot.select(frame, position, track), [frame, position], "left")
 
 
-def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float = 0.5) -> DataFrame:
-    """(cls, n_truth, n_pred, ap): average precision by class, boxes matched greedily by confidence within an image.
+#: The overlaps that mean average precision is averaged over.
+IOUS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
+
+
+def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float | Sequence[float] = 0.5) -> DataFrame:
+    """(cls, n_truth, n_pred, ap, ap50, precision, recall) by class, boxes matched greedily by confidence within an image.
 
     predictions: image, cls, x1, y1, x2, y2, conf, pos; truth: image, cls, x1, y1, x2, y2, pos, which is unique in an image.
+    ap is the mean over the overlaps given, ap50 that of the first of them, at which precision and recall are taken too, at
+    the confidence of the best F1 (the highest of equals). A class without truth has no row.
     """
+    ious = [float(x) for x in ([iou] if isinstance(iou, (int, float)) else iou)]
 
     def side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
         return df.select(F.col("image").cast("string").alias("image"), F.col("cls").cast("string").alias("cls"), *[F.col(c).alias(prefix + c) for c in ("x1", "y1", "x2", "y2", "pos", *more)])
@@ -159,7 +169,7 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float = 0.5
     over = lambda axis: F.greatest(F.least(f"p_{axis}2", f"t_{axis}2") - F.greatest(f"p_{axis}1", f"t_{axis}1"), F.lit(0.0))
     both = over("x") * over("y")
     score = F.try_divide(both, size("p_", "x") * size("p_", "y") + size("t_", "x") * size("t_", "y") - both)
-    pairs = p.join(t, ["image", "cls"]).withColumn("iou", score).where(F.col("iou") >= iou)
+    pairs = p.join(t, ["image", "cls"]).withColumn("iou", score).where(F.col("iou") >= min(ious))
     # in order of confidence each prediction takes the free box it overlaps most
     pair = F.struct((-F.col("p_conf")).alias("c"), F.col("p_pos").cast("long").alias("p"), (-F.col("iou")).alias("i"), F.col("t_pos").cast("long").alias("t"))
     none = F.array().cast("array<bigint>")
@@ -168,21 +178,35 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float = 0.5
         taken = F.array_contains(s["p"], x["p"]) | F.array_contains(s["t"], x["t"])
         return F.when(taken, s).otherwise(F.struct(F.concat(s["p"], F.array(x["p"])).alias("p"), F.concat(s["t"], F.array(x["t"])).alias("t")))
 
-    matched = pairs.groupBy("image", "cls").agg(F.array_sort(F.collect_list(pair)).alias("ps"))
-    matched = matched.select("image", "cls", F.explode(F.aggregate("ps", F.struct(none.alias("p"), none.alias("t")), take)["p"]).alias("pos"))
-    hits = p.select("image", "cls", F.col("p_conf").alias("conf"), F.col("p_pos").cast("long").alias("pos")).join(matched.withColumn("hit", F.lit(True)), ["image", "cls", "pos"], "left")
-    hits = hits.withColumn("hit", F.coalesce("hit", F.lit(False)))
+    sorted_pairs = pairs.groupBy("image", "cls").agg(F.array_sort(F.collect_list(pair)).alias("ps"))
+    free = F.struct(none.alias("p"), none.alias("t"))
+
+    def at(i: int, least: float):
+        """Matched predictions at one overlap, marked with its number."""
+        return F.transform(F.aggregate(F.filter("ps", lambda x: x["i"] <= -least), free, take)["p"], lambda q: F.struct(F.lit(i).alias("i"), q.alias("pos")))
+
+    found = [at(i, o) for i, o in enumerate(ious)]
+    matched = sorted_pairs.select("image", "cls", F.explode(F.flatten(F.array(*found))).alias("m")).groupBy("image", "cls", F.col("m.pos").alias("pos")).agg(*[F.max(F.when(F.col("m.i") == i, 1)).alias(f"hit{i}") for i in range(len(ious))])
+    ids = range(len(ious))
+    hits = p.select("image", "cls", F.col("p_conf").alias("conf"), F.col("p_pos").cast("long").alias("pos")).join(matched, ["image", "cls", "pos"], "left").na.fill(0, [f"hit{i}" for i in ids])
+    curve = with_running(hits, ["cls"], [F.desc("conf"), "image", "pos"], {f"tp{i}": F.col(f"hit{i}") for i in ids}, "k", keep_part=True)
+    curve = best_from_here(curve.withColumns({f"p{i}": F.col(f"tp{i}") / F.col("k") for i in ids}), ["cls"], "k", [f"p{i}" for i in ids])
     n = t.groupBy("cls").agg(F.count("*").alias("n_truth"))
-    w = Window.partitionBy("cls").orderBy(F.desc("conf"), "image", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    curve = hits.withColumns({"tp": F.sum(F.col("hit").cast("long")).over(w), "k": F.count("*").over(w)}).withColumn("precision", F.col("tp") / F.col("k"))
-    # the best precision from each place on, counted from the end, as Spark makes running frames in one pass
-    back = Window.partitionBy("cls").orderBy(F.asc("conf"), F.desc("image"), F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    best = F.max("precision").over(back)
-    area = curve.withColumn("best", best).groupBy("cls").agg(F.count("*").alias("n_pred"), F.sum(F.when(F.col("hit"), F.col("best"))).alias("s"))
+    # 2 tp / (k + n) is F1 after k predictions
+    curve = curve.join(n, "cls").withColumn("f1", 2 * F.col("tp0") / (F.col("k") + F.col("n_truth")))
+    sums = [F.sum(F.when(F.col(f"hit{i}") == 1, F.col(f"best_p{i}"))).alias(f"s{i}") for i in ids]
+    area = curve.groupBy("cls").agg(F.count("*").alias("n_pred"), F.max_by(F.struct("tp0", "k"), F.struct("f1", (-F.col("k")).alias("o"))).alias("top"), *sums)
     out = n.join(area, "cls", "left")
-    return out.select("cls", "n_truth", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.coalesce(F.col("s") / F.col("n_truth"), F.lit(0.0)).alias("ap"))
+    ap = [F.coalesce(F.col(f"s{i}") / F.col("n_truth"), F.lit(0.0)) for i in ids]
+    return out.select(
+        "cls", "n_truth", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), (reduce(lambda x, y: x + y, ap) / len(ap)).alias("ap"), ap[0].alias("ap50"),
+        F.coalesce(F.col("top.tp0") / F.col("top.k"), F.lit(0.0)).alias("precision"), F.coalesce(F.col("top.tp0") / F.col("n_truth"), F.lit(0.0)).alias("recall"),
+    )
 
 
+def mean_metrics(metrics: DataFrame) -> DataFrame:
+    """One row: means of detection_metrics over the classes (map50, map50_95, mp, mr)."""
+    return metrics.agg(F.avg("ap50").alias("map50"), F.avg("ap").alias("map50_95"), F.avg("precision").alias("mp"), F.avg("recall").alias("mr"))
 
 
 def unique_instance_ids(runs: DataFrame, clip: str, track: str, run: str, out: str = "instance_id") -> DataFrame:
