@@ -116,3 +116,39 @@ def reviewed_counts(tasks: DataFrame, key: str, data: str, species: Sequence[str
 
 def seq_species_counts(boxes: DataFrame, sequence: str, label: str) -> DataFrame:
     return boxes.groupBy(sequence, label).agg(F.count("*").alias("n"))
+
+
+def missing_names(wanted: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """(key, n): names that were asked for and are not there, and how often."""
+    return wanted.join(found.select(key).distinct(), key, "left_anti").groupBy(key).agg(F.count("*").alias("n"))
+
+
+def nonzero_sorted(totals: DataFrame, n: str, *, name: str) -> DataFrame:
+    """Rows of other than zero, the greatest first, with their place; equal numbers go by name."""
+    return with_rank(totals.where(F.col(n) != 0), [F.desc(n), F.col(name)], "place")
+
+
+def total_counts(tables: Sequence[DataFrame], by: Sequence[str] = ("species",)) -> DataFrame:
+    """(by, n): totals over several count tables (rivers, years)."""
+    union = tables[0]
+    for t in tables[1:]:
+        union = union.unionByName(t)
+    return union.groupBy(*by).agg(F.sum("n").alias("n"))
+
+
+def column_sums(wide: DataFrame, key: str) -> DataFrame:
+    """(metric, n): the sum of each column of a wide count table but the key."""
+    cells = [c for c in wide.columns if c != key]
+    return wide.agg(*[F.sum(F.coalesce(F.col(f"`{c}`"), F.lit(0))).alias(c) for c in cells]).unpivot([], cells, "metric", "n")
+
+
+def order_results(results: DataFrame, name: str, cls: str, value: str, digits: int = 4) -> DataFrame:
+    """Results with the value rounded (half to even) and their place: by the name without its first letter, name, class."""
+    rows = results.withColumns({value: F.bround(value, digits), "sort_key": F.substring(F.col(name), F.lit(2), F.length(name))})
+    return with_rank(rows, ["sort_key", name, cls], "place")
+
+
+def ap_vs_counts(metrics: DataFrame, counts: DataFrame, cls: str, ap: str, n: str) -> DataFrame:
+    """(cls, ap, n, corr): metrics beside the classes' counts, and their correlation over all classes."""
+    both = metrics.select(cls, ap).join(counts.select(cls, n), cls)
+    return both.join(both.agg(F.corr(ap, n).alias("corr")))

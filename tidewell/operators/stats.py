@@ -126,3 +126,34 @@ def crop_summary(boxes: DataFrame, xc: str, yc: str, w: str, h: str, by: Sequenc
 
 def echogram(samples: DataFrame, frame: str, row: str, value: str) -> DataFrame:
     return samples.groupBy(frame, row).agg(F.max(value).alias("peak"))
+
+
+def union_names(*parts: DataFrame) -> DataFrame:
+    """The distinct rows of several tables of one kind of name (sites, labels)."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.distinct()
+
+
+def split_summary(assignment: DataFrame, groups: DataFrame, hist: DataFrame, group: str, frames: str, boxes: str) -> DataFrame:
+    """(split, n_groups, n_frames, n_boxes, histograms): histograms maps each feature to its counts by key."""
+    sizes = assignment.join(groups, group).groupBy("split").agg(F.count("*").alias("n_groups"), F.sum(frames).alias("n_frames"), F.sum(boxes).alias("n_boxes"))
+    cells = assignment.join(hist, group).groupBy("split", "feature", "key").agg(F.sum("cnt").alias("cnt"))
+    by_feature = cells.groupBy("split", "feature").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "cnt")))).alias("counts"))
+    maps = by_feature.groupBy("split").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", F.col("counts").cast("map<string,bigint>").alias("counts"))), lambda a, b: F.when(a["feature"] < b["feature"], -1).when(a["feature"] > b["feature"], 1).otherwise(0))).alias("histograms"))
+    return sizes.join(maps, "split", "left")
+
+
+def condition_manifest(samples: DataFrame, stem: str, frame: str, info: DataFrame, conditions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(stem, info's columns, sampled_frames, columns): a row for each sampled video, its frames in one text, and its
+    conditions, an empty text where it has none."""
+    frames = samples.groupBy(stem).agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.col(frame).cast("long"))), lambda x: x.cast("string")), " ").alias("sampled_frames"))
+    rows = frames.join(info, stem, "left").join(conditions.select(stem, *columns), stem, "left")
+    return rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
+
+
+def condition_summary(manifest: DataFrame, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(col, val, input_rows, target, selected): each condition's value among all rows, as wanted, and among the chosen."""
+    chosen = condition_counts(manifest.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) for c in columns]), columns).withColumnRenamed("n", "selected")
+    return condition_targets(rows, columns).withColumnRenamed("n", "input_rows").join(chosen, ["col", "val"], "left").na.fill(0, ["selected"])

@@ -83,3 +83,98 @@ def combine_labels(positives: DataFrame, negatives: DataFrame, key: str) -> Data
     w = Window.partitionBy(key)
     out = both.withColumns({"conflict": F.max("__p").over(w) != F.min("__p").over(w), "__r": F.row_number().over(w.orderBy("__p"))})
     return out.where("__r = 1").drop("__p", "__r")
+
+
+def pack_manifest(plan: DataFrame, split: str, stem: str, fps: str = "fps", key: str = "video_key") -> DataFrame:
+    """The result of a pack_plan, a row for each split and video: fps and key, frames requested, images and labels written (0
+    for a video with an error), status (ok or error) and the error."""
+    per = plan.groupBy(split, stem).agg(F.max(key).alias("video_key"), F.max(fps).alias("fps"), F.count("*").alias("requested_frames"), F.max("error").alias("error"))
+    written = F.when(F.col("error").isNull(), F.col("requested_frames")).otherwise(F.lit(0))
+    status = F.when(F.col("error").isNull(), "ok").otherwise("error")
+    return per.select(split, stem, "video_key", F.when(F.col("fps") > 0, F.col("fps")).alias("fps"), "requested_frames", written.alias("images_written"), written.alias("labels_written"), status.alias("status"), F.coalesce("error", F.lit("")).alias("error"))
+
+
+def convert_summary(videos: DataFrame, boxes: DataFrame, negatives: DataFrame, stem: str, n_frames: str, frame: str, error: str, stride: int = 1, offset: int = 0) -> DataFrame:
+    """One row that sums up a conversion: videos with and without boxes, label lines and files of the stride, negative files,
+    frames that could be negatives (those of the stride in videos without boxes), and videos with an error, which count for
+    nothing else."""
+    kept = F.pmod(F.col(frame), F.lit(stride)) == offset
+    per = boxes.groupBy(stem).agg(F.count_if(kept).alias("__lines"), F.countDistinct(F.when(kept, F.col(frame))).alias("__files"))
+    both = videos.join(per, stem, "left")
+    bad, has = F.col(error).isNotNull(), F.col("__lines").isNotNull()
+    candidates = F.greatest(F.ceil((F.col(n_frames) - offset) / stride), F.lit(0)).cast("long")
+    sums = both.agg(
+        F.count_if(~bad & has).alias("videos_with_boxes"), F.count_if(~bad & ~has).alias("videos_without_boxes"), F.coalesce(F.sum(F.when(~bad, F.col("__lines"))), F.lit(0)).alias("label_lines"),
+        F.coalesce(F.sum(F.when(~bad, F.col("__files"))), F.lit(0)).alias("label_files"), F.coalesce(F.sum(F.when(~bad & ~has, candidates)), F.lit(0)).alias("candidate_negative_frames"), F.count_if(bad).alias("errors"),
+    )
+    return sums.join(negatives.agg(F.count("*").alias("negative_files")))
+
+
+def with_boxes(items: DataFrame, boxes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Items that have a box."""
+    return items.join(boxes.select(*key).distinct(), list(key), "left_semi")
+
+
+def without_boxes(items: DataFrame, boxes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Items that have no box."""
+    return items.join(boxes.select(*key).distinct(), list(key), "left_anti")
+
+
+def wide_boxes(items: DataFrame, boxes: DataFrame, key: Sequence[str], w: str, h: str) -> DataFrame:
+    """All items with those of their boxes that are wider than high; an item without such a box has one row of nulls."""
+    return items.select(*key).distinct().join(boxes.where(F.col(w) > F.col(h)), list(key), "left")
+
+
+def completed_files(files: DataFrame, day: str, today: Column | None = None) -> DataFrame:
+    """Files of a day before today; files whose name tells no day stay."""
+    return files.where(F.col(day).isNull() | (F.col(day) < (F.current_date() if today is None else today)))
+
+
+def settled_files(files: DataFrame, modified: str, seconds: int = 240, now: Column | None = None) -> DataFrame:
+    """Files that were not changed in the last seconds."""
+    return files.where(F.unix_micros((F.current_timestamp() if now is None else now).cast("timestamp")) - F.unix_micros(F.col(modified).cast("timestamp")) >= seconds * 1_000_000)
+
+
+def single_fish(rows: DataFrame, known: DataFrame, video: str, number: str, timeframe: str, name: str = "name") -> DataFrame:
+    """Rows of one fish and a known time frame whose trimmed video name is known, with the path it is known under."""
+    picked = rows.where((F.col(number) == 1) & F.col(timeframe).isNotNull()).withColumn(name, F.trim(video))
+    return picked.join(known, name)
+
+
+def combine_manifests(parts: DataFrame, sequence: str, path: str, root: str, prefix: str) -> DataFrame:
+    """(split, path): the lines of all sequences' manifests, each below its sequence's folder instead of the prefix.
+
+    Lines that don't start with the prefix lose as many characters, as their readers do."""
+    cut = F.substring(F.col(path), F.lit(len(prefix) + 1), F.length(path))
+    return parts.select("split", F.concat_ws("/", F.lit(root.rstrip("/")), F.col("split"), F.col(sequence), cut).alias("path"))
+
+
+def deletable(listing: DataFrame, status: DataFrame, key: str, signature: Sequence[str]) -> DataFrame:
+    """Files that are done and have not changed since: path, size and time as recorded."""
+    return listing.join(status.where(F.col("status") == "done").select(key, *signature).distinct(), [key, *signature], "left_semi")
+
+
+def clean_label_attributes(raw: Column) -> Column:
+    """array<struct(name, mutable, values)> of a label's attributes as JSON text: a list, or an object that holds it under
+    ``attribute``; "True" and "False" become booleans, and values given as one text are its lines."""
+    item = "struct<name: string, mutable: string, values: string>"
+    as_list, as_object = F.from_json(raw, f"array<{item}>"), F.from_json(raw, f"attribute array<{item}>")["attribute"]
+    found = F.when(F.ltrim(raw).startswith("["), as_list).otherwise(as_object)
+
+    def clean(a: Column) -> Column:
+        values = F.when(a["values"].startswith("["), F.from_json(a["values"], "array<string>")).otherwise(F.split(a["values"], "\n"))
+        return F.struct(a["name"].alias("name"), a["mutable"].try_cast("boolean").alias("mutable"), values.alias("values"))
+
+    return F.transform(found, clean)
+
+
+def merge_datasets(a: DataFrame, b: DataFrame, key: Sequence[str], aliases: dict[str, str] | None = None, label: str = "label") -> DataFrame:
+    """Boxes of two datasets, labels under one name; boxes that are equal in both are there once."""
+    from tidewell.functions.boxes import remap_labels
+
+    return a.unionByName(b).withColumn(label, remap_labels(F.col(label), aliases or {})).dropDuplicates([*key, label])
+
+
+def positive_frames(boxes: DataFrame, stem: str, frame: str) -> DataFrame:
+    """(stem, frames): the distinct frames with a box of any track, in order."""
+    return boxes.groupBy(stem).agg(F.array_sort(F.collect_set(frame)).alias("frames"))

@@ -68,9 +68,17 @@ def vote_class(detections: DataFrame, keys: Sequence[str], order: Sequence[str],
     return votes.withColumn("__r", rank).where("__r = 1").select(*keys, cls, "weight")
 
 
-def line_crossings(detections: DataFrame, keys: Sequence[str], order: Sequence[str], x: str = "x", line: float = 0.5) -> DataFrame:
-    """(keys, first_x, last_x, direction): r from left of the line to it or beyond, l the other way, null for neither."""
-    ends = detections.groupBy(*keys).agg(F.min_by(x, F.struct(*order)).alias("first_x"), F.max_by(x, F.struct(*order)).alias("last_x"))
+def line_crossings(detections: DataFrame, keys: Sequence[str], order: Sequence[str], x: str = "x", line: float = 0.5, y: str | None = None, bound: float | None = None) -> DataFrame:
+    """(keys, first_x, last_x, direction): r from left of the line to it or beyond, l the other way, null for neither.
+
+    y, bound: boxes below the bound line (a greater y) are no part of a track's path; a track of such boxes alone has none.
+    """
+    if y is not None and bound is not None:
+        path = F.col(y) <= bound
+        when = F.when(path, F.struct(*order))
+    else:
+        when = F.struct(*order)
+    ends = detections.groupBy(*keys).agg(F.min_by(x, when).alias("first_x"), F.max_by(x, when).alias("last_x"))
     way = F.when((F.col("first_x") < line) & (F.col("last_x") >= line), "r").when((F.col("first_x") > line) & (F.col("last_x") <= line), "l")
     return ends.withColumn("direction", way)
 

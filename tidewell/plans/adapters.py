@@ -37,8 +37,8 @@ ADAPTERS = {
     "clips": """SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS clip, o_totalprice / 1000 AS duration FROM {orders}""",
     "trials": """SELECT l_suppkey AS trial, l_orderkey * 10000000 + l_partkey AS epoch, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_tax + 0.0 END AS map50,
         CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_discount + 0.0 END AS fitness FROM {lineitem}""",
-    "videos": "SELECT o_orderkey AS stem, 10 + o_orderkey % 40 AS n_frames FROM {orders} WHERE o_orderkey % 5 = 0",
-    "positives": "SELECT DISTINCT l_orderkey AS stem, l_linenumber * 3 AS frame FROM {lineitem}",
+    "videos": "SELECT o_orderkey AS stem, 10 + o_orderkey % 40 AS n_frames FROM {orders}",
+    "positives": "SELECT DISTINCT l_orderkey AS stem, l_linenumber AS frame FROM {lineitem}",
 }
 
 _TABLE = re.compile(r"\{(\w+)\}")

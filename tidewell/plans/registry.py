@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,36 +9,18 @@ from tidewell.functions import boxes as B
 from tidewell.functions import names as N
 from tidewell.functions import scalars as S
 from tidewell.operators import balance, counts, measures, runs, sampling, similarity, stats, tasks, tracks
-from tidewell.plans import streaming
-from tidewell.plans.adapters import sql, view
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(text: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name, with SQL that gives the same rows."""
-
-    def put(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if text:
-            _SQL[f.__name__] = sql(text)
-        return f
-
-    return put
+from tidewell.plans import base, curation, streaming  # noqa: F401 (curation registers its queries)
+from tidewell.plans.adapters import view
+from tidewell.plans.base import Query, query
+from tidewell.plans.base import rounded as _round
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | streaming.QUERIES
+    return base.QUERIES | streaming.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | streaming.SQL
-
-
-def _round(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
+    return base.SQL | streaming.SQL
 
 
 # --- tracks and boxes ---------------------------------------------------------------------------------------------------
@@ -94,8 +74,8 @@ WITH c AS (
 SELECT stem, frame, a, b, round((x1 + x2) / 2, 4) + 0.0 AS xc, round((y1 / 0.5 + c2 / 0.5) / 2, 4) + 0.0 AS yc, round(x2 - x1, 4) + 0.0 AS w,
        round(c2 / 0.5 - y1 / 0.5, 4) + 0.0 AS h FROM k WHERE kept""")
 def crop_boxes(spark: SparkSession, d: str) -> DataFrame:
-    df = view(spark, d, "norm_boxes").withColumn("c", B.crop_box(*[F.col(c) for c in ("xc", "yc", "w", "h")]))
-    return _round(df.where("c is not null").select("stem", "frame", "a", "b", "c.*"), "xc", "yc", "w", "h")
+    df = stats.crop_boxes(view(spark, d, "norm_boxes"), "xc", "yc", "w", "h").where("crop_xc is not null")
+    return _round(df.select("stem", "frame", "a", "b", *[F.col(f"crop_{c}").alias(c) for c in ("xc", "yc", "w", "h")]), "xc", "yc", "w", "h")
 
 
 @query(_CROP + """
@@ -257,7 +237,16 @@ def parse_clip_names(spark: SparkSession, d: str) -> DataFrame:
     return o.select("o_orderkey", "c.family", "c.site", "c.device", F.unix_timestamp(late).alias("recorded"), F.col("c.index").alias("idx"))
 
 
-@query()
+_CRC32 = """WITH RECURSIVE bits AS (
+  SELECT i, CAST(i AS BIGINT) AS v, 0 AS step FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, step + 1 FROM bits WHERE step < 8
+), crc AS (
+  SELECT s_suppkey, stem, CAST(4294967295 AS BIGINT) AS c, 0 AS i FROM @stems s
+  UNION ALL SELECT s_suppkey, stem, xor(c // 256, b.v), crc.i + 1 FROM crc JOIN bits b ON b.step = 8 AND b.i = xor(c % 256, CAST(ascii(substr(stem, crc.i + 1, 1)) AS BIGINT)) WHERE crc.i < length(stem)
+)"""
+
+
+@query(_CRC32 + " SELECT s_suppkey, xor(c, 4294967295) % 7 AS first_frame FROM crc WHERE i = length(stem)")
 def stride_hash(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "stems").select("s_suppkey", S.stride_offset(F.col("stem"), 7, "video_hash").alias("first_frame"))
 
@@ -376,7 +365,15 @@ def ap50_by_site(spark: SparkSession, d: str) -> DataFrame:
     return counts.ap50_by_site(a, "site", "class_id", "ap50")
 
 
-@query()
+@query("""
+WITH RECURSIVE f AS (SELECT *, row_number() OVER (PARTITION BY clip, track ORDER BY frame) AS i FROM (
+  SELECT DISTINCT clip, track, CAST(frame AS INT) AS frame FROM (SELECT *, max(frame) OVER (PARTITION BY clip) AS last FROM @detections d) t WHERE frame < last) u),
+s AS (
+  SELECT clip, track, frame, i, 0 AS run, 0 AS missed FROM f WHERE i = 1
+  UNION ALL SELECT f.clip, f.track, f.frame, f.i, CASE WHEN missed + f.frame - s.frame - 1 > 10 THEN run + 1 ELSE run END, CASE WHEN missed + f.frame - s.frame - 1 > 10 THEN 0 ELSE missed + f.frame - s.frame - 1 END
+  FROM s JOIN f ON f.clip = s.clip AND f.track = s.track AND f.i = s.i + 1
+)
+SELECT clip, track, run, min(frame) AS start, max(frame) AS "end", count(*) AS n FROM s GROUP BY 1, 2, 3""")
 def track_runs(spark: SparkSession, d: str) -> DataFrame:
     det = view(spark, d, "detections").withColumn("frame", F.col("frame").cast("int"))
     length = det.groupBy("clip").agg((F.max("frame") + 1).alias("length"))
@@ -389,11 +386,43 @@ def track_objects(spark: SparkSession, d: str) -> DataFrame:
     return tracks.track_objects(det, "clip", "f", "frame", radius=5.0)
 
 
-@query()
-def detection_metrics(spark: SparkSession, d: str) -> DataFrame:
+_MATCH = """
+WITH RECURSIVE b AS (
+  SELECT CAST(stem AS VARCHAR) AS image, flag AS cls, round(xc - w / 2, 6) AS x1, round(yc - h / 2, 6) AS y1, round(xc + w / 2, 6) AS x2, round(yc + h / 2, 6) AS y2, a * 1000000 + b AS pos, b FROM @norm_boxes n
+), p AS (SELECT image, cls, x1 + 0.01 AS x1, y1, x2, y2, pos, (pos %% 100) / 100.0 AS conf FROM b WHERE b %% 4 <> 0),
+o AS (
+  SELECT p.image, p.cls, p.pos AS p, t.pos AS t, p.conf, greatest(least(p.x2, t.x2) - greatest(p.x1, t.x1), 0) * greatest(least(p.y2, t.y2) - greatest(p.y1, t.y1), 0) AS cut,
+         (p.x2 - p.x1) * (p.y2 - p.y1) + (t.x2 - t.x1) * (t.y2 - t.y1) AS area FROM p JOIN b t ON p.image = t.image AND p.cls = t.cls
+), q AS (SELECT *, cut / nullif(area - cut, 0) AS iou FROM o), levels AS (SELECT unnest([%s]) AS level),
+r AS (SELECT image, cls, level, p, t, row_number() OVER (PARTITION BY image, cls, level ORDER BY conf DESC, p, iou DESC, t) AS i FROM q JOIN levels ON iou >= level),
+m AS (
+  SELECT image, cls, level, i, [p] AS ps, [t] AS ts FROM r WHERE i = 1
+  UNION ALL SELECT r.image, r.cls, r.level, r.i, CASE WHEN list_contains(ps, p) OR list_contains(ts, t) THEN ps ELSE list_append(ps, p) END, CASE WHEN list_contains(ps, p) OR list_contains(ts, t) THEN ts ELSE list_append(ts, t) END
+  FROM m JOIN r ON r.image = m.image AND r.cls = m.cls AND r.level = m.level AND r.i = m.i + 1
+), last AS (SELECT image, cls, level, arg_max(ps, i) AS ps FROM m GROUP BY 1, 2, 3), hit AS (SELECT image, cls, level, unnest(ps) AS pos FROM last),
+h AS (SELECT p.image, p.cls, levels.level, p.pos, p.conf, CASE WHEN hit.pos IS NULL THEN 0 ELSE 1 END AS hit FROM p CROSS JOIN levels LEFT JOIN hit ON hit.image = p.image AND hit.cls = p.cls AND hit.pos = p.pos AND hit.level = levels.level),
+k AS (SELECT *, row_number() OVER w AS k, sum(hit) OVER (w ROWS UNBOUNDED PRECEDING) AS tp FROM h WINDOW w AS (PARTITION BY cls, level ORDER BY conf DESC, image, pos)),
+n AS (SELECT cls, count(*) AS n_truth FROM b GROUP BY 1),
+c AS (SELECT k.*, n_truth, max(tp / k) OVER (PARTITION BY cls, level ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS best FROM k JOIN n USING (cls)),
+per AS (SELECT cls, level, any_value(n_truth) AS n_truth, count(*) AS n_pred, coalesce(sum(best) FILTER (hit = 1), 0) / any_value(n_truth) AS ap, max(2 * tp / (k + n_truth)) AS f1 FROM c GROUP BY 1, 2),
+top AS (SELECT c.cls, arg_min(tp / k, k) AS precision, arg_min(tp / c.n_truth, k) AS recall FROM c JOIN per ON per.cls = c.cls AND per.level = c.level AND 2 * tp / (k + c.n_truth) = f1 WHERE c.level = 0.5 GROUP BY 1),
+out AS (SELECT per.cls, any_value(n_truth) AS n_truth, any_value(n_pred) AS n_pred, avg(ap) AS ap, max(ap) FILTER (level = 0.5) AS ap50, any_value(precision) AS precision, any_value(recall) AS recall FROM per JOIN top USING (cls) GROUP BY 1)
+"""
+
+
+def _detections(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     b = view(spark, d, "norm_boxes").select(F.col("stem").alias("image"), F.col("flag").alias("cls"), *[F.round(e, 6).alias(n) for n, e in (("x1", F.col("xc") - F.col("w") / 2), ("y1", F.col("yc") - F.col("h") / 2), ("x2", F.col("xc") + F.col("w") / 2), ("y2", F.col("yc") + F.col("h") / 2))], (F.col("a") * 1000000 + F.col("b")).alias("pos"), F.col("b"))
-    pred = b.where("b % 4 <> 0").withColumns({"conf": (F.col("pos") % 100) / 100.0, "x1": F.col("x1") + 0.01})
-    return _round(tracks.detection_metrics(pred, b), "ap", digits=6)
+    return b.where("b % 4 <> 0").withColumns({"conf": (F.col("pos") % 100) / 100.0, "x1": F.col("x1") + 0.01}), b
+
+
+@query(_MATCH % ", ".join(map(str, tracks.IOUS)) + "SELECT round(avg(ap50), 6) AS map50, round(avg(ap), 6) AS map50_95, round(avg(precision), 6) AS mp, round(avg(recall), 6) AS mr FROM out")
+def mean_detection_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return _round(tracks.mean_metrics(tracks.detection_metrics(*_detections(spark, d), tracks.IOUS)), "map50", "map50_95", "mp", "mr", digits=6)
+
+
+@query(_MATCH % "0.5" + "SELECT cls, n_truth, n_pred, round(ap, 6) AS ap, round(ap50, 6) AS ap50, round(precision, 6) AS precision, round(recall, 6) AS recall FROM out")
+def detection_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return _round(tracks.detection_metrics(*_detections(spark, d)), "ap", "ap50", "precision", "recall", digits=6)
 
 
 @query("""
@@ -485,7 +514,9 @@ def merge_series(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.unix_timestamp(F.col("ts").cast("timestamp")).alias("day_s"), "0", "1", "2")
 
 
-@query()
+@query(streaming.MOTION.format(frame="frame", longest=20) + """
+SELECT CAST(camera AS VARCHAR) AS camera, c0 AS start, c1 AS "end", reason FROM s WHERE reason IS NOT NULL
+UNION ALL SELECT CAST(s.camera AS VARCHAR), s.start, s.c1, 'end' FROM s JOIN (SELECT camera, max(i) AS i FROM m GROUP BY 1) e ON e.camera = s.camera AND e.i = s.i WHERE s.start >= 0""")
 def motion_clips(spark: SparkSession, d: str) -> DataFrame:
     return runs.motion_clips(view(spark, d, "motion"), "camera", "frame", "has_motion", fps=2.0, delay=1.0, longest=10.0)
 
@@ -529,12 +560,26 @@ def stratified_sizes(spark: SparkSession, d: str) -> DataFrame:
     return m.groupBy("site").agg(F.count("*").alias("n")).join(got, "site", "left").select("site", "n", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
-@query()
+_HASH = "md5(concat_ws('|', '%s', CAST(%s AS VARCHAR)))"
+
+
+@query(f"""
+WITH s AS (SELECT site, count(*) AS n FROM @manifest m GROUP BY 1), t AS (SELECT CAST(greatest(1, floor(sum(n) * 0.13)) AS BIGINT) AS goal, sum(n) AS total FROM s),
+x AS (SELECT site, n, goal * n / total AS exact, CAST(least(floor(goal * n / total), n) AS BIGINT) AS base, goal FROM s, t),
+r AS (SELECT *, row_number() OVER (ORDER BY exact - base DESC, site DESC) AS p, goal - sum(base) OVER () AS rest FROM x),
+k AS (SELECT site, CAST(base + CASE WHEN p <= rest AND base < n THEN 1 ELSE 0 END AS BIGINT) AS taken FROM r),
+m AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY {_HASH % (7, 'doc_id')}, doc_id) AS place FROM @manifest m)
+SELECT doc_id, m.site, relpath, split FROM m JOIN k ON m.site = k.site WHERE place <= taken""")
 def stratified_subset(spark: SparkSession, d: str) -> DataFrame:
     return sampling.stratified_subset(view(spark, d, "manifest"), "site", ["doc_id"], fraction=0.13, seed=7)
 
 
-@query()
+@query("""
+WITH c AS (SELECT stem, unnest(range(n_frames)) AS frame FROM @videos v),
+e AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM @positives p WHERE p.stem = c.stem AND p.frame = c.frame)),
+d AS (SELECT stem, frame FROM (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY md5(concat_ws('|', '1', CAST(stem AS VARCHAR), CAST(frame AS VARCHAR))), frame) AS r FROM e) t WHERE r <= 3),
+n AS (SELECT CAST(floor(0.1 / 0.9 * count(*)) AS BIGINT) AS n FROM @positives p)
+SELECT stem, frame FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '2', CAST(stem AS VARCHAR), CAST(frame AS VARCHAR))), stem, frame) AS r FROM d) t, n WHERE r <= n""")
 def sample_negatives(spark: SparkSession, d: str) -> DataFrame:
     candidates = tasks.eligible_negatives(view(spark, d, "videos"), view(spark, d, "positives"), "stem", "n_frames", "frame")
     return sampling.sample_negatives(candidates, "stem", "frame", view(spark, d, "positives").count(), 0.1, 3, seed=1)
@@ -557,6 +602,14 @@ def split_groups(spark: SparkSession, d: str) -> DataFrame:
     return balance.split_groups(stats.group_stats(boxes, "group_id", "stem", "frame"), hist, "group_id", "n_frames", stats.rarity(hist, "group_id"), seed=5)
 
 
-@query()
+@query(f"""
+WITH per AS (SELECT filename, species, sum(n) AS n FROM @counts_gt g GROUP BY 1, 2 HAVING sum(n) > 0),
+o AS (SELECT species, row_number() OVER (ORDER BY sum(n), species) AS o FROM per GROUP BY 1),
+own AS (SELECT filename, min(o) AS o, arg_min(n, o) AS n FROM per JOIN o USING (species) GROUP BY 1),
+r AS (SELECT *, row_number() OVER w AS r, coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, count(*) OVER (PARTITION BY o) AS clips,
+      sum(n) OVER (PARTITION BY o) AS total FROM own WINDOW w AS (PARTITION BY o ORDER BY {_HASH % (2, 'filename')}, filename)),
+t AS (SELECT *, before < ceil(0.1 * total) AS in_test, coalesce(sum(CASE WHEN before < ceil(0.1 * total) THEN n END) OVER (PARTITION BY o), 0) AS tested FROM r)
+SELECT filename, CASE WHEN clips <= 3 THEN CASE WHEN r = 1 THEN 'test' WHEN r = 2 AND clips = 3 THEN 'val' ELSE 'train' END
+  WHEN in_test THEN 'test' WHEN before - tested < ceil(0.1 * total) THEN 'val' ELSE 'train' END AS split FROM t""")
 def split_by_counts(spark: SparkSession, d: str) -> DataFrame:
     return balance.split_by_counts(view(spark, d, "counts_gt"), "filename", "species", "n", seed=2)

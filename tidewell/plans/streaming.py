@@ -19,6 +19,21 @@ n AS (SELECT *, lead(restart_us) OVER (PARTITION BY device ORDER BY run) AS next
 SELECT CAST(device AS STRING) AS device, restart_us, healthy_us, next_us FROM n WHERE healthy_us IS NOT NULL AND next_us IS NOT NULL AND next_us - healthy_us >= 3600000000"""
 
 
+MOTION = """
+WITH RECURSIVE m AS (SELECT camera, {frame} AS frame, has_motion AS moves, row_number() OVER (PARTITION BY camera ORDER BY {frame}) AS i, max({frame}) OVER (PARTITION BY camera) AS last FROM @motion m),
+s AS (
+  SELECT camera, CAST(0 AS BIGINT) AS i, 0 AS quiet, CAST(-1 AS BIGINT) AS start, CAST(-1 AS BIGINT) AS c0, CAST(-1 AS BIGINT) AS c1, CAST(NULL AS VARCHAR) AS reason FROM (SELECT DISTINCT camera FROM m) c
+  UNION ALL
+  SELECT s.camera, m.i,
+    CASE WHEN m.i <= 2 OR moves OR s.start < 0 THEN 0 WHEN s.quiet + 1 > 2 THEN 0 ELSE s.quiet + 1 END,
+    CASE WHEN m.i <= 2 THEN -1 WHEN moves THEN CASE WHEN s.start < 0 THEN m.frame WHEN m.frame - s.start > {longest} THEN -1 ELSE s.start END
+         WHEN s.start >= 0 AND s.quiet + 1 > 2 THEN -1 ELSE s.start END,
+    s.start, m.frame,
+    CASE WHEN m.i <= 2 OR s.start < 0 THEN NULL WHEN moves THEN CASE WHEN m.frame - s.start > {longest} THEN 'length' END WHEN s.quiet + 1 > 2 THEN 'quiet' END
+  FROM s JOIN m ON m.camera = s.camera AND m.i = s.i + 1
+)"""
+
+
 def _events(spark: SparkSession, d: str) -> DataFrame:
     """The events table as a file stream; the glob lets it be one file or a folder of files."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
@@ -60,9 +75,18 @@ def session_stream(spark: SparkSession, d: str) -> DataFrame:
     return out.select("site", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n_frames")
 
 
+SESSIONS = """
+WITH e AS (SELECT user_id % 3 AS site, epoch_us(ts) AS us FROM events WHERE value > 50), n AS (SELECT *, CASE WHEN us - lag(us) OVER w < 3600000000 THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY site ORDER BY us)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY site ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM n),
+s AS (SELECT site, min(us) AS start_us, max(us) + 3600000000 AS end_us, count(*) AS n_frames FROM g GROUP BY site, g)
+SELECT * FROM s WHERE end_us <= (SELECT max(us) - 600000000 FROM e)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream)}
 SQL = {
     "outage_stream": sql(OUTAGES),
+    "session_stream": SESSIONS,
+    "motion_clip_stream": sql(MOTION.format(frame="epoch_us(ts)", longest="2000000000")) + """
+SELECT CAST(camera AS VARCHAR) AS camera, c0 AS start, c1 AS "end", reason FROM s WHERE reason IS NOT NULL""",
     "crossing_stream": """
 WITH c AS (SELECT CAST(CAST(ts AS DATE) AS STRING) AS clip, user_id % 7 AS track, arg_min(value, ts) AS first_x, arg_max(value, ts) AS last_x, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT clip, track, first_x, last_x, CASE WHEN first_x < 50 AND last_x >= 50 THEN 'r' WHEN first_x > 50 AND last_x <= 50 THEN 'l' END AS direction, n FROM c""",
