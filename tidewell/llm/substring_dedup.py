@@ -4,8 +4,9 @@ A window is ``window`` consecutive words. Equal windows share their minimizer, t
 so neighbouring windows travel together to the shard of their minimizer as one short piece of text. In a shard, windows
 found in two documents or more are confirmed; an automaton is compiled of them and run over the shard's pieces to locate
 every occurrence, and each pattern's occurrences outside its smallest document are marked. The marks go back to the
-documents, and each word under a marked window is removed. The automaton's symbols are runs of a few words, a window being
-some SYMBOLS of them that overlap or touch, so it has a fraction of the states that single words would take.
+documents, and each word under a marked window is removed. The automaton reads runs of a few words, a window being SYMBOLS
+of them that overlap or touch, each given as two digits: so it has fewer states than single words would take, and no state
+has many successors, which an automaton looks through one by one.
 
 There are as many shards as the texts' bytes ask for, so a shard fits a task at any size of the input.
 
@@ -33,9 +34,9 @@ MINI = 3
 HOT_SHARE = 0.002
 HOT_SAMPLE_ROWS = 4000
 #: Bytes of text for each shard.
-SHARD_BYTES = 6 << 20
-SYMBOLS = 4
-CHUNK_WORDS = 500_000
+SHARD_BYTES = 4 << 20
+SYMBOLS = 3
+CHUNK_WORDS = 200_000
 NULL_ID = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -218,8 +219,14 @@ def _locate(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     symbol = np.zeros(len(grams), np.int64)  # 0 parts sequences
     symbol[used] = np.unique(grams[used], return_inverse=True)[1] + 1
     del grams, used
+    digit = int(np.sqrt(symbol.max())) + 1
+
+    def digits(x: np.ndarray) -> np.ndarray:
+        """Each symbol as two digits of different ranges; 0 stays 0, 0."""
+        return np.where(x[..., None] > 0, np.stack([1 + x // digit, digit + 2 + x % digit], axis=-1), 0).reshape(*x.shape[:-1], -1)
+
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for k, key_of in enumerate(symbol[at[patterns][:, None] + stride * np.arange(parts)].tolist()):
+    for k, key_of in enumerate(digits(symbol[at[patterns][:, None] + stride * np.arange(parts)]).tolist()):
         automaton.add_word(tuple(key_of), k)
     automaton.make_automaton()
     fp, fa, fk = [], [], []
@@ -235,8 +242,8 @@ def _locate(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
         sequence, word_at = np.zeros(int(lengths.sum()), np.int64), np.zeros(int(lengths.sum()), np.int64)
         word_at[place] = base[ps][of] + offset
         sequence[place] = symbol[word_at[place]]
-        found = np.array(list(automaton.iter(tuple(sequence.tolist()))), np.int64).reshape(-1, 2)
-        first = word_at[found[:, 0]] - stride * (parts - 1)
+        found = np.array(list(automaton.iter(tuple(digits(sequence).tolist()))), np.int64).reshape(-1, 2)
+        first = word_at[found[:, 0] // 2] - stride * (parts - 1)
         p = np.searchsorted(base, first, side="right") - 1
         fp.append(p)
         fa.append(first - base[p])
