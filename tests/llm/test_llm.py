@@ -226,8 +226,11 @@ def test_near(spark, odd, sf):
     assert rows(near_dedup.op5_near_dedup(spark, sf)) == sorted(near_dedup.brute_force(docs), key=repr)
 
 
-def test_near_chain(spark):
-    """A group in which many texts are linked only with some of the others."""
+@pytest.mark.parametrize("block_bytes", [near_dedup.BLOCK_BYTES, 4000])
+def test_near_chain(spark, monkeypatch, block_bytes):
+    """A group in which many texts are linked only with some of the others, in one block or in many."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(near_dedup, "CELL_BLOCKS", 3)
     r = random.Random(3)
     base = [f"w{i}" for i in range(120)]
     docs = []

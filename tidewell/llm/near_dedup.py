@@ -31,6 +31,7 @@ BANDS = 40
 BAND_ROWS = 5
 CHUNK = 100_000
 BLOCK_BYTES = 256 << 10
+CELL_BLOCKS = 12
 _U = np.uint64
 _HIGH = _U(48)
 
@@ -123,41 +124,64 @@ def _same(shingle: int, percent: int):
 
 
 def _linked_blocks(shingle: int, percent: int):
-    """Links between the members of two blocks (xs, ys: arrays of k, c, t) in different components, one for each member
-    of the first and component of the second."""
+    """Links between members of the pairs of blocks of a cell that are in different components: one for each stray member
+    of the first block and component of the second. A cell's rows are its members (block, k, c, stray, t) and its pairs of
+    blocks (x, y); each block's sets are made once."""
 
-    def sets(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    def sets(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         found, at = [], 0
-        for piece in words.slices(pa.RecordBatch.from_arrays([pa.array([r["t"] for r in rows], pa.string())], names=["t"]), "t"):
-            doc, h = words.shingles(words.split(piece.column("t"), "white_lower"), shingle)
-            found.append((doc + at, h))
-            at += piece.num_rows
+        for batch in pa.table([texts], names=["t"]).combine_chunks().to_batches():
+            for piece in words.slices(batch, "t"):
+                doc, h = words.shingles(words.split(piece.column("t"), "white_lower"), shingle)
+                found.append((doc + at, h))
+                at += piece.num_rows
         return np.concatenate([d for d, _ in found]), np.concatenate([h for _, h in found])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for i in range(batch.num_rows):
-                xs, ys = batch.column("xs")[i].as_py(), batch.column("ys")[i].as_py()
-                (dx, hx), (dy, hy) = sets(xs), sets(ys)
-                nx, ny = np.bincount(dx, minlength=len(xs)), np.bincount(dy, minlength=len(ys))
-                both = np.intersect1d(hx, hy)
-                sides = []
-                for d, h, n in ((dx, hx, len(xs)), (dy, hy, len(ys))):
-                    column = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
-                    there = both[column] == h if len(both) else np.zeros(len(h), bool)
-                    side = np.zeros((n, len(both)), np.float32)
-                    side[d[there], column[there]] = 1
-                    sides.append(side)
-                shared = np.rint(sides[0] @ sides[1].T).astype(np.int64)
-                cx, cy = np.array([x["c"] for x in xs]), np.array([y["c"] for y in ys])
-                link = (100 * shared >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
-                for x in np.flatnonzero(link.any(axis=1)):
-                    hit = np.flatnonzero(link[x])
-                    for y in hit[np.unique(cy[hit], return_index=True)[1]]:
-                        a.append(xs[x]["k"])
-                        b.append(ys[y]["k"])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    def only(block: tuple, rows: np.ndarray) -> tuple:
+        """The block's members at rows."""
+        k, c, stray, d, h = block
+        place = np.full(len(k), -1)
+        place[rows] = np.arange(len(rows))
+        own = place[d] >= 0
+        return k[rows], c[rows], stray[rows], place[d[own]], h[own]
+
+    def link(x: tuple, y: tuple) -> tuple[list[int], list[int]]:
+        (kx, cx, _, dx, hx), (ky, cy, _, dy, hy) = x, y
+        nx, ny = np.bincount(dx, minlength=len(kx)), np.bincount(dy, minlength=len(ky))
+        both = np.intersect1d(hx, hy)
+        sides = []
+        for d, h, n in ((dx, hx, len(kx)), (dy, hy, len(ky))):
+            column = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
+            there = both[column] == h if len(both) else np.zeros(len(h), bool)
+            side = np.zeros((n, len(both)), np.float32)
+            side[d[there], column[there]] = 1
+            sides.append(side)
+        shared = np.rint(sides[0] @ sides[1].T).astype(np.int64)
+        near = (100 * shared >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
+        a, b = [], []
+        for i in np.flatnonzero(near.any(axis=1)):
+            hit = np.flatnonzero(near[i])
+            for j in hit[np.unique(cy[hit], return_index=True)[1]]:
+                a.append(int(kx[i]))
+                b.append(int(ky[j]))
+        return a, b
+
+    def run(cell: pa.Table) -> pa.Table:
+        pair = np.array(cell.column("x").is_valid())
+        members = cell.filter(pa.array(~pair)).sort_by([("block", "ascending"), ("k", "ascending")])
+        ids = np.array(members.column("block"))
+        cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        blocks = {}
+        for lo, hi in zip(cut, [*cut[1:], len(ids)], strict=True):
+            part = members.slice(lo, hi - lo)
+            blocks[int(ids[lo])] = (*(np.array(part.column(c)) for c in ("k", "c", "stray")), *sets(part.column("t")))
+        a, b = [], []
+        pairs = cell.filter(pa.array(pair))
+        for x, y in zip(pairs.column("x").to_pylist(), pairs.column("y").to_pylist(), strict=True):
+            found = link(only(blocks[x], np.flatnonzero(blocks[x][2])), blocks[y])
+            a += found[0]
+            b += found[1]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -166,8 +190,10 @@ def _block_links(at: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     """Links that join components, out of the buckets that hold several. at: members h, k, lo, c.
 
     In such a bucket the members outside its largest component are compared with all others. Members are put in blocks of
-    bounded size, those that hang together by such buckets side by side; each pair of blocks that meet in a bucket is one row, whose sets are
-    compared by a matrix product, so pairs of documents never become rows.
+    bounded size, those that hang together by such buckets side by side. Pairs of blocks that meet in a bucket are compared
+    by a matrix product, so pairs of documents never become rows, and pairs of blocks are rows of two numbers. Blocks are
+    put in sets of about CELL_BLOCKS; all pairs between two such sets are one task's group, a cell, to which each of their
+    blocks comes once.
     """
     at = materialize(at, "placed")
     sizes = at.groupBy("h", "c").agg(F.count("*").alias("m"))
@@ -180,16 +206,20 @@ def _block_links(at: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     of_f = of_g.groupBy("f").agg(F.sum("g_bytes").alias("f_bytes"))
     home = home.join(of_g, ["f", "g"]).join(of_f, "f")
     parts = [F.pmod(F.col(x), F.ceil(F.col(n) / BLOCK_BYTES)) for x, n in (("g", "f_bytes"), ("k", "g_bytes"))]
-    home = home.select("k", "c", "stray", F.xxhash64("f", *parts).alias("block"))
-    home = materialize(home, "blocks")
+    home = materialize(home.select("k", "c", "stray", "f", F.xxhash64("f", *parts).alias("block")), "blocks")
     meet = open_.join(home.select("k", "block"), "k")
     left = meet.where("c <> main").select("h", F.col("block").alias("x")).distinct()
     pairs = left.join(meet.select("h", F.col("block").alias("y")).distinct(), "h").select("x", "y").distinct()
-    full = home.join(texts, "k")
-    member = F.collect_list(F.struct("k", "c", "t"))
-    pairs = pairs.join(full.where("stray").groupBy(F.col("block").alias("x")).agg(member.alias("xs")), "x")
-    pairs = pairs.join(full.groupBy(F.col("block").alias("y")).agg(member.alias("ys")), "y")
-    return materialize(pairs.select("xs", "ys").mapInArrow(_linked_blocks(shingle, percent), "a long, b long"), "links")
+    blocks = home.select("f", "block").distinct()
+    sets_of = blocks.groupBy("f").agg(F.ceil(F.count("*") / CELL_BLOCKS).alias("sets"))
+    placed = materialize(blocks.join(sets_of, "f").select("block", F.xxhash64("f", F.pmod("block", "sets")).alias("set")), "block-sets")
+    ends = [placed.select(F.col("block").alias(e), F.col("set").alias(f"set_{e}")) for e in ("x", "y")]
+    cells = pairs.join(ends[0], "x").join(ends[1], "y").select(F.xxhash64(F.least("set_x", "set_y"), F.greatest("set_x", "set_y")).alias("cell"), "x", "y")
+    cells = materialize(cells, "cells")
+    need = cells.select("cell", F.col("x").alias("block")).unionByName(cells.select("cell", F.col("y").alias("block"))).distinct()
+    members = need.join(home.select("block", "k", "c", "stray"), "block").join(texts, "k")
+    rows = members.select("cell", "block", "k", "c", "stray", "t").unionByName(cells, allowMissingColumns=True)
+    return materialize(rows.groupBy("cell").applyInArrow(_linked_blocks(shingle, percent), "a long, b long"), "links")
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
