@@ -405,6 +405,41 @@ def test_license(spark, odd):
         assert len(license_scan.align(a, a)) == len(a)
 
 
+def test_license_texts(spark):
+    """Every template is found whole as itself, and a license text less its warranty as what is left of it."""
+    docs = spark.createDataFrame([(k, f"some words before\n{t}\nand after") for k, t in license_scan.TEMPLATES.items()], "name string, text string")
+    for r in license_scan.scan(docs).collect():
+        assert [(m["license"], m["start"], m["coverage"]) for m in r["licenses"]] == [(r["name"], 3, 1.0)]
+
+
+def test_license_gap_of_any_size(spark):
+    """Repeated words without any unique one are aligned whatever their number."""
+    a = [i % 3 for i in range(400)]
+    assert len(license_scan.align([7, *a, 8], [9, *a, 6])) == 400
+
+
+def test_license_query(spark, sf):
+    """The statements in the test documents, which are given word by word, are found as by looking for each word by word."""
+    import re
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    split = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in word.findall(t or "")]
+    forms = {k: split(t) for k, t in license_scan.TEMPLATES.items()}
+    got = {r["doc_id"]: r for r in license_scan.op8_license_scan(spark, sf).collect()}
+    docs = {r["doc_id"]: split(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    found = 0
+    for d, w in docs.items():
+        hits = sorted((-len(f), k, i) for k, f in forms.items() for i in range(len(w) - len(f) + 1) if w[i] == f[0] and w[i : i + len(f)] == f)
+        kept = []
+        for n, k, i in hits:
+            if all(i - n <= j or i >= j + m for m, _, j in kept):
+                kept.append((-n, k, i))
+        assert got[d]["n_matches"] == len(kept) and got[d]["licenses"] == ",".join(sorted({k for _, k, _ in kept})), d
+        assert got[d]["license_words"] == sum(n for n, _, _ in kept) and got[d]["first_start"] == min([i for *_, i in kept], default=-1)
+        found += len(kept)
+    assert found > 20 and set(got) == set(docs)
+
+
 def test_license_twice(spark):
     mit, gpl = license_scan.TEMPLATES["MIT-text"], license_scan.TEMPLATES["GPL-3.0-header"]
     prose = "the use of this and the copies of the software"
