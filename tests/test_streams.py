@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import runs
 from tidewell.plans import registry
 from tidewell.plans.adapters import view
+from tidewell.streaming import streams
 
 
 def test_motion_stream_equals_batch(spark, sf_small):
@@ -22,3 +23,50 @@ def test_sessions_equal_events(spark, sf_small):
     batch = runs.multi_camera_events(view(spark, sf_small, "motion"), "site", "ts", "has_motion", 3600)
     starts = {(r["site"], round(r["start_s"] * 1e6)) for r in batch.collect()}
     assert all((r["site"], r["start_us"]) in starts for r in stream.collect())
+
+
+def test_event_parts_stream_equals_batch(spark, sf_small):
+    stream = {tuple(r) for r in registry.queries()["event_parts_stream"](spark, sf_small).collect()}
+    m = view(spark, sf_small, "motion").withColumn("ts", F.col("ts").cast("timestamp"))
+    batch = {tuple(r) for r in runs.multi_camera_parts(m, "site", "camera", "ts", "has_motion", 3600, 7200).collect()}
+    assert stream <= batch and len(batch) - len(stream) <= 3  # what is still open at the end of the input is not given
+
+
+def test_batches_are_written_anew(spark, tmp_path):
+    """A batch that is tried again replaces its rows; numbers go on from the batches before."""
+    b = spark.range(3)
+    for n in (0, 1, 1):
+        streams.write_batch(b, n, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
+    schema = "us long, device string"
+    for i, rows in enumerate(([(5, "b"), (3, "a")], [(4, "a"), (9, "c")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        streams.write_outages(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"), ["us", "device"])
+        got = sorted((r["incident"], r["us"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+        assert got == [(1, 3), (2, 5), (3, 4), (4, 9)][: 2 * i + 2]
+
+
+def test_state_ends(spark, tmp_path):
+    """Tracks, events and outputs are given when later time tells they ended, over several batches, and once."""
+    t0 = 1_700_000_000
+    batches = [[(t0, 0.1), (t0 + 1, 0.9)], [(t0 + 2, 0.2), (t0 + 3, 0.3)], [(t0 + 500, 0.4)], [(t0 + 900, 0.1)]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([(float(t), x) for t, x in rows], "t double, x double").selectExpr("timestamp_seconds(t) ts", "x", "'c' clip", "1 track", "cast(t as long) pos", "'k' cls", "cast(10 * x as long) size", "x > 0.15 moves")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        # one file a batch, in the order of writing
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    source = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+    def run(df, name):
+        streams.run_available(df, str(tmp_path / name), str(tmp_path / f"{name}-c"))
+        return sorted(tuple(r) for r in spark.read.schema(df.schema).parquet(str(tmp_path / name)).collect())
+
+    us = t0 * 1_000_000
+    tracks = run(streams.crossing_stream(source(), "clip", "track", "ts", "pos", "x", "cls", 0.25, 60, "1 second"), "tracks")
+    assert tracks == [("c", 1, us, 4, 0.1, 0.3, "k", "r"), ("c", 1, us + 500_000_000, 1, 0.4, 0.4, "k", None)]
+    parts = run(streams.event_parts(source(), "clip", "track", "ts", "moves", 5, 2, "1 second"), "parts")
+    assert sorted((r[3] - us, r[4] - us, r[2], r[5]) for r in parts) == [(1_000_000, 2_000_000, 0, 1), (3_000_000, 3_000_000, 1, 1), (500_000_000, 500_000_000, 0, 1)]
+    assert len({r[1] for r in parts}) == 2
+    stalled = run(streams.stalled_outputs(source(), "clip", "ts", "size", 100, "1 second"), "stalled")
+    assert stalled == [("c", "absent", us + 3_000_000), ("c", "absent", us + 500_000_000), ("c", "stalled", us + 1_000_000)]

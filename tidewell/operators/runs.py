@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import with_rank
+
 # Parts of the messages that a device logs while it works.
 HEALTHY = ("Retrieval time", "BGSub:", "Size of shared frames", "Time elapsed:", "Cont save:", "Writing continuous video to")
 
@@ -48,8 +50,8 @@ def detect_outages(logs: DataFrame, device: str, order: Sequence[str], ts: str,
 
 
 def number_outages(outages: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Outages with an incident number, given when they are read."""
-    return outages.withColumn("incident", F.row_number().over(Window.orderBy(*order)))
+    """Outages with their number in the order; for numbers that never change as outages come in see streaming.write_outages."""
+    return with_rank(outages, order, "incident")
 
 
 def assign_contiguous(clips: DataFrame, date: str, order: Sequence[str], duration: str, day_start: Column) -> DataFrame:
@@ -157,3 +159,16 @@ def multi_camera_events(frames: DataFrame, site: str, ts: str, flag: str, gap_se
     marked = moving.withColumn("__new", new).withColumn("event", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = marked.groupBy(site, "event").agg(F.min("__t").alias("start_s"), F.max("__t").alias("end_s"), F.countDistinct("camera").alias("n_cameras"))
     return out.withColumn("n_parts", (F.floor((F.col("end_s") - F.col("start_s")) / part_seconds) + 1).cast("long"))
+
+
+def multi_camera_parts(frames: DataFrame, site: str, camera: str, ts: str, flag: str, gap_seconds: int = 5, part_seconds: int = 120) -> DataFrame:
+    """(site, event_id, part, start_us, end_us, n_cameras): the parts of each event of a site, as streaming.event_parts gives
+    them when all events have ended."""
+    rows = frames.where(F.col(flag)).select(F.col(site).cast("string").alias("site"), F.col(camera).cast("string").alias("camera"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
+    w = Window.partitionBy("site").orderBy("us", "camera")
+    new = F.coalesce((F.col("us") - F.lag("us").over(w) > gap_seconds * 1_000_000).cast("int"), F.lit(1))
+    events = rows.withColumn("new", new).withColumn("event", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    opened = F.min("us").over(Window.partitionBy("site", "event"))
+    parts = events.withColumn("opened_us", opened).withColumn("part", F.floor((F.col("us") - F.col("opened_us")) / (part_seconds * 1_000_000)))
+    out = parts.groupBy("site", "opened_us", "part").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.countDistinct("camera").alias("n_cameras"))
+    return out.select("site", F.sha1(F.concat_ws("|", "site", F.col("opened_us").cast("string"))).alias("event_id"), "part", "start_us", "end_us", "n_cameras")

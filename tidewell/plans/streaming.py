@@ -58,10 +58,30 @@ def motion_clip_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def crossing_stream(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d).select(F.date_format("ts", "yyyy-MM-dd").alias("clip"), (F.col("user_id") % 7).alias("track"), F.unix_micros("ts").alias("frame"), F.col("value").alias("x"), F.col("event_type").alias("cls"))
-    out = _run(spark, streams.crossing_stream(e, "clip", "track", "frame", "x", "cls", 50.0), "update")
-    last = out.groupBy("clip", "track").agg(F.max_by(F.struct("first_x", "last_x", "direction", "n"), "batch").alias("s"))
-    return last.select("clip", "track", "s.first_x", "s.last_x", "s.direction", "s.n")
+    e = _events(spark, d).select("ts", F.date_format("ts", "yyyy-MM-dd").alias("clip"), (F.col("user_id") % 7).alias("track"), "event_id", F.col("value").alias("x"), F.col("event_type").alias("cls"))
+    return _run(spark, streams.crossing_stream(e, "clip", "track", "ts", "event_id", "x", "cls", 50.0, 3600, "10 minutes"))
+
+
+def event_parts_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _events(spark, d).select("ts", (F.col("user_id") % 3).alias("site"), F.col("user_id").alias("camera"), (F.col("value") > 50).alias("moves"))
+    return _run(spark, streams.event_parts(e, "site", "camera", "ts", "moves", 3600, 7200, "10 minutes"))
+
+
+def event_group_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _events(spark, d).select("ts", (F.col("user_id") % 40).alias("event"))
+    return _run(spark, streams.event_groups(e, "event", "ts", "30 minutes", "10 minutes")).select("event", F.unix_micros("start").alias("start_us"), "n_parts")
+
+
+def stalled_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _events(spark, d).select("ts", (F.col("user_id") % 20).alias("output"), F.floor("value").alias("size"))
+    return _run(spark, streams.stalled_outputs(e, "output", "ts", "size", 7200, "10 minutes"))
+
+
+def numbered_outages(spark: SparkSession, d: str) -> DataFrame:
+    e = _events(spark, d).select(F.col("user_id").alias("device"), "ts", F.col("event_id").alias("pos"), (F.col("event_type") == "signup").alias("restart"), F.col("event_type").isin("click", "view").alias("healthy"))
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    streams.write_outages(streams.outage_stream(e, "device", "ts", "pos", "restart", "healthy", 3600), f"{base}/out", f"{base}/checkpoint", ["next_us", "device", "restart_us"])
+    return spark.read.schema("device string, restart_us long, healthy_us long, next_us long, incident long, batch int").parquet(f"{base}/out").drop("batch")
 
 
 def resample_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -81,15 +101,41 @@ g AS (SELECT *, sum(new) OVER (PARTITION BY site ORDER BY us ROWS BETWEEN UNBOUN
 s AS (SELECT site, min(us) AS start_us, max(us) + 3600000000 AS end_us, count(*) AS n_frames FROM g GROUP BY site, g)
 SELECT * FROM s WHERE end_us <= (SELECT max(us) - 600000000 FROM e)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream, event_parts_stream, event_group_stream, stalled_stream, numbered_outages)}
 SQL = {
     "outage_stream": sql(OUTAGES),
     "session_stream": SESSIONS,
     "motion_clip_stream": sql(MOTION.format(frame="epoch_us(ts)", longest="2000000000")) + """
 SELECT CAST(camera AS VARCHAR) AS camera, c0 AS start, c1 AS "end", reason FROM s WHERE reason IS NOT NULL""",
     "crossing_stream": """
-WITH c AS (SELECT CAST(CAST(ts AS DATE) AS STRING) AS clip, user_id % 7 AS track, arg_min(value, ts) AS first_x, arg_max(value, ts) AS last_x, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT clip, track, first_x, last_x, CASE WHEN first_x < 50 AND last_x >= 50 THEN 'r' WHEN first_x > 50 AND last_x <= 50 THEN 'l' END AS direction, n FROM c""",
+WITH e AS (SELECT CAST(CAST(ts AS DATE) AS STRING) AS clip, user_id % 7 AS track, epoch_us(ts) AS us, event_id, value, event_type FROM events),
+n AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 3600000000 THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY clip, track ORDER BY us, event_id)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY clip, track ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS g FROM n),
+v AS (SELECT clip, track, g, event_type, count(*) AS c, min(us) AS f FROM g GROUP BY 1, 2, 3, 4),
+b AS (SELECT clip, track, g, event_type AS cls FROM (SELECT *, row_number() OVER (PARTITION BY clip, track, g ORDER BY c DESC, f) AS r FROM v) t WHERE r = 1),
+t AS (SELECT clip, track, g, min(us) AS start_us, max(us) AS end_us, count(*) AS n, arg_min(value, (us, event_id)) AS first_x, arg_max(value, (us, event_id)) AS last_x FROM g GROUP BY 1, 2, 3),
+l AS (SELECT *, lead(g) OVER (PARTITION BY clip, track ORDER BY g) IS NOT NULL AS later FROM t)
+SELECT clip, track, start_us, n, first_x, last_x, cls, CASE WHEN first_x < 50 AND last_x >= 50 THEN 'r' WHEN first_x > 50 AND last_x <= 50 THEN 'l' END AS direction FROM l JOIN b USING (clip, track, g)
+WHERE later OR end_us + 3600000000 < (SELECT max(us) - 600000000 FROM e)""",
+    "event_parts_stream": """
+WITH a AS (SELECT CAST(user_id % 3 AS STRING) AS site, CAST(user_id AS STRING) AS camera, epoch_us(ts) AS us, value FROM events), e AS (SELECT * FROM a WHERE value > 50),
+n AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 3600000000 THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY site ORDER BY us, camera)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY site ORDER BY us, camera ROWS UNBOUNDED PRECEDING) AS g FROM n), o AS (SELECT *, min(us) OVER (PARTITION BY site, g) AS opened, max(us) OVER (PARTITION BY site, g) AS ended FROM g),
+p AS (SELECT site, g, opened, any_value(ended) AS ended, (us - opened) // 7200000000 AS part, min(us) AS start_us, max(us) AS end_us, count(DISTINCT camera) AS n_cameras FROM o GROUP BY site, g, opened, part),
+l AS (SELECT *, max(g) OVER (PARTITION BY site) > g OR max(part) OVER (PARTITION BY site, g) > part AS later FROM p)
+SELECT site, sha1(concat_ws('|', site, CAST(opened AS VARCHAR))) AS event_id, part, start_us, end_us, n_cameras FROM l WHERE later OR ended + 3600000000 < (SELECT max(us) - 600000000 FROM a)""",
+    "event_group_stream": """
+WITH e AS (SELECT user_id % 40 AS event, epoch_us(ts) AS us FROM events), n AS (SELECT *, CASE WHEN us - lag(us) OVER w < 1800000000 THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY event ORDER BY us)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY event ORDER BY us ROWS UNBOUNDED PRECEDING) AS g FROM n)
+SELECT event, min(us) AS start_us, count(*) AS n_parts FROM g GROUP BY event, g HAVING max(us) + 1800000000 <= (SELECT max(us) - 600000000 FROM e)""",
+    "stalled_stream": """
+WITH e AS (SELECT CAST(user_id % 20 AS STRING) AS key, epoch_us(ts) AS us, CAST(floor(value) AS BIGINT) AS size FROM events),
+m AS (SELECT *, coalesce(max(size) OVER (PARTITION BY key ORDER BY us, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS most, lag(us) OVER (PARTITION BY key ORDER BY us, size) AS last FROM e),
+g AS (SELECT *, max(CASE WHEN size > most THEN us END) OVER (PARTITION BY key ORDER BY us, size ROWS UNBOUNDED PRECEDING) AS grown FROM m)
+SELECT key, 'absent' AS kind, last AS since_us FROM m WHERE us - last > 7200000000
+UNION ALL SELECT DISTINCT key, 'stalled', grown FROM g WHERE size <= most AND us - grown >= 7200000000
+UNION ALL SELECT key, 'absent', max(us) FROM e GROUP BY 1 HAVING max(us) + 7200000000 < (SELECT max(us) - 600000000 FROM e)""",
+    "numbered_outages": sql(f"WITH o AS ({OUTAGES}) SELECT *, row_number() OVER (ORDER BY next_us, device, restart_us) AS incident FROM o"),
     "resample_stream": """
 WITH w AS (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS start_s, round(avg(value), 4) AS mean, count(value) AS n FROM events GROUP BY 1)
 SELECT * FROM w WHERE start_s + 3600 <= (SELECT epoch(max(ts)) - 600 FROM events)""",

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidewell.operators.ordered import with_rank
 from tidewell.operators.runs import MotionMachine
+from tidewell.operators.tasks import settled_files
 
 
 def resample_stream(df: DataFrame, ts: str, value: str, width: str = "2 minutes", late: str = "10 minutes") -> DataFrame:
@@ -25,9 +27,51 @@ def event_sessions(df: DataFrame, site: str, ts: str, camera: str, gap: str = "5
     return s.select(site, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n_frames", "n_cameras")
 
 
-def event_groups(df: DataFrame, event: str, ts: str, late: str = "10 minutes") -> DataFrame:
-    """(event, window, n_parts) of clip sidecars as they arrive."""
-    return df.withWatermark(ts, late).groupBy(event, F.window(ts, "1 hour").alias("w")).agg(F.count("*").alias("n_parts")).select(event, F.col("w.start").alias("hour"), "n_parts")
+def event_parts(frames: DataFrame, site: str, camera: str, ts: str, flag: str, gap_seconds: int = 5, part_seconds: int = 120, late: str = "1 minute") -> DataFrame:
+    """(site, event_id, part, start_us, end_us, n_cameras): events of a site, which all its cameras share, in parts.
+
+    The first camera that moves opens an event, whose id is a hash of site and time; others join it. It ends when no camera
+    has moved for the gap; until then a new part begins for all cameras at every part_seconds. A part is given when a later
+    one begins or the event ends, by a later event or by the watermark, which frees the state: an end beats a rollover.
+    """
+    gap, length = gap_seconds * 1_000_000, part_seconds * 1_000_000
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        start, part, first, last, cameras = state.get if state.exists else (-1, 0, -1, -1, "[]")
+        seen, out = set(json.loads(cameras)), []
+
+        def give() -> None:
+            out.append((key[0], start, part, first, last, len(seen)))
+
+        if state.hasTimedOut:
+            give()
+            state.remove()
+        else:
+            for us, cam in pd.concat(list(batches))[["us", "camera"]].sort_values(["us", "camera"], kind="stable").itertuples(index=False):
+                if start < 0 or us - last > gap:
+                    if start >= 0:
+                        give()
+                    start, part, first, seen = int(us), 0, int(us), set()
+                elif (us - start) // length > part:
+                    give()
+                    part, first, seen = int((us - start) // length), int(us), set()
+                last = int(us)
+                seen.add(cam)
+            state.update((start, part, first, last, json.dumps(sorted(seen))))
+            state.setTimeoutTimestamp(max((last + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["site", "opened_us", "part", "start_us", "end_us", "n_cameras"])
+
+    # the condition reads the time too, or it would be applied before the watermark, which quiet frames are to move on
+    moving = frames.withWatermark(ts, late).where(F.when(F.col(ts).isNotNull(), F.col(flag)))
+    df = moving.select(ts, F.col(site).cast("string").alias("site"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(camera).cast("string").alias("camera"))
+    parts = df.groupBy("site").applyInPandasWithState(step, "site string, opened_us long, part long, start_us long, end_us long, n_cameras long", "start long, part long, first long, last long, cameras string", "append", GroupStateTimeout.EventTimeTimeout)
+    return parts.select("site", F.sha1(F.concat_ws("|", "site", F.col("opened_us").cast("string"))).alias("event_id"), "part", "start_us", "end_us", "n_cameras")
+
+
+def event_groups(df: DataFrame, event: str, ts: str, gap: str = "5 seconds", late: str = "10 minutes") -> DataFrame:
+    """(event, start, n_parts) of clip sidecars as they arrive; sidecars of one event parted by a longer gap are two groups."""
+    s = df.withWatermark(ts, late).groupBy(event, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n_parts"))
+    return s.select(event, F.col("w.start").alias("start"), "n_parts")
 
 
 def health_samples(df: DataFrame, frame: str, fps: float, seconds: int = 30) -> DataFrame:
@@ -69,51 +113,111 @@ def motion_clip_stream(frames: DataFrame, camera: str, frame: str, flag: str, fp
     return df.groupBy("camera").applyInPandasWithState(step, "camera string, start long, end long, reason string", "seen long, motion long, quiet long, start long, last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def crossing_stream(detections: DataFrame, clip: str, track: str, frame: str, x: str, cls: str, line: float = 0.5) -> DataFrame:
-    """(clip, track, n, first_x, last_x, cls, direction) of each track as far as it was seen, on every change (update mode)."""
+def crossing_stream(detections: DataFrame, clip: str, track: str, ts: str, position: str, x: str, cls: str, line: float = 0.5, expiry_seconds: float = 1.0, late: str = "10 seconds") -> DataFrame:
+    """(clip, track, start_us, n, first_x, last_x, cls, direction) of each track when it ends.
+
+    A track ends when it was not seen for expiry_seconds, by a later detection of it or by the watermark, which frees its
+    state; what comes after is another track of the same number. The class is that of most detections, of equals the first.
+    """
+    expiry = int(expiry_seconds * 1e6)
+    columns = ["clip", "track", "start_us", "n", "first_x", "last_x", "cls", "direction"]
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, fx, last, lx, n, votes = state.get if state.exists else (None, None, None, None, 0, "{}")
-        count = json.loads(votes)
-        for r in pd.concat(list(parts)).sort_values("frame", kind="stable").itertuples():
-            if first is None or r.frame < first:
-                first, fx = int(r.frame), float(r.x)
-            if last is None or r.frame > last:
-                last, lx = int(r.frame), float(r.x)
-            seen = count.setdefault(r.cls, [0, int(r.frame)])
-            seen[0], seen[1], n = seen[0] + 1, min(seen[1], int(r.frame)), n + 1
-        state.update((first, fx, last, lx, n, json.dumps(count)))
-        best = min(count, key=lambda c: (-count[c][0], count[c][1]))
-        way = "r" if fx < line <= lx else "l" if fx > line >= lx else None
-        yield pd.DataFrame([(*key, n, fx, lx, best, way)], columns=["clip", "track", "n", "first_x", "last_x", "cls", "direction"])
-
-    df = detections.select(F.col(clip).cast("string").alias("clip"), F.col(track).cast("long").alias("track"), F.col(frame).cast("long").alias("frame"), F.col(x).cast("double").alias("x"), F.col(cls).cast("string").alias("cls"))
-    return df.groupBy("clip", "track").applyInPandasWithState(step, "clip string, track long, n long, first_x double, last_x double, cls string, direction string", "first long, fx double, last long, lx double, n long, votes string", "update", GroupStateTimeout.NoTimeout)
+        first, fx, last, lx, n, votes = state.get if state.exists else (-1, 0.0, -1, 0.0, 0, "{}")
+        count, out = json.loads(votes), []
+
+        def give() -> None:
+            best = min(count, key=lambda c: (-count[c][0], count[c][1]))
+            way = "r" if fx < line <= lx else "l" if fx > line >= lx else None
+            out.append((*key, first, n, fx, lx, best, way))
+
+        if state.hasTimedOut:
+            give()
+            state.remove()
+        else:
+            rows = pd.concat(list(parts)).sort_values(["us", "pos"], kind="stable")
+            run = (rows["us"].diff() > expiry).cumsum()
+            for _, own in rows.groupby(run, sort=True):
+                if n and own["us"].iloc[0] - last > expiry:
+                    give()
+                    n, count = 0, {}
+                if not n:
+                    first, fx = int(own["us"].iloc[0]), float(own["x"].iloc[0])
+                for c, (k, seen) in own.groupby("cls")["us"].agg(["size", "min"]).iterrows():
+                    have = count.get(c, [0, int(seen)])
+                    count[c] = [have[0] + int(k), min(have[1], int(seen))]
+                last, lx, n = int(own["us"].iloc[-1]), float(own["x"].iloc[-1]), n + len(own)
+            state.update((first, fx, last, lx, n, json.dumps(count)))
+            state.setTimeoutTimestamp(max((last + expiry) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=columns)
+
+    df = detections.withWatermark(ts, late).select(ts, F.col(clip).cast("string").alias("clip"), F.col(track).cast("long").alias("track"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(position).cast("long").alias("pos"), F.col(x).cast("double").alias("x"), F.col(cls).cast("string").alias("cls"))
+    return df.groupBy("clip", "track").applyInPandasWithState(step, "clip string, track long, start_us long, n long, first_x double, last_x double, cls string, direction string", "first long, fx double, last long, lx double, n long, votes string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stalled_outputs(heartbeats: DataFrame, key: str, ts: str, size: str, seconds: int = 60, late: str = "5 minutes") -> DataFrame:
-    """(key, start): spans of time in which an output's size didn't grow."""
-    w = heartbeats.withWatermark(ts, late).groupBy(key, F.window(ts, f"{seconds} seconds").alias("w")).agg(F.min(size).alias("a"), F.max(size).alias("b"))
-    return w.where("a = b").select(key, F.col("w.start").alias("start"))
+    """(key, kind, since_us): "stalled" once when an output's size has not grown for so long, since its last growth;
+    "absent" when it has not reported for longer, since its last report, whether a later report or the watermark tells."""
+    limit = seconds * 1_000_000
+
+    def step(name: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        grown, last, most, told = state.get if state.exists else (-1, -1, -1, False)
+        out = []
+        if state.hasTimedOut:
+            out.append((name[0], "absent", last))
+            state.remove()
+        else:
+            for us, n in pd.concat(list(parts))[["us", "size"]].sort_values(["us", "size"], kind="stable").itertuples(index=False):
+                if last >= 0 and us - last > limit:
+                    out.append((name[0], "absent", last))
+                if n > most:
+                    grown, most, told = int(us), int(n), False
+                elif not told and us - grown >= limit:
+                    out.append((name[0], "stalled", grown))
+                    told = True
+                last = int(us)
+            state.update((grown, last, most, told))
+            state.setTimeoutTimestamp(max((last + limit) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["key", "kind", "since_us"])
+
+    df = heartbeats.withWatermark(ts, late).select(ts, F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(size).cast("long").alias("size"))
+    return df.groupBy("key").applyInPandasWithState(step, "key string, kind string, since_us long", "grown long, last long, most long, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def new_clips(batch: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    """Listed clips without a result yet, by path, size and time; for use in foreachBatch, which makes retries harmless."""
-    return batch.join(done.select(*key).distinct(), key, "left_anti")
+def new_clips(batch: DataFrame, done: DataFrame, key: list[str], modified: str | None = None, seconds: int = 240, now: Column | None = None) -> DataFrame:
+    """Listed clips without a result yet, by path, size and time; for use in foreachBatch, which makes retries harmless.
+
+    modified: the column of their last change; clips changed within the last seconds wait for a later batch."""
+    old = batch if modified is None else settled_files(batch, modified, seconds, now)
+    return old.join(done.select(*key).distinct(), key, "left_anti")
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Runs a stream over all input there is, into Parquet files (append) or a keyed table rewritten by batch (update)."""
+    """Runs a stream over all input there is, into Parquet files (append), or (update) a folder for each batch, which a batch
+    that is tried again writes anew."""
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", path).start()
     else:
-        query = writer.foreachBatch(_rewrite(path)).start()
+        query = writer.foreachBatch(lambda batch, number: write_batch(batch, number, path)).start()
     query.awaitTermination()
 
 
-def _rewrite(path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+def write_batch(batch: DataFrame, number: int, path: str) -> None:
+    """A batch's rows in its own folder; read back, the table has its number as column ``batch``."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return write
+
+def write_outages(outages: DataFrame, path: str, checkpoint: str, order: list[str]) -> None:
+    """Outages of a stream with incident numbers that only grow: each batch goes on from the greatest number of the batches
+    before it, in the given order, and a batch that is tried again gets the same numbers."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = 0
+        if number:
+            earlier = spark.read.schema("incident long, batch int").parquet(path).where(F.col("batch") < number)
+            before = earlier.agg(F.max("incident")).first()[0] or 0
+        write_batch(with_rank(batch, order, "incident").withColumn("incident", F.col("incident") + before), number, path)
+
+    outages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
