@@ -1,6 +1,11 @@
+import hashlib
+import random
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
-from tidewell.operators import balance, counts, measures, runs, sampling, similarity, stats, tasks, tracks
+from tidewell.operators import balance, counts, measures, ordered, runs, sampling, similarity, stats, tasks, tracks
 
 
 def rows(df, *columns):
@@ -194,3 +199,84 @@ def test_stratified_sequences(spark):
     for name in ("train", "val", "test"):
         own = [s for s, x in got.items() if x == name]
         assert any(int(s[1:]) < 6 for s in own) and (name == "train" or len(own) == 6)
+
+
+def test_balance_is_greedy(spark):
+    """The chosen rows are those of the greedy rule read row by row."""
+    r = random.Random(5)
+    data = [(i, r.choice(["a", "a", "a", "b", "c", None]), r.choice(["x", "y", "y", None]), r.choice("12")) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, p string, q string, s string").repartition(4)
+    columns = ["p", "q", "s"]
+    n = Counter((c, row[j + 1]) for row in data for j, c in enumerate(columns) if row[j + 1] is not None)
+    deficit = {k: min(m for (c, _), m in n.items() if c == k[0]) for k in n}
+    left, chosen = list(data), []
+    while left:
+        score = lambda row: sum(deficit.get((c, row[j + 1]), 0) for j, c in enumerate(columns))
+        best = max(left, key=lambda row: (score(row), -row[0]))
+        if score(best) <= 0:
+            break
+        chosen.append(best[0])
+        left.remove(best)
+        for j, c in enumerate(columns):
+            k = (c, best[j + 1])
+            if deficit.get(k, 0) > 0:
+                deficit[k] -= 1
+    assert [i for (i,) in rows(balance.balance_conditions(df, columns, "id"), "id")] == sorted(chosen)
+
+
+def test_tiny_set(spark):
+    c = spark.createDataFrame([(f"s{i}", label, 5) for i in range(30) for label in "xyz" if (i + ord(label)) % 3], "seq string, label string, n int")
+    got = balance.stratified_sequences(c, "seq", "label", "n").collect()
+    tiny = {r["seq"] for r in got if r["tiny"]}
+    assert 0 < len(tiny) <= 3 and all(r["split"] == "test" for r in got if r["tiny"])
+    assert {r["label"] for r in c.collect() if r["seq"] in tiny} == set("xyz")
+
+
+def test_ordered(spark, monkeypatch):
+    """Ranks, running sums, best values from here and least rows by hash equal those of one list, with nulls among the groups."""
+    r = random.Random(3)
+    data = [(r.choice(["a", "a", "a", "b", None]), r.randrange(1000), i, r.random()) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, o long, i long, v double").repartition(5)
+    run = ordered.with_running(df, ["g"], [F.desc("o"), "i"], {"sum": F.col("o")}, "rank", keep_part=True)
+    got = {x["i"]: x for x in ordered.best_from_here(run, ["g"], "rank", ["v"]).collect()}
+    for g in ("a", "b", None):
+        own = sorted((x for x in data if x[0] == g), key=lambda x: (-x[1], x[2]))
+        total, best = 0, [max(y[3] for y in own[k:]) for k in range(len(own))]
+        for k, x in enumerate(own):
+            total += x[1]
+            assert (got[x[2]]["rank"], got[x[2]]["sum"], got[x[2]]["best_v"]) == (k + 1, total, best[k])
+    order = lambda x: (hashlib.md5(f"9|{x[2]}".encode()).hexdigest(), x[2])
+    for size in (1, 100_000):
+        monkeypatch.setattr(ordered, "HASH_ROWS", size)
+        some = ordered.least_by_hash(df, [], ["i"], 50, 9)
+        assert [x["i"] for x in some.orderBy("i").collect()] == sorted(x[2] for x in sorted(data, key=order)[:50])
+        takes = spark.createDataFrame([("a", 7), (None, 3), ("none", 5)], "g string, take long")
+        want = sorted(x[2] for g, k in (("a", 7), (None, 3)) for x in sorted((y for y in data if y[0] == g), key=order)[:k])
+        assert sorted(x["i"] for x in ordered.least_by_hash(df, ["g"], ["i"], takes, 9).collect()) == want
+
+
+def test_more_metrics(spark):
+    box = lambda i, c, x, pos, *conf: ("i" + str(i), c, x, 0.0, x + 1.0, 1.0, pos, *conf)
+    t = spark.createDataFrame([box(1, "a", 0.0, 1), box(1, "a", 5.0, 2), box(2, "b", 0.0, 1), box(3, "none", 0.0, 1)], "image string, cls string, x1 double, y1 double, x2 double, y2 double, pos long")
+    p = spark.createDataFrame([box(1, "a", 0.2, 1, 0.9), box(1, "a", 9.0, 2, 0.8), box(2, "b", 0.0, 1, 0.7), box(2, "b", 0.0, 2, 0.6)], "image string, cls string, x1 double, y1 double, x2 double, y2 double, pos long, conf double")
+    m = {r["cls"]: r for r in tracks.detection_metrics(p, t, tracks.IOUS).collect()}
+    # a: overlap 0.8 / 1.2 = 2/3, so a hit at 0.5, 0.55, 0.6 and 0.65
+    assert (m["a"]["ap50"], m["a"]["ap"], m["a"]["precision"], m["a"]["recall"]) == (0.5, pytest.approx(0.2), 1.0, 0.5)
+    assert (m["b"]["ap50"], m["b"]["ap"], m["b"]["precision"], m["b"]["recall"]) == (1.0, 1.0, 1.0, 1.0)
+    assert (m["none"]["n_pred"], m["none"]["ap"], m["none"]["recall"]) == (0, 0.0, 0.0)
+    assert tracks.mean_metrics(tracks.detection_metrics(p, t)).first()["map50"] == pytest.approx(0.5)
+
+
+def test_clean_attributes(spark):
+    raw = ['{"attribute": [{"name": "n", "mutable": "True", "values": "a\\nb"}]}', '[{"name": "m", "mutable": false, "values": ["c"]}]', None, "odd"]
+    got = [r["a"] for r in spark.createDataFrame([(i, x) for i, x in enumerate(raw)], "i int, raw string").orderBy("i").select(tasks.clean_label_attributes(F.col("raw")).alias("a")).collect()]
+    assert [tuple(x) for x in got[0]] == [("n", True, ["a", "b"])] and [tuple(x) for x in got[1]] == [("m", False, ["c"])] and not got[2] and not got[3]
+
+
+def test_split_summary(spark):
+    a = spark.createDataFrame([("g1", "train"), ("g2", "train"), ("g3", "val")], "g string, split string")
+    g = spark.createDataFrame([("g1", 2, 3), ("g2", 1, 1), ("g3", 4, 4)], "g string, f long, b long")
+    h = spark.createDataFrame([("g1", "class", "0", 2), ("g2", "class", "0", 1), ("g2", "tod", "night", 1)], "g string, feature string, key string, cnt long")
+    got = {r["split"]: r for r in stats.split_summary(a, g, h, "g", "f", "b").collect()}
+    assert (got["train"]["n_groups"], got["train"]["n_frames"], got["train"]["n_boxes"]) == (2, 3, 4)
+    assert got["train"]["histograms"] == {"class": {"0": 3}, "tod": {"night": 1}} and got["val"]["histograms"] is None

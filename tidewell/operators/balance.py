@@ -1,7 +1,10 @@
-"""Greedy balancing over bounded aggregates: condition profiles, groups of frames, clips of a class.
+"""Greedy balancing over aggregates: condition profiles, groups of frames, clips of a class.
 
 Rows are reduced to the aggregate in Spark, the sequential step runs over the aggregate in one task, and its decisions are
-joined back to the rows."""
+joined back to the rows. Such a step depends on all its earlier choices, so it can't be dealt out; what it sees grows with
+videos (a number for each that may be chosen), with sites' devices and days, or with sequences and labels, never with frames
+or boxes, and it takes 8 bytes for each.
+"""
 
 from __future__ import annotations
 
@@ -22,9 +25,10 @@ WEIGHTS = {"class": 4.0, "tod": 1.0, "density": 1.0, "area": 1.0, "ar": 1.0, "si
 
 def balance_conditions(rows: DataFrame, columns: Sequence[str], position: str) -> DataFrame:
     """Rows chosen so that each value of a column is wanted as often as the column's rarest: always the row that fills the
-    most deficits, the first of equals, until none fills any.
+    most deficits, the first of equals by position, until none fills any.
 
-    Rows of one condition vector are alike, so the choice runs over vectors with at most as many rows as any target.
+    Rows (videos) of one condition vector are alike, so the choice runs over vectors; a vector brings the positions of at
+    most as many rows as any value is wanted, as equal vectors' rows compete by position.
     """
     targets = condition_targets(rows, columns)
     most = targets.agg(F.max("target")).first()[0] or 0
@@ -35,22 +39,26 @@ def balance_conditions(rows: DataFrame, columns: Sequence[str], position: str) -
     wanted = targets.agg(F.collect_list(F.struct("col", "val", "target")).alias("targets"))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        deficit = {(t["col"], t["val"]): t["target"] for t in pdf["targets"].iloc[0]}
-        vectors = [[(c, v) for c, v in zip(columns, x, strict=True) if v != "\0"] for x in pdf["vector"]]
-        at, used = [list(x) for x in pdf["at"]], np.zeros(len(pdf), int)
+        number = {(t["col"], t["val"]): i for i, t in enumerate(pdf["targets"].iloc[0])}
+        deficit = np.array([t["target"] for t in pdf["targets"].iloc[0]], float)
+        has = np.zeros((len(pdf), len(number)))
+        for i, x in enumerate(pdf["vector"]):
+            has[i, [number[c, v] for c, v in zip(columns, x, strict=True) if v != "\0"]] = 1
+        at, used = [np.asarray(x) for x in pdf["at"]], np.zeros(len(pdf), int)
+        after = np.array([x[0] for x in at], float)  # position of each vector's next row
+        scores = has @ deficit
         while True:
-            best, score = -1, 0
-            for i, v in enumerate(vectors):
-                if used[i] < len(at[i]):
-                    s = sum(max(deficit.get(k, 0), 0) for k in v)
-                    if s > score or (s == score and s > 0 and at[i][used[i]] < at[best][used[best]]):
-                        best, score = i, s
-            if score <= 0:
+            scores[np.isinf(after)] = 0
+            most_filled = scores.max(initial=0)
+            if most_filled <= 0:
                 return pd.DataFrame({"vector": pdf["vector"], "take": used})
+            equal = np.flatnonzero(scores == most_filled)
+            best = equal[after[equal].argmin()]
             used[best] += 1
-            for k in vectors[best]:
-                if deficit.get(k, 0) > 0:
-                    deficit[k] -= 1
+            after[best] = at[best][used[best]] if used[best] < len(at[best]) else np.inf
+            filled = (has[best] > 0) & (deficit > 0)
+            deficit[filled] -= 1
+            scores -= has[:, filled].sum(axis=1)
 
     taken = few.join(wanted).withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "vector array<string>, take long")
     return ranked.withColumn("__v", F.array(*keys)).join(taken, F.col("__v") == F.col("vector")).where(F.col("__r") <= F.col("take")).drop("__r", "__v", "vector", "take")
@@ -127,8 +135,9 @@ def split_by_counts(counts: DataFrame, clip: str, cls: str, n: str, val: float =
 
 
 def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, val: float = 0.15, test: float = 0.15, seed: int = 0) -> DataFrame:
-    """(sequence, split): sequences in hash order fill test and val up to their share of every label's total, once each set
-    has a sequence of every label; the rest is train. One row per sequence and label is all the step sees."""
+    """(sequence, split, tiny): sequences in hash order fill test and val up to their share of every label's total, once each
+    set has a sequence of every label; the rest is train. tiny marks the sequences that brought test its labels: a small set
+    of them all. One row per sequence and label is all the step sees."""
     per = counts.groupBy(sequence, label).agg(F.sum(n).alias("n")).where("n > 0")
     table = per.select(F.col(sequence).cast("string").alias("s"), F.col(label).cast("string").alias("l"), "n", hash_order(seed, F.col(sequence)).alias("tie"))
 
@@ -136,7 +145,7 @@ def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, v
         totals = pdf.groupby("l")["n"].sum().to_dict()
         order = pdf[["s", "tie"]].drop_duplicates().sort_values(["tie", "s"])["s"].tolist()
         own = {s: dict(zip(g["l"], g["n"], strict=True)) for s, g in pdf.groupby("s")}
-        split, have = {}, {"test": {}, "val": {}}
+        split, have, tiny = {}, {"test": {}, "val": {}}, set()
 
         def put(s: str, name: str) -> None:
             split[s] = name
@@ -149,6 +158,7 @@ def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, v
                 free = [s for s in holders if s not in split]
                 if k not in have[name] and len(free) > 1:
                     put(free[0], name)
+                    tiny |= {free[0]} if name == "test" else set()
         for s in order:
             if s in split:
                 continue
@@ -158,6 +168,6 @@ def stratified_sequences(counts: DataFrame, sequence: str, label: str, n: str, v
                 put(s, name)
             else:
                 split[s] = "train"
-        return pd.DataFrame(sorted(split.items()), columns=["s", "split"])
+        return pd.DataFrame([(s, x, s in tiny) for s, x in sorted(split.items())], columns=["s", "split", "tiny"])
 
-    return table.withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "s string, split string").withColumnRenamed("s", sequence)
+    return table.withColumn("__one", F.lit(0)).groupBy("__one").applyInPandas(choose, "s string, split string, tiny boolean").withColumnRenamed("s", sequence)

@@ -597,8 +597,8 @@ def balance_conditions(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def split_groups(spark: SparkSession, d: str) -> DataFrame:
-    boxes = view(spark, d, "boxes").withColumn("group_id", F.concat_ws("-", "site", (F.col("stem") % 20).cast("string")))
-    hist = stats.group_hist(boxes, "group_id", "stem", "frame", "class_id", "w", "h")
+    boxes = view(spark, d, "boxes").withColumns({"group_id": F.concat_ws("-", "site", (F.col("stem") % 20).cast("string")), "time": F.concat(F.lpad((F.col("stem") % 24).cast("string"), 2, "0"), F.lit("0000"))})
+    hist = stats.group_hist(boxes, "group_id", "stem", "frame", "class_id", "w", "h", "time")
     return balance.split_groups(stats.group_stats(boxes, "group_id", "stem", "frame"), hist, "group_id", "n_frames", stats.rarity(hist, "group_id"), seed=5)
 
 
@@ -613,3 +613,8 @@ SELECT filename, CASE WHEN clips <= 3 THEN CASE WHEN r = 1 THEN 'test' WHEN r =
   WHEN in_test THEN 'test' WHEN before - tested < ceil(0.1 * total) THEN 'val' ELSE 'train' END AS split FROM t""")
 def split_by_counts(spark: SparkSession, d: str) -> DataFrame:
     return balance.split_by_counts(view(spark, d, "counts_gt"), "filename", "species", "n", seed=2)
+
+
+@query()
+def stratified_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return balance.stratified_sequences(view(spark, d, "counts_gt"), "filename", "species", "n", seed=3)
