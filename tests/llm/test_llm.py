@@ -527,15 +527,67 @@ def test_native_equals_sql(spark, sf):
         assert rows(df) == sorted((tuple(x[i] for i in at) for x in r.fetchall()), key=repr)
 
 
+def lines_by_hand(docs, min_sites=line_dedup.MIN_SITES, share=corpus_pipeline.COPY_SHARE):
+    """The line stage of (doc_id, text, lang, source, n_chars), line by line."""
+    sites = {}
+    for _, t, _, source, _ in docs:
+        for x in (t or "").split("\n"):
+            if x.strip(" ") and source is not None:
+                sites.setdefault(x, set()).add(source)
+    boiler = {x for x, s in sites.items() if len(s) >= min_sites}
+    heavy, proven = {}, {}
+    for t in {d[1] for d in docs if d[1]}:
+        own = [x for x in t.split("\n") if x in boiler]
+        heavy[t] = sum(map(len, own)) > share * len(t)
+        if not heavy[t]:
+            for x in set(own):
+                proven[x] = proven.get(x, 0) + 1
+    out = []
+    for d, t, lang, source, n in docs:
+        if t:
+            gone = {x for x in boiler if not heavy[t] or proven.get(x, 0) >= min_sites}
+            kept = [x for x in t.split("\n") if x not in gone]
+            if len(kept) < t.count("\n") + 1:
+                t = "\n".join(kept)
+                n = len(t)
+        out.append((d, t, lang, source, n))
+    return out
+
+
 def test_pipeline(spark, sf):
+    """Each stage after toxicity equals its brute-force version on what the stage before it kept."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    n = [docs.count()]
+    bench = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    kept = [[tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()]]
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf)
         assert docs.columns == corpus_pipeline.COLUMNS, name
-        docs = spark.createDataFrame(docs.collect(), docs.schema)
-        n.append(docs.count())
-    assert n[0] > n[1] == n[2] > n[3] > n[4] > 0.7 * n[0]
+        kept.append([tuple(r) for r in docs.collect()])
+        docs = spark.createDataFrame(kept[-1], docs.schema)
+    start, civil, lines, distinct, clean = kept
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    gone = {r[0] for r in start} - {r[0] for r in civil}
+    assert len(start) - len(gone) == len(civil) and set(civil) <= set(start)
+    assert np.mean([labels[r[0]] == (r[0] in gone) for r in start if r[0] in labels]) >= 0.95
+    assert sorted(lines, key=repr) == sorted(lines_by_hand(civil), key=repr)
+    first = {d for d, _, _, k in near_dedup.brute_force([(r[0], r[1]) for r in lines], shingle=5) if k}
+    assert sorted(distinct, key=repr) == sorted((r for r in lines if r[0] in first), key=repr)
+    bad = {d for d, *_, hit in decontaminate.brute_force([(r[0], r[1]) for r in distinct], bench) if hit}
+    assert bad and sorted(clean, key=repr) == sorted((r for r in distinct if r[0] not in bad), key=repr)
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert last.select("doc_id").distinct().count() == n[4]
-    assert not any(r["contaminated"] for r in decontaminate.contamination(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).collect())
+    assert {r[0] for r in last.select("doc_id").distinct().collect()} == {r[0] for r in clean} and len(clean) > 0.7 * len(start)
+
+
+def test_pipeline_on_odd_tables(spark, sf_small):
+    """Nulls in every column, empty, blank and long texts, repeated rows, and columns of clashing names."""
+    odd = [(None, "a b c d", None, None, None), (3, "A b c d", "en", "s1", 7), (2, "a b c d", "en", "s2", 7), (2, "a b c d", "en", "s2", 7), (5, None, "en", "s1", None), (6, "", None, "s1", 0), (7, " \n\t ", "en", None, 4), (7, " \n\t ", "en", None, 4), (9, "q " * 60_000, "en", "s3", 120_000)]
+    df = spark.createDataFrame([(*r, 1, "x", 2.0) for r in odd], "doc_id long, text string, lang string, source string, n_chars long, bad int, near_t string, __score double").repartition(3)
+    alive = {"toxicity": 9, "line dedup": 9, "near dedup": 5, "decontamination": 5}
+    docs, empty = df, df.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, empty = stage(spark, docs, sf_small), stage(spark, empty, sf_small)
+        assert docs.columns == empty.columns == corpus_pipeline.COLUMNS and (docs.count(), empty.count()) == (alive[name], 0), name
+        docs = spark.createDataFrame(docs.collect(), docs.schema).repartition(2)
+    assert sorted((r["doc_id"] for r in docs.collect()), key=str) == [2, 5, 6, 7, 9]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_small)
+    assert {r["doc_id"] for r in pieces.collect()} == {2, 5, 6, 7, 9} and corpus_pipeline.STAGES[-1][1](spark, empty, sf_small).count() == 0
