@@ -11,12 +11,12 @@ from tidewell.plans.adapters import view
 from tidewell.plans.base import query, rounded
 
 _ANNOTATED = """v AS (SELECT stem, n_frames, CASE WHEN n_frames = 13 THEN 'unreadable' END AS error FROM @videos v),
-b AS (SELECT * FROM @boxes b WHERE stem % 3 <> 0)"""
+b AS (SELECT * FROM @boxes b)"""
 
 
 def _annotated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     videos = view(spark, d, "videos").withColumn("error", F.when(F.col("n_frames") == 13, "unreadable"))
-    return videos, view(spark, d, "boxes").where("stem % 3 <> 0")
+    return videos, view(spark, d, "boxes")
 
 
 @query(f"""
@@ -25,10 +25,11 @@ j AS (SELECT v.*, p.stem IS NOT NULL AS has, lines, files FROM v LEFT JOIN p ON
 SELECT count(*) FILTER (error IS NULL AND has) AS videos_with_boxes, count(*) FILTER (error IS NULL AND NOT has) AS videos_without_boxes,
   CAST(coalesce(sum(lines) FILTER (error IS NULL), 0) AS BIGINT) AS label_lines, CAST(coalesce(sum(files) FILTER (error IS NULL), 0) AS BIGINT) AS label_files,
   CAST(coalesce(sum(n_frames // 2) FILTER (error IS NULL AND NOT has), 0) AS BIGINT) AS candidate_negative_frames, count(*) FILTER (error IS NOT NULL) AS errors,
-  (SELECT count(*) FROM v WHERE stem % 3 = 0 AND n_frames > 20) AS negative_files FROM j""")
+  (SELECT count(*) FROM v WHERE stem NOT IN (SELECT stem FROM b) AND n_frames > 20) AS negative_files FROM j""")
 def convert_summary(spark: SparkSession, d: str) -> DataFrame:
     videos, boxes = _annotated(spark, d)
-    return tasks.convert_summary(videos, boxes, videos.where("stem % 3 = 0 and n_frames > 20"), "stem", "n_frames", "frame", "error", 2, 1)
+    negatives = tasks.without_boxes(videos, boxes, ["stem"]).where("n_frames > 20")
+    return tasks.convert_summary(videos, boxes, negatives, "stem", "n_frames", "frame", "error", 2, 1)
 
 
 @query(f"WITH {_ANNOTATED} SELECT stem, n_frames FROM v WHERE stem IN (SELECT stem FROM b)")
@@ -63,14 +64,14 @@ def pack_manifest(spark: SparkSession, d: str) -> DataFrame:
     return tasks.pack_manifest(tasks.pack_plan(m, meta, labels, "video_stem", "frame_idx"), "split", "video_stem")
 
 
-_SAMPLED = """n AS (SELECT stem, unnest(range(1, n_frames, 3)) AS frame FROM @videos v WHERE stem % 2 = 0),
+_SAMPLED = """n AS (SELECT stem, unnest(range(1, n_frames, 3)) AS frame FROM @videos v),
 s AS (SELECT stem, string_agg(CAST(frame AS VARCHAR), ' ' ORDER BY frame) AS sampled_frames FROM n GROUP BY 1),
 m AS (SELECT s.stem, v.n_frames AS total_frames, sampled_frames, coalesce(brand, '') AS brand, coalesce(size, '') AS size FROM s LEFT JOIN @videos v ON v.stem = s.stem LEFT JOIN @conditions c ON c.p_partkey = s.stem)"""
 
 
 def _condition_manifest(spark: SparkSession, d: str) -> DataFrame:
     videos = view(spark, d, "videos")
-    frames = tasks.eligible_negatives(videos.where("stem % 2 = 0"), videos.select("stem", F.lit(-1).alias("frame")).limit(0), "stem", "n_frames", "frame", 3, "fixed", 1)
+    frames = tasks.eligible_negatives(videos, videos.select("stem", F.lit(-1).alias("frame")).limit(0), "stem", "n_frames", "frame", 3, "fixed", 1)
     conditions = view(spark, d, "conditions").withColumnRenamed("p_partkey", "stem")
     return stats.condition_manifest(frames, "stem", "frame", videos.withColumnRenamed("n_frames", "total_frames"), conditions, ["brand", "size"])
 

@@ -47,12 +47,12 @@ def read_headed(spark: SparkSession, path: str | Sequence[str], glob: str | None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_tasks(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def read_tasks(spark: SparkSession, path: str, strict: bool = False, glob: str = "*.json") -> DataFrame:
     """(file_path, item_pos, id, data, annotations, error): tasks of files that hold a list of tasks, or (unless strict) one.
 
     A file that can't be read, or isn't such a list, gives one row with an error.
     """
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True).withColumn("file_path", _path())
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True).withColumn("file_path", _path())
     body = F.trim(F.regexp_replace("value", "^\ufeff", ""))
     listed = F.when(body.startswith("["), body)
     if not strict:
@@ -245,12 +245,12 @@ CVAT_ATTRIBUTE = "array<struct<_name: string, _VALUE: string>>"
 CVAT_IMAGE = f"_id long, _name string, box array<struct<_label: string, _xtl: double, _ytl: double, _xbr: double, _ybr: double, attribute: {CVAT_ATTRIBUTE}>>"
 
 
-def read_cvat_xml(spark: SparkSession, path: str) -> DataFrame:
+def read_cvat_xml(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
     """(file, image_id, image, box_pos, label, track_id, x1, y1, x2, y2) of the boxes of each image.
 
     track_id is the attribute __instance_id, or track_id. An image without boxes has one row without.
     """
-    images = spark.read.format("xml").schema(CVAT_IMAGE).option("rowTag", "image").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(path)
+    images = spark.read.format("xml").schema(CVAT_IMAGE).option("rowTag", "image").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     rows = images.select(_path().alias("file"), F.col("_id").alias("image_id"), F.col("_name").alias("image"), F.posexplode_outer("box").alias("box_pos", "b"))
     own = F.get(F.filter("b.attribute", lambda a: a["_name"].isin("__instance_id", "track_id")), 0)["_VALUE"]
     return rows.select("file", "image_id", "image", "box_pos", F.col("b._label").alias("label"), own.try_cast("long").alias("track_id"), *[F.col(f"b.{c}").alias(n) for c, n in (("_xtl", "x1"), ("_ytl", "y1"), ("_xbr", "x2"), ("_ybr", "y2"))])

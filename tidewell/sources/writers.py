@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import fmt6
+from tidewell.operators import stats
 from tidewell.operators.sampling import shard
 
 
@@ -59,3 +60,36 @@ def to_coco(objects: DataFrame, frame: str, file_name: str, category: str, x: st
 def bbox_rows(boxes: DataFrame, position: str, skip: int = 0) -> DataFrame:
     """(image, line): ``name conf x1 y1 x2 y2`` of every (skip + 1)-th image."""
     return boxes.where(F.col(position) % (skip + 1) == 0).select("image", F.concat_ws(" ", "cls", "conf", "x1", "y1", "x2", "y2").alias("line"))
+
+
+def write_detections(detections: DataFrame, path: str, clip: str, columns: Sequence[str] = ("frame", "track", "x", "y", "w", "h", "conf", "cls")) -> None:
+    """Detections as CSV, a folder for each clip."""
+    own = [c for c in columns if c in detections.columns]
+    detections.select(clip, *own).write.mode("errorifexists").option("header", True).partitionBy(clip).csv(path)
+
+
+def write_stats(boxes: DataFrame, path: str, site: str, cls: str, stem: str, frame: str, stride: int = 1, offset: int = 0) -> None:
+    """The statistics of boxes in folders below path: site_class_boxes, site_class_frames, site_totals and class_totals as
+    CSV, and summary, a JSON document for each site."""
+    by_class = stats.site_class_stats(boxes, site, cls, [stem, frame])
+    tables = {
+        "site_class_boxes": by_class.select(site, cls, "n_boxes", "pct_of_class", "pct_of_site", "pct_of_all"),
+        "site_class_frames": by_class.select(site, cls, "n_frames"),
+        "site_totals": stats.site_totals(boxes, site, stem, frame, stride, offset),
+        "class_totals": stats.class_totals(boxes, cls, site, [stem, frame]),
+    }
+    for name, table in tables.items():
+        table.write.mode("errorifexists").option("header", True).csv(f"{path}/{name}")
+    stats_json(by_class, site, cls).write.mode("errorifexists").json(f"{path}/summary")
+
+
+def write_split_report(assignment: DataFrame, groups: DataFrame, hist: DataFrame, path: str, group: str, frames: str, boxes: str) -> None:
+    """The assignment of groups as CSV, and for each split a JSON document of its sizes and histograms."""
+    assignment.join(groups, group).write.mode("errorifexists").option("header", True).csv(f"{path}/groups")
+    stats.split_summary(assignment, groups, hist, group, frames, boxes).write.mode("errorifexists").json(f"{path}/report")
+
+
+def write_condition_outputs(manifest: DataFrame, metadata: DataFrame, summary: DataFrame, path: str) -> None:
+    """The chosen videos with their frames and conditions, their metadata, and the summary of conditions, each as CSV."""
+    for name, table in (("manifest", manifest), ("metadata", metadata), ("summary", summary)):
+        table.write.mode("errorifexists").option("header", True).csv(f"{path}/{name}")
