@@ -141,3 +141,18 @@ def test_shared_dir_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster())
+
+
+def test_scratch(spark):
+    """Tables written for a step are removed with it, its result stays."""
+    import os
+
+    from tidewell import session
+
+    with session.scratch(spark) as keep:
+        inner = session.materialize(spark.range(5), "inner")
+        out = keep(inner.selectExpr("id + 1 id"), "outer")
+    where = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    assert out.count() == 5 and os.path.exists(where(out))
+    folder = session.shared_dir(spark).removeprefix("file://")
+    assert not [f for f in os.listdir(folder) if f.startswith("inner-")]

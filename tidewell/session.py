@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,36 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths of the tables that materialize wrote and scratch did not remove.
+_WRITTEN: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Removes at its end the tables that materialize wrote inside, but for those written by the function it gives.
+
+    So what a step needs only for itself is gone once its result is written:
+
+        with scratch(spark) as keep:
+            result = keep(step(df), "result")
+    """
+    start, kept = len(_WRITTEN), []
+
+    def keep(df: DataFrame, name: str = "table") -> DataFrame:
+        out = materialize(df, name)
+        kept.append(_WRITTEN[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        gone = [p for p in _WRITTEN[start:] if p not in kept]
+        _WRITTEN[start:] = kept
+        for p in gone:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back.
 
@@ -51,4 +83,5 @@ def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").options(**{"compression": "zstd"} | options).parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
