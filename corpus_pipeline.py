@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from tidewell.session import materialize
+from tidewell.session import scratch
 
 #: A text of which boilerplate takes more than this share may be a copy of a whole document, which near dedup is to judge.
 COPY_SHARE = 0.5
@@ -66,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        with scratch(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
