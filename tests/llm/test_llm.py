@@ -591,3 +591,17 @@ def test_pipeline_on_odd_tables(spark, sf_small):
     assert sorted((r["doc_id"] for r in docs.collect()), key=str) == [2, 5, 6, 7, 9]
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_small)
     assert {r["doc_id"] for r in pieces.collect()} == {2, 5, 6, 7, 9} and corpus_pipeline.STAGES[-1][1](spark, empty, sf_small).count() == 0
+
+
+def test_pipeline_run(spark, sf_small):
+    """run() gives the pieces of what all stages kept, and leaves no table but the stages' results."""
+    import os
+
+    from tidewell import session
+
+    folder = session.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, sf_small)
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"pipeline-" + n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES}
+    n = spark.read.parquet(f"{sf_small}/documents.parquet").count()
+    assert 0.6 * n < out.select("doc_id").distinct().count() < n
