@@ -14,8 +14,8 @@ def one(spark, c):
 
 
 def test_stem(spark):
-    p = one(spark, N.parse_stem(F.lit("HIRMD-tankeeah-jetson-0_20250714_012827_M")))
-    assert tuple(p) == ("HIRMD", "tankeeah", "jetson-0", "20250714", "012827", "M")
+    p = one(spark, N.parse_stem(F.lit("ORG-upper-weir-0_20250714_012827_M")))
+    assert tuple(p) == ("ORG", "upper", "weir-0", "20250714", "012827", "M")
     assert one(spark, N.parse_stem(F.lit("a-b_20250714_012827_M"))) is None
     assert one(spark, N.parse_stem(F.lit("nothing"))) is None
     assert one(spark, N.parse_stem(F.lit(None).cast("string"))) is None

@@ -105,3 +105,8 @@ def remap_labels(c: Column, aliases: dict[str, str]) -> Column:
     if not aliases:
         return c
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), c), c)
+
+
+def project_labels(df: DataFrame, classes: list[str], label: str = "label", class_id: str = "class_id") -> DataFrame:
+    """Rows of the labels of a fixed list, numbered by their place in it; others are left out."""
+    return with_class_id(df, {c: i for i, c in enumerate(classes)}, label, class_id)
