@@ -34,7 +34,7 @@ MINI = 3
 HOT_SHARE = 0.002
 HOT_SAMPLE_ROWS = 4000
 #: Bytes of text for each shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 SYMBOLS = 3
 CHUNK_WORDS = 200_000
 NULL_ID = np.iinfo(np.int64).max
@@ -90,7 +90,7 @@ def _ship(docs: DataFrame, window: int, shards: int, hot: np.ndarray) -> DataFra
         pack = zstandard.ZstdCompressor(level=3).compress
         seen, seen_id = np.zeros(0, _U), np.zeros(0, np.int64)  # hot windows of earlier slices and their smallest documents
         for batch in batches:
-            for piece in words.slices(batch, "t", 4 * words.SLICE_BYTES):
+            for piece in words.slices(batch, "t", 3 * words.SLICE_BYTES):
                 w = words.split(piece.column("t"), "white")
                 ids = np.array(piece.column("id"), np.int64)
                 keys = np.array(piece.column("key"), np.int64)
@@ -287,9 +287,29 @@ def removed_runs(docs: DataFrame, window: int = WINDOW, shards: int | None = Non
     return marks.groupBy("id", "key").agg(F.collect_list("runs").alias("runs"))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts packed for their way to their marks."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        z = [pack(t.encode()) for t in batch.column("t").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("d", "id", "key")), pa.array(z, pa.binary())], names=["d", "id", "key", "z"])
+
+
 def _kept(window: int, digest: bool):
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                t = pa.array([unpack(z) for z in batch.column("z").to_pylist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("d"), t, batch.column("runs")], names=["d", "t", "runs"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches):
             for piece in words.slices(batch, "t"):
                 w = words.split(piece.column("t"), "white")
                 first = w.first
@@ -313,8 +333,7 @@ def _kept(window: int, digest: bool):
                 n = pa.array(w.counts.astype(np.int64))
                 gone = pa.array((w.counts - np.diff(by)).astype(np.int64))
                 last = pa.array([hashlib.sha256(t).hexdigest() for t in texts]) if digest else pa.array([t.decode() for t in texts])
-                columns = [c for c in piece.schema.names if c not in ("t", "runs", "id", "key")]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in columns), n, gone, last], names=[*columns, "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([piece.column("d"), n, gone, last], names=["d", "n_words", "n_removed", "kept"])
 
     return run
 
@@ -329,7 +348,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     base = base.select("d", F.coalesce("d", F.lit(int(NULL_ID))).alias("id"), F.xxhash64("t").alias("key"), "t")
     marks = removed_runs(base.select("id", "key", "t"), window)
-    both = base.join(marks, ["id", "key"], "left").select("d", "id", "key", "t", "runs")
+    both = base.mapInArrow(_packed, "d long, id long, key long, z binary").join(marks, ["id", "key"], "left").select("d", "z", "runs")
     return both.mapInArrow(_kept(window, digest), "d long, n_words long, n_removed long, kept string").withColumnRenamed("d", doc_id)
 
 
