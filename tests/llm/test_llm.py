@@ -171,6 +171,9 @@ def test_chat(spark):
         assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
         assert got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
     assert chat_format.format_conversations(df.limit(0)).count() == 0
+    huge = ["<s>[/]\\" * 40_000, "a" * 300_000]
+    r = chat_format.digest(chat_format.format_conversations(spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(huge)], "conv_id long, turn long, role string, text string"))).first()
+    assert r["loss_chars"] == sum(map(len, huge)) and r["loss_sha256"] == hashlib.sha256("".join(huge).encode()).hexdigest()
     long = spark.range(1500).selectExpr("1 conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t', id) text")
     r = chat_format.digest(chat_format.format_conversations(long)).first()
     assert r["loss_sha256"] == hashlib.sha256("".join(f"t{i}" for i in range(1, 1500, 2)).encode()).hexdigest()

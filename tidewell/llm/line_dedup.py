@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm import words
 from tidewell.session import materialize
 
 MIN_SITES = 10
@@ -85,7 +86,7 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
         gone = _positions(lines, boiler).groupBy("t1", "t2").agg(F.collect_list("pos").alias("gone"))
     else:
         gone = _proven(lines, boiler, min_sites, copy_share)
-    both = packed.drop("t").join(gone, ["t1", "t2"], "left").select("row", "gone", F.split(F.col("row")[text], "\n", -1).alias("parts"))
+    both = words.spread_join(packed.drop("t"), gone, ["t1", "t2"]).select("row", "gone", F.split(F.col("row")[text], "\n", -1).alias("parts"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone"), lambda i: F.get("parts", i))
     whole = F.col("row")[text]
     columns = [(F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(kept, "\n")) if c == text else F.col("row")[c]).alias(c) for c in base.columns]

@@ -238,7 +238,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     buckets = keyed.groupBy("h").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("h", "lo")
     buckets = materialize(buckets, "buckets")
     members = materialize(keyed.join(buckets, "h").distinct(), "members")  # h, k, lo
-    firsts = members.select("k").distinct().join(signed.select("k", "d", "r"), "k").groupBy("k").agg(F.min("r").alias("r"))
+    firsts = signed.where("n > 0").groupBy("k").agg(F.min("r").alias("r")).join(members.select("k").distinct(), "k", "left_semi")
     texts = materialize(signed.select("r", "t").join(firsts, "r").select("k", "t"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -277,10 +277,10 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     links = _block_links(placed(), texts, shingle, percent)
     comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     c = comp.select(F.col("node").alias("k"), F.col("component").alias("c"))
-    rows = signed.select("d", "r", "n", "k", F.xxhash64("t").alias("key")).join(c, "k", "left").withColumn("c", F.coalesce("c", "k"))
+    rows = words.spread_join(signed.select("d", "r", "n", "k", F.xxhash64("t").alias("key")), c, ["k"]).withColumn("c", F.coalesce("c", "k"))
     lone = rows.where("k is null").select(F.col("d").alias(doc_id), "key", F.col("n").alias("n_shingles"), F.col("d").alias("component_id"), F.lit(True).alias("kept"), F.lit(True).alias("first"))
     best = rows.where("k is not null").groupBy("c").agg(F.min("d").alias("component_id"), F.min(F.struct(F.col("d").isNull().alias("x"), "d", "r")).alias("best"))
-    grouped = rows.where("k is not null").join(best, "c")
+    grouped = words.spread_join(rows.where("k is not null"), best, ["c"], "inner")
     grouped = grouped.select(F.col("d").alias(doc_id), "key", F.col("n").alias("n_shingles"), "component_id", F.col("d").eqNullSafe(F.col("component_id")).alias("kept"), (F.col("r") == F.col("best.r")).alias("first"))
     return grouped.unionByName(lone)
 

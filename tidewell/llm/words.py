@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
 SLICE_DOCS = 4096
@@ -141,6 +142,19 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Parts that spread_join deals the rows of one key to.
+SALTS = 8
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """left joined with right, which has one small row for each key, where many rows of left may share a key: those are
+    dealt to SALTS parts, to each of which right's row comes."""
+    salt = unused(left, "salt")
+    dealt = left.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [*on, salt], how).drop(salt)
+
+
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES, max_docs: int = SLICE_DOCS) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most max_bytes of text; a longer text is a piece of its own."""
     if not batch.num_rows:
