@@ -234,6 +234,7 @@ def test_near_chain(spark, monkeypatch, block_bytes):
     """A group in which many texts are linked only with some of the others, in one block or in many."""
     monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(near_dedup, "CELL_BLOCKS", 3)
+    monkeypatch.setattr(near_dedup, "CHUNK_SHINGLES", 700)
     r = random.Random(3)
     base = [f"w{i}" for i in range(120)]
     docs = []

@@ -32,6 +32,8 @@ BAND_ROWS = 5
 CHUNK = 100_000
 BLOCK_BYTES = 256 << 10
 CELL_BLOCKS = 12
+#: Shingles that a matrix of a block holds at once.
+CHUNK_SHINGLES = 8192
 _U = np.uint64
 _HIGH = _U(48)
 
@@ -149,14 +151,16 @@ def _linked_blocks(shingle: int, percent: int):
         (kx, cx, _, dx, hx), (ky, cy, _, dy, hy) = x, y
         nx, ny = np.bincount(dx, minlength=len(kx)), np.bincount(dy, minlength=len(ky))
         both = np.intersect1d(hx, hy)
-        sides = []
-        for d, h, n in ((dx, hx, len(kx)), (dy, hy, len(ky))):
-            column = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
-            there = both[column] == h if len(both) else np.zeros(len(h), bool)
-            side = np.zeros((n, len(both)), np.float32)
-            side[d[there], column[there]] = 1
-            sides.append(side)
-        shared = np.rint(sides[0] @ sides[1].T).astype(np.int64)
+        shared = np.zeros((len(kx), len(ky)), np.int64)
+        for part in np.split(both, range(CHUNK_SHINGLES, len(both), CHUNK_SHINGLES)):
+            sides = []
+            for d, h, n in ((dx, hx, len(kx)), (dy, hy, len(ky))):
+                column = np.minimum(np.searchsorted(part, h), max(len(part) - 1, 0))
+                there = part[column] == h if len(part) else np.zeros(len(h), bool)
+                side = np.zeros((n, len(part)), np.float32)
+                side[d[there], column[there]] = 1
+                sides.append(side)
+            shared += np.rint(sides[0] @ sides[1].T).astype(np.int64)
         near = (100 * shared >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
         a, b = [], []
         for i in np.flatnonzero(near.any(axis=1)):

@@ -30,7 +30,7 @@ TIERS = (256, 512, 1024, 2048)
 EOT = 1
 BLOCK_TOKENS = 4_000_000
 #: Words whose ids a worker remembers, at most twice as many for a while.
-WORD_CACHE = 500_000
+WORD_CACHE = 300_000
 STEP_TOKENS = 1 << 18
 
 _UNSURE = re.compile(r"\s \s|\s\Z")

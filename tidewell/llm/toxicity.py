@@ -164,8 +164,8 @@ def _sums(votes: DataFrame, width: int, shape: tuple[int, int], f: Callable[[np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
-            for at in range(0, batch.num_rows, 20_000):
-                some = batch.slice(at, 20_000)
+            for at in range(0, batch.num_rows, 4000):
+                some = batch.slice(at, 4000)
                 bits = np.frombuffer(b"".join(some.column("bits").to_pylist()), np.uint8).reshape(some.num_rows, -1)
                 total += f(np.unpackbits(bits, axis=1, count=width).astype(bool), np.array(some.column("n"), float))
         i, j = np.nonzero(total)
