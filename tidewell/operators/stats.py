@@ -43,21 +43,26 @@ def box_bins(boxes: DataFrame, w: str, h: str, by: Sequence[str] = ()) -> DataFr
     return binned.groupBy(*by, "ar_bin", "area_bin").agg(F.count("*").alias("n"))
 
 
-def group_stats(boxes: DataFrame, group: str, stem: str, frame: str) -> DataFrame:
-    """(group, n_videos, n_frames, n_boxes)"""
-    return boxes.groupBy(group).agg(F.countDistinct(stem).alias("n_videos"), F.countDistinct(stem, frame).alias("n_frames"), F.count("*").alias("n_boxes"))
+def _names(group: str | Sequence[str]) -> list[str]:
+    return [group] if isinstance(group, str) else list(group)
 
 
-def group_hist(boxes: DataFrame, group: str, stem: str, frame: str, cls: str, w: str, h: str, time: str | None = None) -> DataFrame:
+def group_stats(boxes: DataFrame, group: str | Sequence[str], stem: str, frame: str) -> DataFrame:
+    """(group, n_videos, n_frames, n_boxes); group is a column or several (site, device and day)."""
+    return boxes.groupBy(*_names(group)).agg(F.countDistinct(stem).alias("n_videos"), F.countDistinct(stem, frame).alias("n_frames"), F.count("*").alias("n_boxes"))
+
+
+def group_hist(boxes: DataFrame, group: str | Sequence[str], stem: str, frame: str, cls: str, w: str, h: str, time: str | None = None) -> DataFrame:
     """(group, feature, key, cnt): boxes by class, area and aspect; frames by their number of boxes and, with a column of the
-    video's time (HHMMSS), by time of day."""
+    video's time (HHMMSS), by time of day. group is a column or several."""
+    by = _names(group)
     per_box = {"class": F.col(cls).cast("string"), "area": B.area_bin(F.col(w) * F.col(h)), "ar": B.ar_bin(F.col(w), F.col(h))}
     stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), v.alias("key")) for k, v in per_box.items()]))
-    of_boxes = boxes.select(group, stacked.alias("x")).groupBy(group, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
-    frames = boxes.groupBy(group, stem, frame).agg(F.count("*").alias("n"), *([F.first(time).alias("t")] if time else []))
+    of_boxes = boxes.select(*by, stacked.alias("x")).groupBy(*by, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
+    frames = boxes.groupBy(*by, stem, frame).agg(F.count("*").alias("n"), *([F.first(time).alias("t")] if time else []))
     per_frame = {"density": B.density_bin(F.col("n"))} | ({"tod": B.time_bucket(F.col("t"))} if time else {})
     stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), v.alias("key")) for k, v in per_frame.items()]))
-    of_frames = frames.select(group, stacked.alias("x")).groupBy(group, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
+    of_frames = frames.select(*by, stacked.alias("x")).groupBy(*by, "x.feature", "x.key").agg(F.count("*").alias("cnt"))
     return of_boxes.unionByName(of_frames)
 
 

@@ -231,3 +231,23 @@ SELECT site, 'tod' AS feature, CASE WHEN CAST(substr(t, 1, 2) AS INT) < 6 THEN '
 def time_hist(spark: SparkSession, d: str) -> DataFrame:
     b = view(spark, d, "boxes").withColumn("time", F.concat(F.lpad((F.col("stem") % 24).cast("string"), 2, "0"), F.lit("0000")))
     return stats.group_hist(b, "site", "stem", "frame", "class_id", "w", "h", "time").where("feature = 'tod'")
+
+
+_DAYS = "d AS (SELECT site, concat('cam-', CAST(stem % 4 AS VARCHAR)) AS device, lpad(CAST(stem % 28 + 1 AS VARCHAR), 2, '0') AS day, stem, frame, class_id FROM @boxes b)"
+
+
+def _by_day(spark: SparkSession, d: str) -> DataFrame:
+    stem = F.col("stem")
+    return view(spark, d, "boxes").withColumns({"device": F.concat(F.lit("cam-"), (stem % 4).cast("string")), "day": F.lpad((stem % 28 + 1).cast("string"), 2, "0")})
+
+
+@query(f"WITH {_DAYS} SELECT site, device, day, count(DISTINCT stem) AS n_videos, count(DISTINCT (stem, frame)) AS n_frames, count(*) AS n_boxes FROM d GROUP BY 1, 2, 3")
+def group_day_stats(spark: SparkSession, d: str) -> DataFrame:
+    return stats.group_stats(_by_day(spark, d), ["site", "device", "day"], "stem", "frame")
+
+
+@query(f"""WITH {_DAYS}, n AS (SELECT site, device, day, stem, frame, count(*) AS n FROM d GROUP BY 1, 2, 3, 4, 5)
+SELECT site, device, day, 'class' AS feature, CAST(class_id AS VARCHAR) AS key, count(*) AS cnt FROM d GROUP BY 1, 2, 3, 5
+UNION ALL SELECT site, device, day, 'density', CASE WHEN n <= 2 THEN CAST(n AS VARCHAR) WHEN n <= 4 THEN '3-4' WHEN n <= 9 THEN '5-9' ELSE '10+' END, count(*) FROM n GROUP BY 1, 2, 3, 5""")
+def group_day_hist(spark: SparkSession, d: str) -> DataFrame:
+    return stats.group_hist(_by_day(spark, d), ["site", "device", "day"], "stem", "frame", "class_id", "w", "h").where("feature in ('class', 'density')")
