@@ -246,3 +246,11 @@ def object_files(spark: SparkSession, d: str) -> DataFrame:
     boxes = F.struct(box(F.col("o_custkey")).alias("interested_objects"), F.when(F.col("o_orderkey") % 2 == 0, box(F.lit(7))).otherwise(F.slice(box(F.lit(7)), 1, 0)).alias("noises"))
     _documents(o, F.col("o_orderkey") % 5, F.struct(F.col("o_orderkey").cast("string").alias("name"), boxes.alias("bounding_boxes")), path, '{"metadata":', "}")
     return readers.read_objects(spark, path).select("name", "kind", "x")
+
+
+@query("SELECT concat('n', CAST(s_suppkey AS VARCHAR)) AS name, 12.5::DOUBLE AS fps, CAST(s_suppkey % 500 AS INT) AS length, 1280::INT AS width, 720::INT AS height FROM supplier")
+def seqinfo_files(spark: SparkSession, d: str) -> DataFrame:
+    s, path = spark.read.parquet(f"{d}/supplier.parquet"), _folder(spark)
+    seqs = s.select(F.concat(F.lit("n"), F.col("s_suppkey").cast("string")).alias("name"), F.lit(12.5).alias("fps"), (F.col("s_suppkey") % 500).alias("length"), F.lit(1280).alias("width"), F.lit(720).alias("height"))
+    writers.write_seqinfo(seqs, path, "name", "fps", "length", "width", "height")
+    return readers.read_seqinfo(spark, path, "*.txt")

@@ -267,8 +267,9 @@ def read_video_inventory(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace(F.concat_ws("/", "`File Path`", "`File Name`"), r"[\\/]+", "/").alias("path"))
 
 
-def read_seqinfo(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "seqinfo.ini").text(path, wholetext=True)
+def read_seqinfo(spark: SparkSession, path: str, glob: str = "seqinfo.ini") -> DataFrame:
+    """(name, fps, length, width, height) of each sequence's information file."""
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     number = lambda k: F.regexp_extract("value", rf"{k}\s*=\s*([\d.]+)", 1)
     return text.select(F.trim(F.regexp_extract("value", r"name\s*=\s*([^\n]+)", 1)).alias("name"), *[number(k).try_cast(t).alias(n) for k, n, t in (("frameRate", "fps", "double"), ("seqLength", "length", "int"), ("imWidth", "width", "int"), ("imHeight", "height", "int"))])
 

@@ -93,3 +93,11 @@ def write_condition_outputs(manifest: DataFrame, metadata: DataFrame, summary: D
     """The chosen videos with their frames and conditions, their metadata, and the summary of conditions, each as CSV."""
     for name, table in (("manifest", manifest), ("metadata", metadata), ("summary", summary)):
         table.write.mode("errorifexists").option("header", True).csv(f"{path}/{name}")
+
+
+def write_seqinfo(sequences: DataFrame, path: str, name: str, fps: str, length: str, width: str, height: str, ext: str = ".jpg") -> None:
+    """The information file of each sequence, in a folder ``sequence=<name>`` of its own, as read_seqinfo reads it."""
+    fields = (("name", name), ("frameRate", fps), ("seqLength", length), ("imWidth", width), ("imHeight", height))
+    lines = [F.concat(F.lit(f"{k} = "), F.col(c).cast("string")) for k, c in fields]
+    text = F.concat_ws("\n", F.lit("[Sequence]"), *lines, F.lit(f"imExt = {ext}"))
+    sequences.select(F.col(name).alias("sequence"), text.alias("value")).repartition("sequence").write.mode("errorifexists").partitionBy("sequence").text(path)
