@@ -280,3 +280,86 @@ def test_split_summary(spark):
     got = {r["split"]: r for r in stats.split_summary(a, g, h, "g", "f", "b").collect()}
     assert (got["train"]["n_groups"], got["train"]["n_frames"], got["train"]["n_boxes"]) == (2, 3, 4)
     assert got["train"]["histograms"] == {"class": {"0": 3}, "tod": {"night": 1}} and got["val"]["histograms"] is None
+
+
+def test_split_groups_is_greedy(spark):
+    """The assignment is that of the rule read group by group with counters."""
+    r = random.Random(8)
+    data = [(f"g{r.randrange(9)}", f"v{i % 30}", i % 7, r.randrange(3), r.choice([0.05, 0.2, 0.5]), r.choice([0.05, 0.3]), r.choice(["010000", "090000", "200000"])) for i in range(400)]
+    boxes = spark.createDataFrame(data, "g string, stem string, frame int, cls int, w double, h double, t string")
+    hist, groups = stats.group_hist(boxes, "g", "stem", "frame", "cls", "w", "h", "t"), stats.group_stats(boxes, "g", "stem", "frame")
+    rarity = stats.rarity(hist, "g")
+    got = dict(rows(balance.split_groups(groups, hist, "g", "n_frames", rarity, seed=4), "g", "split"))
+    frames = dict(rows(groups, "g", "n_frames"))
+    own = {g: {f: Counter() for f in balance.FEATURES} for g in frames}
+    for g, f, k, n in rows(hist, "g", "feature", "key", "cnt"):
+        own[g][f][k] += n
+    share = lambda c: {k: v / max(sum(c.values()), 1) for k, v in c.items()}
+    goal = {f: share(sum((own[g][f] for g in own), Counter())) for f in balance.FEATURES}
+    want = {"test": 0.1 * sum(frames.values()), "val": 0.1 * sum(frames.values()), "train": 0.8 * sum(frames.values())}
+    have = {s: ({f: Counter() for f in balance.FEATURES}, 0) for s in want}
+
+    def cost(state):
+        total = 0.0
+        for s, (c, n) in state.items():
+            for f in balance.FEATURES:
+                p = share(c[f])
+                total += balance.WEIGHTS[f] * sum(abs(p.get(k, 0) - goal[f][k]) for k in goal[f])
+            total += balance.WEIGHTS["size"] * abs(n - want[s]) / max(want[s], 1)
+        return total
+
+    tie = {g: hashlib.md5(f"4|{g}".encode()).hexdigest() for g in own}
+    for g in sorted(own, key=lambda x: (-dict(rows(rarity, "g", "rarity"))[x], tie[x])):
+        tries = []
+        for s in want:
+            c, n = have[s]
+            tries.append((round(cost(have | {s: ({f: c[f] + own[g][f] for f in balance.FEATURES}, n + frames[g])}), 9), s))
+        best = min(x for x, _ in tries)
+        assert got[g] in {s for x, s in tries if x <= best + 1e-6}
+        c, n = have[got[g]]
+        have[got[g]] = ({f: c[f] + own[g][f] for f in balance.FEATURES}, n + frames[g])
+
+
+def test_sequences_fill_by_capacity(spark):
+    r = random.Random(2)
+    data = [(f"s{i}", label, r.randint(1, 20)) for i in range(60) for label in "wxyz" if r.random() < 0.5]
+    got = {x["s"]: x["split"] for x in balance.stratified_sequences(spark.createDataFrame(data, "s string, l string, n int"), "s", "l", "n", seed=1).collect()}
+    own = {}
+    for s, k, n in data:
+        own.setdefault(s, {})[k] = n
+    totals = Counter()
+    for v in own.values():
+        totals.update(v)
+    order = sorted(own, key=lambda s: (hashlib.md5(f"1|{s}".encode()).hexdigest(), s))
+    split, have = {}, {"test": Counter(), "val": Counter()}
+    for k in sorted(totals, key=lambda x: (totals[x], x)):
+        for name in ("test", "val"):
+            free = [s for s in order if k in own[s] and s not in split]
+            if not have[name][k] and len(free) > 1:
+                split[free[0]] = name
+                have[name].update(own[free[0]])
+    for s in order:
+        if s not in split:
+            split[s] = next((m for m in ("test", "val") if all(have[m][k] + n <= 0.15 * totals[k] for k, n in own[s].items())), "train")
+            if split[s] != "train":
+                have[split[s]].update(own[s])
+    assert got == split
+
+
+def test_objects_by_history(spark):
+    r = random.Random(7)
+    data = [("s", f, p, r.uniform(0, 60), r.uniform(0, 60)) for f in range(40) for p in range(r.randint(0, 5))]
+    got = rows(tracks.track_objects(spark.createDataFrame(data, "seq string, frame int, pos int, x double, y double").selectExpr("*", "2.0 w", "2.0 h"), "seq", "frame", "pos", radius=8.0), "frame", "pos", "object_id")
+    past, fresh, want = [], 0, []
+    for f in range(40):
+        ids = {}
+        for _, _, p, x, y in sorted(d for d in data if d[1] == f):
+            near = [o for frame in past for o, (a, b) in frame.items() if ((a - x) ** 2 + (b - y) ** 2) ** 0.5 <= 8]
+            if not near:
+                near, fresh = [fresh], fresh + 1
+            ids[p] = (near[0], (x, y))
+        if ids:
+            last = {o: (p, at) for p, (o, at) in ids.items()}
+            past = [*past, {o: at for o, (_, at) in sorted(last.items(), key=lambda z: z[1][0])}][-5:]
+            want += [(f, p, o) for o, (p, _) in last.items()]
+    assert got == sorted(want)
