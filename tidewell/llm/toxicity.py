@@ -6,7 +6,8 @@ without labels: a text is of one of several hidden classes, ordinary or one of a
 those that agree more than chance; words of different languages hardly ever meet), each with its rates of firing, which
 expectation maximization estimates in passes over the votes. Voters that fire together more than the hidden class explains
 are correlated; they are united to one vote, and the rates are estimated again. The model's posteriors label the sample,
-and a linear classifier over more features is trained on them, which scores every document.
+and a linear classifier over more features is trained on them, which scores every document. Its score is calibrated on the
+sample's labels.
 """
 
 from __future__ import annotations
@@ -301,6 +302,18 @@ def fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: i
     return w
 
 
+def calibrate(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The weights scaled and shifted, so that the score is the probability of label 1 among the sample's rows: posteriors tell
+    texts apart, but not where labels draw the line. Where the score doesn't grow with the label, the weights stay."""
+    z = x.astype(np.float32) @ weights[:-1] + weights[-1]
+    slope, shift = fit_linear(z[:, None], y)
+    if slope <= 0:
+        return weights
+    out = weights * slope
+    out[-1] += shift
+    return out
+
+
 @dataclass
 class Model:
     table: Table
@@ -311,8 +324,8 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model of labels.toxic, learned from labelled rows outside the held-out fold and from the votes of all docs.
 
-    labels has doc_id and toxic; of repeated labels the greatest counts, nulls don't. Labels only choose the voters and the
-    share of toxic texts to start from. Without toxic labels, or a feature of theirs, the model scores every text at 0.
+    labels has doc_id and toxic; of repeated labels the greatest counts, nulls don't. Labels choose the voters and the share
+    of toxic texts to start from, and at the end calibrate the score. Without toxic labels, or a feature of theirs, the model scores every text at 0.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     sample = _sample(base, labels.select(F.col(doc_id).cast("long").alias("doc_id"), "toxic"), sample_rows)
@@ -329,15 +342,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 fired = np.zeros((piece.num_rows, width), bool)
                 fired[table.fired(w)] = True
                 fired[:, len(keys) :] = _patterns(w)
-                yield pa.RecordBatch.from_arrays([piece.column("r"), pa.array([np.packbits(x).tobytes() for x in fired], pa.binary())], names=["r", "x"])
+                yield pa.RecordBatch.from_arrays([piece.column("r"), piece.column("y"), pa.array([np.packbits(x).tobytes() for x in fired], pa.binary())], names=["r", "y", "x"])
 
-    rows = sorted(map(tuple, sample.mapInArrow(features, "r long, x binary").collect()))
-    x = np.stack([np.unpackbits(np.frombuffer(r[1], np.uint8), count=width) for r in rows]).astype(bool)
+    rows = sorted(map(tuple, sample.mapInArrow(features, "r long, y int, x binary").collect()))
+    x = np.stack([np.unpackbits(np.frombuffer(r[2], np.uint8), count=width) for r in rows]).astype(bool)
     voters = min(VOTERS, len(keys))
     own = np.concatenate([np.arange(voters), np.arange(len(keys), width)])  # lexicon voters, then patterns
     model = fit_label_model(_votes(base, Table(keys[:voters]), voters), voters, voters + len(PATTERNS), toxic / (toxic + clean))
     weights = fit_linear(x.astype(np.float32), model.posterior(x[:, own]))
-    return Model(table, weights, model)
+    return Model(table, calibrate(weights, x, np.array([r[1] for r in rows], float)), model)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
