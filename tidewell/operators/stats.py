@@ -109,10 +109,12 @@ def class_pivot(counts: DataFrame, row: str, column: str, n: str, values: Sequen
 
 def crop_boxes(boxes: DataFrame, xc: str, yc: str, w: str, h: str, y0: float = 0.0, y1: float = 0.5, min_visible: float = 0.05) -> DataFrame:
     """boxes with their part in the band y0..y1, in its coordinates: columns crop_xc, crop_yc, crop_w, crop_h, all null for a
-    box of which too little is visible. Corners are columns of their own, so that each is computed once."""
+    box of which too little is visible. Corners come out of a generator, so that each is computed once and no filter above is
+    rewritten in terms of what they are made of."""
     unit = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
     half_w, half_h = F.col(w) / 2, F.col(h) / 2
-    corners = boxes.withColumns({"__x1": unit(F.col(xc) - half_w), "__x2": unit(F.col(xc) + half_w), "__t": unit(F.col(yc) - half_h), "__b": unit(F.col(yc) + half_h)})
+    ends = {"__x1": unit(F.col(xc) - half_w), "__x2": unit(F.col(xc) + half_w), "__t": unit(F.col(yc) - half_h), "__b": unit(F.col(yc) + half_h)}
+    corners = boxes.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in ends.items()]))))
     band = corners.withColumns({"__c1": F.greatest(F.col("__t"), F.lit(y0)), "__c2": F.least(F.col("__b"), F.lit(y1)), "__area": F.greatest(F.col("__x2") - F.col("__x1"), F.lit(0.0)) * F.greatest(F.col("__b") - F.col("__t"), F.lit(0.0))})
     seen = F.try_divide((F.col("__x2") - F.col("__x1")) * (F.col("__c2") - F.col("__c1")), F.col("__area"))
     keep = (F.col("__area") > 0) & (F.col("__c2") > F.col("__c1")) & (seen >= min_visible) & (F.col("__x2") > F.col("__x1"))
