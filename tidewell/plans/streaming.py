@@ -40,6 +40,25 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+#: How late rows of the queries below come, in seconds.
+LATE = 3 * 3600
+
+
+def _shuffled_events(spark: SparkSession, d: str, files: int = 4) -> DataFrame:
+    """The events as a file stream in which each comes up to LATE seconds after its time, by a hash of its id.
+
+    So batches overlap in time. Each batch is written by itself, as file streams take files by their age.
+    """
+    e = spark.read.parquet(f"{d}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    came = e.withColumn("came", F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(LATE * 1_000_000)))
+    ends = came.agg(F.min("came").alias("lo"), (F.max("came") + 1).alias("hi")).first()
+    path, width, parts = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}/in", (ends["hi"] - ends["lo"]) / files, spark.sparkContext.defaultParallelism
+    for i in range(files):
+        lo, hi = ends["lo"] + int(i * width), ends["lo"] + int((i + 1) * width) if i + 1 < files else ends["hi"]
+        came.where((F.col("came") >= lo) & (F.col("came") < hi)).drop("came").repartition(parts).write.mode("append").parquet(path)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", parts).parquet(path)
+
+
 def _run(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     streams.run_available(stream, f"{base}/out", f"{base}/checkpoint", mode)
@@ -77,6 +96,39 @@ def stalled_stream(spark: SparkSession, d: str) -> DataFrame:
     return _run(spark, streams.stalled_outputs(e, "output", "ts", "size", 7200, "10 minutes"))
 
 
+def late_outage_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _shuffled_events(spark, d).select(F.col("user_id").alias("device"), "ts", F.col("event_id").alias("pos"), (F.col("event_type") == "signup").alias("restart"), F.col("event_type").isin("click", "view").alias("healthy"))
+    return _run(spark, streams.outage_stream(e, "device", "ts", "pos", "restart", "healthy", 3600, late=f"{LATE} seconds"))
+
+
+def late_motion_clip_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _shuffled_events(spark, d).select(F.col("user_id").alias("camera"), "ts", F.unix_micros("ts").alias("frame"), (F.col("value") > 50).alias("moves"))
+    return _run(spark, streams.motion_clip_stream(e, "camera", "frame", "moves", fps=2.0, ts="ts", late=f"{LATE} seconds", delay=1.0, longest=1e9))
+
+
+def late_crossing_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _shuffled_events(spark, d).select("ts", F.date_format("ts", "yyyy-MM-dd").alias("clip"), (F.col("user_id") % 7).alias("track"), "event_id", F.col("value").alias("x"), F.col("event_type").alias("cls"))
+    return _run(spark, streams.crossing_stream(e, "clip", "track", "ts", "event_id", "x", "cls", 50.0, 3600, f"{LATE} seconds"))
+
+
+def late_event_parts_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _shuffled_events(spark, d).select("ts", (F.col("user_id") % 3).alias("site"), F.col("user_id").alias("camera"), (F.col("value") > 50).alias("moves"))
+    return _run(spark, streams.event_parts(e, "site", "camera", "ts", "moves", 3600, 7200, f"{LATE} seconds"))
+
+
+def late_stalled_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Outputs are expected from the first time that their users are seen; a fifth of them never report."""
+    e = _shuffled_events(spark, d).select("ts", (F.col("user_id") % 25).alias("output"), F.floor("value").alias("size"))
+    all_events = spark.read.parquet(f"{d}/events.parquet").select((F.col("user_id") % 25).alias("output"), F.col("ts").cast("timestamp").alias("ts"))
+    reports = e.withWatermark("ts", f"{LATE} seconds").where(F.when(F.col("ts").isNotNull(), F.col("output") < 20))
+    return _run(spark, streams.stalled_outputs(reports, "output", "ts", "size", 7200, None, all_events))
+
+
+def camera_clips_stream(spark: SparkSession, d: str) -> DataFrame:
+    e = _shuffled_events(spark, d).select("ts", (F.col("user_id") % 2).alias("site"), (F.col("user_id") % 3).alias("camera"), (F.col("value") > 80).alias("moves"))
+    return _run(spark, streams.camera_clips(e, "site", "camera", "ts", "moves", 6 * 3600, 8 * 3600, 1, f"{LATE} seconds"))
+
+
 def numbered_outages(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d).select(F.col("user_id").alias("device"), "ts", F.col("event_id").alias("pos"), (F.col("event_type") == "signup").alias("restart"), F.col("event_type").isin("click", "view").alias("healthy"))
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -101,7 +153,7 @@ g AS (SELECT *, sum(new) OVER (PARTITION BY site ORDER BY us ROWS BETWEEN UNBOUN
 s AS (SELECT site, min(us) AS start_us, max(us) + 3600000000 AS end_us, count(*) AS n_frames FROM g GROUP BY site, g)
 SELECT * FROM s WHERE end_us <= (SELECT max(us) - 600000000 FROM e)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream, event_parts_stream, event_group_stream, stalled_stream, numbered_outages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream, event_parts_stream, event_group_stream, stalled_stream, numbered_outages, late_outage_stream, late_motion_clip_stream, late_crossing_stream, late_event_parts_stream, late_stalled_stream, camera_clips_stream)}
 SQL = {
     "outage_stream": sql(OUTAGES),
     "session_stream": SESSIONS,
@@ -140,3 +192,23 @@ UNION ALL SELECT key, 'absent', max(us) FROM e GROUP BY 1 HAVING max(us) + 72000
 WITH w AS (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS start_s, round(avg(value), 4) AS mean, count(value) AS n FROM events GROUP BY 1)
 SELECT * FROM w WHERE start_s + 3600 <= (SELECT epoch(max(ts)) - 600 FROM events)""",
 }
+
+
+def _until_watermark(text: str) -> str:
+    """The twin of a query over what the watermark has passed in the end: rows behind it still wait."""
+    text = text.strip().removeprefix("WITH RECURSIVE ").removeprefix("WITH ").replace("FROM events", "FROM passed")
+    for source in ("e", "a"):
+        text = text.replace(f"(SELECT max(us) - 600000000 FROM {source})", "(SELECT w FROM mark)")
+    return f"WITH RECURSIVE mark AS (SELECT max(epoch_us(ts)) // 1000 * 1000 - {LATE * 1_000_000} AS w FROM events), passed AS (SELECT * FROM events WHERE epoch_us(ts) <= (SELECT w FROM mark)), {text}"
+
+
+SQL |= {f"late_{name}": _until_watermark(SQL[name]) for name in ("outage_stream", "motion_clip_stream", "crossing_stream", "event_parts_stream")}
+SQL["late_stalled_stream"] = _until_watermark("""
+WITH first AS (SELECT user_id % 25 AS key, min(epoch_us(ts)) AS since FROM (TABLE events) t GROUP BY 1),
+e AS (SELECT user_id % 25 AS key, epoch_us(ts) AS us, CAST(floor(value) AS BIGINT) AS size FROM events WHERE user_id % 25 < 20),
+m AS (SELECT *, coalesce(max(size) OVER (PARTITION BY key ORDER BY us, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS most, coalesce(lag(us) OVER (PARTITION BY key ORDER BY us, size), since) AS last FROM e JOIN first USING (key)),
+g AS (SELECT *, max(CASE WHEN size > most THEN us END) OVER (PARTITION BY key ORDER BY us, size ROWS UNBOUNDED PRECEDING) AS grown FROM m),
+r AS (SELECT key, 'absent' AS kind, last AS since_us FROM m WHERE us - last > 7200000000
+UNION ALL SELECT DISTINCT key, 'stalled', grown FROM g WHERE size <= most AND us - grown >= 7200000000
+UNION ALL SELECT key, 'absent', coalesce(max(us), any_value(since)) FROM first LEFT JOIN e USING (key) GROUP BY key HAVING coalesce(max(us), any_value(since)) + 7200000000 < (SELECT max(us) - 600000000 FROM e))
+SELECT CAST(key AS VARCHAR) AS key, kind, since_us FROM r""")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell.operators.ordered import with_rank
-from tidewell.operators.runs import MotionMachine
 from tidewell.operators.tasks import settled_files
+from tidewell.session import ROCKSDB
+from tidewell.streaming import machines
+from tidewell.streaming.event_time import in_order
 
 
 def resample_stream(df: DataFrame, ts: str, value: str, width: str = "2 minutes", late: str = "10 minutes") -> DataFrame:
@@ -23,7 +26,7 @@ def resample_stream(df: DataFrame, ts: str, value: str, width: str = "2 minutes"
 
 def event_sessions(df: DataFrame, site: str, ts: str, camera: str, gap: str = "5 seconds", late: str = "1 minute") -> DataFrame:
     """(site, start, end, n_frames): motion of all cameras of a site in sessions parted by a quiet gap."""
-    s = df.withWatermark(ts, late).groupBy(site, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n_frames"), F.approx_count_distinct(camera).alias("n_cameras"))
+    s = df.withWatermark(ts, late).groupBy(site, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n_frames"), F.size(F.collect_set(camera)).alias("n_cameras"))
     return s.select(site, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n_frames", "n_cameras")
 
 
@@ -31,41 +34,36 @@ def event_parts(frames: DataFrame, site: str, camera: str, ts: str, flag: str, g
     """(site, event_id, part, start_us, end_us, n_cameras): events of a site, which all its cameras share, in parts.
 
     The first camera that moves opens an event, whose id is a hash of site and time; others join it. It ends when no camera
-    has moved for the gap; until then a new part begins for all cameras at every part_seconds. A part is given when a later
-    one begins or the event ends, by a later event or by the watermark, which frees the state: an end beats a rollover.
+    has moved for the gap; until then a new part begins for all cameras at every part_seconds. A part is given when the
+    watermark has passed a later one's first frame, or the event's end: an end beats a rollover.
     """
-    gap, length = gap_seconds * 1_000_000, part_seconds * 1_000_000
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, part, first, last, cameras = state.get if state.exists else (-1, 0, -1, -1, "[]")
-        seen, out = set(json.loads(cameras)), []
-
-        def give() -> None:
-            out.append((key[0], start, part, first, last, len(seen)))
-
-        if state.hasTimedOut:
-            give()
-            state.remove()
-        else:
-            for us, cam in pd.concat(list(batches))[["us", "camera"]].sort_values(["us", "camera"], kind="stable").itertuples(index=False):
-                if start < 0 or us - last > gap:
-                    if start >= 0:
-                        give()
-                    start, part, first, seen = int(us), 0, int(us), set()
-                elif (us - start) // length > part:
-                    give()
-                    part, first, seen = int((us - start) // length), int(us), set()
-                last = int(us)
-                seen.add(cam)
-            state.update((start, part, first, last, json.dumps(sorted(seen))))
-            state.setTimeoutTimestamp(max((last + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["site", "opened_us", "part", "start_us", "end_us", "n_cameras"])
-
     # the condition reads the time too, or it would be applied before the watermark, which quiet frames are to move on
     moving = frames.withWatermark(ts, late).where(F.when(F.col(ts).isNotNull(), F.col(flag)))
-    df = moving.select(ts, F.col(site).cast("string").alias("site"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(camera).cast("string").alias("camera"))
-    parts = df.groupBy("site").applyInPandasWithState(step, "site string, opened_us long, part long, start_us long, end_us long, n_cameras long", "start long, part long, first long, last long, cameras string", "append", GroupStateTimeout.EventTimeTimeout)
-    return parts.select("site", F.sha1(F.concat_ws("|", "site", F.col("opened_us").cast("string"))).alias("event_id"), "part", "start_us", "end_us", "n_cameras")
+    df = moving.select(ts, F.col(site).cast("string").alias("site"), _micros(ts), F.col(camera).cast("string").alias("camera"))
+    make = partial(machines.Parts, gap=gap_seconds * 1_000_000, length=part_seconds * 1_000_000)
+    parts = in_order(df, ["site"], ts, None, make, "us long, camera string", "opened_us long, part long, start_us long, end_us long, n_cameras long")
+    return parts.select("site", _event_id(), "part", "start_us", "end_us", "n_cameras")
+
+
+def camera_clips(frames: DataFrame, site: str, camera: str, ts: str, flag: str, gap_seconds: float = 5, part_seconds: float = 120, need: int = 2, late: str = "1 minute") -> DataFrame:
+    """(site, event_id, part, camera, start_us, end_us, reason, originator): each camera's clips of the events of its site.
+
+    frames: all frames of all cameras, with or without motion. Cameras open, join, change parts and leave by the protocol of
+    machines.Coordinator; reason is part, final, silent, or refused for a camera that asked while the event was draining.
+    """
+    df = frames.select(ts, F.col(site).cast("string").alias("site"), _micros(ts), F.col(camera).cast("string").alias("camera"), F.coalesce(F.col(flag), F.lit(False)).alias("moves"))
+    make = partial(machines.Coordinator, gap=int(gap_seconds * 1e6), length=int(part_seconds * 1e6), need=need)
+    results = "opened_us long, part long, camera string, start_us long, end_us long, reason string, originator string"
+    clips = in_order(df, ["site"], ts, late, make, "us long, camera string, moves boolean", results)
+    return clips.select("site", _event_id(), "part", "camera", "start_us", "end_us", "reason", "originator")
+
+
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp")).alias("us")
+
+
+def _event_id() -> Column:
+    return F.sha1(F.concat_ws("|", "site", F.col("opened_us").cast("string"))).alias("event_id")
 
 
 def event_groups(df: DataFrame, event: str, ts: str, gap: str = "5 seconds", late: str = "10 minutes") -> DataFrame:
@@ -78,39 +76,45 @@ def health_samples(df: DataFrame, frame: str, fps: float, seconds: int = 30) ->
     return df.where(F.col(frame) % int(fps * seconds) == 0)
 
 
-def outage_stream(logs: DataFrame, device: str, ts: str, position: str, restart: str, healthy: str, min_downtime: float = 0.0) -> DataFrame:
-    """(device, restart_us, healthy_us, next_us): an outage at each restart after a healthy line; runs last over batches."""
+def outage_stream(logs: DataFrame, device: str, ts: str, position: str, restart: str, healthy: str, min_downtime: float = 0.0, late: str | None = None) -> DataFrame:
+    """(device, restart_us, healthy_us, next_us): an outage at each restart after a healthy line; runs last over batches.
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, last = state.get if state.exists else (-1, -1)
-        rows = pd.concat(list(frames)).sort_values(["us", "pos"], kind="stable")
-        out = []
-        for us, again, well in zip(rows["us"], rows["restart"], rows["healthy"], strict=True):
-            if again:
-                if start >= 0 and last >= 0 and us - last >= min_downtime * 1e6:
-                    out.append((key[0], start, last, int(us)))
-                start, last = int(us), -1
-            elif well and start >= 0:
-                last = int(us)
-        state.update((start, last))
-        yield pd.DataFrame(out, columns=["device", "restart_us", "healthy_us", "next_us"])
+    late: lines may come so late, and are taken in the order of time and position when the watermark has passed them. Without
+    it they are taken as they come, sorted within a batch: for logs that are read in their order.
+    """
+    df = logs.select(ts, F.col(device).cast("string").alias("device"), _micros(ts), F.col(position).cast("long").alias("pos"), F.col(restart).alias("restart"), F.col(healthy).alias("healthy"))
+    make, fields = partial(machines.Outages, min_downtime=min_downtime), "us long, pos long, restart boolean, healthy boolean"
+    return _as_ordered(df, ["device"], ts, late, make, fields, "restart_us long, healthy_us long, next_us long")
 
-    df = logs.select(F.col(device).cast("string").alias("device"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(position).cast("long").alias("pos"), F.col(restart).alias("restart"), F.col(healthy).alias("healthy"))
-    return df.groupBy("device").applyInPandasWithState(step, "device string, restart_us long, healthy_us long, next_us long", "start long, last long", "append", GroupStateTimeout.NoTimeout)
 
+def motion_clip_stream(frames: DataFrame, camera: str, frame: str, flag: str, fps: float = 10.0, ts: str | None = None, late: str | None = None, **rules: float) -> DataFrame:
+    """(camera, start, end, reason) of clips as they close; a clip that is still open stays in the state.
 
-def motion_clip_stream(frames: DataFrame, camera: str, frame: str, flag: str, fps: float = 10.0, **rules: float) -> DataFrame:
-    """(camera, start, end, reason) of clips as they close; a clip that is still open stays in the state."""
+    ts, late: the frames' time, and how late they may come; they are taken in the order of time. Without these they are
+    taken as they come, sorted by frame within a batch.
+    """
+    us = _micros(ts) if ts else F.col(frame).cast("long").alias("us")
+    df = frames.select(*([ts] if ts else []), F.col(camera).cast("string").alias("camera"), us, F.col(frame).cast("long").alias("frame"), F.coalesce(F.col(flag).cast("boolean"), F.lit(False)).alias("moves"))
+    make = partial(machines.Motion, fps=fps, **rules)
+    return _as_ordered(df, ["camera"], ts, late, make, "us long, frame long, moves boolean", "start long, end long, reason string")
+
+
+def _as_ordered(df: DataFrame, keys: list[str], ts: str | None, late: str | None, make: Callable, fields: str, results: str) -> DataFrame:
+    """in_order, or without late the machines' results of rows as they come."""
+    if late is not None:
+        return in_order(df, keys, ts, late, make, fields, results)
+    names, kinds = [f.split()[0] for f in fields.split(", ")], dict(df.dtypes)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), results])
+    columns = [f.split()[0] for f in schema.split(", ")]
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        m = MotionMachine(fps, state=tuple(state.get) if state.exists else None, **rules)
-        rows = pd.concat(list(parts)).sort_values("frame", kind="stable")
-        found = [m.step(int(f), bool(x)) for f, x in zip(rows["frame"], rows["moves"], strict=True)]
-        state.update(m.state)
-        yield pd.DataFrame([(key[0], *x) for x in found if x], columns=["camera", "start", "end", "reason"])
+        machine = make(json.loads(state.get[0]) if state.exists else None)
+        rows = pd.concat(list(parts))[names].sort_values(names[:2], kind="stable")
+        out = [(*key, *x) for r in rows.astype(object).itertuples(index=False, name=None) for x in machine.step(*r)]
+        state.update((json.dumps(machine.state, default=int),))
+        yield pd.DataFrame(out, columns=columns)
 
-    df = frames.select(F.col(camera).cast("string").alias("camera"), F.col(frame).cast("long").alias("frame"), F.col(flag).cast("boolean").alias("moves"))
-    return df.groupBy("camera").applyInPandasWithState(step, "camera string, start long, end long, reason string", "seen long, motion long, quiet long, start long, last long", "append", GroupStateTimeout.NoTimeout)
+    return df.groupBy(*keys).applyInPandasWithState(step, schema, "state string", "append", GroupStateTimeout.NoTimeout)
 
 
 def crossing_stream(detections: DataFrame, clip: str, track: str, ts: str, position: str, x: str, cls: str, line: float = 0.5, expiry_seconds: float = 1.0, late: str = "10 seconds") -> DataFrame:
@@ -119,69 +123,24 @@ def crossing_stream(detections: DataFrame, clip: str, track: str, ts: str, posit
     A track ends when it was not seen for expiry_seconds, by a later detection of it or by the watermark, which frees its
     state; what comes after is another track of the same number. The class is that of most detections, of equals the first.
     """
-    expiry = int(expiry_seconds * 1e6)
-    columns = ["clip", "track", "start_us", "n", "first_x", "last_x", "cls", "direction"]
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, fx, last, lx, n, votes = state.get if state.exists else (-1, 0.0, -1, 0.0, 0, "{}")
-        count, out = json.loads(votes), []
-
-        def give() -> None:
-            best = min(count, key=lambda c: (-count[c][0], count[c][1]))
-            way = "r" if fx < line <= lx else "l" if fx > line >= lx else None
-            out.append((*key, first, n, fx, lx, best, way))
-
-        if state.hasTimedOut:
-            give()
-            state.remove()
-        else:
-            rows = pd.concat(list(parts)).sort_values(["us", "pos"], kind="stable")
-            run = (rows["us"].diff() > expiry).cumsum()
-            for _, own in rows.groupby(run, sort=True):
-                if n and own["us"].iloc[0] - last > expiry:
-                    give()
-                    n, count = 0, {}
-                if not n:
-                    first, fx = int(own["us"].iloc[0]), float(own["x"].iloc[0])
-                for c, (k, seen) in own.groupby("cls")["us"].agg(["size", "min"]).iterrows():
-                    have = count.get(c, [0, int(seen)])
-                    count[c] = [have[0] + int(k), min(have[1], int(seen))]
-                last, lx, n = int(own["us"].iloc[-1]), float(own["x"].iloc[-1]), n + len(own)
-            state.update((first, fx, last, lx, n, json.dumps(count)))
-            state.setTimeoutTimestamp(max((last + expiry) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=columns)
-
-    df = detections.withWatermark(ts, late).select(ts, F.col(clip).cast("string").alias("clip"), F.col(track).cast("long").alias("track"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(position).cast("long").alias("pos"), F.col(x).cast("double").alias("x"), F.col(cls).cast("string").alias("cls"))
-    return df.groupBy("clip", "track").applyInPandasWithState(step, "clip string, track long, start_us long, n long, first_x double, last_x double, cls string, direction string", "first long, fx double, last long, lx double, n long, votes string", "append", GroupStateTimeout.EventTimeTimeout)
+    df = detections.select(ts, F.col(clip).cast("string").alias("clip"), F.col(track).cast("long").alias("track"), _micros(ts), F.col(position).cast("long").alias("pos"), F.col(x).cast("double").alias("x"), F.col(cls).cast("string").alias("cls"))
+    make = partial(machines.Track, line=line, expiry=int(expiry_seconds * 1e6))
+    return in_order(df, ["clip", "track"], ts, late, make, "us long, pos long, x double, cls string", "start_us long, n long, first_x double, last_x double, cls string, direction string")
 
 
-def stalled_outputs(heartbeats: DataFrame, key: str, ts: str, size: str, seconds: int = 60, late: str = "5 minutes") -> DataFrame:
+def stalled_outputs(heartbeats: DataFrame, key: str, ts: str, size: str, seconds: int = 60, late: str = "5 minutes", expected: DataFrame | None = None) -> DataFrame:
     """(key, kind, since_us): "stalled" once when an output's size has not grown for so long, since its last growth;
-    "absent" when it has not reported for longer, since its last report, whether a later report or the watermark tells."""
-    limit = seconds * 1_000_000
+    "absent" when it has not reported for longer, since its last report, whether a later report or the watermark tells.
 
-    def step(name: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        grown, last, most, told = state.get if state.exists else (-1, -1, -1, False)
-        out = []
-        if state.hasTimedOut:
-            out.append((name[0], "absent", last))
-            state.remove()
-        else:
-            for us, n in pd.concat(list(parts))[["us", "size"]].sort_values(["us", "size"], kind="stable").itertuples(index=False):
-                if last >= 0 and us - last > limit:
-                    out.append((name[0], "absent", last))
-                if n > most:
-                    grown, most, told = int(us), int(n), False
-                elif not told and us - grown >= limit:
-                    out.append((name[0], "stalled", grown))
-                    told = True
-                last = int(us)
-            state.update((grown, last, most, told))
-            state.setTimeoutTimestamp(max((last + limit) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "kind", "since_us"])
-
-    df = heartbeats.withWatermark(ts, late).select(ts, F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(size).cast("long").alias("size"))
-    return df.groupBy("key").applyInPandasWithState(step, "key string, kind string, since_us long", "grown long, last long, most long, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    expected: (key, ts) of outputs that are to report from a time on, so that one which never does is absent since then.
+    """
+    limit = seconds * 1_000_000
+    df = heartbeats.select(ts, F.col(key).cast("string").alias("key"), _micros(ts), F.col(size).cast("long").alias("size"))
+    initial = None
+    if expected is not None:
+        since = expected.groupBy(F.col(key).cast("string").alias("key")).agg(F.min(_micros(ts)).alias("since"))
+        initial = since.select("key", F.format_string("[-1, %d, -1, false, false]", "since").alias("state"))
+    return in_order(df, ["key"], ts, late, partial(machines.Output, limit=limit), "us long, size long", "kind string, since_us long", initial)
 
 
 def new_clips(batch: DataFrame, done: DataFrame, key: list[str], modified: str | None = None, seconds: int = 240, now: Column | None = None) -> DataFrame:
@@ -194,7 +153,8 @@ def new_clips(batch: DataFrame, done: DataFrame, key: list[str], modified: str |
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a stream over all input there is, into Parquet files (append), or (update) a folder for each batch, which a batch
-    that is tried again writes anew."""
+    that is tried again writes anew. State is kept in RocksDB, which operators in event time need."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", path).start()
