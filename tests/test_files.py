@@ -20,7 +20,10 @@ def test_labels_and_manifest(spark, tmp_path):
     d.mkdir(parents=True)
     (d / "frame_000001.txt").write_text("0 0.5 0.5 0.10 0.20\nbad line\n1 0.1 0.1 x 0.2\n")
     (d / "frame_000002.txt").write_text("\n")
+    (d / "frame_000003.txt").write_text("")  # of no bytes
     boxes = readers.read_label_files(spark, str(tmp_path / "labels"))
+    assert [r["class_id"] for r in boxes.where("frame_idx = 3").collect()] == [None]
+    boxes = boxes.where("frame_idx < 3")
     got = sorted((r["frame_idx"], r["class_id"] if r["class_id"] is not None else -1, r["w"] or 0.0) for r in boxes.collect())
     assert got == [(1, 0, 0.1), (1, 1, 0.0), (2, -1, 0.0)]
     text = writers.render_labels(boxes.where("class_id is not null"), boxes, ["video_stem", "frame_idx"])

@@ -158,3 +158,39 @@ def test_outputs_that_never_report(spark, tmp_path):
     streams.run_available(stalled, str(tmp_path / "out"), str(tmp_path / "c"))
     got = sorted((r["key"], r["kind"], r["since_us"] // S - t0) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("a", "absent", 50), *[("b", "absent", t) for t in (55, 120, 400)], ("c", "absent", 0), ("d", "absent", 700)]
+
+
+def test_watch_clips(spark, tmp_path):
+    """Each clip once; young ones wait; a failed one is tried again after a restart; a changed one is another clip."""
+    import os
+    import time
+
+    clips, ledger, checkpoint = tmp_path / "clips", str(tmp_path / "ledger"), str(tmp_path / "checkpoint")
+    (clips / "cam").mkdir(parents=True)
+    old = time.time() - 1000
+    for name, text in (("a.mp4", "aa"), ("b.mp4", ""), ("cam/c.mp4", "cccc"), ("young.mp4", "y"), ("note.txt", "n")):
+        (clips / name).write_text(text)
+        if name != "young.mp4":
+            os.utime(clips / name, (old, old))
+
+    def process(df):
+        fails = df.path.endswith("c.mp4") & (df.attempt == 0)
+        return df.select("path", "size", "modified", F.when(fails, "broken").alias("error"), (F.col("size") * 10).alias("result"), "attempt")
+
+    seen = []
+
+    def run():
+        streams.watch_clips(spark, str(clips), ledger, checkpoint, process, "*.mp4", 240).awaitTermination()
+        rows = [r for r in spark.read.parquet(ledger).collect() if r["batch"] not in seen]
+        seen.extend({r["batch"] for r in rows})
+        return sorted((r["path"].rpartition("/")[2], r["error"], r["attempt"]) for r in rows)
+
+    assert run() == [("a.mp4", None, 0), ("b.mp4", None, 0), ("c.mp4", "broken", 0)]
+    assert run() == [("c.mp4", None, 1)]
+    assert run() == []
+    (clips / "a.mp4").write_text("aaa")
+    os.utime(clips / "a.mp4", (old + 1, old + 1))
+    os.utime(clips / "young.mp4", (old, old))
+    assert run() == [("a.mp4", None, 0), ("young.mp4", None, 0)]
+    done = sorted((r["path"].rpartition("/")[2], r["result"], r["failures"]) for r in streams.ledger_results(spark, ledger).collect())
+    assert done == [("a.mp4", 20, 0), ("a.mp4", 30, 0), ("b.mp4", 0, 0), ("c.mp4", 40, 1), ("young.mp4", 10, 0)]

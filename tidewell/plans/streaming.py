@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.plans.adapters import sql
 from tidewell.session import shared_dir
+from tidewell.sources.readers import decoded
 from tidewell.streaming import streams
 
 OUTAGES = """
@@ -129,6 +130,23 @@ def camera_clips_stream(spark: SparkSession, d: str) -> DataFrame:
     return _run(spark, streams.camera_clips(e, "site", "camera", "ts", "moves", 6 * 3600, 8 * 3600, 1, f"{LATE} seconds"))
 
 
+def watched_clips(spark: SparkSession, d: str) -> DataFrame:
+    """Files of document ids by source as clips, whose lines are counted. Half of the sources fail at first, and are tried again."""
+    base = f"{shared_dir(spark)}/watch-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    docs.select(F.coalesce("source", F.lit("none")).alias("source"), F.col("doc_id").cast("string").alias("value")).write.partitionBy("source").text(f"{base}/clips")
+
+    def count(clips: DataFrame) -> DataFrame:
+        lines = spark.read.option("recursiveFileLookup", True).text(f"{base}/clips").groupBy(decoded(F.col("_metadata.file_path")).alias("path")).agg(F.count("*").alias("n"))
+        fails = (F.col("attempt") == 0) & (F.length(F.regexp_extract("path", "source=([^/]*)/", 1)) % 2 == 0)
+        return clips.join(lines, "path").select("path", "size", "modified", F.when(fails, F.lit("not readable")).alias("error"), F.when(~fails, F.col("n")).alias("n"))
+
+    for _ in range(2):
+        streams.watch_clips(spark, f"{base}/clips", f"{base}/ledger", f"{base}/checkpoint", count, "part-*", 0).awaitTermination()
+    done = streams.ledger_results(spark, f"{base}/ledger")
+    return done.groupBy(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source")).agg(F.sum("n").alias("n"), F.max("failures").alias("failures"))
+
+
 def numbered_outages(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d).select(F.col("user_id").alias("device"), "ts", F.col("event_id").alias("pos"), (F.col("event_type") == "signup").alias("restart"), F.col("event_type").isin("click", "view").alias("healthy"))
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -153,8 +171,9 @@ g AS (SELECT *, sum(new) OVER (PARTITION BY site ORDER BY us ROWS BETWEEN UNBOUN
 s AS (SELECT site, min(us) AS start_us, max(us) + 3600000000 AS end_us, count(*) AS n_frames FROM g GROUP BY site, g)
 SELECT * FROM s WHERE end_us <= (SELECT max(us) - 600000000 FROM e)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream, event_parts_stream, event_group_stream, stalled_stream, numbered_outages, late_outage_stream, late_motion_clip_stream, late_crossing_stream, late_event_parts_stream, late_stalled_stream, camera_clips_stream)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (outage_stream, motion_clip_stream, crossing_stream, resample_stream, session_stream, event_parts_stream, event_group_stream, stalled_stream, numbered_outages, late_outage_stream, late_motion_clip_stream, late_crossing_stream, late_event_parts_stream, late_stalled_stream, camera_clips_stream, watched_clips)}
 SQL = {
+    "watched_clips": "SELECT coalesce(source, 'none') AS source, count(*) AS n, CASE WHEN length(coalesce(source, 'none')) % 2 = 0 THEN 1 ELSE 0 END AS failures FROM documents GROUP BY 1",
     "outage_stream": sql(OUTAGES),
     "session_stream": SESSIONS,
     "motion_clip_stream": sql(MOTION.format(frame="epoch_us(ts)", longest="2000000000")) + """

@@ -7,12 +7,13 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import boxes as B
 from tidewell.functions import names as N
 from tidewell.functions.scalars import safe_double
+from tidewell.sources.listing import list_files
 
 SEQUENCE = "array<struct<enabled: boolean, frame: double, x: double, y: double, width: double, height: double>>"
 RESULT = f"array<struct<type: string, from_name: string, to_name: string, value: struct<labels: array<string>, framesCount: string, sequence: {SEQUENCE}>>>"
@@ -109,18 +110,25 @@ def read_video_metadata(spark: SparkSession, path: str) -> DataFrame:
 def read_label_files(spark: SparkSession, root: str) -> DataFrame:
     """(video_stem, frame_idx, box_pos, class_id, xc, yc, w, h) of a tree ``<stem>/frame_N.txt``.
 
-    Files without a readable line give one row without a box. Spark passes over files of no bytes, so frames without boxes
-    are to be taken from a manifest.
+    Files are listed, and their lines read by line and joined with the listing: so files without a readable line, or of no
+    bytes at all, give one row without a box, and no file is held whole. Places of boxes count readable lines only.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "frame_*.txt").load(root)
+    files = list_files(spark, root, "frame_*.txt").select("path")
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "frame_*.txt").text(root)
+    # lines of one file come in order within a block, and blocks by their start
+    own = lines.where(B.is_label_line(F.col("value"))).select(decoded(_path()).alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("i"), B.parse_label_line(F.col("value")).alias("b"))
+    place = F.row_number().over(Window.partitionBy("path").orderBy("start", "i")) - 1
+    boxes = own.select("path", place.alias("box_pos"), "b")
     parts = F.split("path", "/")
-    lines = F.split(F.decode("content", "UTF-8"), "\n")
-    base = files.select(F.element_at(parts, -2).alias("video_stem"), N.parse_frame_idx(F.element_at(parts, -1)).alias("frame_idx"), lines.alias("lines"))
-    boxes = F.transform(F.filter("lines", B.is_label_line), B.parse_label_line)
-    rows = base.select("video_stem", "frame_idx", F.posexplode_outer(boxes).alias("box_pos", "b"))
+    rows = files.join(boxes, "path", "left").select(F.element_at(parts, -2).alias("video_stem"), N.parse_frame_idx(F.element_at(parts, -1)).alias("frame_idx"), "box_pos", "b")
     return rows.select("video_stem", "frame_idx", "box_pos", "b.class_id", "b.xc", "b.yc", "b.w", "b.h")
 
 
+def decoded(path: F.Column) -> F.Column:
+    """A reader's path as the listing has it: without escapes, and with one slash behind file:."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
 def read_manifest(spark: SparkSession, path: str, split: str) -> DataFrame:
     lines = spark.read.text(path).select(F.trim("value").alias("relpath")).where("length(relpath) > 0")
     return lines.select(F.lit(split).alias("split"), "relpath", N.parse_manifest_relpath(F.col("relpath")).alias("p")).select("split", "relpath", "p.*")
@@ -213,8 +221,6 @@ def read_datumaro(spark: SparkSession, path: str) -> DataFrame:
 
     Neighbouring items of one parent path are a clip of the file; a path that comes again later is another clip.
     """
-    from pyspark.sql import Window
-
     schema = "items array<struct<id: string, annotations: array<struct<label_id: int, bbox: array<double>, attributes: struct<track_id: string>>>>>"
     items = spark.read.schema(schema).option("multiLine", True).json(path).select(_path().alias("file"), F.posexplode("items").alias("item_pos", "i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
     w = Window.partitionBy("file").orderBy("item_pos")
@@ -276,9 +282,7 @@ def read_seqinfo(spark: SparkSession, path: str, glob: str = "seqinfo.ini") -> D
 
 def read_image_listing(spark: SparkSession, root: str) -> DataFrame:
     """(clip, path, n_images): files only listed, not read."""
-    from pyspark.sql import Window
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    files = list_files(spark, root).select("path")
     rows = files.withColumn("clip", F.element_at(F.split("path", "/"), -2))
     return rows.withColumn("n_images", F.count("*").over(Window.partitionBy("clip")))
 

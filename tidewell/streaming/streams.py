@@ -7,13 +7,15 @@ from collections.abc import Callable, Iterator
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell.operators.ordered import with_rank
 from tidewell.operators.tasks import settled_files
 from tidewell.session import ROCKSDB
+from tidewell.sources.listing import Listing
 from tidewell.streaming import machines
 from tidewell.streaming.event_time import in_order
 
@@ -151,6 +153,42 @@ def new_clips(batch: DataFrame, done: DataFrame, key: list[str], modified: str |
     return old.join(done.select(*key).distinct(), key, "left_anti")
 
 
+SIGNATURE = ["path", "size", "modified"]
+
+
+def watch_clips(spark: SparkSession, root: str, ledger: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], glob: str = "*", seconds: int = 240, now: Column | None = None, every: str | None = None) -> StreamingQuery:
+    """A stream that gives each clip below a folder to ``process`` until that succeeds once, and keeps a ledger of results.
+
+    Each trigger lists the folder. A clip is known by path, size and time of change: one that has changed is another clip, and
+    one that changed within the last seconds waits. process gets (path, size, modified, attempt), attempt being the number
+    of failures before, and gives rows of path, size, modified, error and its results: at least one for each clip that it is
+    through with. Clips without an error in a trigger's rows are done; those with one, or without rows, are given again at the
+    next trigger. The ledger at ``ledger`` holds all rows, in a folder for each batch: a batch that is tried again after a crash
+    replaces its own. every: time between triggers; without it one pass is made.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        clips = settled_files(batch, "modified", seconds, now).select(*SIGNATURE).withColumn("attempt", F.lit(0).cast("long"))
+        if number:
+            by_try = spark.read.parquet(ledger).where(F.col("batch") < number).groupBy(*SIGNATURE, "batch").agg(F.max(F.col("error").isNotNull()).alias("failed"))
+            before = by_try.groupBy(*SIGNATURE).agg(F.min("failed").alias("failed"), F.count("*").alias("attempt"))
+            clips = clips.drop("attempt").join(before, SIGNATURE, "left").where(F.coalesce("failed", F.lit(True))).select(*SIGNATURE, F.coalesce("attempt", F.lit(0)).alias("attempt"))
+        write_batch(process(clips), number, ledger)
+
+    spark.dataSource.register(Listing)
+    files = spark.readStream.format("listing").option("glob", glob).load(root)
+    writer = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def ledger_results(spark: SparkSession, ledger: str) -> DataFrame:
+    """Rows of clips that are done, each clip's of the batch that succeeded, with the number of failures before."""
+    rows = spark.read.parquet(ledger)
+    tries = rows.groupBy(*SIGNATURE, "batch").agg(F.max(F.col("error").isNotNull()).alias("__failed")).groupBy(*SIGNATURE)
+    done = tries.agg(F.min(F.when(~F.col("__failed"), F.col("batch"))).alias("batch"), F.sum(F.col("__failed").cast("long")).alias("failures")).where("batch is not null")
+    return rows.join(done, [*SIGNATURE, "batch"]).drop("batch", "error")
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a stream over all input there is, into Parquet files (append), or (update) a folder for each batch, which a batch
     that is tried again writes anew. State is kept in RocksDB, which operators in event time need."""
