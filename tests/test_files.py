@@ -1,6 +1,8 @@
 import json
 
-from tidewell.sources import readers, writers
+from pyspark.sql import functions as F
+
+from tidewell.sources import json_array, readers, writers
 
 
 def test_tasks_to_keyframes(spark, tmp_path):
@@ -159,3 +161,53 @@ def test_scratch(spark):
     assert out.count() == 5 and os.path.exists(where(out))
     folder = session.shared_dir(spark).removeprefix("file://")
     assert not [f for f in os.listdir(folder) if f.startswith("inner-")]
+
+
+def test_json_array_by_ranges(spark, tmp_path):
+    """Elements of an array are the same however the file is cut: strings with marks and escapes, other arrays, a byte order mark."""
+    import json
+
+    odd = ["[", "]", "{,}", "\\", '\\"', '"', ',"items":[', 'x\\"y', "é…", ""]
+    items = [{"id": str(i), "s": odd[i % len(odd)], "deep": [[i], {"items": [i, odd[-i % len(odd)]]}]} for i in range(200)]
+    for name, value in (("list", items), ("nested", {"x": [1, {"items": [3]}], "items": items, "z": ["]"]})):
+        for indent in (None, 2):
+            (tmp_path / f"{name}{indent}.json").write_bytes(b"\xef\xbb\xbf \n" + json.dumps(value, indent=indent, ensure_ascii=False).encode())
+    for n, text in (("cut", '[{"id": "1"}, {"id"'), ("bad", '[{"id": "1"}, {"id": }]'), ("empty", ""), ("one", '{"id": 7}'), ("none", "[]")):
+        (tmp_path / f"{n}.json").write_text(text)
+    for size in (97, 5000, 1 << 20):
+        rows = json_array.read_json_array(spark, str(tmp_path), "id string, s string", split_bytes=size).collect()
+        by = {}
+        for r in rows:
+            by.setdefault(r["path"].rpartition("/")[2].removesuffix(".json"), []).append((r["item_pos"], r["item"] and (r["item"]["id"], r["item"]["s"]), r["error"]))
+        want = [(i, (x["id"], x["s"]), None) for i, x in enumerate(items)]
+        assert sorted(by.pop("listNone")) == sorted(by.pop("list2")) == want
+        assert by == {"nestedNone": [(None, None, "no list")], "nested2": [(None, None, "no list")], "cut": [(None, None, "not readable")], "bad": [(None, None, "not readable")], "empty": [(None, None, "no list")], "one": [(None, None, "no list")]}
+        nested = json_array.read_json_array(spark, str(tmp_path), "id string, s string", "nested*.json", "items", split_bytes=size).collect()
+        assert sorted((r["item_pos"], (r["item"]["id"], r["item"]["s"]), r["error"]) for r in nested) == sorted(want * 2)
+    tasks = readers.read_tasks(spark, str(tmp_path), glob="one.json").collect()
+    assert [(r["id"], r["error"]) for r in tasks] == [(7, None)]
+    assert [r["error"] for r in readers.read_tasks(spark, str(tmp_path), strict=True, glob="one.json").collect()] == ["no list of tasks"]
+
+
+def test_large_json_array_by_tasks(spark, tmp_path):
+    """One file is read by several tasks, each about as much as a range."""
+    import json
+
+    (tmp_path / "big.json").write_text(json.dumps([{"id": str(i), "s": "x" * (i % 300)} for i in range(20_000)]))
+    rows = json_array.array_elements(spark, str(tmp_path), split_bytes=200_000)
+    sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.sum(F.length("body")).alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 1_500_000
+    assert rows.select("item_pos").distinct().count() == 20_000 and rows.agg(F.max("item_pos")).first()[0] == 19_999
+
+
+def test_listing(spark, tmp_path):
+    from tidewell.sources.listing import list_files
+
+    for name in ("a.txt", "x/b.txt", "x/y/c.txt", "x/_hidden.txt", ".z/d.txt", "x/e 1%.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("12" if "b" in name else "")
+    got = sorted((r["path"].removeprefix(f"file:{tmp_path}/"), r["size"]) for r in list_files(spark, str(tmp_path), folders=1).collect())
+    assert got == [("a.txt", 0), ("x/b.txt", 2), ("x/e 1%.csv", 0), ("x/y/c.txt", 0)]
+    assert [r["size"] for r in list_files(spark, f"file://{tmp_path}/x/b.txt").collect()] == [2]
+    images = readers.read_image_listing(spark, str(tmp_path / "x")).collect()
+    assert sorted((r["clip"], r["n_images"]) for r in images) == [("x", 2), ("x", 2), ("y", 1)]

@@ -48,16 +48,21 @@ class ListingReader(DataSourceReader):
         from pyarrow import fs
 
         system, inner, _ = open_root(self.root)
+        if system.get_file_info(inner).type == fs.FileType.File:
+            return [Folders([inner], False)]
         below = sorted(i.path for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.Directory)
         return [Folders([inner], False), *(Folders(below[i : i + self.chunk], True) for i in range(0, len(below), self.chunk))]
 
     def read(self, partition: Folders) -> Iterator[tuple]:
         from pyarrow import fs
 
-        system, _, before = open_root(self.root)
+        system, inner, before = open_root(self.root)
         for folder in partition.folders:
-            for i in system.get_file_info(fs.FileSelector(folder, recursive=partition.deep, allow_not_found=True)):
-                if i.type == fs.FileType.File and fnmatch.fnmatchcase(i.base_name, self.glob):
+            own = system.get_file_info(folder)
+            found = [own] if own.type == fs.FileType.File else system.get_file_info(fs.FileSelector(folder, recursive=partition.deep, allow_not_found=True))
+            for i in found:
+                hidden = any(x[:1] in ("_", ".") for x in i.path.removeprefix(inner).split("/"))  # as Spark's readers have it
+                if i.type == fs.FileType.File and not hidden and fnmatch.fnmatchcase(i.base_name, self.glob):
                     yield before + i.path, i.size, i.mtime.astimezone(UTC) if i.mtime else None
 
 
@@ -95,6 +100,6 @@ class Listing(DataSource):
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", folders: int = FOLDERS) -> DataFrame:
-    """(path, size, modified) of the files below a folder, those of no bytes too. A missing folder is an error."""
+    """(path, size, modified) of the files below a folder (or of the file that root is), those of no bytes too, but none of a hidden name. A missing folder is an error."""
     spark.dataSource.register(Listing)
     return spark.read.format("listing").option("glob", glob).option("folders", folders).load(root)

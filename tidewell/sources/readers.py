@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import boxes as B
 from tidewell.functions import names as N
 from tidewell.functions.scalars import safe_double
+from tidewell.sources.json_array import SPLIT_BYTES, read_json_array
 from tidewell.sources.listing import list_files
 
 SEQUENCE = "array<struct<enabled: boolean, frame: double, x: double, y: double, width: double, height: double>>"
@@ -48,20 +49,24 @@ def read_headed(spark: SparkSession, path: str | Sequence[str], glob: str | None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_tasks(spark: SparkSession, path: str, strict: bool = False, glob: str = "*.json") -> DataFrame:
+def read_tasks(spark: SparkSession, path: str, strict: bool = False, glob: str = "*.json", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """(file_path, item_pos, id, data, annotations, error): tasks of files that hold a list of tasks, or (unless strict) one.
 
-    A file that can't be read, or isn't such a list, gives one row with an error.
+    A file that can't be read, or isn't such a list, gives one row with an error. Large files are read by several tasks.
     """
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True).withColumn("file_path", _path())
-    body = F.trim(F.regexp_replace("value", "^\ufeff", ""))
-    listed = F.when(body.startswith("["), body)
-    if not strict:
-        listed = listed.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]")))
-    items = F.from_json(listed, f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in _fields(TASK))}>>", {"mode": "PERMISSIVE"})
-    read = text.select("file_path", body.alias("body"), F.posexplode_outer(items).alias("item_pos", "t"))
-    error = F.when(F.col("t").isNull(), F.when(F.col("body").startswith("["), "not readable").otherwise("no list of tasks"))
-    return read.select("file_path", "item_pos", "t.*", error.alias("error"))
+    rows = read_json_array(spark, path, TASK, glob, single=not strict, split_bytes=split_bytes)
+    error = F.when(F.col("error") == "no list", "no list of tasks").otherwise(F.col("error"))
+    return rows.select(_url("path").alias("file_path"), "item_pos", "item.*", error.alias("error"))
+
+
+def _url(path: str) -> F.Column:
+    """A listed path as Spark's readers give it."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def _good(rows: DataFrame) -> DataFrame:
+    """Elements, without the rows of files that could not be read."""
+    return rows.where("error is null")
 
 
 def _fields(schema: str) -> list[str]:
@@ -221,8 +226,8 @@ def read_datumaro(spark: SparkSession, path: str) -> DataFrame:
 
     Neighbouring items of one parent path are a clip of the file; a path that comes again later is another clip.
     """
-    schema = "items array<struct<id: string, annotations: array<struct<label_id: int, bbox: array<double>, attributes: struct<track_id: string>>>>>"
-    items = spark.read.schema(schema).option("multiLine", True).json(path).select(_path().alias("file"), F.posexplode("items").alias("item_pos", "i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
+    schema = "id string, annotations array<struct<label_id: int, bbox: array<double>, attributes: struct<track_id: string>>>"
+    items = _good(read_json_array(spark, path, schema, "*", "items")).select(_url("path").alias("file"), "item_pos", F.col("item").alias("i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
     w = Window.partitionBy("file").orderBy("item_pos")
     items = items.withColumn("new", F.coalesce((F.col("parent") != F.lag("parent").over(w)).cast("int"), F.lit(1))).withColumn("clip", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     rows = items.select("file", "item_pos", F.col("i.id").alias("item"), "clip", F.explode("i.annotations").alias("a"))
@@ -232,8 +237,9 @@ def read_datumaro(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tasks_min(spark: SparkSession, path: str) -> DataFrame:
-    """(id, video, box): flat tasks; those without boxes keep a null box."""
-    return spark.read.schema("id long, video string, box array<struct<sequence: array<struct<frame: double, x: double, y: double, width: double, height: double, enabled: boolean>>, labels: array<string>>>").option("multiLine", True).json(path)
+    """(id, video, box): flat tasks; those without boxes keep a null box. Files that are no such list are left out."""
+    schema = "id long, video string, box array<struct<sequence: array<struct<frame: double, x: double, y: double, width: double, height: double, enabled: boolean>>, labels: array<string>>>"
+    return _good(read_json_array(spark, path, schema, "*", single=True)).select("item.*")
 
 
 def read_trials(spark: SparkSession, root: str) -> DataFrame:
@@ -290,8 +296,8 @@ def read_image_listing(spark: SparkSession, root: str) -> DataFrame:
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """(frame_pos, name, kind, obj_pos, x, y, w, h): interesting objects and noises of each frame."""
     box = "array<struct<x: int, y: int, w: int, h: int>>"
-    rows = spark.read.schema(f"metadata array<struct<name: string, bounding_boxes: struct<interested_objects: {box}, noises: {box}>>>").option("multiLine", True).json(path)
-    frames = rows.select(F.posexplode("metadata").alias("frame_pos", "m"))
+    rows = read_json_array(spark, path, f"name string, bounding_boxes struct<interested_objects: {box}, noises: {box}>", "*", "metadata")
+    frames = _good(rows).select(F.col("item_pos").alias("frame_pos"), F.col("item").alias("m"))
     parts = [frames.select("frame_pos", F.col("m.name").alias("name"), F.lit(k).alias("kind"), F.posexplode(f"m.bounding_boxes.{k}").alias("obj_pos", "b")) for k in ("interested_objects", "noises")]
     return parts[0].unionByName(parts[1]).select("frame_pos", "name", "kind", "obj_pos", "b.*")
 
