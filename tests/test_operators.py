@@ -1,7 +1,9 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +129,44 @@ def test_motion_clips(spark):
     assert got == [(11, 18, "quiet"), (22, 22, "end")]
 
 
+def machine_clips(frames, moves, **rules):
+    m = runs.MotionMachine(1.0, **rules)
+    found = [m.step(f, x) for f, x in zip(frames, moves, strict=True)]
+    return [c for c in [*found, m.end()] if c]
+
+
+def test_motion_ranges_compose():
+    """Ranges as functions of the state before them: by their summaries and by themselves they give what the machine gives."""
+    r = np.random.default_rng(5)
+    for _ in range(800):
+        n = int(r.integers(1, 60))
+        frames, moves = np.cumsum(r.integers(1, 4, size=n)), np.repeat(r.random(n) < r.choice([0.3, 0.5, 0.9]), int(r.integers(1, 4)))[:n]
+        rules = {"warm": 0.0, "need": float(r.integers(1, 4)), "delay": float(r.integers(0, 4)), "longest": float(r.integers(0, 12))}
+        m = runs.MotionMachine(1.0, **rules)
+        cuts = sorted({0, n, *r.integers(0, n + 1, size=4).tolist()})
+        state, clips = ("closed", 0), []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            part = runs.MotionRange(frames[a:b], moves[a:b], m.need, m.delay, m.longest)
+            told = runs.state_behind(json.loads(json.dumps(part.summary())), state, m.delay)
+            state = part.walk(state, clips)
+            assert told == state
+        if state[0] == "open":
+            clips.append((state[1], int(frames[-1]), "end"))
+        assert clips == machine_clips(frames.tolist(), moves.tolist(), **rules)
+
+
+def test_motion_clips_over_many_tasks(spark):
+    """A camera whose frames lie in many ranges, beside short ones, with frames to ignore at the beginning."""
+    r = random.Random(3)
+    data = [("long", i, r.random() < 0.6) for i in range(3000)] + [("b", i * 2, r.random() < 0.5) for i in range(40)] + [("c", 1, True), ("d", 1, None)]
+    f = spark.createDataFrame(data, "cam string, frame int, moves boolean")
+    rules = {"warm": 5.0, "need": 2.0, "delay": 3.0, "longest": 30.0}
+    got = rows(runs.motion_clips(f, "cam", "frame", "moves", fps=1.0, ranges=9, **rules), "camera", "start", "end", "reason")
+    want = [(c, *x) for c in "bcd" for x in machine_clips([d[1] for d in data if d[0] == c], [bool(d[2]) for d in data if d[0] == c], **rules)]
+    want += [("long", *x) for x in machine_clips(range(3000), [d[2] for d in data if d[0] == "long"], **rules)]
+    assert got == sorted(want) and len(got) > 50
+
+
 def test_segments_and_collisions(spark):
     c = spark.createDataFrame([("a", 250.0), ("b", 0.0)], "clip string, seconds double").selectExpr("*", "timestamp '2025-01-01' start")
     assert rows(runs.segment_clips(c, "seconds", "start"), "clip", "part", "part_seconds") == [("a", 0, 120.0), ("a", 1, 120.0), ("a", 2, 10.0), ("b", 0, 0.0)]
@@ -157,6 +197,28 @@ def test_similarity(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 1.0]), (4, None)], "id long, v array<float>")
     got = dict(rows(similarity.max_similarity(v, "id", "v", block=2), "id", "max_sim"))
     assert got == {1: pytest.approx(0.5**0.5), 2: pytest.approx(0.5**0.5), 3: pytest.approx(0.5**0.5)}
+    assert not rows(similarity.max_similarity(v.limit(0), "id", "v"), "id")
+
+
+@pytest.mark.parametrize("spread", [0.05, 10.0])
+def test_similarity_by_shells(spark, spread):
+    """Equal maxima where most blocks are pruned (clusters) and where hardly any is; zero vectors, copies, repeated ids."""
+    r = np.random.default_rng(1)
+    centres = r.normal(size=(12, 8))
+    v = (centres[r.integers(0, 12, size=600)] + spread * r.normal(size=(600, 8))).astype(np.float32)
+    v[5], v[7] = 0, v[6]
+    ids = [*range(598), 3, 3]
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in zip(ids, v, strict=True)], "id long, v array<float>")
+    u = v.astype(float) / np.maximum(np.linalg.norm(v.astype(float), axis=1, keepdims=True), 1e-300)
+    s = u @ u.T
+    s[np.equal.outer(ids, ids)] = -np.inf
+    want = {}
+    for i, x in zip(ids, s.max(axis=1), strict=True):
+        want[i] = max(want.get(i, -1.0), x)
+    for block in (20, 2000):
+        assert dict(rows(similarity.max_similarity(df, "id", "v", block=block), "id", "max_sim")) == pytest.approx(want)
+    if spread < 1:
+        assert similarity.compared_share(df, "id", "v", block=20) < 0.3
 
 
 def test_tasks(spark):
@@ -346,6 +408,16 @@ def test_sequences_fill_by_capacity(spark):
     assert got == split
 
 
+def test_sequences_are_cut(spark):
+    """Objects that come and go far apart are several pieces, whose ids go on."""
+    data = [("s", f, 0, 100.0 * (f // 10), 5.0 * (f % 2)) for f in range(100)] + [("t", 1, 0, 0.0, 0.0), ("t", 2, 0, 1.0, None)]
+    o = spark.createDataFrame(data, "seq string, frame int, pos int, x double, y double").selectExpr("*", "2.0 w", "2.0 h")
+    pieces = tracks.cut_sequences(o.selectExpr("seq", "cast(frame as long) frame", "x + 1 cx", "y + 1 cy"), 8.0, 5)
+    assert pieces.select("seq", "piece").distinct().count() == 12
+    got = rows(tracks.track_objects(o, "seq", "frame", "pos", radius=8.0), "seq", "frame", "object_id")
+    assert got == [("s", f, f // 10) for f in range(100)] + [("t", 1, 0), ("t", 2, 1)]
+
+
 def test_objects_by_history(spark):
     r = random.Random(7)
     data = [("s", f, p, r.uniform(0, 60), r.uniform(0, 60)) for f in range(40) for p in range(r.randint(0, 5))]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordered import with_rank
+from tidewell.operators.ordered import PART, with_rank
+from tidewell.session import materialize
 
 # Parts of the messages that a device logs while it works.
 HEALTHY = ("Retrieval time", "BGSub:", "Size of shared frames", "Time elapsed:", "Cont save:", "Writing continuous video to")
@@ -137,18 +140,188 @@ class MotionMachine:
         return (self.start, self.last, "end") if self.start >= 0 else None
 
 
-def motion_clips(frames: DataFrame, camera: str, frame: str, flag: str, fps: float = 10.0, **rules: float) -> DataFrame:
-    """(camera, start, end, reason) by the MotionMachine of each camera."""
+class MotionRange:
+    """A range of a camera's frames as a function of the MotionMachine's state, with places of clips found by search.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame", kind="stable")
-        m = MotionMachine(fps, **rules)
-        found = [m.step(int(f), bool(x)) for f, x in zip(pdf["frame"], pdf["moves"], strict=True)]
-        clips = [x for x in [*found, m.end()] if x]
-        return pd.DataFrame([(pdf["camera"].iloc[0], *x) for x in clips], columns=["camera", "start", "end", "reason"])
+    States: ("closed", motion frames in a row) and ("open", start, quiet frames in a row).
+    """
 
-    df = frames.select(F.col(camera).cast("string").alias("camera"), F.col(frame).cast("long").alias("frame"), F.col(flag).cast("boolean").alias("moves"))
-    return df.groupBy("camera").applyInPandas(run, "camera string, start long, end long, reason string")
+    def __init__(self, frames: np.ndarray, moves: np.ndarray, need: int, delay: int, longest: int):
+        self.f, self.need, self.delay, self.longest, self.n = frames, need, delay, longest, len(frames)
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], moves.astype(np.int8), [0]])))
+        self.run_from, self.run_to = edge[::2], edge[1::2]  # runs of motion, their ends not included
+        self.motion = np.flatnonzero(moves)
+        self.motion_f = frames[self.motion]
+        ends = np.concatenate([[0], self.run_to]), np.concatenate([self.run_from, [self.n]])
+        self.lead = int(ends[1][0])  # quiet frames at the beginning
+        self.trail = int(self.n - ends[0][-1])
+        still = ends[1] - ends[0] > delay
+        self.still = (ends[0] + delay)[still]  # where a quiet run closes what is open before it
+        self.long_from = self.run_from[self.run_to - self.run_from >= need]
+        self.known: dict[int, tuple] = {}
+
+    def _opens(self, p: int) -> int | None:
+        """The place where a clip opens, of a camera that is closed before place p."""
+        i = int(np.searchsorted(self.run_to, p, side="right"))
+        if i < len(self.run_to) and self.run_from[i] < p and self.run_to[i] - p >= self.need:
+            return p + self.need - 1
+        j = int(np.searchsorted(self.long_from, p))
+        return int(self.long_from[j]) + self.need - 1 if j < len(self.long_from) else None
+
+    def _closes(self, start: int, place: int) -> tuple[int | None, str]:
+        """Where and why a clip of that start, open behind place, closes."""
+        i = int(np.searchsorted(self.still, place))
+        quiet = int(self.still[i]) if i < len(self.still) else self.n
+        j = max(int(np.searchsorted(self.motion_f, start + self.longest, side="right")), int(np.searchsorted(self.motion, place)))
+        length = int(self.motion[j]) if j < len(self.motion) else self.n
+        at = min(quiet, length)
+        return (None if at == self.n else at), ("length" if length < quiet else "quiet")
+
+    def _closed_end(self, p: int) -> tuple:
+        tail = self.n - int(self.run_from[-1]) if len(self.run_to) and self.run_to[-1] == self.n else 0
+        return "closed", min(tail, self.n - p)
+
+    def walk(self, state: tuple, clips: list | None = None) -> tuple:
+        """The state behind the range; clips: gets (start, end, reason)."""
+        if state[0] == "open":
+            _, start, quiet = state
+            if quiet + self.lead <= self.delay and self.lead == self.n:
+                return "open", start, quiet + self.n
+            if quiet + self.lead > self.delay:
+                at, why = self.delay - quiet, "quiet"
+            else:
+                at, why = self._closes(start, self.lead)
+            if at is None:
+                return "open", start, self.trail
+            if clips is not None:
+                clips.append((start, int(self.f[at]), why))
+            return self._from(at + 1, clips)
+        first = int(self.run_to[0]) if len(self.run_to) and self.run_from[0] == 0 else 0  # motion frames at the beginning
+        if state[1] and first >= self.need - state[1]:
+            return self._opened(self.need - state[1] - 1, clips)
+        if state[1] and first == self.n:
+            return "closed", state[1] + self.n
+        return self._from(0 if not state[1] else first, clips)
+
+    def _from(self, p: int, clips: list | None) -> tuple:
+        at = self._opens(p)
+        return self._closed_end(p) if at is None else self._opened(at, clips)
+
+    def _opened(self, at: int, clips: list | None) -> tuple:
+        path = []
+        while True:
+            if clips is None and at in self.known:
+                end = self.known[at]
+                break
+            path.append(at)
+            start = int(self.f[at])
+            to, why = self._closes(start, at + 1)
+            if to is None:
+                end = ("open", start, self.trail)
+                break
+            if clips is not None:
+                clips.append((start, int(self.f[to]), why))
+            again = self._opens(to + 1)
+            if again is None:
+                end = self._closed_end(to + 1)
+                break
+            at = again
+        self.known |= dict.fromkeys(path, end)
+        return end
+
+    def summary(self) -> dict:
+        """All that walk gives, as numbers: the state behind for each closed state, and for open ones by their start.
+
+        An open clip that gets as far as the first motion frame closes by length at the first motion frame later than its start
+        by more than longest. Starts lie before the range, so that is one of the frames up to longest behind its
+        beginning: there are as many pieces as such frames at most, whatever the range's size.
+        """
+        closed = [self.walk(("closed", m)) for m in range(self.need)]
+        pieces = []
+        if self.lead < self.n:
+            i = int(np.searchsorted(self.still, self.lead))
+            still = int(self.still[i]) if i < len(self.still) else self.n
+            last = int(np.searchsorted(self.motion_f, self.f[0] + self.longest)) + 1
+            for place in self.motion[:last].tolist():
+                if place >= still:
+                    break
+                end = self._from(place + 1, None)
+                bound = int(self.f[place]) - self.longest  # of starts below it
+                if pieces and pieces[-1][1] == end:
+                    pieces[-1] = (bound, end)
+                else:
+                    pieces.append((bound, end))
+            rest = self._from(still + 1, None) if still < self.n else None
+        else:
+            rest = None
+        return {"n": self.n, "lead": self.lead, "trail": self.trail, "closed": closed, "pieces": pieces, "rest": rest, "last": int(self.f[-1])}
+
+
+def state_behind(part: dict, state: tuple, delay: int) -> tuple:
+    """MotionRange.walk by the range's summary."""
+    if state[0] == "closed":
+        return tuple(part["closed"][state[1]])
+    _, start, quiet = state
+    if quiet + part["lead"] > delay:
+        return tuple(part["closed"][0])
+    if part["lead"] == part["n"]:
+        return "open", start, quiet + part["n"]
+    for bound, end in part["pieces"]:
+        if start < bound:
+            return tuple(end)
+    return tuple(part["rest"]) if part["rest"] else ("open", start, part["trail"])
+
+
+def motion_clips(frames: DataFrame, camera: str, frame: str, flag: str, fps: float = 10.0, ranges: int | None = None, **rules: float) -> DataFrame:
+    """(camera, start, end, reason) by the MotionMachine of each camera.
+
+    A camera's frames are dealt by ranges to many tasks. Each range is first summed up as a function of the state it begins
+    in; the functions are applied one after another, a short row for each range, and then each range gives its clips.
+    ranges: how many to deal to. A missing flag is no motion; frames without number are left out.
+    """
+    machine = MotionMachine(fps, **rules)
+    need, delay, longest, warm = machine.need, machine.delay, machine.longest, machine.warm
+    df = frames.select(F.col(camera).cast("string").alias("camera"), F.col(frame).cast("long").alias("frame"), F.coalesce(F.col(flag).cast("boolean"), F.lit(False)).alias("moves")).where("frame is not null")
+    order = ["camera", "frame", "moves"]
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    dealt = materialize(dealt.withColumn(PART, F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("camera").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("camera", PART).agg(F.count("*").alias("own")).withColumn("ahead", F.coalesce(F.sum("own").over(before), F.lit(0)))
+
+    def of(pdf: pd.DataFrame) -> MotionRange | None:
+        pdf = pdf.sort_values(["frame", "moves"], kind="stable").iloc[max(0, warm - int(pdf["ahead"].iloc[0])) :]
+        return MotionRange(pdf["frame"].to_numpy(), pdf["moves"].to_numpy(bool), need, delay, longest) if len(pdf) else None
+
+    def sum_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = of(pdf)
+        return pd.DataFrame({"camera": pdf["camera"].iloc[:1], PART: pdf[PART].iloc[:1], "part": [json.dumps(part.summary()) if part else None]})
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, out = ("closed", 0), []
+        for number, text in pdf.sort_values(PART)[[PART, "part"]].itertuples(index=False):
+            out.append((pdf["camera"].iloc[0], number, json.dumps(state), False))
+            if text:
+                part = json.loads(text)
+                state = state_behind(part, state, delay)
+        out[-1] = (*out[-1][:3], True)
+        return pd.DataFrame(out, columns=["camera", PART, "state", "ends"])
+
+    def give(pdf: pd.DataFrame) -> pd.DataFrame:
+        part, clips = of(pdf), []
+        state = tuple(json.loads(pdf["state"].iloc[0]))
+        if part:
+            state = part.walk(state, clips)
+        if pdf["ends"].iloc[0] and state[0] == "open":
+            clips.append((state[1], int(pdf["frame"].max()), "end"))
+        return pd.DataFrame([(pdf["camera"].iloc[0], *c) for c in clips], columns=["camera", "start", "end", "reason"])
+
+    same = F.col("camera").eqNullSafe(F.col("c")) & (F.col(PART) == F.col("p"))
+    key = [F.col("camera").alias("c"), F.col(PART).alias("p")]
+    with_ahead = dealt.join(counts.select(*key, "ahead"), same).drop("c", "p")
+    parts = with_ahead.groupBy("camera", PART).applyInPandas(sum_up, f"camera string, {PART} int, part string")
+    states = materialize(parts.groupBy("camera").applyInPandas(chain, f"camera string, {PART} int, state string, ends boolean"), "states")
+    ready = with_ahead.join(states.select(*key, "state", "ends"), same).drop("c", "p")
+    return ready.groupBy("camera", PART).applyInPandas(give, "camera string, start long, end long, reason string")
 
 
 def multi_camera_events(frames: DataFrame, site: str, ts: str, flag: str, gap_seconds: int = 5, part_seconds: int = 120) -> DataFrame:

@@ -2,47 +2,168 @@
 
 from __future__ import annotations
 
-
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.scalars import hash_order
+from tidewell.session import materialize
+
+#: Pivots, and shells about each of them, at most. What tasks are told of is PIVOTS vectors and PIVOTS * SHELLS angles at most.
+PIVOTS = 1024
+SHELLS = 64
+#: Angles are exact but for so much.
+SLACK = 1e-6
+#: Vectors that are compared with shells at once.
+ROWS = 256
+
+
+def _unit(column: pa.Array) -> np.ndarray:
+    v = np.array(column.to_pylist(), np.float64)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1, 1))
+
+
+@dataclass
+class Shells:
+    """Shells of vectors about pivots: rows (k, v, o, h) of vectors with their shell and block, and for each shell its number,
+    pivot, least and greatest angle, vectors and blocks."""
+
+    rows: DataFrame
+    pivots: np.ndarray
+    number: np.ndarray
+    pivot: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    size: np.ndarray
+    blocks: dict[int, int]
+
+
+def shells(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> Shells:
+    """Pivots are vectors drawn by hash, one for each ``block`` vectors up to PIVOTS. A vector goes to its nearest pivot's cell; cells
+    are cut to shells of about ``block`` by the angle to the pivot, and shells that are larger still to blocks by hash."""
+    base = materialize(vectors.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<float>").alias("v")).where("v is not null and k is not null"), "vectors")
+    drawn = base.orderBy(hash_order(0, F.col("k")), "k").limit(min(PIVOTS, max(1, -(-base.count() // block)))).collect()
+    pivots = _unit(pa.array([r["v"] for r in drawn])) if drawn else np.zeros((0, 1))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = _angles(_unit(batch.column("v")), pivots)
+            p = t.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("v"), pa.array(p.astype(np.int32)), pa.array(t[np.arange(len(p)), p])], names=["k", "v", "p", "t"])
+
+    placed = materialize(base.mapInArrow(place, "k long, v array<float>, p int, t double"), "vectors")
+    parts = [F.lit(i / SHELLS) for i in range(1, SHELLS)]
+    cells = placed.groupBy("p").agg(F.count("*").alias("n"), F.percentile_approx("t", F.array(*parts), 10_000).alias("q")).collect()
+    cuts = {}
+    for r in cells:
+        some = min(SHELLS, -(-r["n"] // block))
+        cuts[r["p"]] = np.unique([r["q"][i * SHELLS // some - 1] for i in range(1, some)])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, t = batch.column("p").to_numpy(), batch.column("t").to_numpy()
+            o = np.array([a * SHELLS + np.searchsorted(cuts[a], x) for a, x in zip(p.tolist(), t, strict=True)], np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("v"), pa.array(o), batch.column("t")], names=["k", "v", "o", "t"])
+
+    inside = materialize(placed.mapInArrow(cut, "k long, v array<float>, o int, t double"), "vectors")
+    found = inside.groupBy("o").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.count("*").alias("n")).orderBy("o").collect()
+    number, low, high, n = (np.array([r[c] for r in found], kind) for c, kind in (("o", np.int64), ("low", float), ("high", float), ("n", np.int64)))
+    blocks = {int(o): int(-(-x // (2 * block))) for o, x in zip(number, n, strict=True)}
+    sizes = inside.sparkSession.createDataFrame(list(blocks.items()), "o int, b int")
+    rows = inside.join(F.broadcast(sizes), "o").select("k", "v", "o", F.pmod(F.xxhash64("k"), "b").cast("int").alias("h"))  # PIVOTS * SHELLS sizes at most
+    return Shells(rows, pivots, number, number // SHELLS, low, high, n, blocks)
+
+
+def _own_best(s: Shells) -> DataFrame:
+    """(k, v, o, s): each vector's largest similarity within its block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        k, v = table.column("k").to_numpy(), _unit(table.column("v"))
+        best = [np.zeros(0)]
+        for at in range(0, len(k), 2000):
+            found = v[at : at + 2000] @ v.T
+            found[k[at : at + 2000][:, None] == k[None, :]] = -np.inf
+            best.append(found.max(axis=1))
+        return pa.table({"k": table.column("k"), "v": table.column("v"), "o": table.column("o"), "s": np.concatenate(best)})
+
+    return materialize(s.rows.groupBy("o", "h").applyInArrow(run, "k long, v array<float>, o int, s double"), "own")
+
+
+def _asks(own: DataFrame, s: Shells) -> DataFrame:
+    """(k, v, o): the shells that may hold a vector nearer than the best of its own block.
+
+    A vector at an angle t to a pivot is, by the triangle inequality, at t - high and at low - t at least from all of its shell.
+    """
+    pivots, number, pivot, low, high = s.pivots, s.number, s.pivot, s.low, s.high
+    lone = np.array([s.blocks[int(o)] == 1 for o in number])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                v, have = _unit(batch.column("v")), batch.column("s").to_numpy()
+                best = np.where(have > -np.inf, np.arccos(np.clip(have, -1, 1)), 4.0) + SLACK
+                best[np.abs(v).max(axis=1) == 0] = 8.0  # without direction: the inequality says nothing of it
+                t = _angles(v, pivots)[:, pivot]
+                ask = np.maximum(t - high, low - t) <= best[:, None]
+                ask &= ~((batch.column("o").to_numpy()[:, None] == number) & lone)
+                yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("v"), pa.array([number[a].astype(np.int32) for a in ask], pa.list_(pa.int32()))], names=["k", "v", "os"])
+
+    return own.mapInArrow(run, "k long, v array<float>, os array<int>").select("k", "v", F.explode("os").alias("o"))
+
 
 def max_similarity(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> DataFrame:
-    """(key, max_sim): the largest cosine similarity of each vector with another one; null for a lone vector.
+    """(key, max_sim): the largest cosine similarity of each vector with one of another key; null for a lone vector.
 
-    Exact: vectors are dealt to blocks of about ``block``, each pair of blocks is one task's matrix product, and only a
-    maximum per vector and pair leaves it. The work is quadratic, as the result needs all pairs.
+    Exact. Each vector is multiplied with those of its own block first, and then with those of the shells that could hold a nearer
+    one, by its angles to the pivots. Those are few where vectors lie in clusters, and up to all where they are
+    spread evenly: the work is then quadratic by nature. compared_share reports it. Rows without key or vector are left out.
     """
-    n = max(1, -(-vectors.count() // block))
-    base = vectors.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<float>").alias("v")).where("v is not null")
-    mine = base.withColumn("b", F.pmod(F.hash("k"), F.lit(n)))
-    dealt = mine.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    dealt = dealt.select("k", "v", "b", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"))
+    s = shells(vectors, key, vector, block)
+    own = _own_best(s)
+    asks = materialize(_asks(own, s), "asks")
+    # asks of a shell may be many: they are dealt to parts, and each of its blocks comes once to each part
+    parts = asks.groupBy("o").agg(F.ceil(F.count("*") / (4 * block)).cast("int").alias("parts"))
+    sizes = asks.sparkSession.createDataFrame(list(s.blocks.items()), "o int, blocks int")
+    parts = parts.join(F.broadcast(sizes), "o")  # PIVOTS * SHELLS rows at most
+    each = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    asking = asks.join(F.broadcast(parts), "o").select("k", "v", "o", F.pmod(F.hash("k"), "parts").alias("part"), F.explode(each("blocks")).alias("h"), F.lit(True).alias("asks"))
+    asked = s.rows.join(F.broadcast(parts), "o").select("k", "v", "o", F.explode(each("parts")).alias("part"), "h", F.lit(False).alias("asks"))
 
     def run(table: pa.Table) -> pa.Table:
-        k, b = table.column("k").to_numpy(), table.column("b").to_numpy()
-        v = np.array(table.column("v").to_pylist(), np.float64)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-        x = int(table.column("x")[0].as_py())
-        y = int(table.column("y")[0].as_py())
-        left, right = np.flatnonzero(b == x), np.flatnonzero(b == y)
-        s = v[left] @ v[right].T
-        s[k[left][:, None] == k[right][None, :]] = -np.inf
-        ids, best = [k[left]], [s.max(axis=1, initial=-np.inf)]
-        if x != y:
-            ids.append(k[right])
-            best.append(s.max(axis=0, initial=-np.inf))
-        return pa.table({"k": np.concatenate(ids), "s": np.concatenate(best)})
-
-    best = dealt.groupBy("x", "y").applyInArrow(run, "k long, s double").groupBy("k").agg(F.max("s").alias("s"))
+        k, v, left = table.column("k").to_numpy(), _unit(table.column("v")), np.array(table.column("asks"))
+        held, held_k, rows = v[~left], k[~left], np.flatnonzero(left)
+        out = []
+        for at in range(0, len(rows), 2000):
+            some = rows[at : at + 2000]
+            found = v[some] @ held.T
+            found[k[some][:, None] == held_k[None, :]] = -np.inf
+            out.append(found.max(axis=1, initial=-np.inf))
+        return pa.table({"k": k[rows], "s": np.concatenate([np.zeros(0), *out])})
+
+    found = asking.unionByName(asked).groupBy("o", "part", "h").applyInArrow(run, "k long, s double")
+    best = found.unionByName(own.select("k", "s")).groupBy("k").agg(F.max("s").alias("s"))
     return best.select(F.col("k").alias(key), F.when(F.col("s") > float("-inf"), F.col("s")).alias("max_sim"))
 
 
+def compared_share(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> float:
+    """The share of all pairs of vectors that max_similarity multiplies: within blocks, and with the shells that could be nearer."""
+    s = shells(vectors, key, vector, block)
+    sizes = s.rows.sparkSession.createDataFrame([(int(o), int(n)) for o, n in zip(s.number, s.size, strict=True)], "o int, n long")
+    asked = _asks(_own_best(s), s).join(F.broadcast(sizes), "o").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    inside = s.rows.groupBy("o", "h").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0))).first()[0]
+    n = int(s.size.sum())
+    return (asked + inside) / max(1, n * n)
+
+
 def duplicates(rows: DataFrame, key: str) -> DataFrame:
     """(key, n) of keys that occur more than once."""
     return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-
-

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordered import best_from_here, with_running
+from tidewell.session import materialize
 
 
 def interpolate_tracks(keyframes: DataFrame, keys: Sequence[str], frame: str = "frame", position: str = "kf_pos", values: Sequence[str] = ("x", "y", "w", "h"), enabled: str = "enabled", stride: int = 1, offset: int = 0) -> DataFrame:
@@ -37,8 +38,8 @@ def interpolate_tracks(keyframes: DataFrame, keys: Sequence[str], frame: str = "
 def offset_track_ids(tracks: DataFrame, video: str, track: str, out: str = "global_id") -> DataFrame:
     """Track ids unique over videos: each video's ids follow the largest of the videos before it (by name)."""
     tops = tracks.groupBy(video).agg((F.max(track) + 1).alias("__n"))
-    base = F.coalesce(F.sum("__n").over(Window.orderBy(video).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return tracks.join(tops.select(video, base.alias("__base")), video).withColumn(out, F.col(track) + F.col("__base")).drop("__base")
+    summed = with_running(tops, [], [video], {"__to": F.col("__n")}, "__rank")
+    return tracks.join(summed.select(video, (F.col("__to") - F.col("__n")).alias("__base")), video).withColumn(out, F.col(track) + F.col("__base")).drop("__base")
 
 
 def change_point_ids(rows: DataFrame, sequence: str, order: Sequence[str], track: str, out: str = "run_id") -> DataFrame:
@@ -123,8 +124,13 @@ def track_runs(detections: DataFrame, clip: str, track: str, frame: str, length:
 
 
 def track_objects(objects: DataFrame, sequence: str, frame: str, position: str, x: str = "x", y: str = "y", w: str = "w", h: str = "h", radius: float = 25.0, history: int = 5) -> DataFrame:
-    """Object ids by nearest history: an object takes the id of the first object within radius of its centre, searched from
-    the oldest of the last ``history`` frames on; else a new id. Where two objects of a frame take one id, the later keeps it.
+    """(seq, frame, pos, object_id): ids by nearest history. An object takes the id of the first object within radius of its
+    centre, searched from the oldest of the last ``history`` frames on; else a new id. Where two objects of a frame take one
+    id, the later keeps it.
+
+    A sequence is cut where no object can have a partner on the other side, the pieces are run apart, and ids are made
+    the sequence's by running sums. Partners are looked for by cells of a grid as wide as the radius, so a cut may be missed
+    where objects are near without being partners, but never set wrongly.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +138,7 @@ def track_objects(objects: DataFrame, sequence: str, frame: str, position: str,
         past: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         out, fresh = [], 0
         for f, g in pdf.groupby("frame", sort=True):
-            cx, cy = (g["x"] + g["w"] / 2).to_numpy(), (g["y"] + g["h"] / 2).to_numpy()
+            cx, cy = g["cx"].to_numpy(), g["cy"].to_numpy()
             ids = np.full(len(g), -1)
             for i in range(len(g)):
                 for hx, hy, hid in past:
@@ -144,11 +150,38 @@ def track_objects(objects: DataFrame, sequence: str, frame: str, position: str,
                     ids[i], fresh = fresh, fresh + 1
             keep = np.array([i for i in range(len(g)) if ids[i] not in ids[i + 1 :]])
             past = [*past, (cx[keep], cy[keep], ids[keep])][-history:]
-            out.append(pd.DataFrame({"seq": g["seq"].to_numpy()[keep], "frame": f, "pos": g["pos"].to_numpy()[keep], "object_id": ids[keep]}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["seq", "frame", "pos", "object_id"])
-
-    df = objects.select(F.col(sequence).cast("string").alias("seq"), F.col(frame).cast("long").alias("frame"), F.col(position).cast("long").alias("pos"), *[F.col(a).cast("double").alias(b) for a, b in ((x, "x"), (y, "y"), (w, "w"), (h, "h"))])
-    return df.groupBy("seq").applyInPandas(run, "seq string, frame long, pos long, object_id long")
+            out.append(pd.DataFrame({"seq": g["seq"].to_numpy()[keep], "piece": g["piece"].to_numpy()[keep], "frame": f, "pos": g["pos"].to_numpy()[keep], "id": ids[keep], "fresh": 0}))
+        out[-1].loc[out[-1].index[-1:], "fresh"] = fresh  # once a piece
+        return pd.concat(out)
+
+    centre = {"cx": F.col(x).cast("double") + F.col(w).cast("double") / 2, "cy": F.col(y).cast("double") + F.col(h).cast("double") / 2}
+    df = objects.select(F.col(sequence).cast("string").alias("seq"), F.col(frame).cast("long").alias("frame"), F.col(position).cast("long").alias("pos"), *[c.alias(n) for n, c in centre.items()])
+    pieces = materialize(cut_sequences(df, radius, history), "pieces")
+    local = materialize(pieces.groupBy("seq", "piece").applyInPandas(run, "seq string, piece long, frame long, pos long, id long, fresh long"), "ids")
+    number = with_running(local.groupBy("seq", "piece").agg(F.sum("fresh").alias("fresh")), ["seq"], ["piece"], {"to": F.col("fresh")})
+    before = number.select(F.col("seq").alias("s"), F.col("piece").alias("p"), (F.col("to") - F.col("fresh")).alias("before"))
+    both = local.join(before, F.col("seq").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("p")))
+    return both.select("seq", "frame", "pos", (F.col("id") + F.col("before")).alias("object_id"))
+
+
+def cut_sequences(objects: DataFrame, radius: float, history: int) -> DataFrame:
+    """objects (seq, frame, cx, cy, ...) with their ``piece``: its number grows at each frame such that no object from it on is
+    within radius of one of up to history frames before."""
+    frames = with_running(objects.select("seq", "frame").distinct(), ["seq"], ["frame"], {}, "at")
+    frames = materialize(frames.select(F.col("seq").alias("s"), F.col("frame").alias("f"), "at"), "frames")
+    side = max(radius, 1e-300) * (1 + 1e-9)
+    same = F.col("seq").eqNullSafe(F.col("s")) & (F.col("frame") == F.col("f"))
+    cells = objects.join(frames, same).where(F.col("cx").isNotNull() & F.col("cy").isNotNull()).select("seq", "at", F.floor(F.col("cx") / side).alias("i"), F.floor(F.col("cy") / side).alias("j")).distinct()
+    # a cell reaches those around it in the frames behind, which lie in its own block of frames or the next one
+    block = lambda c: F.floor(F.col(c) / history)
+    around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    ahead = cells.withColumn("block", F.explode(F.array(block("at"), block("at") + 1))).withColumn("d", F.explode(around))
+    ahead = ahead.select("seq", F.col("at").alias("from"), "block", (F.col("i") + F.col("d.a")).alias("i"), (F.col("j") + F.col("d.b")).alias("j"))
+    links = cells.withColumn("block", block("at")).join(ahead, ["seq", "block", "i", "j"]).where((F.col("at") > F.col("from")) & (F.col("at") - F.col("from") <= history))
+    held = links.select("seq", F.explode(F.sequence(F.col("from") + 1, F.col("at"))).alias("k")).distinct().select(F.col("seq").alias("q"), "k", F.lit(0).alias("cut"))
+    marked = frames.join(held, F.col("s").eqNullSafe(F.col("q")) & (F.col("at") == F.col("k")), "left").select("s", "f", F.coalesce("cut", F.lit(1)).alias("cut"))
+    numbered = with_running(marked, ["s"], ["f"], {"piece": F.col("cut")}).select("s", "f", F.col("piece").cast("long").alias("piece"))
+    return objects.join(numbered, same).select(*objects.columns, "piece")
 
 
 def transcribe_track_ids(mot: DataFrame, labels: DataFrame, frame: str = "frame_name", position: str = "line_pos", track: str = "track_id") -> DataFrame:
