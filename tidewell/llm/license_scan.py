@@ -167,20 +167,26 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _stretches(at: np.ndarray, term: np.ndarray, distinct: int, length: int, share: float) -> list[tuple[int, int]]:
-    """Word ranges of a text that hold enough distinct words of a template; at: positions of its words, term: which."""
+def _stretches(at: np.ndarray, term: np.ndarray, need: Counter, share: float) -> list[tuple[int, int]]:
+    """Word ranges of a text that hold enough words of a template; at: positions of its words, term: which.
+
+    A template's word counts as often as the template has it. No alignment can have more words than that, so no match within
+    such a range is passed over.
+    """
+    length = need.total()
     reach = int(STRETCH * length) + SLACK
     out: list[tuple[int, int]] = []
     counts: Counter = Counter()
-    lo = 0
-    for hi in range(len(at)):
-        counts[term[hi]] += 1
+    lo = shared = 0
+    for hi, x in enumerate(term.tolist()):
+        counts[x] += 1
+        shared += counts[x] <= need[x]
         while at[hi] - at[lo] >= reach:
-            counts[term[lo]] -= 1
-            if not counts[term[lo]]:
-                del counts[term[lo]]
+            y = int(term[lo])
+            shared -= counts[y] <= need[y]
+            counts[y] -= 1
             lo += 1
-        if len(counts) >= share * distinct:
+        if shared >= share * length:
             span = (int(at[lo]), int(at[hi]) + 1)
             if out and span[0] < out[-1][1] and span[1] - out[-1][0] <= 2 * reach:
                 out[-1] = (out[-1][0], span[1])
@@ -223,27 +229,28 @@ MATCHES = "array<struct<license: string, start: bigint, end: bigint, coverage: d
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE, name: str = "licenses") -> DataFrame:
     """docs with ``name``: matches (license, start, end, coverage) in order; start and end count words of the whole text.
 
-    Words are runs of digits, letters and non-ASCII bytes, A-Z as a-z. Of matches that overlap, the one with more aligned
+    A match lies within a stretch of STRETCH times the template's words. Words are runs of digits, letters and non-ASCII bytes,
+    A-Z as a-z. Of matches that overlap, the one with more aligned
     words stays (then the one of the smaller name). Null and empty texts have no matches. All rows and other columns
     stay, and a column called ``name`` is replaced; an empty table gives no rows.
     """
     forms = {k: words.split(pa.array([v]), "alnum_lower").h for k, v in sorted((templates or TEMPLATES).items())}
     vocabulary = np.unique(np.concatenate(list(forms.values())))
     own = {k: np.searchsorted(vocabulary, h) for k, h in forms.items()}
+    needs = {k: np.bincount(ids, minlength=len(vocabulary)) for k, ids in own.items()}
     base = docs.drop(name)
     columns = base.columns
 
     def one(term: np.ndarray) -> list[dict]:
         """term: for each word of a text its place in the vocabulary, or -1."""
         at_all = np.flatnonzero(term >= 0)
-        known = set(term[at_all].tolist())
+        has = np.bincount(term[at_all], minlength=len(vocabulary))
         found = []
         for k, ids in own.items():
-            need = set(ids.tolist())
-            if len(need & known) < min_coverage * len(need):
+            if np.minimum(has, needs[k]).sum() < min_coverage * len(ids):
                 continue
             at = at_all[np.isin(term[at_all], ids)]
-            for lo, hi in _stretches(at, term[at], len(need), len(ids), min_coverage):
+            for lo, hi in _stretches(at, term[at], Counter(ids.tolist()), min_coverage):
                 for pairs in matches(term[lo:hi].tolist(), ids.tolist(), min_coverage):
                     found.append((-len(pairs), k, lo + pairs[0][0], lo + pairs[-1][0] + 1, len(pairs) / len(ids)))
         kept: list[dict] = []
@@ -259,14 +266,14 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None =
                 w = words.split(piece.column(text), "alnum_lower")
                 i = np.minimum(np.searchsorted(vocabulary, w.h), len(vocabulary) - 1)
                 term = np.where(vocabulary[i] == w.h, i, -1)
-                # distinct vocabulary words of each text, to pass over the many that hold too few of any template
+                # vocabulary words of each text, to pass over the many that hold too few of any template
                 hit = term >= 0
-                has = np.zeros((piece.num_rows, len(vocabulary)), bool)
-                has[w.doc[hit], term[hit]] = True
+                size = len(vocabulary)
+                has = np.bincount(w.doc[hit].astype(np.int64) * size + term[hit], minlength=piece.num_rows * size).reshape(piece.num_rows, size)
                 likely = np.zeros(piece.num_rows, bool)
-                for ids in own.values():
-                    need = np.unique(ids)
-                    likely |= has[:, need].sum(axis=1) >= min_coverage * len(need)
+                for k, ids in own.items():
+                    mine = np.unique(ids)
+                    likely |= np.minimum(has[:, mine], needs[k][mine]).sum(axis=1) >= min_coverage * len(ids)
                 first = w.first
                 found = [one(term[first[d] : first[d + 1]]) if likely[d] else [] for d in range(piece.num_rows)]
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in columns), pa.array(found, kind)], names=[*columns, name])
