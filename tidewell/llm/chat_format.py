@@ -12,6 +12,7 @@ can occur there, and ``parse_formatted`` gives back every turn exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,31 @@ def prefix_sums(arr: Column) -> Column:
     )
 
 
+def _segments(blocks: Column, loss_roles: tuple[str, ...], code: Callable[[Column], Column]) -> Column:
+    """Array of (s, loss): the strings that make up a conversation of blocks (role, texts), and whether they are under the mask."""
+
+    def edge(s: str | Column) -> Column:
+        return F.array(F.struct((F.lit(s) if isinstance(s, str) else s).alias("s"), F.lit(False).alias("loss")))
+
+    def parts(b: Column) -> Column:
+        loss = b["role"].isin(*[code(F.lit(r)) for r in loss_roles])
+        texts = F.transform(b["texts"], lambda t, i: F.array(F.struct(F.when(i == 0, F.lit("")).otherwise(F.lit(NEXT)).alias("s"), F.lit(False).alias("loss")), F.struct(code(t).alias("s"), loss.alias("loss"))))
+        return F.concat(edge(F.concat(F.lit("["), code(b["role"]), F.lit("]"))), F.flatten(texts), edge(CLOSE))
+
+    return F.concat(edge(BOS), F.flatten(F.transform(blocks, parts)), edge(EOS))
+
+
+def _spans(segs: DataFrame, prefix: str = "") -> DataFrame:
+    """segs with ``lens`` and ``at``: length and place of each of its segments."""
+    lens = F.transform(f"{prefix}segs", lambda s: F.length(s["s"]).cast("long"))
+    return segs.withColumn(f"{prefix}lens", lens).withColumn(f"{prefix}at", prefix_sums(F.col(f"{prefix}lens")))
+
+
+def _loss_spans(prefix: str = "") -> Column:
+    zipped = F.arrays_zip(F.col(f"{prefix}segs").alias("segs"), F.col(f"{prefix}lens").alias("lens"), F.col(f"{prefix}at").alias("at"))
+    return F.transform(F.filter(zipped, lambda z: z["segs"]["loss"]), lambda z: F.struct(z["at"].alias("start"), z["lens"].alias("length")))
+
+
 def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """One row per conversation: conv, ``formatted`` and ``loss_spans`` (array of start, length in code points, from 0).
 
@@ -67,53 +93,54 @@ def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn
     blocks = F.zip_with("starts", ends, lambda s, e: F.struct(F.element_at("ts", s)["role"].alias("role"), F.transform(F.slice("ts", s, e - s), lambda t: t["text"]).alias("texts")))
     one = one.select("c", blocks.alias("blocks"))
 
-    def parts(b: Column) -> Column:
-        loss = b["role"].isin(*loss_roles)
-        opened = F.array(F.struct(F.concat(F.lit("["), escape(b["role"]), F.lit("]")).alias("s"), F.lit(False).alias("loss")))
-        body = F.flatten(
-            F.transform(
-                b["texts"],
-                lambda t, i: F.array(
-                    F.struct(F.when(i == 0, F.lit("")).otherwise(F.lit(NEXT)).alias("s"), F.lit(False).alias("loss")),
-                    F.struct(escape(t).alias("s"), loss.alias("loss")),
-                ),
-            )
-        )
-        return F.concat(opened, body, F.array(F.struct(F.lit(CLOSE).alias("s"), F.lit(False).alias("loss"))))
-
-    def edge(s: str) -> Column:
-        return F.array(F.struct(F.lit(s).alias("s"), F.lit(False).alias("loss")))
-
-    segs = one.select("c", F.concat(edge(BOS), F.flatten(F.transform("blocks", parts)), edge(EOS)).alias("segs"))
-    segs = segs.withColumn("lens", F.transform("segs", lambda s: F.length(s["s"]).cast("long"))).withColumn("at", prefix_sums(F.col("lens")))
-    spans = F.transform(
-        F.filter(F.arrays_zip("segs", "lens", "at"), lambda z: z["segs"]["loss"]),
-        lambda z: F.struct(z["at"].alias("start"), z["lens"].alias("length")),
-    )
-    return segs.select(F.col("c").alias(conv), F.array_join(F.transform("segs", lambda s: s["s"]), "").alias("formatted"), spans.alias("loss_spans"))
+    segs = one.select("c", _segments(F.col("blocks"), loss_roles, escape).alias("segs"))
+    segs = _spans(segs)
+    return segs.select(F.col("c").alias(conv), F.array_join(F.transform("segs", lambda s: s["s"]), "").alias("formatted"), _loss_spans().alias("loss_spans"))
 
 
-def parse_formatted(formatted: Column) -> Column:
-    """Array of (role, text), one per original turn, read from a formatted conversation; null for null."""
+def _blocks(formatted: Column) -> Column:
+    """Array of (role, texts) of a formatted conversation, both still escaped."""
     body = F.substring(formatted, len(BOS) + 1, F.length(formatted) - len(BOS) - len(EOS))
-    blocks = F.slice(F.split(body, r"\[/\]", -1), F.lit(1), F.size(F.split(body, r"\[/\]", -1)) - 1)
+    blocks = F.split(body, r"\[/\]", -1)
 
-    def turns(b: Column) -> Column:
+    def block(b: Column) -> Column:
         role = F.substring_index(b, "]", 1)
         texts = F.split(F.substr(b, F.length(role) + 2, F.length(b)), r"\[\+\]", -1)
-        return F.transform(texts, lambda t: F.struct(unescape(F.substr(role, F.lit(2), F.length(role))).alias("role"), unescape(t).alias("text")))
+        return F.struct(F.substr(role, F.lit(2), F.length(role)).alias("role"), texts.alias("texts"))
+
+    return F.transform(F.slice(blocks, F.lit(1), F.size(blocks) - 1), block)
+
+
+def _turns(blocks: Column) -> Column:
+    return F.flatten(F.transform(blocks, lambda b: F.transform(b["texts"], lambda t: F.struct(unescape(b["role"]).alias("role"), unescape(t).alias("text")))))
+
 
-    return F.flatten(F.transform(blocks, turns))
+def parse_formatted(formatted: Column) -> Column:
+    """Array of (role, text), one per original turn, read from a formatted conversation; null for null."""
+    return _turns(_blocks(formatted))
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
+    """All text under the loss mask, unescaped, in order: any spans, but each is looked for from the string's beginning."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
 
 
+def read_back(out: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """out with ``turns`` and ``loss``, read from ``formatted`` and ``loss_spans``, in a time that grows with the string.
+
+    The string is split once to its segments. Where the spans are those of the segments of the loss roles, which their lengths
+    tell, these are the text under the mask; other spans are cut out one by one.
+    """
+    read = _spans(out.withColumn("b_", _blocks(F.col("formatted"))).withColumn("r_segs", _segments(F.col("b_"), loss_roles, lambda c: c)), "r_")
+    read = read.withColumn("r_spans", _loss_spans("r_"))
+    texts = F.array_join(F.transform(F.filter("r_segs", lambda s: s["loss"]), lambda s: s["s"]), "")
+    loss = F.when(F.col("r_spans") == F.col("loss_spans"), unescape(texts)).otherwise(masked_text(F.col("formatted"), F.col("loss_spans")))
+    return read.withColumn("turns", _turns(F.col("b_"))).withColumn("loss", loss).select(*out.columns, "turns", "loss")
+
+
 def digest(out: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Counts and digests read back from ``formatted`` and ``loss_spans``."""
-    read = out.select(conv, "formatted", parse_formatted(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    read = read_back(out.select(conv, "formatted", "loss_spans"))
     return read.select(
         conv,
         F.size("turns").cast("long").alias("n_turns"),
