@@ -9,7 +9,9 @@ pages. Templates are
 * shapes on MIN_PAGES pages or more which are mostly links (menus differ from page to page, but not in shape), or of which
   a good share of the occurrences (RECURRING) come back on other pages (notices and adverts that rotate).
 
-Containers of a template are deleted. What counts can't tell (hosts of few pages) is left to rules: an element that is never
+Containers of a template are deleted, but not within the main text (an article or main element, or the innermost container of most
+paragraphs): there only links, and what the rules below know, go for coming back as they are, and nothing goes by
+its shape. What counts can't tell (hosts of few pages) is left to rules: an element that is never
 part of an article goes by its tag or whole class name, unless it wraps an article, main or h1 with paragraphs; and where a
 page has an article (or main) element, text outside it is left out. Pages are parsed twice: once for their hashes, of which
 only numbers are stored and counted, and once to take the text without the templates found.
@@ -17,6 +19,7 @@ only numbers are stored and counted, and once to take the text without the templ
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -59,6 +62,7 @@ _TOKEN = re.compile(
 )
 #: Elements that may wrap a page's main text, whatever their names.
 WRAPPERS = frozenset("div section form table center fieldset span".split())
+_WRAPPER = re.compile(rf"<(/?)({'|'.join(sorted(WRAPPERS))})\b", re.I)
 _MAIN = re.compile(r"<(?:article|main|h1)\b", re.I)
 _PARAGRAPH = re.compile(r"<p\b", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -69,39 +73,60 @@ def _names(attributes: str) -> set[str]:
     return {t for m in _NAMES.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()}
 
 
-def _wraps(page: str, tag: str, at: int) -> bool:
-    """Whether the element opened before ``at`` holds an article, main or h1, and a paragraph after it, outside comments."""
-    depth, end = 1, len(page)
-    for m in re.compile(rf"<(/?){tag}\b", re.I).finditer(page, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            end = m.start()
-            break
-    for m in _MAIN.finditer(page, at, end):
-        shut = page.find(">", m.end(), end)
-        if shut >= 0 and not _names(page[m.end() : shut]) & {"comment", "comments"} and _PARAGRAPH.search(page, shut, end):
-            return True
-    return False
+class Wrappers:
+    """Which elements of a page hold an article, main or h1, and a paragraph after it, outside comments: found in one pass."""
+
+    def __init__(self, page: str):
+        self.page, self.ends, self.mains = page, None, []
+
+    def _scan(self) -> None:
+        self.ends = {}
+        open_: dict[str, list[int]] = {}
+        for m in _WRAPPER.finditer(self.page):
+            own = open_.setdefault(m[2].lower(), [])
+            if not m[1]:
+                own.append(m.start())
+            elif own:
+                self.ends[own.pop()] = m.start()
+        paragraphs = [m.start() for m in _PARAGRAPH.finditer(self.page)]
+        for m in _MAIN.finditer(self.page):
+            shut = self.page.find(">", m.end())
+            if shut >= 0 and not _names(self.page[m.end() : shut]) & {"comment", "comments"}:
+                i = bisect.bisect_left(paragraphs, shut)
+                if i < len(paragraphs):
+                    self.mains.append((m.start(), paragraphs[i]))
+
+    def holds(self, at: int) -> bool:
+        """at: where the element's tag begins. Of the main elements behind it the first has the first paragraph."""
+        if self.ends is None:
+            self._scan()
+        i = bisect.bisect_right(self.mains, (at, len(self.page)))
+        return i < len(self.mains) and self.mains[i][1] < self.ends.get(at, len(self.page))
 
 
 @dataclass
 class Box:
-    """A container element: its hashes, whether it is mostly links, and whether its shape may tell (it holds no main text)."""
+    """A container element: the one around it, its hashes, whether it is mostly links or left out by the rules, whether its shape
+    may tell (it holds no main text), and whether it lies within the main text."""
 
+    parent: int = -1
     exact: int = 0
     shape: int = 0
     links: bool = False
+    listed: bool = False
     small: bool = False
     chars: int = 0
     wraps: bool = False
+    inside: bool = False
 
 
 @dataclass
 class Block:
-    """A block of text, the numbers of the boxes around it, and what the rules say of it."""
+    """A block of text, the number of the box around it, whether it is a paragraph, and what the rules say of it."""
 
     text: str
-    boxes: tuple[int, ...]
+    box: int
+    paragraph: bool
     listed: bool
     article: bool
     main: bool
@@ -113,21 +138,36 @@ def _signed(raw: str) -> int:
 
 def parse(page: str) -> tuple[list[Block], list[Box]]:
     """The blocks of a page in order, and its containers."""
-    stack: list[list] = []  # tag, left out, box or -1, kind, start, characters and link characters before, shapes of children, names
+    stack: list[list] = []  # tag, left out, box or -1, kind, hash, characters and link characters before, shapes of children, names
     blocks: list[Block] = []
     boxes: list[Box] = []
     around: list[int] = []
     text: list[str] = []
     out = articles = mains = anchors = 0  # open elements that are left out, are articles, mains, links
     hidden = 0  # open ones that are left out within a line of text
-    chars = linked = 0
+    chars = linked = fed = 0
+    wrappers, hashes = Wrappers(page), []
+
+    def feed(end: int) -> None:
+        """Gives the source up to end to the innermost container's hash."""
+        nonlocal fed
+        if hashes and end > fed:
+            hashes[-1].update(_SPACE.sub(" ", page[fed:end]).encode())
+        fed = max(fed, end)
+
+    def mark() -> None:
+        """The containers around hold main text; those around one that is marked are."""
+        for i in reversed(around):
+            if boxes[i].wraps:
+                break
+            boxes[i].wraps = True
 
     def flush() -> None:
         if text:
             s = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if s:
-                blocks.append(Block(s, tuple(around), out > 0, articles > 0, mains > 0))
+                blocks.append(Block(s, around[-1] if around else -1, bool(stack) and stack[-1][0] == "p", out > 0, articles > 0, mains > 0))
 
     def put(raw: str) -> None:
         nonlocal chars, linked
@@ -140,7 +180,7 @@ def parse(page: str) -> tuple[list[Block], list[Box]]:
     def close(to: int, end: int) -> None:
         nonlocal out, articles, mains, anchors, hidden
         while len(stack) > to:
-            tag, left, number, kind, start, c, k, shapes, names = stack.pop()
+            tag, left, number, kind, own, c, k, shapes, names = stack.pop()
             out -= left
             hidden -= left and tag not in BLOCKS
             articles -= kind == 1
@@ -153,12 +193,15 @@ def parse(page: str) -> tuple[list[Block], list[Box]]:
                 stack[-1][7].append(shape)
             if number >= 0:
                 around.pop()
+                feed(end)
+                hashes.pop()
+                if hashes:
+                    hashes[-1].update(own.digest())
                 box = boxes[number]
-                box.exact, box.shape, box.chars = _signed(_SPACE.sub(" ", page[start:end])), _signed(shape), chars - c
+                box.exact, box.shape, box.chars = own.intdigest() - (1 << 63), _signed(shape), chars - c
                 box.links = linked - k >= LINKS * max(1, box.chars)
                 if box.wraps:
-                    for i in around:
-                        boxes[i].wraps = True
+                    mark()
 
     at, n = 0, len(page)
     while at < n:
@@ -207,18 +250,19 @@ def parse(page: str) -> tuple[list[Block], list[Box]]:
         if tag in VOID:
             continue
         names = _names(attributes) if attributes else set()
-        left, kind, wraps = _ruled(page, tag, names, attributes, at, articles, out)
+        left, kind, wraps = _ruled(wrappers, tag, names, attributes, m.start(), articles, out)
         if tag == "article" and not left:
             kind = 1
         number = -1
         if tag in CONTAINERS:
             number = len(boxes)
-            boxes.append(Box(wraps=tag in ("article", "main")))
+            feed(m.start())
+            hashes.append(xxhash.xxh3_64())
+            boxes.append(Box(around[-1] if around else -1, listed=out + left > 0, inside=articles + mains > 0))
             around.append(number)
         if wraps or kind or tag in ("h1", "article", "main"):
-            for i in around:
-                boxes[i].wraps = True
-        stack.append([tag, int(left), number, kind, m.start(), chars, linked, [], ".".join(sorted(names)) if number >= 0 else ""])
+            mark()
+        stack.append([tag, int(left), number, kind, hashes[-1] if number >= 0 else None, chars, linked, [], ".".join(sorted(names)) if number >= 0 else ""])
         out += left
         hidden += left and not block
         articles += kind == 1
@@ -226,19 +270,38 @@ def parse(page: str) -> tuple[list[Block], list[Box]]:
         anchors += tag == "a"
     flush()
     close(0, n)
+    _main_text(blocks, boxes)
     for box in boxes:
-        box.small = not box.wraps and 2 * box.chars <= chars
+        box.small = not box.wraps and not box.inside and 2 * box.chars <= chars
     return blocks, boxes
 
 
-def _ruled(page: str, tag: str, names: set[str], attributes: str, at: int, articles: int, out: int) -> tuple[bool, int, bool]:
+def _main_text(blocks: list[Block], boxes: list[Box]) -> None:
+    """Marks what lies within the innermost container of most of a page's paragraphs as inside, as within articles."""
+    held = [0] * len(boxes)
+    total = 0
+    for b in blocks:
+        if b.paragraph and not b.listed:
+            total += len(b.text)
+            if b.box >= 0:
+                held[b.box] += len(b.text)
+    for i in range(len(boxes) - 1, -1, -1):  # a box comes behind the one around it
+        if boxes[i].parent >= 0:
+            held[boxes[i].parent] += held[i]
+    inner = max((i for i, n in enumerate(held) if total and n > 0.5 * total), default=-1)
+    for i, box in enumerate(boxes):
+        if box.parent >= 0 and (box.parent == inner or boxes[box.parent].inside):
+            box.inside = True
+
+
+def _ruled(wrappers: Wrappers, tag: str, names: set[str], attributes: str, at: int, articles: int, out: int) -> tuple[bool, int, bool]:
     """Whether an element is left out by the rules; 2 for a main element; whether it was found to wrap the main text."""
     left, kind, wraps = tag in NEVER or (tag == "header" and not articles), 0, False
-    if tag == "form" and not out and _wraps(page, tag, at):
+    if tag == "form" and not out and wrappers.holds(at):
         left, wraps = False, True
     if not left and names:
         left = bool(names & NEVER_NAMED) and tag not in ("html", "body", "article", "main") or (not articles and bool(names & HEADERS_NAMED) and tag not in ("html", "body"))
-        if left and not out and tag in WRAPPERS and _wraps(page, tag, at):
+        if left and not out and tag in WRAPPERS and wrappers.holds(at):
             left, wraps = False, True
         if tag == "article" and names & {"comment", "comments"}:
             left = True
@@ -252,8 +315,11 @@ def _ruled(page: str, tag: str, names: set[str], attributes: str, at: int, artic
 def choose(blocks: list[Block], boxes: list[Box], exact: frozenset[int] = frozenset(), shapes: frozenset[int] = frozenset()) -> tuple[list[str], tuple[int, int, int]]:
     """The texts of a page without its templates, and how many other blocks were left out as template, by the lists of tags
     and names, and as outside of the article or main element."""
-    gone = {i for i, x in enumerate(boxes) if x.exact in exact or (x.small and x.shape in shapes)}
-    kept = [b for b in blocks if gone.isdisjoint(b.boxes)] if gone else blocks
+    gone = [False] * (len(boxes) + 1)  # the last is that of blocks without a box
+    for i, x in enumerate(boxes):  # each comes behind the one around it
+        told = (x.exact in exact and (x.links or x.listed or not x.inside)) or (x.small and x.shape in shapes)
+        gone[i] = told or gone[x.parent]
+    kept = [b for b in blocks if not gone[b.box]]
     free = [b for b in kept if not b.listed]
     inside = [b for b in free if b.article] if any(b.article for b in free) else [b for b in free if b.main] if any(b.main for b in free) else free
     return [b.text for b in inside], (len(blocks) - len(kept), len(kept) - len(free), len(free) - len(inside))
