@@ -100,12 +100,13 @@ class Table:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Texts and labels (t, y) of at most ``rows`` labelled documents outside the held-out fold."""
+    """Texts and labels (r, t, y) of at most ``rows`` labelled documents outside the held-out fold: of an id that has several
+    texts the one of the least hash, so there is a row for each id at most, however often it comes."""
     known = labels.where(F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # bounded by rows, whatever the input
-    found = docs.join(F.broadcast(known.select(F.col("doc_id").alias("d"), "y")), "d").select(F.xxhash64("d", "t").alias("r"), "t", F.col("y").cast("int").alias("y"))
-    return materialize(found, "labelled")
+    found = docs.join(F.broadcast(known.select(F.col("doc_id").alias("d"), "y")), "d").select("d", F.struct(F.xxhash64("d", "t").alias("r"), "t", F.col("y").cast("int").alias("y")).alias("x"))
+    return materialize(found.groupBy("d").agg(F.min("x").alias("x")).select("x.*"), "labelled")
 
 
 def _mine(sample: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
