@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Paths of the tables that materialize wrote and scratch did not remove.
-_WRITTEN: list[str] = []
+#: Paths of the tables that materialize wrote within the scratch around it, one list for each scratch and thread.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 @contextmanager
@@ -56,22 +57,27 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 
         with scratch(spark) as keep:
             result = keep(step(df), "result")
+
+    Within another scratch, what is kept is a table of that one. Each thread has its own, so steps may run side by side.
     """
-    start, kept = len(_WRITTEN), []
+    written, kept = [], []
+    token = _WRITTEN.set(written)
 
     def keep(df: DataFrame, name: str = "table") -> DataFrame:
         out = materialize(df, name)
-        kept.append(_WRITTEN[-1])
+        kept.append(written[-1])
         return out
 
     try:
         yield keep
     finally:
-        gone = [p for p in _WRITTEN[start:] if p not in kept]
-        _WRITTEN[start:] = kept
-        for p in gone:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _WRITTEN.reset(token)
+        if (outer := _WRITTEN.get()) is not None:
+            outer.extend(kept)
+        for p in written:
+            if p not in kept:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
@@ -83,5 +89,6 @@ def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").options(**{"compression": "zstd"} | options).parquet(path)
-    _WRITTEN.append(path)
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
