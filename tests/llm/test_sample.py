@@ -8,5 +8,6 @@ def test_sample_is_bounded(spark):
     labels = spark.range(40).selectExpr("id AS doc_id", "cast(id % 2 as int) AS toxic")
     got = toxicity._sample(docs, labels.unionByName(labels), 20).collect()
     assert 0 < len(got) <= 6 and len({r["r"] for r in got}) == len(got)
-    model = toxicity.train(docs, labels, "d", "t", sample_rows=20)
-    assert toxicity.score(docs.limit(10), model, "t").count() == 10
+    named = docs.selectExpr("d AS doc_id", "t AS text")
+    model = toxicity.train(named, labels, sample_rows=20)
+    assert toxicity.score(named.limit(10), model).count() == 10

@@ -32,8 +32,9 @@ BAND_ROWS = 5
 CHUNK = 100_000
 BLOCK_BYTES = 256 << 10
 CELL_BLOCKS = 12
-#: Shingles that a matrix of a block holds at once.
-CHUNK_SHINGLES = 8192
+#: Shingles that a matrix of a block holds at once, and members that are compared at once.
+CHUNK_SHINGLES = 2048
+ROWS = 256
 _U = np.uint64
 _HIGH = _U(48)
 
@@ -151,7 +152,7 @@ def _linked_blocks(shingle: int, percent: int):
         (kx, cx, _, dx, hx), (ky, cy, _, dy, hy) = x, y
         nx, ny = np.bincount(dx, minlength=len(kx)), np.bincount(dy, minlength=len(ky))
         both = np.intersect1d(hx, hy)
-        shared = np.zeros((len(kx), len(ky)), np.int64)
+        shared = np.zeros((len(kx), len(ky)), np.float32)  # whole numbers, far below 2**24
         for part in np.split(both, range(CHUNK_SHINGLES, len(both), CHUNK_SHINGLES)):
             sides = []
             for d, h, n in ((dx, hx, len(kx)), (dy, hy, len(ky))):
@@ -160,14 +161,17 @@ def _linked_blocks(shingle: int, percent: int):
                 side = np.zeros((n, len(part)), np.float32)
                 side[d[there], column[there]] = 1
                 sides.append(side)
-            shared += np.rint(sides[0] @ sides[1].T).astype(np.int64)
-        near = (100 * shared >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
+            shared += sides[0] @ sides[1].T
         a, b = [], []
-        for i in np.flatnonzero(near.any(axis=1)):
-            hit = np.flatnonzero(near[i])
-            for j in hit[np.unique(cy[hit], return_index=True)[1]]:
-                a.append(int(kx[i]))
-                b.append(int(ky[j]))
+        for at in range(0, len(kx), ROWS):  # so that no other matrix is as large
+            own = slice(at, at + ROWS)
+            s = np.rint(shared[own]).astype(np.int64)
+            near = (100 * s >= percent * (nx[own, None] + ny[None, :] - s)) & (cx[own, None] != cy[None, :])
+            for i in np.flatnonzero(near.any(axis=1)):
+                hit = np.flatnonzero(near[i])
+                for j in hit[np.unique(cy[hit], return_index=True)[1]]:
+                    a.append(int(kx[at + i]))
+                    b.append(int(ky[j]))
         return a, b
 
     def run(cell: pa.Table) -> pa.Table:
