@@ -522,7 +522,7 @@ def test_native_equals_sql(spark, sf):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         c.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     for name, text in registry.oracle_sql().items():
         df = registry.queries()[name](spark, sf)
