@@ -89,10 +89,12 @@ def ap50_by_site(metrics: DataFrame, site: str, cls: str, value: str) -> DataFra
 
 
 def conform_splits(wanted: DataFrame, actual: DataFrame, key: str) -> DataFrame:
-    """(key, wanted, actual, status) of sequences: ok, move, missing, extra."""
-    both = wanted.select(key, F.col("split").alias("wanted")).join(actual.select(key, F.col("split").alias("actual")), key, "full")
-    status = F.when(F.col("wanted").isNull(), "extra").when(F.col("actual").isNull(), "missing").when(F.col("wanted") == F.col("actual"), "ok").otherwise("move")
-    return both.withColumn("status", status)
+    """(key, wanted, actual, status) of sequences: ok, move, missing, extra, or duplicate for one found in several places,
+    which has a row for each."""
+    found = actual.select(key, F.col("split").alias("actual"), F.count("*").over(Window.partitionBy(key)).alias("__n"))
+    both = wanted.select(key, F.col("split").alias("wanted")).join(found, key, "full")
+    status = F.when(F.col("wanted").isNull(), "extra").when(F.col("actual").isNull(), "missing").when(F.col("__n") > 1, "duplicate").when(F.col("wanted") == F.col("actual"), "ok").otherwise("move")
+    return both.withColumn("status", status).drop("__n")
 
 
 def sum_distributions(df: DataFrame, column: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tidewell.functions import boxes as B
 from tidewell.functions import names as N
 from tidewell.functions import scalars as S
 from tidewell.operators import balance, counts, measures, runs, sampling, similarity, stats, tasks, tracks
-from tidewell.plans import base, curation, expressions, files, streaming  # noqa: F401 (they register their queries)
+from tidewell.plans import base, curation, expressions, files, relations, streaming  # noqa: F401 (they register their queries)
 from tidewell.plans.adapters import view
 from tidewell.plans.base import Query, query
 from tidewell.plans.base import rounded as _round
