@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions import boxes as B
 from tidewell.operators import counts, stats
 from tidewell.plans.adapters import view
 from tidewell.plans.base import query, rounded
@@ -254,3 +255,83 @@ def seqinfo_files(spark: SparkSession, d: str) -> DataFrame:
     seqs = s.select(F.concat(F.lit("n"), F.col("s_suppkey").cast("string")).alias("name"), F.lit(12.5).alias("fps"), (F.col("s_suppkey") % 500).alias("length"), F.lit(1280).alias("width"), F.lit(720).alias("height"))
     writers.write_seqinfo(seqs, path, "name", "fps", "length", "width", "height")
     return readers.read_seqinfo(spark, path, "*.txt")
+
+
+@query("SELECT stem, track, frame, CAST(kf_pos AS BIGINT) AS kf_pos, enabled, round(x, 4) AS x, round(y, 4) AS y, round(x + w, 4) AS x2, round(y + h, 4) AS y2 FROM @keyframes k")
+def cvat_track_files(spark: SparkSession, d: str) -> DataFrame:
+    k, path = view(spark, d, "keyframes"), _folder(spark)
+    note = F.array(F.struct(F.lit("__instance_id").alias("_name"), F.col("kf_pos").cast("string").alias("_VALUE")))
+    ends = [F.col(v).cast("double").alias(n) for v, n in (("x", "_xtl"), ("y", "_ytl"))] + [(F.col(v).cast("double") + F.col(s)).alias(n) for v, s, n in (("x", "w", "_xbr"), ("y", "h", "_ybr"))]
+    box = F.struct(F.col("frame").alias("_frame"), F.when(F.col("enabled"), 0).otherwise(1).alias("_outside"), F.lit(1).alias("_keyframe"), *ends, note.alias("attribute"))
+    grouped = k.groupBy((F.col("stem") * 10 + F.col("track")).alias("_id")).agg(F.collect_list(box).alias("box"))
+    grouped.withColumn("_label", F.lit("Coho")).write.format("xml").option("rowTag", "track").option("rootTag", "annotations").save(path)
+    out = readers.read_cvat_tracks(spark, path, glob="part-*", outside=True).where("label = 'Coho' and keyframe")
+    return rounded(out.select(F.floor(F.col("track") / 10).alias("stem"), (F.col("track") % 10).alias("track"), F.col("frame").cast("int").alias("frame"), F.col("track_id").alias("kf_pos"), "enabled", F.col("x1").alias("x"), F.col("y1").alias("y"), "x2", "y2"), "x", "y", "x2", "y2")
+
+
+_PICKED = """s AS (SELECT stem, string_agg(CAST(f AS VARCHAR), ' ' ORDER BY f) AS sampled_frames FROM (SELECT stem, unnest(range(1, n_frames, 3)) AS f FROM @videos v) t GROUP BY 1),
+m AS (SELECT s.stem, CAST(v.n_frames AS BIGINT) AS total_frames, sampled_frames, coalesce(brand, '') AS brand, coalesce(size, '') AS size FROM s LEFT JOIN @videos v ON v.stem = s.stem LEFT JOIN @conditions c ON c.p_partkey = s.stem)"""
+
+
+@query(f"""WITH {_PICKED} SELECT 'manifest' AS kind, concat_ws('|', stem, total_frames, sampled_frames, brand, size) AS line FROM m
+UNION ALL SELECT 'metadata', concat_ws('|', stem, n_frames) FROM @videos v
+UNION ALL SELECT 'summary', concat_ws('|', 'size', size, count(*), min(count(*)) OVER (), (SELECT count(*) FROM m WHERE m.size = c.size)) FROM @conditions c GROUP BY size""")
+def condition_output_files(spark: SparkSession, d: str) -> DataFrame:
+    videos, path = view(spark, d, "videos"), _folder(spark)
+    frames = videos.select("stem", F.explode(F.sequence(F.lit(1), F.col("n_frames").cast("int") - 1, F.lit(3))).alias("frame"))
+    conditions = view(spark, d, "conditions").withColumnRenamed("p_partkey", "stem")
+    manifest = stats.condition_manifest(frames, "stem", "frame", videos.withColumnRenamed("n_frames", "total_frames"), conditions, ["brand", "size"])
+    writers.write_condition_outputs(manifest, videos, stats.condition_summary(manifest, conditions, ["size"]), path)
+    lines = lambda kind, *columns: spark.read.option("header", True).csv(f"{path}/{kind}").select(F.lit(kind).alias("kind"), F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns]).alias("line"))
+    out = lines("manifest", "stem", "total_frames", "sampled_frames", "brand", "size").union(lines("metadata", "stem", "n_frames"))
+    return out.union(lines("summary", "col", "val", "input_rows", "target", "selected"))
+
+
+@query("SELECT CAST(stem AS VARCHAR) AS video FROM @videos v WHERE stem NOT IN (SELECT stem FROM @boxes b WHERE class_id = 2)")
+def empty_video_files(spark: SparkSession, d: str) -> DataFrame:
+    path = _folder(spark)
+    writers.write_manifest(writers.empty_videos(view(spark, d, "videos"), view(spark, d, "boxes").where("class_id = 2"), "stem"), path, "stem")
+    return spark.read.text(path).select(F.col("value").alias("video"))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS image, concat_ws(' ', l_returnflag, l_suppkey % 100, l_linenumber, 2, l_linenumber + 10, 20) AS line FROM lineitem WHERE l_orderkey % 3 = 0")
+def bbox_files(spark: SparkSession, d: str) -> DataFrame:
+    rows, path = spark.read.parquet(f"{d}/lineitem.parquet"), _folder(spark)
+    boxes = rows.select(F.col("l_orderkey").alias("image"), F.col("l_returnflag").alias("cls"), (F.col("l_suppkey") % 100).alias("conf"), F.col("l_linenumber").alias("x1"), F.lit(2).alias("y1"), (F.col("l_linenumber") + 10).alias("x2"), F.lit(20).alias("y2"))
+    writers.write_table(writers.bbox_rows(boxes, "image", 2), path)
+    return spark.read.option("header", True).schema("image string, line string").csv(path)
+
+
+@query("""WITH n AS (SELECT source, CAST(ceil(count(*) / 10.0) AS BIGINT) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1)
+SELECT 'site=' || source AS clip, CAST(p AS INT) AS pos, n AS n_images FROM (SELECT *, unnest(range(n)) AS p FROM n) t""")
+def image_listing_files(spark: SparkSession, d: str) -> DataFrame:
+    docs, path = spark.read.parquet(f"{d}/documents.parquet").where("source is not null"), _folder(spark)
+    docs.select(F.col("source").alias("site"), F.col("doc_id").cast("string").alias("value")).repartition("site").write.option("maxRecordsPerFile", 10).partitionBy("site").text(path)
+    return readers.read_image_listing(spark, path).where("clip like 'site=%' and path like '%.txt'").select("clip", "pos", "n_images")
+
+
+@query("SELECT epoch_us(date_trunc('second', ts)) // 1000000 AS at_s, CASE user_id % 2 WHEN 0 THEN 'aws' ELSE 'gcp' END AS provider, CASE user_id % 2 WHEN 0 THEN 'west' ELSE 'east' END AS region, round(value, 4) AS latency FROM events")
+def latency_files(spark: SparkSession, d: str) -> DataFrame:
+    e, path = spark.read.parquet(f"{d}/events.parquet"), _folder(spark)
+    at = F.unix_timestamp("ts").alias("epoch")
+    _csv(e.where("user_id % 2 = 0").select(at, "event_type", F.col("value").alias("ms")), f"{path}/aws_west")
+    _csv(e.where("user_id % 2 = 1").select(at, F.col("event_id").alias("n"), F.col("value").alias("avg")), f"{path}/gcp_east")
+    return readers.read_latency(spark, path).select(F.unix_timestamp("ts").alias("at_s"), "provider", "region", F.round("latency", 4).alias("latency"))
+
+
+@query("""WITH c AS (SELECT DISTINCT p_brand FROM part), n AS (SELECT p_brand AS label, row_number() OVER (ORDER BY p_brand) - 1 AS n FROM c)
+SELECT p_partkey, p_brand AS label, CAST(n AS INT) AS class_id FROM part JOIN n ON label = p_brand""")
+def class_map_files(spark: SparkSession, d: str) -> DataFrame:
+    p, path = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.col("p_brand").alias("label")), _folder(spark)
+    names = p.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_set("label")), lambda x: F.concat(F.lit("  - "), x)), "\n").alias("names"))
+    names.select(F.concat(F.lit("path: x\nnames:\n"), "names", F.lit("\n")).alias("value")).write.text(path)
+    return B.with_class_id(p, readers.read_class_map(spark, path)).select("p_partkey", "label", "class_id")
+
+
+@query("""WITH b AS (SELECT stem, frame, a, b, concat_ws(' ', b % 7, printf('%.6f', xc), printf('%.6f', yc), printf('%.6f', w), printf('%.6f', h)) AS line FROM @norm_boxes n WHERE flag <> 'R'),
+t AS (SELECT stem, count(*) AS n_lines, string_agg(line || chr(10), '' ORDER BY a, b, line) AS text FROM b GROUP BY 1)
+SELECT v.stem, coalesce(n_lines, 0) AS n_lines, coalesce(text, '') AS text FROM @videos v LEFT JOIN t ON t.stem = v.stem""")
+def label_texts(spark: SparkSession, d: str) -> DataFrame:
+    boxes = view(spark, d, "norm_boxes").where("flag <> 'R'").withColumn("class_id", F.col("b") % 7).withColumn("pos", F.struct("a", "b"))
+    out = writers.render_labels(boxes, view(spark, d, "videos"), ["stem"], "pos")
+    return out.select("stem", (F.size(F.split("text", "\n")) - 1).cast("long").alias("n_lines"), "text")

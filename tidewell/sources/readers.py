@@ -268,6 +268,25 @@ def read_cvat_xml(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFr
     return rows.select("file", "image_id", "image", "box_pos", F.col("b._label").alias("label"), own.try_cast("long").alias("track_id"), *[F.col(f"b.{c}").alias(n) for c, n in (("_xtl", "x1"), ("_ytl", "y1"), ("_xbr", "x2"), ("_ybr", "y2"))])
 
 
+CVAT_TRACK = f"_id long, _label string, box array<struct<_frame: long, _outside: int, _keyframe: int, _xtl: double, _ytl: double, _xbr: double, _ybr: double, attribute: {CVAT_ATTRIBUTE}>>"
+
+
+def read_cvat_tracks(spark: SparkSession, path: str, glob: str = "*.xml", outside: bool = False) -> DataFrame:
+    """(file, track, track_id, label, frame, keyframe, enabled, x1, y1, x2, y2) of the track form, where each track holds its boxes
+    by frame.
+
+    track_id is a box's attribute __instance_id, or track_id, or else its track's number. Boxes outside the picture are left out,
+    unless outside is set: then they are rows that aren't enabled, as interpolate_tracks takes them.
+    """
+    found = spark.read.format("xml").schema(CVAT_TRACK).option("rowTag", "track").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    rows = found.select(_path().alias("file"), F.col("_id").alias("track"), F.col("_label").alias("label"), F.explode("box").alias("b"))
+    own = F.get(F.filter("b.attribute", lambda a: a["_name"].isin("__instance_id", "track_id")), 0)["_VALUE"].try_cast("long")
+    enabled, key = F.coalesce(F.col("b._outside") != 1, F.lit(True)), F.coalesce(F.col("b._keyframe") != 0, F.lit(True))
+    ends = [F.col(f"b.{c}").alias(n) for c, n in (("_xtl", "x1"), ("_ytl", "y1"), ("_xbr", "x2"), ("_ybr", "y2"))]
+    out = rows.select("file", "track", F.coalesce(own, "track").alias("track_id"), "label", F.col("b._frame").alias("frame"), key.alias("keyframe"), enabled.alias("enabled"), *ends)
+    return out if outside else out.where("enabled")
+
+
 def read_listing(spark: SparkSession, path: str, extensions: Sequence[str] = N.VIDEO_EXTENSIONS) -> DataFrame:
     """Paths of an object listing with a wanted extension, without folders, in order."""
     rows = spark.read.schema("Path string, Name string, IsDir boolean, Size long").option("multiLine", True).json(path)
@@ -287,10 +306,11 @@ def read_seqinfo(spark: SparkSession, path: str, glob: str = "seqinfo.ini") -> D
 
 
 def read_image_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(clip, path, n_images): files only listed, not read."""
+    """(clip, path, pos, n_images): files only listed, not read; pos is a file's place in its clip by path, from 0."""
     files = list_files(spark, root).select("path")
     rows = files.withColumn("clip", F.element_at(F.split("path", "/"), -2))
-    return rows.withColumn("n_images", F.count("*").over(Window.partitionBy("clip")))
+    w = Window.partitionBy("clip")
+    return rows.select("clip", "path", (F.row_number().over(w.orderBy("path")) - 1).alias("pos"), F.count("*").over(w).alias("n_images"))
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
