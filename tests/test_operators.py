@@ -435,3 +435,54 @@ def test_objects_by_history(spark):
             past = [*past, {o: at for o, (_, at) in sorted(last.items(), key=lambda z: z[1][0])}][-5:]
             want += [(f, p, o) for o, (p, _) in last.items()]
     assert got == sorted(want)
+
+
+def test_greedy_match_equals_rules(spark):
+    """Each prediction, in order of confidence, takes the free box it overlaps most; every overlap by itself."""
+    rng = random.Random(5)
+    box = lambda i, pos: (f"i{i}", rng.choice("AB"), x := rng.randint(0, 6), y := rng.randint(0, 6), x + rng.randint(1, 5), y + rng.randint(1, 5), pos)
+    truth = [box(i, k) for i in range(12) for k in range(6)]
+    found = [(*box(i, k), rng.randint(1, 5) / 5) for i in range(12) for k in range(8)]
+    ious = [0.75, 0.25, 0.5]
+
+    def over(p, t):
+        w, h = min(p[4], t[4]) - max(p[2], t[2]), min(p[5], t[5]) - max(p[3], t[3])
+        both = max(w, 0) * max(h, 0)
+        return both / ((p[4] - p[2]) * (p[5] - p[3]) + (t[4] - t[2]) * (t[5] - t[3]) - both)
+
+    wanted = {}
+    for cls in "AB":
+        ps = sorted((p for p in found if p[1] == cls), key=lambda p: (-p[7], p[0], p[6]))
+        n = sum(t[1] == cls for t in truth)
+        areas = []
+        for least in ious:
+            free, hits = {(t[0], t[6]): t for t in truth if t[1] == cls}, []
+            for p in ps:
+                near = sorted((-over(p, t), t[6], k) for k, t in free.items() if t[0] == p[0] and over(p, t) >= least)
+                hits.append(bool(near))
+                if near:
+                    del free[near[0][2]]
+            precision = [sum(hits[: k + 1]) / (k + 1) for k in range(len(hits))]
+            areas.append(sum(max(precision[k:]) for k, h in enumerate(hits) if h) / n)
+        wanted[cls] = (n, len(ps), sum(areas) / 3, areas[0])
+    names = "image string, cls string, x1 int, y1 int, x2 int, y2 int, pos int"
+    out = tracks.detection_metrics(spark.createDataFrame(found, names + ", conf double"), spark.createDataFrame(truth, names), ious)
+    assert {r["cls"]: (r["n_truth"], r["n_pred"], r["ap"], r["ap50"]) for r in out.collect()} == {k: pytest.approx(v) for k, v in wanted.items()}
+
+
+def test_box_summary_of_hot_group(spark):
+    data = {"a": [float((i * 7919) % 503) for i in range(2000)], "b": [3.0], "c": [1.0, 1.0, 2.0, 90.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in [*vs, None]], "g string, v double").repartition(5)
+    got = {r["g"]: r for r in measures.box_summary(df, ["g"], "v").collect()}
+    for k, vs in data.items():
+        q1, q2, q3 = np.percentile(vs, [25, 50, 75])
+        inside = [v for v in vs if q1 - 1.5 * (q3 - q1) <= v <= q3 + 1.5 * (q3 - q1)]
+        assert tuple(got[k][c] for c in ("n", "q1", "median", "q3", "low", "high")) == pytest.approx((len(vs), q1, q2, q3, min(inside), max(inside)))
+    assert measures.box_summary(df, [], "v").first()["n"] == 2005
+
+
+def test_conform_splits_status(spark):
+    wanted = spark.createDataFrame([("a", "train"), ("b", "val"), ("c", "val"), ("d", "test")], "k string, split string")
+    actual = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "val"), ("c", "train"), ("e", "val")], "k string, split string")
+    got = sorted((r["k"], r["status"]) for r in counts.conform_splits(wanted, actual, "k").collect())
+    assert got == [("a", "ok"), ("b", "move"), ("c", "duplicate"), ("c", "duplicate"), ("d", "missing"), ("e", "extra")]

@@ -36,17 +36,20 @@ def box_summary(df: DataFrame, by: Sequence[str], value: str, exact: bool = True
     if exact:
         ranked = with_running(rows, names, ["__v", "__i"], {}, "__r")
         sizes = ranked.groupBy(*names).agg(F.max("__r").alias("n")).select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(names)], "n")
-        same = F.lit(True)
+        # a row for each place that a quartile lies between, so no task gets a whole group
+        at = lambda q: F.lit(q) * (F.col("n") - 1)
+        ends = [F.struct(F.lit(name).alias("q"), (f(at(q)) + 1).cast("long").alias("at"), F.lit(i).alias("end"), (at(q) - F.floor(at(q))).alias("part")) for q, name in quarters for i, f in enumerate((F.floor, F.ceil))]
+        wanted = sizes.select(*[f"__k_{i}" for i in range(len(names))], "n", F.inline(F.array(*ends)))
+        same = F.col("__r") == F.col("at")
         for i, c in enumerate(names):
             same = same & F.col(c).eqNullSafe(F.col(f"__k_{i}"))
-        both = ranked.join(F.broadcast(sizes), same) if not names else ranked.join(sizes, same)
+        both = ranked.join(wanted, same)
         cells = []
-        for q, name in quarters:
-            at = F.lit(q) * (F.col("n") - 1)
-            low = F.max(F.when(F.col("__r") == F.floor(at) + 1, F.col("__v")))
-            high = F.max(F.when(F.col("__r") == F.ceil(at) + 1, F.col("__v")))
-            cells.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+        for _, name in quarters:
+            low, high = (F.max(F.when((F.col("q") == name) & (F.col("end") == i), F.col("__v"))) for i in (0, 1))
+            cells.append((low + (high - low) * F.max(F.when(F.col("q") == name, F.col("part")))).alias(name))
         s = both.groupBy(*names).agg(F.max("n").alias("n"), *cells)
+        rows = ranked
     else:
         q = F.percentile_approx("__v", F.array(*[F.lit(q) for q, _ in quarters]))
         s = rows.groupBy(*names).agg(F.count("*").alias("n"), q.alias("q")).select(*names, "n", *[F.get("q", i).alias(k) for i, (_, k) in enumerate(quarters)])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,6 +194,40 @@ def transcribe_track_ids(mot: DataFrame, labels: DataFrame, frame: str = "frame_
 IOUS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 
 
+def _greedy(ious: Sequence[float]):
+    """Rows (image, cls, ps), ps in the order of matching, to the predictions that take a box, with a bit for each overlap."""
+    order = np.argsort(ious, kind="stable")
+    levels, bits = np.array(ious)[order], np.concatenate([[0], np.cumsum(np.int64(1) << order)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ps = batch.column("ps")
+            _, pos, less, box = ps.flatten().flatten()
+            row = np.repeat(np.arange(len(ps)), ps.value_lengths())
+            fit = bits[np.searchsorted(levels, -np.array(less), side="right")]
+            at, hit, masks = [], [], []
+            last, taken = (-1, None), {}
+            for r, p, t, b in zip(row.tolist(), pos.to_pylist(), box.to_pylist(), fit.tolist(), strict=True):
+                if (r, p) != last:
+                    if r != last[0]:
+                        taken = {}
+                    last, own = (r, p), 0
+                free = b & ~own & ~taken.get(t, 0)
+                if free:
+                    if own:
+                        masks[-1] |= free
+                    else:
+                        at.append(r)
+                        hit.append(p)
+                        masks.append(free)
+                    own |= free
+                    taken[t] = taken.get(t, 0) | free
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("image").take(rows), batch.column("cls").take(rows), pa.array(hit, pa.int64()), pa.array(masks, pa.int64())], names=["image", "cls", "pos", "mask"])
+
+    return run
+
+
 def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float | Sequence[float] = 0.5) -> DataFrame:
     """(cls, n_truth, n_pred, ap, ap50, precision, recall) by class, boxes matched greedily by confidence within an image.
 
@@ -201,6 +236,8 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float | Seq
     the confidence of the best F1 (the highest of equals). A class without truth has no row.
     """
     ious = [float(x) for x in ([iou] if isinstance(iou, (int, float)) else iou)]
+    if not 0 < len(ious) <= 62:
+        raise ValueError("between 1 and 62 overlaps, as each is a bit")
 
     def side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
         return df.select(F.col("image").cast("string").alias("image"), F.col("cls").cast("string").alias("cls"), *[F.col(c).alias(prefix + c) for c in ("x1", "y1", "x2", "y2", "pos", *more)])
@@ -210,26 +247,14 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float | Seq
     over = lambda axis: F.greatest(F.least(f"p_{axis}2", f"t_{axis}2") - F.greatest(f"p_{axis}1", f"t_{axis}1"), F.lit(0.0))
     both = over("x") * over("y")
     score = F.try_divide(both, size("p_", "x") * size("p_", "y") + size("t_", "x") * size("t_", "y") - both)
-    pairs = p.join(t, ["image", "cls"]).withColumn("iou", score).where(F.col("iou") >= min(ious))
+    pairs = p.join(t, ["image", "cls"]).withColumn("iou", score).where((F.col("iou") >= min(ious)) & ~F.isnan("iou"))
     # in order of confidence each prediction takes the free box it overlaps most
     pair = F.struct((-F.col("p_conf")).alias("c"), F.col("p_pos").cast("long").alias("p"), (-F.col("iou")).alias("i"), F.col("t_pos").cast("long").alias("t"))
-    none = F.array().cast("array<bigint>")
-
-    def take(s, x):
-        taken = F.array_contains(s["p"], x["p"]) | F.array_contains(s["t"], x["t"])
-        return F.when(taken, s).otherwise(F.struct(F.concat(s["p"], F.array(x["p"])).alias("p"), F.concat(s["t"], F.array(x["t"])).alias("t")))
-
     sorted_pairs = pairs.groupBy("image", "cls").agg(F.array_sort(F.collect_list(pair)).alias("ps"))
-    free = F.struct(none.alias("p"), none.alias("t"))
-
-    def at(i: int, least: float):
-        """Matched predictions at one overlap, marked with its number."""
-        return F.transform(F.aggregate(F.filter("ps", lambda x: x["i"] <= -least), free, take)["p"], lambda q: F.struct(F.lit(i).alias("i"), q.alias("pos")))
-
-    found = [at(i, o) for i, o in enumerate(ious)]
-    matched = sorted_pairs.select("image", "cls", F.explode(F.flatten(F.array(*found))).alias("m")).groupBy("image", "cls", F.col("m.pos").alias("pos")).agg(*[F.max(F.when(F.col("m.i") == i, 1)).alias(f"hit{i}") for i in range(len(ious))])
+    matched = sorted_pairs.mapInArrow(_greedy(ious), "image string, cls string, pos long, mask long")
     ids = range(len(ious))
-    hits = p.select("image", "cls", F.col("p_conf").alias("conf"), F.col("p_pos").cast("long").alias("pos")).join(matched, ["image", "cls", "pos"], "left").na.fill(0, [f"hit{i}" for i in ids])
+    hits = p.select("image", "cls", F.col("p_conf").alias("conf"), F.col("p_pos").cast("long").alias("pos")).join(matched, ["image", "cls", "pos"], "left")
+    hits = hits.select("image", "cls", "conf", "pos", *[F.coalesce(F.shiftright("mask", i).bitwiseAND(F.lit(1).cast("long")), F.lit(0)).alias(f"hit{i}") for i in ids])
     curve = with_running(hits, ["cls"], [F.desc("conf"), "image", "pos"], {f"tp{i}": F.col(f"hit{i}") for i in ids}, "k", keep_part=True)
     curve = best_from_here(curve.withColumns({f"p{i}": F.col(f"tp{i}") / F.col("k") for i in ids}), ["cls"], "k", [f"p{i}" for i in ids])
     n = t.groupBy("cls").agg(F.count("*").alias("n_truth"))
