@@ -211,3 +211,14 @@ def test_listing(spark, tmp_path):
     assert [r["size"] for r in list_files(spark, f"file://{tmp_path}/x/b.txt").collect()] == [2]
     images = readers.read_image_listing(spark, str(tmp_path / "x")).collect()
     assert sorted((r["clip"], r["n_images"]) for r in images) == [("x", 2), ("x", 2), ("y", 1)]
+
+
+def test_documents_in_parts(spark, tmp_path, monkeypatch):
+    """A group's items fill as many files as they ask for, none lost or there twice."""
+    from tidewell.plans import files
+
+    monkeypatch.setattr(files, "ITEMS", 100)
+    path = files._documents(spark.range(1000), F.col("id") % 3, "id", F.struct("id"), str(tmp_path / "d"))
+    lists = [[x["id"] for x in json.loads(r["value"])] for r in spark.read.text(path, wholetext=True).collect()]
+    assert sorted(i for x in lists for i in x) == list(range(1000))
+    assert len(lists) == 30 and max(map(len, lists)) < 100

@@ -19,10 +19,17 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
-def _documents(rows: DataFrame, group: Column, item: Column, path: str, before: str = "", after: str = "") -> str:
-    """One file for each group, a JSON list of its items, with something before and after it."""
-    lists = rows.groupBy(group.alias("g")).agg(F.to_json(F.collect_list(item)).alias("j"))
-    lists.select("g", F.concat(F.lit(before), "j", F.lit(after)).alias("value")).repartition("g").write.partitionBy("g").text(path)
+#: Items of all groups that one task puts into files.
+ITEMS = 50_000
+
+
+def _documents(rows: DataFrame, group: Column, key: str, item: Column, path: str, before: str = "", after: str = "") -> str:
+    """Files of a JSON list of items, with something before and after it. Each group has as many as its items ask for, dealt by
+    a hash of the key, so that no task holds more than about ITEMS of them."""
+    parts = max(1, -(-rows.count() // ITEMS))
+    dealt = rows.select(group.alias("g"), F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"), item.alias("item")).repartition(parts, "part")
+    lists = dealt.groupBy("g", "part").agg(F.to_json(F.collect_list("item")).alias("j"))
+    lists.select("g", "part", F.concat(F.lit(before), "j", F.lit(after)).alias("value")).write.partitionBy("g", "part").text(path)
     return path
 
 
@@ -107,7 +114,7 @@ def task_files(spark: SparkSession, d: str) -> DataFrame:
     results = tracks.groupBy("stem").agg(F.collect_list(result).alias("result"))
     old = F.struct(F.lit("2024-01-01").alias("updated_at"), F.slice("result", 1, 0).alias("result"))
     task = F.struct(F.col("stem").alias("id"), F.create_map(F.lit("video"), F.concat(F.lit("s3://x/"), F.col("stem").cast("string"), F.lit(".mp4"))).alias("data"), F.array(old, F.struct(F.lit("2024-02-01").alias("updated_at"), "result")).alias("annotations"))
-    _documents(results, F.col("stem") % 9, task, path)
+    _documents(results, F.col("stem") % 9, "stem", task, path)
     rows = readers.keyframes(readers.read_tasks(spark, path, strict=True, glob="*.txt"), to_name="video")
     return rows.select("video_stem", "label", "frame", F.round("x", 4).alias("x"), F.round("w", 4).alias("w"), "enabled")
 
@@ -128,7 +135,7 @@ def datumaro_files(spark: SparkSession, d: str) -> DataFrame:
 def sidecar_files(spark: SparkSession, d: str) -> DataFrame:
     e, path = spark.read.parquet(f"{d}/events.parquet"), _folder(spark)
     item = F.struct(F.col("user_id").cast("string").alias("cam_name"), F.col("event_type").alias("event_id"), F.col("event_id").alias("part_number"), F.col("value").alias("duration"))
-    return readers.read_sidecars(spark, _documents(e, F.col("user_id") % 7, item, path)).select("cam_name", "event_id", "part_number", F.round("duration", 4).alias("duration"))
+    return readers.read_sidecars(spark, _documents(e, F.col("user_id") % 7, "event_id", item, path)).select("cam_name", "event_id", "part_number", F.round("duration", 4).alias("duration"))
 
 
 @query("SELECT v.stem AS image_id, CAST(frame AS BIGINT) AS track_id, CASE WHEN frame IS NOT NULL THEN 'Coho' END AS label, round(w, 4) AS x2 FROM @videos v LEFT JOIN @boxes b ON b.stem = v.stem")
@@ -147,7 +154,7 @@ def listing_files(spark: SparkSession, d: str) -> DataFrame:
     o, path = spark.read.parquet(f"{d}/orders.parquet"), _folder(spark)
     end = F.when(F.col("o_orderkey") % 3 == 0, ".mp4").when(F.col("o_orderkey") % 3 == 1, ".txt").otherwise(".MP4")
     item = F.struct(F.concat(F.lit("v/"), F.col("o_orderkey").cast("string"), end).alias("Path"), (F.col("o_orderkey") % 5 == 0).alias("IsDir"), F.col("o_custkey").alias("Size"))
-    return readers.read_listing(spark, _documents(o, F.col("o_orderkey") % 4, item, path)).select(F.col("Path").alias("path"), F.col("Size").alias("size"))
+    return readers.read_listing(spark, _documents(o, F.col("o_orderkey") % 4, "o_orderkey", item, path)).select(F.col("Path").alias("path"), F.col("Size").alias("size"))
 
 
 @query("SELECT CAST(site AS VARCHAR) AS site, count(DISTINCT (stem, frame)) AS n_images, count(*) AS n_annotations, count(DISTINCT class_id) AS n_categories FROM @boxes b GROUP BY 1")
@@ -191,7 +198,7 @@ def flat_task_files(spark: SparkSession, d: str) -> DataFrame:
     o, path = spark.read.parquet(f"{d}/orders.parquet"), _folder(spark)
     box = F.array(F.struct(F.array(F.struct(F.lit(1).alias("frame"), F.lit(2.0).alias("x"))).alias("sequence"), F.array(F.lit("Coho")).alias("labels")))
     item = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("video"), F.when(F.col("o_orderkey") % 2 == 0, box).alias("box"))
-    t = readers.read_tasks_min(spark, _documents(o, F.col("o_orderkey") % 5, item, path))
+    t = readers.read_tasks_min(spark, _documents(o, F.col("o_orderkey") % 5, "o_orderkey", item, path))
     return t.select("id", "video", F.coalesce(F.size("box"), F.lit(0)).alias("n_boxes"))
 
 
@@ -245,7 +252,7 @@ def object_files(spark: SparkSession, d: str) -> DataFrame:
     o, path = spark.read.parquet(f"{d}/orders.parquet"), _folder(spark)
     box = lambda x: F.array(F.struct(x.cast("int").alias("x"), F.lit(1).alias("y"), F.lit(2).alias("w"), F.lit(3).alias("h")))
     boxes = F.struct(box(F.col("o_custkey")).alias("interested_objects"), F.when(F.col("o_orderkey") % 2 == 0, box(F.lit(7))).otherwise(F.slice(box(F.lit(7)), 1, 0)).alias("noises"))
-    _documents(o, F.col("o_orderkey") % 5, F.struct(F.col("o_orderkey").cast("string").alias("name"), boxes.alias("bounding_boxes")), path, '{"metadata":', "}")
+    _documents(o, F.col("o_orderkey") % 5, "o_orderkey", F.struct(F.col("o_orderkey").cast("string").alias("name"), boxes.alias("bounding_boxes")), path, '{"metadata":', "}")
     return readers.read_objects(spark, path).select("name", "kind", "x")
 
 
