@@ -222,3 +222,26 @@ def test_documents_in_parts(spark, tmp_path, monkeypatch):
     lists = [[x["id"] for x in json.loads(r["value"])] for r in spark.read.text(path, wholetext=True).collect()]
     assert sorted(i for x in lists for i in x) == list(range(1000))
     assert len(lists) == 30 and max(map(len, lists)) < 100
+
+
+def test_coco_in_parts(spark):
+    """Parts of a file's document hold each image once, with all its annotations."""
+    rows = [(f"v{i % 50}", "f", i % 3, 0.0, 0.0, float(i), 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "image string, site string, cls int, x double, y double, w double, h double")
+    docs = [json.loads(r["json"]) for r in writers.to_coco(df, "image", "site", "cls", parts=4).collect()]
+    assert 1 < len(docs) <= 4
+    images = [x["id"] for doc in docs for x in doc["images"]]
+    assert len(images) == len(set(images)) == 50
+    assert sum(len(doc["annotations"]) for doc in docs) == 200
+    assert all({a["image_id"] for a in doc["annotations"]} == {x["id"] for x in doc["images"]} for doc in docs)
+
+
+def test_datumaro_by_lines(spark, sf_small, monkeypatch):
+    """A file is written item by item: each is a line of its own."""
+    from tidewell.plans import files
+
+    read, seen = readers.read_datumaro, []
+    monkeypatch.setattr(readers, "read_datumaro", lambda s, path: seen.append(path) or read(s, path))
+    n = files.datumaro_files(spark, sf_small).count()
+    assert spark.read.text(seen[0]).count() == n
+    assert spark.read.text(seen[0]).select("_metadata.file_path").distinct().count() == 6

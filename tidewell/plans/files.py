@@ -126,8 +126,11 @@ def datumaro_files(spark: SparkSession, d: str) -> DataFrame:
     o, path = spark.read.parquet(f"{d}/orders.parquet"), _folder(spark)
     box = lambda track: F.struct(F.lit(1).alias("label_id"), F.array(*[F.lit(float(x)) for x in (1, 2, 3, 4)]).alias("bbox"), F.struct(track.alias("track_id")).alias("attributes"))
     item = F.struct("o_orderkey", F.concat(F.lit("p"), (F.col("o_custkey") % 3).cast("string"), F.lit("/"), F.col("o_orderkey").cast("string")).alias("id"), F.array(box(F.lit("7")), box(F.lit(None).cast("string"))).alias("annotations"))
-    items = o.groupBy((F.col("o_orderkey") % 6).alias("g")).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    items.select("g", F.to_json(F.struct("items")).alias("value")).repartition("g").write.partitionBy("g").text(path)
+    # a file's items are its lines, in order, so it is written without being held
+    g, ends = (F.col("o_orderkey") % 6).alias("g"), [F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last")]
+    rows = o.select(g, "o_orderkey", "o_custkey").join(F.broadcast(o.groupBy(g).agg(*ends)), "g").repartition("g").sortWithinPartitions("g", "o_orderkey")
+    line = F.concat(F.when(F.col("o_orderkey") == F.col("first"), '{"items":[').otherwise(""), F.to_json(item), F.when(F.col("o_orderkey") == F.col("last"), "]}").otherwise(","))
+    rows.select("g", line.alias("value")).write.partitionBy("g").text(path)
     return readers.read_datumaro(spark, path).select("item", "clip", "x1", "x2", "cy")
 
 
@@ -160,11 +163,15 @@ def listing_files(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT CAST(site AS VARCHAR) AS site, count(DISTINCT (stem, frame)) AS n_images, count(*) AS n_annotations, count(DISTINCT class_id) AS n_categories FROM @boxes b GROUP BY 1")
 def coco_files(spark: SparkSession, d: str) -> DataFrame:
     b, path = view(spark, d, "boxes").withColumns({"image": F.concat_ws("/", "stem", "frame"), "x": F.lit(0.0), "y": F.lit(0.0)}), _folder(spark)
-    writers.to_coco(b, "image", "site", "class_id").select(F.col("json").alias("value"), "site").write.partitionBy("site").text(path)
+    parts = 1 + spark.read.parquet(f"{d}/lineitem.parquet").count() // ITEMS
+    writers.to_coco(b, "image", "site", "class_id", parts=parts).select(F.col("json").alias("value"), "site").write.partitionBy("site").text(path)
     doc = F.from_json("value", "images array<struct<id: bigint>>, annotations array<struct<id: bigint, image_id: bigint>>, categories array<struct<id: bigint>>")
     out = spark.read.schema("value string, site string").text(path).select("site", doc.alias("j"))
-    n = lambda c: F.size(F.array_distinct(F.transform(c, lambda x: x["id"]))).cast("long")
-    return out.select("site", n(F.col("j.images")).alias("n_images"), F.size("j.annotations").cast("long").alias("n_annotations"), n(F.col("j.categories")).alias("n_categories"))
+    # an image is in one part, a category in several
+    images = F.size(F.array_distinct(F.transform("j.images", lambda x: x["id"])))
+    kinds = F.collect_set("j.categories.id")
+    sums = out.groupBy("site").agg(F.sum(images).alias("n_images"), F.sum(F.size("j.annotations")).alias("n_annotations"), F.size(F.array_distinct(F.flatten(kinds))).cast("long").alias("n_categories"))
+    return sums.select("site", "n_images", "n_annotations", "n_categories")
 
 
 @query("SELECT clip, track, count(*) AS n, round(sum(x), 2) AS x FROM @detections d GROUP BY 1, 2")

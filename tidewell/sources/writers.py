@@ -47,14 +47,21 @@ def empty_videos(videos: DataFrame, boxes: DataFrame, key: str) -> DataFrame:
     return videos.select(key).distinct().join(boxes.select(key).distinct(), key, "left_anti")
 
 
-def to_coco(objects: DataFrame, frame: str, file_name: str, category: str, x: str = "x", y: str = "y", w: str = "w", h: str = "h") -> DataFrame:
+def to_coco(objects: DataFrame, frame: str, file_name: str, category: str, x: str = "x", y: str = "y", w: str = "w", h: str = "h", parts: int = 1) -> DataFrame:
     """(file_name, json): for each file its images, annotations and categories. Ids are hashes of what they name, so that
-    parts made apart agree."""
+    parts made apart agree.
+
+    parts: so many documents for each file, (file_name, part, json); images are dealt to them by a hash, each with all its
+    annotations. A document is one row, so boxes of a file should be no more than a task can hold times the parts.
+    """
     image = F.struct(F.xxhash64(file_name, frame).alias("id"), F.concat_ws("_", file_name, frame).alias("file_name"))
     note = F.struct(F.xxhash64(file_name, frame, x, y, w, h).alias("id"), F.xxhash64(file_name, frame).alias("image_id"), F.xxhash64(category).alias("category_id"), F.array(x, y, w, h).alias("bbox"), (F.col(w) * F.col(h)).alias("area"))
     kind = F.struct(F.xxhash64(category).alias("id"), F.col(category).alias("name"))
     doc = F.struct(F.array_sort(F.collect_set(image)).alias("images"), F.collect_list(note).alias("annotations"), F.array_sort(F.collect_set(kind)).alias("categories"))
-    return objects.groupBy(file_name).agg(F.to_json(doc).alias("json"))
+    if parts == 1:
+        return objects.groupBy(file_name).agg(F.to_json(doc).alias("json"))
+    dealt = objects.withColumn("part", F.pmod(F.xxhash64(file_name, frame), F.lit(parts))).repartition(parts, file_name, "part")
+    return dealt.groupBy(file_name, "part").agg(F.to_json(doc).alias("json"))
 
 
 def bbox_rows(boxes: DataFrame, position: str, skip: int = 0) -> DataFrame:
