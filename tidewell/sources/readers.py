@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidewell.functions import boxes as B
 from tidewell.functions import names as N
 from tidewell.functions.scalars import safe_double
+from tidewell.operators.ordered import with_running
+from tidewell.session import materialize
 from tidewell.sources.json_array import SPLIT_BYTES, read_json_array
 from tidewell.sources.listing import list_files
 
@@ -228,8 +230,10 @@ def read_datumaro(spark: SparkSession, path: str) -> DataFrame:
     """
     schema = "id string, annotations array<struct<label_id: int, bbox: array<double>, attributes: struct<track_id: string>>>"
     items = _good(read_json_array(spark, path, schema, "*", "items")).select(_url("path").alias("file"), "item_pos", F.col("item").alias("i")).withColumn("parent", F.regexp_extract("i.id", r"^(.*)/[^/]*$", 1))
-    w = Window.partitionBy("file").orderBy("item_pos")
-    items = items.withColumn("new", F.coalesce((F.col("parent") != F.lag("parent").over(w)).cast("int"), F.lit(1))).withColumn("clip", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    items = materialize(items, "items")
+    before = items.select("file", (F.col("item_pos") + 1).alias("item_pos"), F.col("parent").alias("before"))
+    marked = items.join(before, ["file", "item_pos"], "left").withColumn("new", F.coalesce((F.col("parent") != F.col("before")).cast("long"), F.lit(1)))
+    items = with_running(marked, ["file"], ["item_pos"], {"clip": F.col("new")})
     rows = items.select("file", "item_pos", F.col("i.id").alias("item"), "clip", F.explode("i.annotations").alias("a"))
     x, y, w_, h = (F.get("a.bbox", i) for i in range(4))
     out = rows.select("file", "item_pos", "item", "clip", F.col("a.label_id").alias("label_id"), F.col("a.attributes.track_id").try_cast("long").alias("track_id"), x.alias("x1"), y.alias("y1"), (x + w_).alias("x2"), (y + h).alias("y2"), (x + w_ / 2).alias("cx"), (y + h / 2).alias("cy"), w_.alias("w"), h.alias("h"))
