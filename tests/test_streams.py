@@ -194,3 +194,68 @@ def test_watch_clips(spark, tmp_path):
     assert run() == [("a.mp4", None, 0), ("young.mp4", None, 0)]
     done = sorted((r["path"].rpartition("/")[2], r["result"], r["failures"]) for r in streams.ledger_results(spark, ledger).collect())
     assert done == [("a.mp4", 20, 0), ("a.mp4", 30, 0), ("b.mp4", 0, 0), ("c.mp4", 40, 1), ("young.mp4", 10, 0)]
+
+
+def test_waiting_rows_are_packed():
+    """Rows that wait pass to the state by packs, not one by one, and are given in order whatever their packs."""
+    import pandas as pd
+
+    from tidewell.streaming.event_time import InOrder
+
+    class State:
+        def __init__(self):
+            self.rows, self.calls = [], 0
+
+        def appendList(self, rows):
+            self.rows += rows
+            self.calls += 1
+
+        def get(self):
+            return iter(list(self.rows)) if self.rows is not None else None
+
+        exists = lambda self: bool(self.rows)
+
+        def clear(self):
+            self.rows = []
+
+    class Value(State):
+        get = lambda self: self.rows[-1] if self.rows else None
+
+        def update(self, value):
+            self.rows = [value]
+
+    class Handle:
+        def getListState(self, *_):
+            return State()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def registerTimer(self, at):
+            pass
+
+    class Machine:
+        state = None
+
+        def step(self, us, x):
+            return [(us, x)]
+
+        def until(self, us):
+            return []
+
+        def wait(self):
+            return None
+
+    class Times:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    p = InOrder(lambda s: Machine(), "us long, x double", ["k", "us", "x"])
+    p.init(Handle())
+    us = [(i * 7919) % 20_000 * 1000 for i in range(20_000)]
+    parts = [pd.DataFrame({"us": us[i::2], "x": [None if u == 0 else 0.5 for u in us[i::2]]}) for i in (0, 1)]
+    list(p.handleInputRows(("a",), iter(parts), None))
+    assert p.waiting.calls == len(p.waiting.rows) == 2
+    got = [pd.concat(p.handleExpiredTimer(("a",), Times(ms), None)) for ms in (9_999, 19_999)]
+    assert [x["us"].tolist() for x in got] == [list(range(0, 10_000_000, 1000)), list(range(10_000_000, 20_000_000, 1000))]
+    assert p.waiting.rows == []

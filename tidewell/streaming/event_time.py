@@ -4,12 +4,14 @@ Rows of a key wait in a list state until the watermark has passed them, and so n
 timers then give them, sorted, to the key's machine, which is kept in a value state, and tell it what time it is. So the
 results are those of the rows sorted by time, if none comes later than the watermark allows, and they don't depend on how
 rows fall into batches. A key's state holds its rows of about the allowed lateness and of one batch (bound batches
-by the source's options), and is gone when its machine has nothing to remember.
+by the source's options), and is gone when its machine has nothing to remember. Rows wait in packs, of which each is one element
+of the list and tells its least time: so they don't pass to and from the state one by one, and packs that aren't due stay closed.
 """
 
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
-#: Rows that are put into the state at once.
-CHUNK = 5000
+#: Rows of one pack.
+CHUNK = 50_000
 
 
 class InOrder(StatefulProcessor):
@@ -31,8 +33,7 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        # places for names, of which some would clash
-        self.waiting = handle.getListState("waiting", ", ".join(f"f{i} {f.split()[1]}" for i, f in enumerate(self.fields.split(", "))))
+        self.waiting = handle.getListState("waiting", "least long, rows binary")
         self.kept = handle.getValueState("machine", "state string")
 
     def _call(self, us: int) -> None:
@@ -46,34 +47,41 @@ class InOrder(StatefulProcessor):
             self._call(at)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            own = part[self.names]
-            for at in range(0, len(own), CHUNK):
-                self.waiting.appendList([_plain(r) for r in own.iloc[at : at + CHUNK].itertuples(index=False, name=None)])
-            least = int(own[self.names[0]].min())
-            first = least if first is None else min(first, least)
-        if first is not None:
-            self._call(first)
+        packs = [_pack(list(zip(*[_plain(own[c]) for c in self.names], strict=True))) for part in rows for at in range(0, len(part), CHUNK) for own in [part.iloc[at : at + CHUNK]]]
+        if packs:
+            self._wait(packs)
         return iter(())
 
+    def _wait(self, packs: list[tuple]) -> None:
+        for pack in packs:
+            self.waiting.appendList([pack])
+        self._call(min(p[0] for p in packs))
+
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        due, later = sorted(r for r in rows if r[0] <= now), [r for r in rows if r[0] > now]
-        machine = self.make(json.loads(self.kept.get()[0]) if self.kept.exists() else None)
+        due, later, packs = [], [], []
+        for least, rows in self.waiting.get() if self.waiting.exists() else ():
+            if least > now:
+                packs.append((least, bytes(rows)))
+                continue
+            for r in pickle.loads(rows):
+                (due if r[0] <= now else later).append(r)
+        due.sort()
+        kept = self.kept.get()
+        machine = self.make(json.loads(kept[0]) if kept is not None else None)
         out = [x for r in due for x in machine.step(*r)]
         out += machine.until(now)
         if due:
             self.waiting.clear()
-            for at in range(0, len(later), CHUNK):
-                self.waiting.appendList(later[at : at + CHUNK])
-            if later:
-                self._call(min(r[0] for r in later))
+            packs += [_pack(later[at : at + CHUNK]) for at in range(0, len(later), CHUNK)]
+            if packs:
+                self._wait(packs)
         if machine.state is None:
-            self.kept.clear()
+            if kept is not None:
+                self.kept.clear()
         else:
-            self.kept.update((json.dumps(machine.state),))
+            if (state := json.dumps(machine.state)) != (kept and kept[0]):
+                self.kept.update((state,))
             if (at := machine.wait()) is not None:
                 self._call(at)
         if out:
@@ -83,9 +91,15 @@ class InOrder(StatefulProcessor):
         pass
 
 
-def _plain(row: tuple) -> tuple:
-    """A row without numpy's types, and without missing numbers but as None."""
-    return tuple(None if x is None or x != x else x.item() if hasattr(x, "item") else x for x in row)
+def _plain(column: pd.Series) -> list:
+    """A column's values without numpy's types, and without missing numbers but as None."""
+    values = column.tolist()
+    return [None if x is None or x != x else x for x in values] if column.dtype.kind in "fO" else values
+
+
+def _pack(rows: list[tuple]) -> tuple[int, bytes]:
+    """The least time of rows, and the rows."""
+    return min(r[0] for r in rows), pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)
 
 
 def in_order(df: DataFrame, keys: Sequence[str], ts: str, late: str | None, make: Callable, fields: str, results: str, initial: DataFrame | None = None) -> DataFrame:
