@@ -245,3 +245,23 @@ def test_datumaro_by_lines(spark, sf_small, monkeypatch):
     n = files.datumaro_files(spark, sf_small).count()
     assert spark.read.text(seen[0]).count() == n
     assert spark.read.text(seen[0]).select("_metadata.file_path").distinct().count() == 6
+
+
+def test_small_files_by_tasks(spark, sf_small, tmp_path, monkeypatch):
+    """Tasks that write a file for each row are cut by the number of files; XML files by the number of their records."""
+    from tidewell.plans import files
+
+    monkeypatch.setattr(writers, "FILES", 10)
+    monkeypatch.setattr(files, "ITEMS", 100)
+    seqs = spark.range(100).select(F.col("id").alias("name"), *[F.lit(1).alias(c) for c in ("fps", "length", "w", "h")])
+    writers.write_seqinfo(seqs, str(tmp_path / "q"), "name", "fps", "length", "w", "h")
+    names = {p.name.split("-")[1] for p in (tmp_path / "q").rglob("part-*")}
+    assert len(names) > 5 and readers.read_seqinfo(spark, str(tmp_path / "q"), "*.txt").count() == 100
+    path = str(tmp_path / "x")
+    monkeypatch.setattr(files, "_folder", lambda s: path)
+    files.cvat_files(spark, sf_small).count()
+    assert len(list((tmp_path / "x").rglob("part-*"))) >= 15
+    path = str(tmp_path / "i")
+    n = files.image_listing_files(spark, sf_small).count()
+    found = list((tmp_path / "i").rglob("part-*.txt"))
+    assert len(found) == n and len({p.name.split("-")[1] for p in found}) > 1

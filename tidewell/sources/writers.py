@@ -11,6 +11,9 @@ from tidewell.functions.scalars import fmt6
 from tidewell.operators import stats
 from tidewell.operators.sampling import shard
 
+#: Files that one task writes, about.
+FILES = 500
+
 
 def render_labels(boxes: DataFrame, frames: DataFrame, keys: Sequence[str], position: str = "box_pos") -> DataFrame:
     """(keys, text): label lines of every frame, in order, each ended by a newline; frames without boxes have empty text."""
@@ -107,4 +110,6 @@ def write_seqinfo(sequences: DataFrame, path: str, name: str, fps: str, length:
     fields = (("name", name), ("frameRate", fps), ("seqLength", length), ("imWidth", width), ("imHeight", height))
     lines = [F.concat(F.lit(f"{k} = "), F.col(c).cast("string")) for k, c in fields]
     text = F.concat_ws("\n", F.lit("[Sequence]"), *lines, F.lit(f"imExt = {ext}"))
-    sequences.select(F.col(name).alias("sequence"), text.alias("value")).repartition("sequence").write.mode("errorifexists").partitionBy("sequence").text(path)
+    # small rows, but a file for each: so tasks are cut by their number
+    tasks = max(1, -(-sequences.count() // FILES))
+    sequences.select(F.col(name).alias("sequence"), text.alias("value")).repartition(tasks, "sequence").write.mode("errorifexists").partitionBy("sequence").text(path)
