@@ -147,7 +147,7 @@ def cvat_files(spark: SparkSession, d: str) -> DataFrame:
     note = F.array(F.struct(F.lit("__instance_id").alias("_name"), F.col("frame").cast("string").alias("_VALUE")))
     box = F.struct(F.lit("Coho").alias("_label"), F.lit(0.0).alias("_xtl"), F.lit(0.0).alias("_ytl"), F.col("w").alias("_xbr"), F.col("h").alias("_ybr"), note.alias("attribute"))
     images = b.groupBy(F.col("stem").alias("_id")).agg(F.collect_list(F.when(F.col("frame").isNotNull(), box)).alias("box"))
-    images.withColumn("_name", F.lit("f")).write.format("xml").option("rowTag", "image").option("rootTag", "annotations").save(path)
+    images.withColumn("_name", F.lit("f")).write.format("xml").option("maxRecordsPerFile", ITEMS).option("rowTag", "image").option("rootTag", "annotations").save(path)
     out = readers.read_cvat_xml(spark, path, glob="part-*")
     return out.select("image_id", "track_id", "label", F.round("x2", 4).alias("x2"))
 
@@ -278,7 +278,7 @@ def cvat_track_files(spark: SparkSession, d: str) -> DataFrame:
     ends = [F.col(v).cast("double").alias(n) for v, n in (("x", "_xtl"), ("y", "_ytl"))] + [(F.col(v).cast("double") + F.col(s)).alias(n) for v, s, n in (("x", "w", "_xbr"), ("y", "h", "_ybr"))]
     box = F.struct(F.col("frame").alias("_frame"), F.when(F.col("enabled"), 0).otherwise(1).alias("_outside"), F.lit(1).alias("_keyframe"), *ends, note.alias("attribute"))
     grouped = k.groupBy((F.col("stem") * 10 + F.col("track")).alias("_id")).agg(F.collect_list(box).alias("box"))
-    grouped.withColumn("_label", F.lit("Coho")).write.format("xml").option("rowTag", "track").option("rootTag", "annotations").save(path)
+    grouped.withColumn("_label", F.lit("Coho")).write.format("xml").option("maxRecordsPerFile", ITEMS).option("rowTag", "track").option("rootTag", "annotations").save(path)
     out = readers.read_cvat_tracks(spark, path, glob="part-*", outside=True).where("label = 'Coho' and keyframe")
     return rounded(out.select(F.floor(F.col("track") / 10).alias("stem"), (F.col("track") % 10).alias("track"), F.col("frame").cast("int").alias("frame"), F.col("track_id").alias("kf_pos"), "enabled", F.col("x1").alias("x"), F.col("y1").alias("y"), "x2", "y2"), "x", "y", "x2", "y2")
 
