@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import boxes as B
 from tidewell.operators import counts, stats
+from tidewell.operators.ordered import with_running
 from tidewell.plans.adapters import view
 from tidewell.plans.base import query, rounded
 from tidewell.session import shared_dir
@@ -320,7 +321,10 @@ def bbox_files(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'site=' || source AS clip, CAST(p AS INT) AS pos, n AS n_images FROM (SELECT *, unnest(range(n)) AS p FROM n) t""")
 def image_listing_files(spark: SparkSession, d: str) -> DataFrame:
     docs, path = spark.read.parquet(f"{d}/documents.parquet").where("source is not null"), _folder(spark)
-    docs.select(F.col("source").alias("site"), F.col("doc_id").cast("string").alias("value")).repartition("site").write.option("maxRecordsPerFile", 10).partitionBy("site").text(path)
+    # files of ten rows: tasks get whole blocks of them, of which only a site's last may end in a smaller file
+    placed = with_running(docs.select(F.col("source").alias("site"), "doc_id"), ["site"], ["doc_id"], {}, "place")
+    tasks, block = max(1, -(-docs.count() // (10 * writers.FILES))), F.floor((F.col("place") - 1) / (10 * writers.FILES))
+    placed.select("site", F.col("doc_id").cast("string").alias("value"), block.alias("block")).repartition(tasks, "site", "block").drop("block").write.option("maxRecordsPerFile", 10).partitionBy("site").text(path)
     return readers.read_image_listing(spark, path).where("clip like 'site=%' and path like '%.txt'").select("clip", "pos", "n_images")
 
 

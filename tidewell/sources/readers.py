@@ -313,8 +313,9 @@ def read_image_listing(spark: SparkSession, root: str) -> DataFrame:
     """(clip, path, pos, n_images): files only listed, not read; pos is a file's place in its clip by path, from 0."""
     files = list_files(spark, root).select("path")
     rows = files.withColumn("clip", F.element_at(F.split("path", "/"), -2))
-    w = Window.partitionBy("clip")
-    return rows.select("clip", "path", (F.row_number().over(w.orderBy("path")) - 1).alias("pos"), F.count("*").over(w).alias("n_images"))
+    placed = with_running(rows, ["clip"], ["path"], {}, "place")
+    sizes = placed.groupBy("clip").agg(F.max("place").alias("n_images"))
+    return placed.join(sizes, "clip").select("clip", "path", (F.col("place") - 1).cast("int").alias("pos"), "n_images")
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
