@@ -18,6 +18,15 @@ from tidewell.session import materialize
 PART = "__part"
 #: Rows of a group that share a prefix of their hash, about.
 HASH_ROWS = 100_000
+#: Rows of one part of dealt, about.
+DEAL_ROWS = 1_000_000
+
+
+def dealt(rows: DataFrame, counted: DataFrame, *keys: Column | str) -> DataFrame:
+    """rows by their keys in as many parts as the rows of ``counted`` ask for, so that what joins and groups by these keys hold in
+    a task doesn't grow with the table. As they are, if one part would do."""
+    parts = -(-counted.count() // DEAL_ROWS)
+    return rows.repartition(parts, *keys) if parts > 1 else rows
 
 
 def with_running(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], sums: dict[str, Column], rank: str = "rank", keep_part: bool = False) -> DataFrame:

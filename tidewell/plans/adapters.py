@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.operators.ordered import dealt
+
 ADAPTERS = {
     "keyframes": """SELECT l_orderkey AS stem, l_orderkey % 3 AS track, CAST(l_linenumber * 4 AS INT) AS frame,
         l_partkey * 1000000 + l_suppkey AS kf_pos, l_quantity AS x, (l_discount + 0.0) * 100 AS y, (l_tax + 0.0) * 100 + 1 AS w,
@@ -47,7 +49,11 @@ _TABLE = re.compile(r"\{(\w+)\}")
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The adapter over the tables of a folder."""
     text = ADAPTERS[name]
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(text))})
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(text))}
+    if name == "boxes":  # joined, and mostly grouped, by order
+        lines = tables["lineitem"]
+        tables |= {"lineitem": dealt(lines, lines, "l_orderkey"), "orders": dealt(tables["orders"], lines, "o_orderkey")}
+    return spark.sql(text, **tables)
 
 
 def sql(text: str) -> str:
