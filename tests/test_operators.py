@@ -486,3 +486,35 @@ def test_conform_splits_status(spark):
     actual = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "val"), ("c", "train"), ("e", "val")], "k string, split string")
     got = sorted((r["k"], r["status"]) for r in counts.conform_splits(wanted, actual, "k").collect())
     assert got == [("a", "ok"), ("b", "move"), ("c", "duplicate"), ("c", "duplicate"), ("d", "missing"), ("e", "extra")]
+
+
+def test_drawn_negatives(spark):
+    """Those drawn of all eligible frames, with rows only for what is drawn."""
+    v = spark.createDataFrame([(i, i % 12) for i in range(40)], "stem long, n int")
+    p = spark.createDataFrame([(i, f) for i in range(0, 40, 2) for f in (0, 3, 4)], "stem long, frame int")
+    want = sampling.sample_per_group(tasks.eligible_negatives(v, p, "stem", "n", "frame"), ["stem"], ["frame"], 3, seed=1)
+    got = tasks.draw_negatives(v, p, "stem", "n", "frame", 3, seed=1)
+    assert rows(got, "stem", "frame") == rows(want, "stem", "frame")
+
+
+def test_dealt(spark, sf_small, monkeypatch):
+    """Parts grow with the rows, and grouping by the key doesn't shuffle again."""
+    from tidewell.operators import ordered
+    from tidewell.plans.adapters import view
+
+    monkeypatch.setattr(ordered, "DEAL_ROWS", 500)
+    boxes = view(spark, sf_small, "boxes")
+    want = -(-spark.read.parquet(f"{sf_small}/lineitem.parquet").count() // 500)
+    assert boxes.hint("merge").rdd.getNumPartitions() == want
+    few = spark.range(400)
+    assert ordered.dealt(few, few, "id") is few
+
+
+def test_objects_are_read_in_order(spark):
+    """Ids of a long sequence without a cut: one object near its last place, and one that is new in each tenth frame."""
+    frames = [("s", f, 2 * f, float(f % 3), 0.0) for f in range(3000)] + [("s", f, 2 * f + 1, 1e6 + 1e3 * f, 0.0) for f in range(0, 3000, 10)]
+    df = spark.createDataFrame(frames, "clip string, f long, pos long, x double, y double").withColumn("w", F.lit(2.0)).withColumn("h", F.lit(2.0))
+    got = rows(tracks.track_objects(df, "clip", "f", "pos"), "frame", "pos", "object_id")
+    assert len(got) == 3300
+    assert {i for f, pos, i in got if pos % 2 == 0} == {0}
+    assert [i for f, pos, i in got if pos % 2] == list(range(1, 301))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordered import best_from_here, with_running
+from tidewell.operators.ordered import best_from_here, dealt, with_running
 from tidewell.session import materialize
 
 
@@ -134,31 +134,56 @@ def track_objects(objects: DataFrame, sequence: str, frame: str, position: str,
     where objects are near without being partners, but never set wrongly.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame", "pos"], kind="stable")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         past: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        out, fresh = [], 0
-        for f, g in pdf.groupby("frame", sort=True):
-            cx, cy = g["cx"].to_numpy(), g["cy"].to_numpy()
-            ids = np.full(len(g), -1)
-            for i in range(len(g)):
+        out, here, piece, fresh = [], [], None, 0  # here: objects of the frame that is being read
+
+        def close() -> None:
+            nonlocal past, fresh
+            cx, cy = (np.array([o[i] for o in here], float) for i in (4, 5))
+            ids = []
+            for i in range(len(here)):
                 for hx, hy, hid in past:
                     near = np.flatnonzero(np.hypot(hx - cx[i], hy - cy[i]) <= radius)
                     if len(near):
-                        ids[i] = hid[near[0]]
+                        ids.append(int(hid[near[0]]))
                         break
                 else:
-                    ids[i], fresh = fresh, fresh + 1
-            keep = np.array([i for i in range(len(g)) if ids[i] not in ids[i + 1 :]])
-            past = [*past, (cx[keep], cy[keep], ids[keep])][-history:]
-            out.append(pd.DataFrame({"seq": g["seq"].to_numpy()[keep], "piece": g["piece"].to_numpy()[keep], "frame": f, "pos": g["pos"].to_numpy()[keep], "id": ids[keep], "fresh": 0}))
-        out[-1].loc[out[-1].index[-1:], "fresh"] = fresh  # once a piece
-        return pd.concat(out)
+                    ids.append(fresh)
+                    fresh += 1
+            last = {x: i for i, x in enumerate(ids)}
+            keep = sorted(last.values())
+            past = [*past, (cx[keep], cy[keep], np.array(ids)[keep])][-history:]
+            out.extend((*here[i][:4], ids[i], 0) for i in keep)
+            here.clear()
+
+        def end() -> None:
+            if here:
+                close()
+                out[-1] = (*out[-1][:5], fresh)  # once a piece
+
+        columns = ["seq", "piece", "frame", "pos", "id", "fresh"]
+        for pdf in batches:
+            for o in zip(*[pdf[c].tolist() for c in ("seq", "piece", "frame", "pos", "cx", "cy")], strict=True):
+                if piece != o[:2]:
+                    end()
+                    piece, past, fresh = o[:2], [], 0
+                elif here and here[-1][2] != o[2]:
+                    close()
+                here.append(o)
+            # a piece's last row may yet be told its new ids
+            if len(out) > 1:
+                yield pd.DataFrame(out[:-1], columns=columns)
+                del out[:-1]
+        end()
+        yield pd.DataFrame(out, columns=columns)
 
     centre = {"cx": F.col(x).cast("double") + F.col(w).cast("double") / 2, "cy": F.col(y).cast("double") + F.col(h).cast("double") / 2}
     df = objects.select(F.col(sequence).cast("string").alias("seq"), F.col(frame).cast("long").alias("frame"), F.col(position).cast("long").alias("pos"), *[c.alias(n) for n, c in centre.items()])
     pieces = materialize(cut_sequences(df, radius, history), "pieces")
-    local = materialize(pieces.groupBy("seq", "piece").applyInPandas(run, "seq string, piece long, frame long, pos long, id long, fresh long"), "ids")
+    # read in order, batch by batch, so that a task holds a few frames
+    in_order = pieces.where("frame is not null").repartition("seq", "piece").sortWithinPartitions("seq", "piece", "frame", F.asc_nulls_last("pos")).select("seq", "piece", "frame", "pos", "cx", "cy")
+    local = materialize(in_order.mapInPandas(run, "seq string, piece long, frame long, pos long, id long, fresh long"), "ids")
     number = with_running(local.groupBy("seq", "piece").agg(F.sum("fresh").alias("fresh")), ["seq"], ["piece"], {"to": F.col("fresh")})
     before = number.select(F.col("seq").alias("s"), F.col("piece").alias("p"), (F.col("to") - F.col("fresh")).alias("before"))
     both = local.join(before, F.col("seq").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("p")))
@@ -242,7 +267,7 @@ def detection_metrics(predictions: DataFrame, truth: DataFrame, iou: float | Seq
     def side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
         return df.select(F.col("image").cast("string").alias("image"), F.col("cls").cast("string").alias("cls"), *[F.col(c).alias(prefix + c) for c in ("x1", "y1", "x2", "y2", "pos", *more)])
 
-    p, t = side(predictions, "p_", "conf"), side(truth, "t_")
+    p, t = (dealt(df, truth, "image", "cls") for df in (side(predictions, "p_", "conf"), side(truth, "t_")))
     size = lambda s, axis: F.col(f"{s}{axis}2") - F.col(f"{s}{axis}1")
     over = lambda axis: F.greatest(F.least(f"p_{axis}2", f"t_{axis}2") - F.greatest(f"p_{axis}1", f"t_{axis}1"), F.lit(0.0))
     both = over("x") * over("y")
