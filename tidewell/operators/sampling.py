@@ -25,10 +25,14 @@ def random_subset(rows: DataFrame, key: Sequence[str], n: int, seed: int = 0) ->
 
 def sample_negatives(candidates: DataFrame, stem: str, frame: str, n_positive: int, ratio: float, k: int, seed: int = 0) -> DataFrame:
     """At most k frames of each empty video, of which a share ``ratio`` of the final set is kept; none without positives."""
+    return share_of_negatives(sample_per_group(candidates, [stem], [frame], k, seed), stem, frame, n_positive, ratio, seed + 1)
+
+
+def share_of_negatives(drawn: DataFrame, stem: str, frame: str, n_positive: int, ratio: float, seed: int = 0) -> DataFrame:
+    """Of the frames drawn so many that they are a share ``ratio`` of the final set; none without positives."""
     if n_positive <= 0 or ratio <= 0:
-        return candidates.limit(0)
-    drawn = sample_per_group(candidates, [stem], [frame], k, seed)
-    return drawn if ratio >= 1 else random_subset(drawn, [stem, frame], int(ratio / (1 - ratio) * n_positive), seed + 1)
+        return drawn.limit(0)
+    return drawn if ratio >= 1 else random_subset(drawn, [stem, frame], int(ratio / (1 - ratio) * n_positive), seed)
 
 
 def target_count(total: int, fraction: float | None = None, n: int | None = None) -> int:

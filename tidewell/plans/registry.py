@@ -13,6 +13,7 @@ from tidewell.plans import base, curation, expressions, files, relations, stream
 from tidewell.plans.adapters import view
 from tidewell.plans.base import Query, query
 from tidewell.plans.base import rounded as _round
+from tidewell.session import materialize
 
 
 def queries() -> dict[str, Query]:
@@ -581,8 +582,9 @@ d AS (SELECT stem, frame FROM (SELECT *, row_number() OVER (PARTITION BY stem OR
 n AS (SELECT CAST(floor(0.1 / 0.9 * count(*)) AS BIGINT) AS n FROM @positives p)
 SELECT stem, frame FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '2', CAST(stem AS VARCHAR), CAST(frame AS VARCHAR))), stem, frame) AS r FROM d) t, n WHERE r <= n""")
 def sample_negatives(spark: SparkSession, d: str) -> DataFrame:
-    candidates = tasks.eligible_negatives(view(spark, d, "videos"), view(spark, d, "positives"), "stem", "n_frames", "frame")
-    return sampling.sample_negatives(candidates, "stem", "frame", view(spark, d, "positives").count(), 0.1, 3, seed=1)
+    positives = view(spark, d, "positives")
+    drawn = materialize(tasks.draw_negatives(view(spark, d, "videos"), positives, "stem", "n_frames", "frame", 3, seed=1), "drawn")
+    return sampling.share_of_negatives(drawn, "stem", "frame", positives.count(), 0.1, seed=2)
 
 
 @query("SELECT split, CAST(n AS BIGINT) AS n FROM (SELECT count(*) AS k FROM documents) t, LATERAL (SELECT 'train' AS split, floor(k * 0.7) AS n UNION ALL SELECT 'val', floor(k * 0.85) - floor(k * 0.7) UNION ALL SELECT 'test', k - floor(k * 0.85)) u")
