@@ -44,6 +44,33 @@ def test_words(kind):
     assert len(set(by.values())) == len(by)
 
 
+def test_packing_encodes_words_once():
+    """Words that come again at a line's end or start, or with other marks, are not encoded anew."""
+    e = packing.Encoder(packing.default_vocabulary())
+    inner, read = e.tokenizer, []
+
+    class Spy:
+        def encode(self, text, **options):
+            read.append(text)
+            return inner.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            read.extend(texts)
+            return inner.encode_batch_fast(texts, **options)
+
+    e.tokenizer = Spy()
+    r = random.Random(2)
+    words_ = ["".join(r.choice("abcdefgé") for _ in range(9)) for _ in range(300)]
+    e.encode(["x " + " ".join(words_), *words_])
+    known = sum(map(len, read))
+    marks = [",\n", ".\n", "\n", "_!\n", "...\n", ")\n"]
+    text = " ".join(["x", *(a + r.choice(marks) + b if m else a + "," for a, b, m in zip(words_, words_[1:], [1, 0] * 200, strict=False))])
+    read.clear()
+    (raw,) = e.encode([text])
+    assert sum(map(len, read)) < known / 4
+    assert np.frombuffer(raw, "<u4").tolist() == inner.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_units():
     from tokenizers import Tokenizer
 

@@ -16,11 +16,12 @@ import bisect
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +30,17 @@ from tidewell.llm import words
 TIERS = (256, 512, 1024, 2048)
 EOT = 1
 BLOCK_TOKENS = 4_000_000
-#: Words whose ids a worker remembers, at most twice as many for a while.
+#: Chunks whose ids a worker remembers, at most twice as many for a while, beside those of the slice at hand.
 WORD_CACHE = 300_000
+#: Chunks whose ids are put in place at once.
+GATHER = 1 << 18
 STEP_TOKENS = 1 << 18
 
 _UNSURE = re.compile(r"\s \s|\s\Z")
 _SPECIAL = "<|endoftext|>"
+#: Marks that part from a letter or digit before them whatever follows; an apostrophe may open an ending.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTER = re.compile("[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
 
 
 def default_vocabulary() -> str:
@@ -47,8 +53,9 @@ class Encoder:
     """Token ids of whole texts as bytes of little-endian unsigned 32-bit numbers.
 
     A byte-level BPE never joins what a single space parts, so a text is encoded chunk by chunk, and each distinct chunk
-    " word" once. Where white space meets other white space around a space, where the text ends in white space, or
-    where a special token's string occurs, chunks don't tell, and the whole text is encoded as it is.
+    " word" once, put together from its lines, words and marks. Where white space meets other white space around a space,
+    where the text ends in white space, or where a special token's string occurs, chunks don't tell, and the whole text is
+    encoded as it is.
     """
 
     def __init__(self, vocabulary: str):
@@ -58,52 +65,113 @@ class Encoder:
         n = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
         self.known: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # of words that open a text
+        self.first: dict[str, bytes] = {}  # of what has no space before it
         self.before: dict[str, bytes] = {}  # the last full cache; what is used again moves on to the next
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.each([text])[0]
+
+    def each(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, each encoded as it is; offsets in the text, which take most of the time, are left out."""
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def parts(self, chunk: str) -> list[str] | None:
+        """What a chunk is put together from: its first word, and then line ends, words and the marks behind words, where
+        white space or a change from letters or digits to marks parts them for sure. None if it has one part only."""
+        out = []
+        for line in chunk.split("\n"):
+            word = line.rstrip(_MARKS)
+            if not line or line != line.strip():
+                return None
+            if len(word) == len(line) or not word or not _LETTER.match(word[-1]):
+                out += ["\n", line]
+            else:
+                out += ["\n", word, line[len(word) :]]
+        return out[1:] if len(out) > 2 else None
 
     def learn(self, chunks: list[str]) -> None:
         """Ids of many chunks (each stands for a space and the chunk, which has no space)."""
-        plain = []
-        for c in chunks:  # white space at an edge would meet that of a neighbour
-            if c and not c[0].isspace() and not c[-1].isspace():
-                plain.append(c)
+        made, plain, odd, inner = {}, set(), [], set()
+        for c in chunks:
+            if not c or c != c.strip():  # white space at an edge would meet that of a neighbour
+                odd.append(c)
+            elif (c[-1] in _MARKS or "\n" in c) and (parts := self.parts(c)):
+                made[c] = parts
+                plain.add(parts[0])
+                inner.update(parts[1:])
             else:
-                self.known[c] = self.whole(" " + c)
+                plain.add(c)
+        self.known.update(zip(odd, self.each([" " + c for c in odd]), strict=True))
+        self.open(inner)
+        plain.difference_update(self.known)
+        again = {c: self.before[c] for c in plain if c in self.before}
+        self.known.update(again)
+        plain = list(plain.difference(again))
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
-            starts = np.flatnonzero(self.opens[ids])
+            raw = self.whole(" " + " ".join(some))
+            starts = np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])
             if len(starts) != len(some):  # a chunk that holds the mark of a space itself
-                for c in some:
-                    self.known[c] = self.whole(" " + c)
+                self.known.update(zip(some, self.each([" " + c for c in some]), strict=True))
                 continue
-            raw, cuts = ids.tobytes(), np.append(starts, len(ids)) * 4
-            for c, a, b in zip(some, cuts.tolist(), cuts[1:].tolist(), strict=False):
-                self.known[c] = raw[a:b]
+            cuts = [*(starts * 4).tolist(), len(raw)]
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+        for c, (head, *rest) in made.items():
+            self.known[c] = b"".join([self.known[head], *map(self.first.__getitem__, rest)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _UNSURE.search(t) or _SPECIAL in t or not t else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for s in split:
-            if s:
-                wanted.update(s[1:])
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > WORD_CACHE:
-            self.before, self.known = self.known, {}
-            missing = wanted
-        again = missing & self.before.keys()
-        self.known.update((c, self.before[c]) for c in again)
-        self.learn(list(missing - again))
-        get = self.known.__getitem__
+    def open(self, chunks: Iterable[str]) -> None:
+        """Ids of chunks without a space before them."""
         if len(self.first) > WORD_CACHE:
             self.first = {}
-        for s in split:
-            if s and s[0] not in self.first:
-                self.first[s[0]] = self.whole(s[0])
-        return [b"".join([self.first[s[0]], *map(get, s[1:])]) if s else self.whole(t) for t, s in zip(texts, split, strict=True)]
+        fresh = [c for c in chunks if c not in self.first]
+        self.first.update(zip(fresh, self.each(fresh), strict=True))
+
+    def recall(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, each with a space before it; those not known yet are learned."""
+        found = list(map(self.known.get, chunks))
+        at = [i for i, x in enumerate(found) if x is None]
+        if len(self.known) + len(at) > WORD_CACHE:
+            self.before, self.known = self.known, {c: x for c, x in zip(chunks, found, strict=True) if x is not None}
+        missing = []
+        for i in at:
+            c = chunks[i]
+            if (x := self.before.get(c)) is None:
+                missing.append(c)
+            else:
+                self.known[c] = x
+        self.learn(missing)
+        for i in at:
+            found[i] = self.known[chunks[i]]
+        return found
+
+    def chunked(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts in which chunks tell: those of each distinct chunk are put to its places."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        index, chunks = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        opening, place = np.unique(index[bounds[:-1]], return_inverse=True)
+        opening = [chunks[i] for i in opening.tolist()]
+        index[bounds[:-1]] = len(chunks) + place
+        pool = self.recall(chunks)
+        self.open(opening)
+        pool += map(self.first.__getitem__, opening)
+        ids = np.frombuffer(b"".join(pool), "<u4")
+        n = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        start = np.cumsum(n) - n
+        out, ends = [], np.concatenate([[0], np.cumsum(n[index])])[bounds] * 4
+        for at in range(0, len(index), GATHER):
+            some = index[at : at + GATHER]
+            size = n[some]
+            out.append(ids[np.arange(size.sum()) + np.repeat(start[some] - (np.cumsum(size) - size), size)].tobytes())
+        raw = b"".join(out)
+        return [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        tell = [bool(t) and not _UNSURE.search(t) and _SPECIAL not in t for t in texts]
+        some = [t for t, x in zip(texts, tell, strict=True) if x]
+        found = iter(self.chunked(some) if some else [])
+        return [next(found) if x else self.whole(t) for t, x in zip(texts, tell, strict=True)]
 
 
 @cache
@@ -143,7 +211,7 @@ def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple
         tier, own = tiers[k], queues[tiers[k]]
         while own:
             # a shorter tier's window opens only if enough is left to fill it
-            if k and sum(x[0] for x in own[-64:]) + sum(x[0] for s in tiers[:k] for x in queues[s][-256:]) < tier:
+            if k and sum(x[0] for x in own[-2:]) < tier and sum(x[0] for x in own[-64:]) + sum(x[0] for s in tiers[:k] for x in queues[s][-256:]) < tier:
                 below = tiers[k - 1]
                 for n, d, start in own:  # too little: full windows of the next tier, and what is left of them
                     while n >= below:
