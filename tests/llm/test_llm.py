@@ -636,3 +636,24 @@ def test_pipeline_run(spark, sf_small):
     assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"pipeline-" + n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES}
     n = spark.read.parquet(f"{sf_small}/documents.parquet").count()
     assert 0.6 * n < out.select("doc_id").distinct().count() < n
+
+
+def test_near_dedup_writes_few_files(spark, monkeypatch, tmp_path):
+    """Tables of keys are written by a few tasks for each core, however many shuffle partitions there are."""
+    from tidewell import session
+    from tidewell.llm import near_dedup
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    base = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(40)]
+    docs = spark.createDataFrame([(i, base[i % 40] + " end" * (i // 40)) for i in range(120)], "doc_id long, text string")
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 97)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        near_dedup.near_groups(docs, shingle=2)
+        most = 4 * spark.sparkContext.defaultParallelism
+        files = {d.name: len(list(d.glob("part-*"))) for d in tmp_path.iterdir() if not d.name.startswith(("signed", "texts"))}
+        assert len(files) > 8 and max(files.values()) <= most < 97, files
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

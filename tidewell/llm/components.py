@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import materialize
+from tidewell.session import materialize, materialize_keys
 
 #: Edges that one task contracts by union-find.
 BLOCK_EDGES = 1_000_000
@@ -49,7 +49,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", block: int = BLOCK_
     """
     u, v = F.greatest(a, b), F.least(a, b)
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(u.cast("long").alias("u"), v.cast("long").alias("v"))
-    e = materialize(e, "edges")
+    e = materialize_keys(e, "edges")
     before = None
     while True:
         n, now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -63,10 +63,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", block: int = BLOCK_
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where(F.col("u") != F.col("v")).distinct(), "edges")
+        large = materialize_keys(large.where(F.col("u") != F.col("v")).distinct(), "edges")
         # all edges now run from a node to a smaller one
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
-        e = materialize(small.where(F.col("u") != F.col("v")).distinct(), "edges")
+        e = materialize_keys(small.where(F.col("u") != F.col("v")).distinct(), "edges")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import words
 from tidewell.llm.components import components
-from tidewell.session import materialize
+from tidewell.session import materialize, materialize_keys
 
 SHINGLE = 5
 PERCENT = 80
@@ -203,10 +203,10 @@ def _block_links(at: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     put in sets of about CELL_BLOCKS; all pairs between two such sets are one task's group, a cell, to which each of their
     blocks comes once.
     """
-    at = materialize(at, "placed")
+    at = materialize_keys(at, "placed")
     sizes = at.groupBy("h", "c").agg(F.count("*").alias("m"))
     main = sizes.groupBy("h").agg(F.max(F.struct("m", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1").select("h", F.col("x.c").alias("main"))
-    open_ = materialize(at.join(main, "h"), "open")
+    open_ = materialize_keys(at.join(main, "h"), "open")
     family = components(open_.select("k", F.col("lo").alias("b")), "k", "b").select(F.col("node").alias("k"), F.col("component").alias("f"))
     home = open_.groupBy("k").agg(F.min("h").alias("g"), F.first("c").alias("c"), F.max(F.col("c") != F.col("main")).alias("stray"))
     home = home.join(texts.select("k", (F.length("t") + 64).alias("bytes")), "k").join(family, "k")
@@ -214,20 +214,20 @@ def _block_links(at: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     of_f = of_g.groupBy("f").agg(F.sum("g_bytes").alias("f_bytes"))
     home = home.join(of_g, ["f", "g"]).join(of_f, "f")
     parts = [F.pmod(F.col(x), F.ceil(F.col(n) / BLOCK_BYTES)) for x, n in (("g", "f_bytes"), ("k", "g_bytes"))]
-    home = materialize(home.select("k", "c", "stray", "f", F.xxhash64("f", *parts).alias("block")), "blocks")
+    home = materialize_keys(home.select("k", "c", "stray", "f", F.xxhash64("f", *parts).alias("block")), "blocks")
     meet = open_.join(home.select("k", "block"), "k")
     left = meet.where("c <> main").select("h", F.col("block").alias("x")).distinct()
     pairs = left.join(meet.select("h", F.col("block").alias("y")).distinct(), "h").select("x", "y").distinct()
     blocks = home.select("f", "block").distinct()
     sets_of = blocks.groupBy("f").agg(F.ceil(F.count("*") / CELL_BLOCKS).alias("sets"))
-    placed = materialize(blocks.join(sets_of, "f").select("block", F.xxhash64("f", F.pmod("block", "sets")).alias("set")), "block-sets")
+    placed = materialize_keys(blocks.join(sets_of, "f").select("block", F.xxhash64("f", F.pmod("block", "sets")).alias("set")), "block-sets")
     ends = [placed.select(F.col("block").alias(e), F.col("set").alias(f"set_{e}")) for e in ("x", "y")]
     cells = pairs.join(ends[0], "x").join(ends[1], "y").select(F.xxhash64(F.least("set_x", "set_y"), F.greatest("set_x", "set_y")).alias("cell"), "x", "y")
-    cells = materialize(cells, "cells")
+    cells = materialize_keys(cells, "cells")
     need = cells.select("cell", F.col("x").alias("block")).unionByName(cells.select("cell", F.col("y").alias("block"))).distinct()
     members = need.join(home.select("block", "k", "c", "stray"), "block").join(texts, "k")
     rows = members.select("cell", "block", "k", "c", "stray", "t").unionByName(cells, allowMissingColumns=True)
-    return materialize(rows.groupBy("cell").applyInArrow(_linked_blocks(shingle, percent), "a long, b long"), "links")
+    return materialize_keys(rows.groupBy("cell").applyInArrow(_linked_blocks(shingle, percent), "a long, b long"), "links")
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
@@ -244,8 +244,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     signed = materialize(base.mapInArrow(_sign(shingle, bands, band_rows), SIGNED), "signed")
     keyed = signed.where("n > 0").select("k", F.explode("bands").alias("h"))
     buckets = keyed.groupBy("h").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("h", "lo")
-    buckets = materialize(buckets, "buckets")
-    members = materialize(keyed.join(buckets, "h").distinct(), "members")  # h, k, lo
+    buckets = materialize_keys(buckets, "buckets")
+    members = materialize_keys(keyed.join(buckets, "h").distinct(), "members")  # h, k, lo
     firsts = signed.where("n > 0").groupBy("k").agg(F.min("r").alias("r")).join(members.select("k").distinct(), "k", "left_semi")
     texts = materialize(signed.select("r", "t").join(firsts, "r").select("k", "t"), "texts")
 
@@ -265,11 +265,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not nothing:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, name)
+        pairs = materialize_keys(pairs, name)
         n = pairs.count()
         if n:
             tested = pairs if tested is nothing else tested.unionByName(pairs)
-            found = materialize(verify(pairs), "links")
+            found = materialize_keys(verify(pairs), "links")
             comp = components(found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         return n
 

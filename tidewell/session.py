@@ -92,3 +92,16 @@ def materialize(df: DataFrame, name: str = "table", **options) -> DataFrame:
     if (written := _WRITTEN.get()) is not None:
         written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tasks for each core that write a table of keys.
+KEY_TASKS = 4
+
+
+def materialize_keys(df: DataFrame, name: str = "table") -> DataFrame:
+    """materialize for tables of few bytes a row: KEY_TASKS tasks a core write them, however many parts df has.
+
+    On a local or mounted file system every file and folder also costs a process of the executor (its rights are set by chmod), which
+    for a moment counts with all of the executor's memory.
+    """
+    return materialize(df.coalesce(KEY_TASKS * df.sparkSession.sparkContext.defaultParallelism), name)
