@@ -518,3 +518,17 @@ def test_objects_are_read_in_order(spark):
     assert len(got) == 3300
     assert {i for f, pos, i in got if pos % 2 == 0} == {0}
     assert [i for f, pos, i in got if pos % 2] == list(range(1, 301))
+
+
+def test_similarity_asks_a_set_once(spark, monkeypatch):
+    """A vector goes to each set of shells once, not to each shell; maxima are equal with shells cut by sets."""
+    monkeypatch.setattr(similarity, "SET_BYTES", 4 * 8 * 45)
+    v = np.random.default_rng(3).normal(size=(160, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id long, v array<float>")
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    s = u @ u.T - 3 * np.eye(len(u))
+    assert dict(rows(similarity.max_similarity(df, "id", "v", block=10), "id", "max_sim")) == pytest.approx(dict(enumerate(s.max(axis=1))))
+    found = similarity.shells(df, "id", "v", 10)
+    asks = similarity._asks(similarity._own_best(found), found).collect()
+    assert max(len(r["sets"]) for r in asks) == 4 < max(sum(len(x["os"]) for x in r["sets"]) for r in asks)
+    assert all(len({x["g"] for x in r["sets"]}) == len(r["sets"]) for r in asks)

@@ -20,10 +20,17 @@ SHELLS = 64
 SLACK = 1e-6
 #: Vectors that are compared with shells at once.
 ROWS = 256
+#: Bytes of the vectors of a set of neighbouring shells, and of those that ask it, that one task holds.
+SET_BYTES = 16 << 20
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    v = np.array(column.to_pylist(), np.float64)
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    n = np.array(column.value_lengths())
+    if len(n) and (n != n[0]).any():
+        raise ValueError("vectors differ in length")
+    v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(n), int(n[0]) if len(n) else 1)
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
 
 
@@ -33,7 +40,7 @@ def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Shells:
-    """Shells of vectors about pivots: rows (k, v, o, h) of vectors with their shell and block, and for each shell its number,
+    """Shells of vectors about pivots: rows (k, v, o, h, g) of vectors with their shell, block and set, and for each shell its number,
     pivot, least and greatest angle, vectors and blocks."""
 
     rows: DataFrame
@@ -45,6 +52,15 @@ class Shells:
     size: np.ndarray
     blocks: dict[int, int]
 
+    def set_size(self) -> int:
+        """Vectors of a set, about."""
+        return max(1, SET_BYTES // (4 * self.pivots.shape[1]))
+
+    def sets(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last set of each shell: sets are cut from the shells in order by their vectors."""
+        to = np.cumsum(self.size)
+        return (to - self.size) // self.set_size(), np.maximum(to - 1, 0) // self.set_size()
+
 
 def shells(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> Shells:
     """Pivots are vectors drawn by hash, one for each ``block`` vectors up to PIVOTS. A vector goes to its nearest pivot's cell; cells
@@ -77,9 +93,14 @@ def shells(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> Shel
     found = inside.groupBy("o").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.count("*").alias("n")).orderBy("o").collect()
     number, low, high, n = (np.array([r[c] for r in found], kind) for c, kind in (("o", np.int64), ("low", float), ("high", float), ("n", np.int64)))
     blocks = {int(o): int(-(-x // (2 * block))) for o, x in zip(number, n, strict=True)}
-    sizes = inside.sparkSession.createDataFrame(list(blocks.items()), "o int, b int")
-    rows = inside.join(F.broadcast(sizes), "o").select("k", "v", "o", F.pmod(F.xxhash64("k"), "b").cast("int").alias("h"))  # PIVOTS * SHELLS sizes at most
-    return Shells(rows, pivots, number, number // SHELLS, low, high, n, blocks)
+    out = Shells(inside, pivots, number, number // SHELLS, low, high, n, blocks)
+    before = np.cumsum(n) - n
+    some = [(int(o), blocks[int(o)], int(x), int(y)) for o, x, y in zip(number, n, before, strict=True)]  # PIVOTS * SHELLS at most
+    sizes = inside.sparkSession.createDataFrame(some, "o int, b int, n long, before long")
+    h = F.pmod(F.xxhash64("k"), "b").cast("int")
+    g = F.floor((F.col("before") + F.pmod(F.xxhash64("k", F.lit(1)), "n")) / out.set_size()).cast("int")
+    out.rows = inside.join(F.broadcast(sizes), "o").select("k", "v", "o", h.alias("h"), g.alias("g"))
+    return out
 
 
 def _own_best(s: Shells) -> DataFrame:
@@ -98,12 +119,16 @@ def _own_best(s: Shells) -> DataFrame:
 
 
 def _asks(own: DataFrame, s: Shells) -> DataFrame:
-    """(k, v, o): the shells that may hold a vector nearer than the best of its own block.
+    """(k, v, sets): the shells os, by their sets g, that may hold a vector nearer than the best of its own block.
 
     A vector at an angle t to a pivot is, by the triangle inequality, at t - high and at low - t at least from all of its shell.
     """
     pivots, number, pivot, low, high = s.pivots, s.number, s.pivot, s.low, s.high
     lone = np.array([s.blocks[int(o)] == 1 for o in number])
+    first, last = s.sets()
+    count = last - first + 1
+    shell = np.repeat(np.arange(len(number)), count)  # a column for each shell and set of it, in the order of sets
+    group = np.repeat(first, count) + np.arange(len(shell)) - np.repeat(np.cumsum(count) - count, count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -115,9 +140,14 @@ def _asks(own: DataFrame, s: Shells) -> DataFrame:
                 t = _angles(v, pivots)[:, pivot]
                 ask = np.maximum(t - high, low - t) <= best[:, None]
                 ask &= ~((batch.column("o").to_numpy()[:, None] == number) & lone)
-                yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("v"), pa.array([number[a].astype(np.int32) for a in ask], pa.list_(pa.int32()))], names=["k", "v", "os"])
+                row, column = np.nonzero(ask[:, shell])
+                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (group[column[1:]] != group[column[:-1]])])) if len(row) else np.zeros(0, int)
+                os = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(number[shell[column]], pa.int32()))
+                each = pa.StructArray.from_arrays([pa.array(group[column[new]], pa.int32()), os], names=["g", "os"])
+                ends = np.searchsorted(row[new], np.arange(len(v) + 1))
+                yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("v"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)], names=["k", "v", "sets"])
 
-    return own.mapInArrow(run, "k long, v array<float>, os array<int>").select("k", "v", F.explode("os").alias("o"))
+    return own.mapInArrow(run, "k long, v array<float>, sets array<struct<g: int, os: array<int>>>")
 
 
 def max_similarity(vectors: DataFrame, key: str, vector: str, block: int = 2000) -> DataFrame:
@@ -130,26 +160,37 @@ def max_similarity(vectors: DataFrame, key: str, vector: str, block: int = 2000)
     s = shells(vectors, key, vector, block)
     own = _own_best(s)
     asks = materialize(_asks(own, s), "asks")
-    # asks of a shell may be many: they are dealt to parts, and each of its blocks comes once to each part
-    parts = asks.groupBy("o").agg(F.ceil(F.count("*") / (4 * block)).cast("int").alias("parts"))
-    sizes = asks.sparkSession.createDataFrame(list(s.blocks.items()), "o int, blocks int")
-    parts = parts.join(F.broadcast(sizes), "o")  # PIVOTS * SHELLS rows at most
-    each = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    asking = asks.join(F.broadcast(parts), "o").select("k", "v", "o", F.pmod(F.hash("k"), "parts").alias("part"), F.explode(each("blocks")).alias("h"), F.lit(True).alias("asks"))
-    asked = s.rows.join(F.broadcast(parts), "o").select("k", "v", "o", F.explode(each("parts")).alias("part"), "h", F.lit(False).alias("asks"))
+    # a vector asks a set once, with the shells it asks of it; asks of a set may be many: they are dealt to parts, and the set's
+    # vectors come once to each part
+    size = s.set_size()
+    each_set = asks.select("k", "v", F.explode("sets").alias("x")).select("k", "v", "x.g", "x.os")
+    parts = asks.select(F.explode("sets.g").alias("g")).groupBy("g").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    asking = each_set.join(F.broadcast(parts), "g").select("g", F.pmod(F.hash("k"), "parts").alias("part"), "k", "v", "os", F.lit(None).cast("int").alias("o"))
+    asked = s.rows.join(F.broadcast(parts), "g").select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "k", "v", F.lit(None).cast("array<int>").alias("os"), "o")
 
     def run(table: pa.Table) -> pa.Table:
-        k, v, left = table.column("k").to_numpy(), _unit(table.column("v")), np.array(table.column("asks"))
-        held, held_k, rows = v[~left], k[~left], np.flatnonzero(left)
-        out = []
-        for at in range(0, len(rows), 2000):
-            some = rows[at : at + 2000]
-            found = v[some] @ held.T
-            found[k[some][:, None] == held_k[None, :]] = -np.inf
-            out.append(found.max(axis=1, initial=-np.inf))
-        return pa.table({"k": k[rows], "s": np.concatenate([np.zeros(0), *out])})
-
-    found = asking.unionByName(asked).groupBy("o", "part", "h").applyInArrow(run, "k long, s double")
+        left = np.array(table.column("o").is_null())
+        there, rows = table.filter(pa.array(~left)).sort_by("o"), table.filter(pa.array(left))
+        held_k, held, o = there.column("k").to_numpy(), _unit(there.column("v")), there.column("o").to_numpy()
+        k, out = rows.column("k").to_numpy(), np.full(rows.num_rows, -np.inf)
+        for at in range(0, len(k), 2000):
+            some = rows.slice(at, 2000)
+            v, wanted = _unit(some.column("v")), some.column("os").combine_chunks()
+            shell = wanted.flatten().to_numpy()
+            row = np.repeat(np.arange(len(v)), np.array(wanted.value_lengths()))
+            order = np.argsort(shell, kind="stable")
+            shell, row = shell[order], row[order]
+            for x in np.unique(shell).tolist():
+                who = row[np.searchsorted(shell, x) : np.searchsorted(shell, x, "right")]
+                lo, hi = np.searchsorted(o, x), np.searchsorted(o, x, "right")
+                for b in range(lo, hi, 2 * block):
+                    to = min(hi, b + 2 * block)
+                    found = v[who] @ held[b:to].T
+                    found[k[at + who][:, None] == held_k[None, b:to]] = -np.inf
+                    out[at + who] = np.maximum(out[at + who], found.max(axis=1))
+        return pa.table({"k": k, "s": out})
+
+    found = asking.unionByName(asked).groupBy("g", "part").applyInArrow(run, "k long, s double")
     best = found.unionByName(own.select("k", "s")).groupBy("k").agg(F.max("s").alias("s"))
     return best.select(F.col("k").alias(key), F.when(F.col("s") > float("-inf"), F.col("s")).alias("max_sim"))
 
@@ -158,7 +199,8 @@ def compared_share(vectors: DataFrame, key: str, vector: str, block: int = 2000)
     """The share of all pairs of vectors that max_similarity multiplies: within blocks, and with the shells that could be nearer."""
     s = shells(vectors, key, vector, block)
     sizes = s.rows.sparkSession.createDataFrame([(int(o), int(n)) for o, n in zip(s.number, s.size, strict=True)], "o int, n long")
-    asked = _asks(_own_best(s), s).join(F.broadcast(sizes), "o").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    asks = _asks(_own_best(s), s).select(F.explode(F.array_distinct(F.flatten("sets.os"))).alias("o"))
+    asked = asks.join(F.broadcast(sizes), "o").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     inside = s.rows.groupBy("o", "h").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0))).first()[0]
     n = int(s.size.sum())
     return (asked + inside) / max(1, n * n)
