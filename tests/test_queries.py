@@ -36,6 +36,21 @@ def test_equals_sql(spark, duck, sf_small, name):
     assert got == sorted(repr(tuple(plain(x[i]) for i in at)) for x in r.fetchall())
 
 
+def test_contiguous_times_of_odd_clips(spark, tmp_path):
+    """Clips without duration, day or number; sums that end in a half and are the same in any order."""
+    day = "timestamp '2001-04-23'"
+    clips = [(1, 1500, day), (2, None, day), (3, 1000, day), (None, 4125, day), (5, 875, day), (6, 2500, "null"), (7, 500, "null"), (8, None, "timestamp '2001-04-24'"), (9, 500, "timestamp '2001-04-24'")]
+    values = ", ".join(f"({clip or 'null'}::bigint, {price or 'null'}::double, {at}::timestamp)" for clip, price, at in clips)
+    c = duckdb.connect()
+    c.execute(f"create table orders as select * from (values {values}) t(o_orderkey, o_totalprice, o_orderdate)")
+    c.execute(f"copy orders to '{tmp_path}/orders.parquet' (format parquet)")
+    df = registry.queries()["contiguous_times"](spark, str(tmp_path))
+    got = sorted((repr(tuple(r)) for r in df.select("clip", "start_s").collect()))
+    want = sorted(repr(r) for r in c.execute(f"select clip, start_s from ({registry.oracle_sql()['contiguous_times']})").fetchall())
+    assert len(want) == len(clips)
+    assert got == want
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_runs(spark, sf_small, name):
     assert registry.queries()[name](spark, sf_small).count() > 0

@@ -57,11 +57,15 @@ def number_outages(outages: DataFrame, order: Sequence[str]) -> DataFrame:
     return with_rank(outages, order, "incident")
 
 
-def assign_contiguous(clips: DataFrame, date: str, order: Sequence[str], duration: str, day_start: Column) -> DataFrame:
-    """Clips of a day one after another: start_ts = start of the day + the rounded sum of the durations before."""
+def assign_contiguous(clips: DataFrame, date: str, order: Sequence[str | Column], duration: str, day_start: Column, skip_missing: bool = True) -> DataFrame:
+    """Clips of a day one after another: start_ts = start of the day + the rounded sum of the durations before.
+
+    skip_missing: clips without duration are left out; else they stay and take no time.
+    """
     w = Window.partitionBy(date).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = F.bround(F.coalesce(F.sum(duration).over(w), F.lit(0.0)), 0).cast("long")
-    return clips.where(F.col(duration).isNotNull()).withColumn("start_ts", F.timestamp_seconds(F.unix_timestamp(day_start) + before))
+    kept = clips.where(F.col(duration).isNotNull()) if skip_missing else clips
+    return kept.withColumn("start_ts", F.timestamp_seconds(F.unix_timestamp(day_start) + before))
 
 
 def segment_clips(clips: DataFrame, duration: str, start: str, length: int = 120) -> DataFrame:

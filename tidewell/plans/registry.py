@@ -460,7 +460,7 @@ def outages(spark: SparkSession, d: str) -> DataFrame:
 WITH c AS (SELECT *, coalesce(sum(duration) OVER (PARTITION BY day ORDER BY clip ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM @clips c)
 SELECT clip, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) + CAST(round_even(before, 0) AS BIGINT) AS start_s FROM c""")
 def contiguous_times(spark: SparkSession, d: str) -> DataFrame:
-    out = runs.assign_contiguous(view(spark, d, "clips"), "day", ["clip"], "duration", F.col("day").cast("timestamp"))
+    out = runs.assign_contiguous(view(spark, d, "clips"), "day", [F.col("clip").asc_nulls_last()], "duration", F.col("day").cast("timestamp"), skip_missing=False)
     return out.select("clip", F.unix_timestamp("start_ts").alias("start_s"))
 
 
