@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -39,6 +40,40 @@ def test_track_budget(spark):
     assert rows(tracks.track_runs(d, "clip", "track", "frame", "length"), "run", "start", "end", "n") == [(0, 0, 13, 4), (1, 40, 40, 1)]
 
 
+def test_track_budget_over_rows_and_batches(spark, monkeypatch):
+    """Runs that go on over packed rows, and tracks over batches, against the rule read frame by frame."""
+    monkeypatch.setattr(tracks, "RUN_FRAMES", 16)
+    rng, data, want = random.Random(3), [], []
+    for clip, track in [(c, t) for c in ("a", "b", None) for t in (1, 2, None)]:
+        frames = sorted(rng.sample(range(-20, 400), rng.choice([1, 40, 150])))
+        data += [(clip, track, f, 380) for f in [*frames, frames[0], None]]
+        run, kept = 0, []
+        for f in [f for f in frames if f < 379]:
+            if kept and f - kept[0] - len(kept) > 10:
+                want.append((clip, track, run, kept[0], kept[-1], len(kept)))
+                run, kept = run + 1, []
+            kept.append(f)
+        want += [(clip, track, run, kept[0], kept[-1], len(kept))] if kept else []
+    rng.shuffle(data)
+    d = spark.createDataFrame(data, "clip string, track int, frame int, length int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = [tuple(r) for r in tracks.track_runs(d, "clip", "track", "frame", "length").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_track_budget_of_many_runs(spark):
+    """Work grows with the frames of a track, not with their number times that of its runs."""
+    n = 100_000
+    d = spark.range(n).selectExpr("'c' clip", "1 track", "int(id * 12) frame", f"{n * 12} length")
+    began = time.monotonic()
+    got = tracks.track_runs(d, "clip", "track", "frame", "length").selectExpr("count(*) runs", "sum(n) frames", "max(run) last", "bool_and(start = run * 12 and end = start) whole").first()
+    assert tuple(got) == (n, n, n - 1, True)
+    assert time.monotonic() - began < 60
+
+
 def test_objects_keep_ids(spark):
     o = spark.createDataFrame([("s", 0, 0, 0.0, 0.0), ("s", 0, 1, 100.0, 0.0), ("s", 1, 0, 101.0, 0.0), ("s", 2, 0, 1.0, 0.0)], "seq string, frame int, pos int, x double, y double").selectExpr("*", "2.0 w", "2.0 h")
     assert rows(tracks.track_objects(o, "seq", "frame", "pos", radius=5.0), "frame", "object_id") == [(0, 0), (0, 1), (1, 1), (2, 0)]

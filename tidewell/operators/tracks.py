@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.operators.ordered import best_from_here, dealt, with_running
 from tidewell.session import materialize
@@ -92,36 +93,70 @@ def clip_counts(crossings: DataFrame, votes: DataFrame, clips: DataFrame, clip:
     return hits.unionByName(empty)
 
 
+#: Frames of a clip whose boxes of a track lie in one row, at most.
+RUN_FRAMES = 1024
+#: Runs that a task holds before it gives them, about.
+RUN_ROWS = 10_000
+
+
+def _runs(budget: int):
+    """Rows (clip, track, fs), a track's rows one after another in the order of their frames fs, to its runs."""
+    names = ["clip", "track", "run", "start", "end", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, types, out = None, [], []
+        number = start = last = missed = n = 0  # of the run that is open, a run of track key; missed: up to last
+
+        def batch_of_runs() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * len(names)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        for batch in batches:
+            types = [batch.column("clip").type, batch.column("track").type, pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+            for own, fs in zip(zip(batch.column("clip").to_pylist(), batch.column("track").to_pylist(), strict=True), batch.column("fs"), strict=True):
+                f = fs.values.to_numpy().astype(np.int64)
+                g = f - np.arange(len(f))  # grows by the frames that are missed
+                # the first place where the open run's budget is gone
+                at = int(g.searchsorted(last + 1 - missed + budget, side="right")) if own == key else 0
+                if at:
+                    missed, last, n = missed + int(g[at - 1]) - last - 1, int(f[at - 1]), n + at
+                    if at == len(f):
+                        continue
+                if n:
+                    out.append((*key, number, start, last, n))
+                number = number + 1 if own == key else 0
+                after = g.searchsorted(g + budget, side="right").tolist()
+                starts = [at]
+                while (at := after[at]) < len(f):
+                    starts.append(at)
+                to = np.array(starts[1:], np.int64)
+                out.extend(zip(*[[k] * len(to) for k in own], range(number, number + len(to)), f[starts[:-1]].tolist(), f[to - 1].tolist(), np.diff(starts).tolist(), strict=True))
+                at = starts[-1]
+                key, number, start, last, missed, n = own, number + len(to), int(f[at]), int(f[-1]), int(g[-1] - g[at]), len(f) - at
+                if len(out) >= RUN_ROWS:
+                    yield batch_of_runs()
+            yield batch_of_runs()
+        if n:
+            out.append((*key, number, start, last, n))
+            yield batch_of_runs()
+
+    return run
+
+
 def track_runs(detections: DataFrame, clip: str, track: str, frame: str, length: str, budget: int = 10) -> DataFrame:
     """(clip, track, run, start, end, n): runs of a track, each with a budget of missed frames that is never refilled.
 
     A run ends at the first missing frame after the budget is gone, and at the clip's last frame, whose own boxes are
-    dropped. ``length`` is the clip's number of frames.
+    dropped. ``length`` is the clip's number of frames. A track's frames are packed into rows of RUN_FRAMES at most, which
+    one pass reads in order, so a task holds a batch of them and the work grows with the frames.
     """
-    frames = F.array_sort(F.collect_set(F.when(F.col(frame) < F.col(length) - 1, F.col(frame))))
-    own = detections.groupBy(clip, track).agg(frames.alias("fs")).where(F.size("fs") > 0)
-    # state: run, its start, last frame, missed frames, boxes; finished runs
-    kind = "struct<run:int,start:int,last:int,missed:int,n:bigint,done:array<struct<run:int,start:int,end:int,n:bigint>>>"
-    zero = F.from_json(F.lit('{"run":0,"start":-1,"last":-1,"missed":0,"n":0,"done":[]}'), kind)
-
-    def step(s, f):
-        gap = F.when(s["n"] == 0, F.lit(0)).otherwise(f - s["last"] - 1)
-        over = s["missed"] + gap > budget
-        closed = F.concat(s["done"], F.array(F.struct(s["run"].alias("run"), s["start"].alias("start"), s["last"].alias("end"), s["n"].alias("n"))))
-        return F.struct(
-            F.when(over, s["run"] + 1).otherwise(s["run"]).alias("run"),
-            F.when(over | (s["n"] == 0), f).otherwise(s["start"]).alias("start"),
-            f.alias("last"),
-            F.when(over, F.lit(0)).otherwise(s["missed"] + gap).alias("missed"),
-            F.when(over, F.lit(1).cast("long")).otherwise(s["n"] + 1).alias("n"),
-            F.when(over, closed).otherwise(s["done"]).alias("done"),
-        ).cast(kind)
-
-    def finish(s):
-        return F.when(s["n"] > 0, F.concat(s["done"], F.array(F.struct(s["run"].alias("run"), s["start"].alias("start"), s["last"].alias("end"), s["n"].alias("n"))))).otherwise(s["done"])
-
-    runs = own.select(clip, track, F.explode(F.aggregate(F.transform("fs", lambda f: f.cast("int")), zero, step, finish)).alias("r"))
-    return runs.select(clip, track, "r.run", "r.start", "r.end", "r.n")
+    at = F.col(frame).cast("int")
+    seen = detections.where(F.col(frame) < F.col(length) - 1).select(F.col(clip).alias("clip"), F.col(track).alias("track"), F.floor(at / RUN_FRAMES).alias("piece"), at.alias("f"))
+    packed = seen.groupBy("clip", "track", "piece").agg(F.array_sort(F.collect_set("f")).alias("fs"))
+    in_order = packed.repartition("clip", "track").sortWithinPartitions("clip", "track", "piece").select("clip", "track", "fs")
+    kind = StructType(in_order.schema.fields[:2] + StructType.fromDDL("run int, start int, `end` int, n long").fields)
+    return in_order.mapInArrow(_runs(budget), kind).toDF(clip, track, "run", "start", "end", "n")
 
 
 def track_objects(objects: DataFrame, sequence: str, frame: str, position: str, x: str = "x", y: str = "y", w: str = "w", h: str = "h", radius: float = 25.0, history: int = 5) -> DataFrame:
